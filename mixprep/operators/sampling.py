@@ -51,6 +51,9 @@ def _join_offsets(bucketed: DataFrame, offsets: DataFrame, keys: list[str]) -> D
     # Null-safe on the group keys; renamed to avoid self-join attribute clashes.
     ren = {k: f"_mp_k{i}" for i, k in enumerate(keys)}
     o = offsets.select(*[F.col(k).alias(v) for k, v in ren.items()], F.col(_B).alias("_mp_bk"), _C, _OFF, _N)
+    if not keys:
+        # One group: the offset table has at most 16**digits rows, a proven bound.
+        o = F.broadcast(o)
     cond = [bucketed[_B] == o["_mp_bk"]] + [bucketed[k].eqNullSafe(o[v]) for k, v in ren.items()]
     return bucketed.join(o, cond, "inner").drop("_mp_bk", *ren.values())
 
@@ -141,14 +144,16 @@ def class_weights(weights: Mapping[str, float] | Sequence[tuple[str, float]], cl
 
 
 def resample_weighted(df: DataFrame, weight_col: str, id_col: str, seed=42, draw_col: str = "draw_id",
-                      digits: int = 4) -> DataFrame:
+                      digits: int = 4, max_classes: int = 64) -> DataFrame:
     """As many draws with replacement as rows, P(row) proportional to its weight.
 
-    Rows of equal weight form a class. Draw ``i`` (one per input row, keyed by the
-    row's id) picks a class with probability ``w_c*n_c/W`` from one uniform, then a
-    row of that class uniformly from a second uniform, and fetches it with an
-    equi-join on (class, rank). The class table has one row per distinct weight
-    and reaches the draws as a scalar subquery (evaluated once, no join).
+    Rows of equal weight form a class (weights come from a short list, so there
+    are few classes; more than ``max_classes`` fails the job). Draw ``i`` (one per
+    input row, keyed by the row's id) picks a class with probability
+    ``w_c*n_c/W`` from one uniform, then a row of that class uniformly from a
+    second uniform, and fetches it with an equi-join on (class, rank), which
+    spreads even a class holding most rows over all partitions. The class table
+    reaches the draws as one scalar subquery (evaluated once, no join).
     """
     w = F.col(weight_col).cast("double")
     base = df.withColumn("_mp_w", w)
@@ -159,11 +164,16 @@ def resample_weighted(df: DataFrame, weight_col: str, id_col: str, seed=42, draw
     ct = ct.withColumn("_mp_hi", F.sum(F.col("_mp_w") * F.col("_mp_nc")).over(cum))
     table = ct.select(F.sort_array(F.collect_list(F.struct(
         F.col("_mp_hi").alias("hi"), F.col("_mp_w").alias("w"), F.col("_mp_nc").alias("n"))))).scalar()
-    total = ct.select(F.max("_mp_hi")).scalar()
 
+    x = uniform01(draw_col, f"{seed}:class") * F.element_at(table, -1)["hi"]
+    pick = F.when(F.size(table) > F.lit(int(max_classes)),
+                  F.raise_error(F.lit(f"resample_weighted: more than {max_classes} weight classes")))
+    for i in range(int(max_classes)):
+        e = F.get(table, i)
+        pick = pick.when(x < e["hi"], e)
+    pick = pick.otherwise(F.element_at(table, -1))
     draws = (df.select(F.col(id_col).alias(draw_col))
-             .withColumn("_mp_pick", F.filter(table, lambda e: (uniform01(draw_col, f"{seed}:class") * total) < e["hi"]))
-             .withColumn("_mp_pick", F.coalesce(F.get(F.col("_mp_pick"), 0), F.element_at(table, -1)))
+             .withColumn("_mp_pick", pick)
              .select(draw_col,
                      F.col("_mp_pick.w").alias("_mp_dw"),
                      F.least(F.floor(uniform01(draw_col, f"{seed}:index") * F.col("_mp_pick.n")).cast("long") + 1,
