@@ -30,35 +30,39 @@ def semi_items(captions: DataFrame, sids: DataFrame, keys=KEYS) -> DataFrame:
 
 def profile_to_long(profile: DataFrame, lists: Mapping[str, str], times: Mapping[str, str] | None = None,
                     user_col: str = "user_id", cap: int | None = None) -> DataFrame:
-    """S9 + S10 + J4: wide list columns -> ``(user, domain, pos, pid, ts)``.
+    """S9 + S10 + J4: wide list columns -> ``(user, domain, pos, pid, ts)`` in one pass.
 
     Only the named list columns are read (column pruning reaches the scan). A NULL
-    or empty list yields no rows. Lists are cut to ``cap`` *before* exploding, and
-    a time list is zipped with its item list here, so each time stays with its
-    item through the look-up (the reference zips after misses are dropped).
+    or empty list yields no rows. Each list is cut to ``cap`` *before* anything
+    else (NULL entries count, as in the reference's ``pids[:20]``), a time list
+    is zipped with its item list so each time stays with its item through the
+    look-up, and all domains are concatenated into one array that is exploded
+    once: one scan, one generator, no union of re-computed branches.
     """
-    times = dict(times or {})
-    time_of = {dom: col for col, dom in times.items()}
+    time_of = {dom: col for col, dom in (times or {}).items()}
     parts = []
     for col, dom in lists.items():
         pids = F.coalesce(F.col(col), F.array().cast("array<bigint>"))
         if dom in time_of:
             ts = F.coalesce(F.col(time_of[dom]), F.array().cast("array<bigint>"))
-            z = F.arrays_zip(pids.alias("pid"), ts.alias("ts"))
+            z = F.arrays_zip(pids.cast("array<bigint>").alias("pid"), ts.cast("array<bigint>").alias("ts"))
         else:
-            z = F.transform(pids, lambda p: F.struct(p.alias("pid"), F.lit(None).cast("bigint").alias("ts")))
-        # arrays_zip pads the shorter list with NULL; drop rows that have no item.
-        z = F.filter(z, lambda e: e["pid"].isNotNull())
+            z = F.transform(pids, lambda p: F.struct(p.cast("bigint").alias("pid"),
+                                                     F.lit(None).cast("bigint").alias("ts")))
         if cap is not None:
             z = F.slice(z, 1, int(cap))
-        p = (profile.select(F.col(user_col), F.posexplode(z).alias("pos", "e"))
-             .select(user_col, F.lit(dom).alias("domain"), F.col("pos").cast("int").alias("pos"),
-                     F.col("e.pid").cast("bigint").alias("pid"), F.col("e.ts").cast("bigint").alias("ts")))
-        parts.append(p)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        parts.append(F.transform(z, _tag(dom)))
+    every = F.filter(F.concat(*parts), lambda e: e["pid"].isNotNull())
+    e = profile.select(F.col(user_col), F.explode(every).alias("e"))
+    return e.select(user_col, F.col("e.domain").alias("domain"), F.col("e.pos").alias("pos"),
+                    F.col("e.pid").alias("pid"), F.col("e.ts").alias("ts"))
+
+
+def _tag(dom: str):
+    def make(e, i):
+        return F.struct(F.lit(dom).alias("domain"), i.cast("int").alias("pos"), e["pid"].alias("pid"),
+                        e["ts"].alias("ts"))
+    return make
 
 
 def sequence_lookup(long_df: DataFrame, sids: DataFrame, user_col: str = "user_id", cap: int = 20) -> DataFrame:

@@ -96,29 +96,43 @@ def split_eval(df: DataFrame, group_cols, id_col: str, ratio: float = 0.05, min_
                digits: int = 4, out: str = "split") -> DataFrame:
     """Per group, the first ``max(min_eval, int(n*ratio))`` shuffled rows are 'eval', the rest 'train'.
 
-    Only rows of the one bucket per group that straddles the eval boundary are
-    ranked; every other row is labelled by its bucket offset alone (no shuffle of
-    the bulk of the data beyond the broadcast of the small offset table).
+    The full rows are computed once. Two side passes read only the group and id
+    columns (Catalyst prunes everything else): one counts rows per (group, hash
+    bucket), one ranks the rows of the single bucket per group that straddles the
+    eval boundary. The main pass labels every row from its bucket offset and,
+    for boundary rows only, from that small rank table (no shuffle of full rows
+    when AQE broadcasts the two small tables).
     """
     keys = _keys(group_cols)
     b = _bucketed(df, id_col, seed, digits)
     offs = bucket_offsets(b, keys)
     n_eval = F.greatest(F.lit(int(min_eval)).cast("long"),
                         F.floor(F.col(_N) * F.lit(float(ratio))).cast("long"))
-    offs = offs.withColumn("_mp_ne", n_eval)
-    ren = {k: f"_mp_k{i}" for i, k in enumerate(keys)}
-    o = offs.select(*[F.col(k).alias(v) for k, v in ren.items()], F.col(_B).alias("_mp_bk"), _C, _OFF, "_mp_ne")
-    cond = [b[_B] == o["_mp_bk"]] + [b[k].eqNullSafe(o[v]) for k, v in ren.items()]
-    joined = b.join(o, cond, "inner").drop("_mp_bk", *ren.values())
-    boundary = (F.col(_OFF) < F.col("_mp_ne")) & (F.col(_OFF) + F.col(_C) > F.col("_mp_ne"))
-    bulk = joined.filter(~boundary).withColumn(
-        out, F.when(F.col(_OFF) + F.col(_C) <= F.col("_mp_ne"), F.lit("eval")).otherwise(F.lit("train")))
+    offs = offs.withColumn("_mp_ne", n_eval).withColumn(
+        "_mp_edge", (F.col(_OFF) < F.col("_mp_ne")) & (F.col(_OFF) + F.col(_C) > F.col("_mp_ne")))
+
+    # Ranks inside boundary buckets, computed from the (group, id, hash) columns only.
+    slim = _bucketed(df.select(*keys, id_col), id_col, seed, digits)
+    edge_offs = offs.filter(F.col("_mp_edge")).select(*keys, _B, _OFF, "_mp_ne")
     w = Window.partitionBy(*keys, _B).orderBy(_H, id_col)
-    edge = (joined.filter(boundary)
+    edge = (_join_on(slim, edge_offs, keys + [_B])
             .withColumn("_mp_rn", F.row_number().over(w) + F.col(_OFF))
-            .withColumn(out, F.when(F.col("_mp_rn") <= F.col("_mp_ne"), F.lit("eval")).otherwise(F.lit("train")))
-            .drop("_mp_rn"))
-    return bulk.unionByName(edge).drop(_H, _B, _C, _OFF, "_mp_ne")
+            .select(*keys, F.col(id_col), (F.col("_mp_rn") <= F.col("_mp_ne")).alias("_mp_is_eval")))
+
+    j = _join_on(b, offs.select(*keys, _B, _C, _OFF, "_mp_ne", "_mp_edge"), keys + [_B])
+    j = _join_on(j, edge, keys + [id_col], how="left")
+    label = (F.when(F.col("_mp_edge"), F.col("_mp_is_eval"))
+             .otherwise(F.col(_OFF) + F.col(_C) <= F.col("_mp_ne")))
+    return (j.withColumn(out, F.when(label, F.lit("eval")).otherwise(F.lit("train")))
+            .drop(_H, _B, _C, _OFF, "_mp_ne", "_mp_edge", "_mp_is_eval"))
+
+
+def _join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Null-safe equi-join on ``keys`` keeping the left key columns."""
+    ren = {k: f"_mp_r{i}" for i, k in enumerate(keys)}
+    r = right.select(*[F.col(c).alias(ren.get(c, c)) for c in right.columns])
+    cond = [left[k].eqNullSafe(r[v]) for k, v in ren.items()]
+    return left.join(r, cond, how).drop(*ren.values())
 
 
 def shuffle_order(df: DataFrame, id_col: str, seed=42) -> DataFrame:
