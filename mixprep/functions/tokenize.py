@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 # Whitespace class (Python's str.isspace set), token pattern, special ids.
@@ -59,8 +60,6 @@ def python_token_ids(text, factory: Callable[[], Callable[[str], list[int]]]) ->
     ``factory()`` returns ``encode(text) -> list[int]``; it must be picklable
     (e.g. a top-level function that loads a tokenizer file).
     """
-    import pandas as pd
-
     state: dict = {}
 
     @F.pandas_udf("array<int>")

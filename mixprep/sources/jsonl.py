@@ -36,14 +36,17 @@ def read_jsonl(spark: SparkSession, paths: str | Sequence[str], schema: StructTy
     bad = F.col(CORRUPT).isNotNull()
     scalar = F.col(CORRUPT).rlike(_SCALAR)
     malformed = bad & ~scalar
+    # Spark refuses a JSON scan whose only required column is the corrupt-record
+    # column (e.g. a bare count). Tie every filter to one real field as well.
+    parsed = F.length(F.coalesce(F.col(schema.fields[0].name).cast("string"), F.lit(""))) >= 0
     if on_bad == "quarantine":
-        good = df.filter(~bad).drop(CORRUPT)
-        return good, df.filter(malformed).select(*(["file_name"] if lineage else []), CORRUPT)
+        good = df.filter(~bad & parsed).drop(CORRUPT)
+        return good, df.filter(malformed & parsed).select(*(["file_name"] if lineage else []), CORRUPT)
     if on_bad == "drop":
-        return df.filter(~bad).drop(CORRUPT)
+        return df.filter(~bad & parsed).drop(CORRUPT)
     if on_bad == "fail":
         msg = F.concat(F.lit("malformed JSONL line: "), F.substring(F.col(CORRUPT), 1, 200))
-        keep = F.when(malformed, F.raise_error(msg).cast("boolean")).when(bad, F.lit(False)).otherwise(F.lit(True))
+        keep = F.when(malformed, F.raise_error(msg).cast("boolean")).when(bad, F.lit(False)).otherwise(parsed)
         return df.filter(keep).drop(CORRUPT)
     raise ValueError(f"unknown on_bad {on_bad!r}")
 
