@@ -72,9 +72,7 @@ def test_chat_to_alpaca_pairs(spark):
 def test_pluggable_tokenizer(spark):
     from mixprep.functions.tokenize import python_token_ids
     df = spark.createDataFrame([("a bb ccc",), ("",)], "t string")
-    got = [r[0] for r in df.select(python_token_ids("t", _factory)).collect()]
+    def factory():  # nested, so cloudpickle ships it by value to the Python workers
+        return lambda s: [len(w) for w in s.split()]
+    got = [r[0] for r in df.select(python_token_ids("t", factory)).collect()]
     assert got == [[1, 2, 3], []]
-
-
-def _factory():
-    return lambda s: [len(w) for w in s.split()]
