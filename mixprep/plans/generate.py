@@ -40,3 +40,18 @@ def generate_all(captions: DataFrame, sids: DataFrame, long_df: DataFrame, max_p
                  max_users: int | None = None, min_tokens: int = 3, seed=42) -> DataFrame:
     nxt, rec = user_samples(long_df, sids, min_tokens=min_tokens, max_users=max_users, seed=seed)
     return item_samples(captions, sids, max_per_task, seed).unionByName(nxt).unionByName(rec)
+
+
+def write_generated(spark, captions: DataFrame, sids: DataFrame, long_df: DataFrame, root: str,
+                    max_per_task: int | None = None, max_users: int | None = None, seed=42) -> dict[str, str]:
+    """W3 sinks (K2): ``item_ext``, ``user_ext`` and ``rec_ext`` JSONL folders of one-element
+    arrays under ``root`` (a shared folder). Returns name -> folder. Writing the
+    generated sets cuts the lineage between generation and mixing."""
+    from mixprep.sinks.jsonl import write_jsonl
+    nxt, rec = user_samples(long_df, sids, max_users=max_users, seed=seed)
+    out = {"item_ext": item_samples(captions, sids, max_per_task, seed), "user_ext": nxt, "rec_ext": rec}
+    paths = {}
+    for name, df in out.items():
+        paths[name] = f"{root.rstrip('/')}/{name}"
+        write_jsonl(df, paths[name], array_per_line=True, cols=SAMPLE_COLS)
+    return paths

@@ -555,6 +555,37 @@ def mix_v3(spark: SparkSession, d: str) -> DataFrame:
     return W12.run_recipe(W12.Recipe(srcs, split_by="source"))
 
 
+@query
+def mix_v3_files(spark: SparkSession, d: str) -> DataFrame:
+    """W2 as files: W3 writes ext JSONL (K2), base and world samples land as named JSONL
+    files; v3 reads them through the multi-file source (S5, a missing file is skipped)."""
+    from pyspark.sql.types import _parse_datatype_string
+    root = scratch_path(spark, "mix-v3-files")
+    ext = W3.write_generated(spark, fx.item_caption(spark, d), fx.item_sid(spark, d), _user_long(spark, d),
+                             f"{root}/ext")
+    base_dir = f"{root}/base"
+    landed = sinks.write_jsonl_named(spark, _sft(spark, d), base_dir, "category",
+                                     cols=("sample_id", "system", "prompt", "response"))
+    sinks.write_jsonl(fx.alpaca(spark, d), f"{root}/world", cols=("conv_id", "instruction", "input", "output", "history"))
+    gen_schema = _parse_datatype_string("task STRING, key STRING, system STRING, prompt STRING, response STRING")
+    base_schema = _parse_datatype_string(_SFT_ID)
+    world_schema = _parse_datatype_string(
+        "conv_id BIGINT, instruction STRING, input STRING, output STRING, history ARRAY<ARRAY<STRING>>")
+    key = F.concat_ws(":", "task", "key").alias("gen_key")
+    srcs = []
+    for c in ("rec", "item", "user"):
+        paths = [p for p in landed if p.rsplit("/", 1)[-1].startswith(c + "_")] + [f"{base_dir}/{c}_missing.jsonl"]
+        df = src.read_sources(spark, {c: paths}, base_schema)
+        srcs.append(W12.Source(c, df, "sample_id", fmt="sft", max_char=V3_MAX_CHAR))
+    for name in ("rec_ext", "item_ext", "user_ext"):
+        df = src.read_sources(spark, {name: [ext[name]]}, gen_schema).select(key, "system", "prompt", "response")
+        srcs.append(W12.Source(name, df, "gen_key", fmt="auto", max_char=V3_MAX_CHAR))
+    world = src.read_sources(spark, {"world_ext": [f"{root}/world"]}, world_schema)
+    srcs.append(W12.Source("world_ext", world.drop("file_name", "category"), "conv_id", fmt="auto", category="world",
+                           min_char=WORLD_MIN_CHAR, max_char=V3_MAX_CHAR, sample=WORLD_SAMPLE))
+    return W12.run_recipe(W12.Recipe(srcs, split_by="source"))
+
+
 @query
 def generate_all(spark: SparkSession, d: str) -> DataFrame:
     """All item and user samples."""

@@ -564,6 +564,7 @@ FROM w""")
 # ---------------------------------------------------------------------------
 Q["mix_v2"] = with_mix(2, "SELECT * FROM mix")
 Q["mix_v3"] = with_mix(3, "SELECT * FROM mix")
+Q["mix_v3_files"] = Q["mix_v3"]
 Q["encode_pipeline"] = with_(["samples"], f"""
 , sp AS (SELECT *, {split_case('rn', 'n')} AS split FROM (
     SELECT *, {hrank('category', 'sample_id', '42')} AS rn, count(*) OVER (PARTITION BY category) AS n FROM samples))
