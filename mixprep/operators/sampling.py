@@ -93,15 +93,20 @@ def cap_per_group(df: DataFrame, n: int, group_cols, id_col: str, seed=42, digit
 
 
 def split_eval(df: DataFrame, group_cols, id_col: str, ratio: float = 0.05, min_eval: int = 1, seed=42,
-               digits: int = 4, out: str = "split") -> DataFrame:
+               digits: int = 4, out: str = "split", max_groups: int | None = None) -> DataFrame:
     """Per group, the first ``max(min_eval, int(n*ratio))`` shuffled rows are 'eval', the rest 'train'.
 
-    The full rows are computed once. Two side passes read only the group and id
-    columns (Catalyst prunes everything else): one counts rows per (group, hash
-    bucket), one ranks the rows of the single bucket per group that straddles the
-    eval boundary. The main pass labels every row from its bucket offset and,
-    for boundary rows only, from that small rank table (no shuffle of full rows
-    when AQE broadcasts the two small tables).
+    The full rows are computed once and never shuffled. Side passes read only the
+    group and id columns (Catalyst prunes everything else): one counts rows per
+    (group, hash bucket); one ranks the rows of the single bucket per group that
+    straddles the eval boundary and keeps only the last eval row's ``(hash, id)``
+    (one row per group). The main pass joins the small per-bucket table and
+    labels each row by its bucket offset, or, inside the boundary bucket, by
+    comparing its ``(hash, id)`` with the group's threshold.
+
+    ``max_groups`` (e.g. the number of categories of a recipe) proves the size of
+    the per-bucket table (``max_groups * 16**digits`` rows) and lets it be
+    broadcast explicitly; without it AQE decides from runtime sizes.
     """
     keys = _keys(group_cols)
     b = _bucketed(df, id_col, seed, digits)
@@ -111,20 +116,28 @@ def split_eval(df: DataFrame, group_cols, id_col: str, ratio: float = 0.05, min_
     offs = offs.withColumn("_mp_ne", n_eval).withColumn(
         "_mp_edge", (F.col(_OFF) < F.col("_mp_ne")) & (F.col(_OFF) + F.col(_C) > F.col("_mp_ne")))
 
-    # Ranks inside boundary buckets, computed from the (group, id, hash) columns only.
+    # Threshold (hash, id) of the last eval row, from the boundary buckets only.
+    bounded = max_groups is not None and int(max_groups) * 16 ** digits <= 4_000_000
     slim = _bucketed(df.select(*keys, id_col), id_col, seed, digits)
     edge_offs = offs.filter(F.col("_mp_edge")).select(*keys, _B, _OFF, "_mp_ne")
+    if bounded:  # at most one boundary bucket per group
+        edge_offs = F.broadcast(edge_offs)
     w = Window.partitionBy(*keys, _B).orderBy(_H, id_col)
-    edge = (_join_on(slim, edge_offs, keys + [_B])
-            .withColumn("_mp_rn", F.row_number().over(w) + F.col(_OFF))
-            .select(*keys, F.col(id_col), (F.col("_mp_rn") <= F.col("_mp_ne")).alias("_mp_is_eval")))
-
-    j = _join_on(b, offs.select(*keys, _B, _C, _OFF, "_mp_ne", "_mp_edge"), keys + [_B])
-    j = _join_on(j, edge, keys + [id_col], how="left")
-    label = (F.when(F.col("_mp_edge"), F.col("_mp_is_eval"))
-             .otherwise(F.col(_OFF) + F.col(_C) <= F.col("_mp_ne")))
+    thr = (_join_on(slim, edge_offs, keys + [_B])
+           .withColumn("_mp_rn", F.row_number().over(w) + F.col(_OFF))
+           .filter(F.col("_mp_rn") == F.col("_mp_ne"))
+           .select(*keys, _B, F.col(_H).alias("_mp_th"), F.col(id_col).alias("_mp_tid")))
+    if bounded:  # one threshold row per group
+        thr = F.broadcast(thr)
+    table = _join_on(offs.select(*keys, _B, _C, _OFF, "_mp_ne", "_mp_edge"), thr, keys + [_B], how="left")
+    if bounded:
+        table = F.broadcast(table)
+
+    j = _join_on(b, table, keys + [_B])
+    in_edge = (F.col(_H) < F.col("_mp_th")) | ((F.col(_H) == F.col("_mp_th")) & (F.col(id_col) <= F.col("_mp_tid")))
+    label = F.when(F.col("_mp_edge"), in_edge).otherwise(F.col(_OFF) + F.col(_C) <= F.col("_mp_ne"))
     return (j.withColumn(out, F.when(label, F.lit("eval")).otherwise(F.lit("train")))
-            .drop(_H, _B, _C, _OFF, "_mp_ne", "_mp_edge", "_mp_is_eval"))
+            .drop(_H, _B, _C, _OFF, "_mp_ne", "_mp_edge", "_mp_th", "_mp_tid"))
 
 
 def _join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

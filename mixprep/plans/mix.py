@@ -72,4 +72,5 @@ def run_recipe(recipe: Recipe) -> DataFrame:
         u = u.filter(~F.col("is_empty"))
     u = u.select(*OUT_COLS)
     group = "category" if recipe.split_by == "category" else "source"
-    return split_eval(u, [group], "sample_key", ratio=recipe.eval_ratio, min_eval=recipe.min_eval, seed=recipe.seed)
+    return split_eval(u, [group], "sample_key", ratio=recipe.eval_ratio, min_eval=recipe.min_eval, seed=recipe.seed,
+                      max_groups=len(recipe.sources))

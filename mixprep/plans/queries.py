@@ -414,7 +414,7 @@ def sample_n(spark: SparkSession, d: str) -> DataFrame:
 def split_eval(spark: SparkSession, d: str) -> DataFrame:
     """Per category, max(1, int(n*0.05)) eval rows, the rest train."""
     s = _sft(spark, d).select("sample_id", "category")
-    return sampling.split_eval(s, ["category"], "sample_id", ratio=0.05, seed=42)
+    return sampling.split_eval(s, ["category"], "sample_id", ratio=0.05, seed=42, max_groups=len(CATEGORIES))
 
 
 @query
@@ -440,7 +440,7 @@ def mix_counts(spark: SparkSession, d: str) -> DataFrame:
     """A1: samples -> F1(12288) -> R3 per category -> train/eval counts with total row."""
     s = filters.filter_max_len(_sft(spark, d), V2_MAX_CHAR)
     s = sampling.split_eval(s.select("sample_id", "category", "system", "prompt", "response"),
-                            ["category"], "sample_id", ratio=0.05, seed=42)
+                            ["category"], "sample_id", ratio=0.05, seed=42, max_groups=len(CATEGORIES))
     return stats.split_counts(s, "category")
 
 
@@ -595,7 +595,7 @@ def generate_all(spark: SparkSession, d: str) -> DataFrame:
 @query
 def encode_pipeline(spark: SparkSession, d: str) -> DataFrame:
     """Split; train resampled by category weight; both encoded (2048), F3 truncate, F4."""
-    s = sampling.split_eval(_sft(spark, d), ["category"], "sample_id", seed=42)
+    s = sampling.split_eval(_sft(spark, d), ["category"], "sample_id", seed=42, max_groups=len(CATEGORIES))
     train = W4.prepare_train(s.filter(F.col("split") == "train"), "sample_id", WEIGHTS_BY_COLUMN,
                              max_len=2048, keep=["category"])
     ev = W4.prepare_eval(s.filter(F.col("split") == "eval"), "sample_id", max_len=2048, keep=["category"])
