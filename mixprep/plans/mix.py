@@ -39,6 +39,7 @@ class Recipe:
     min_eval: int = 1
     seed: int | str = 42
     drop_empty: bool = True         # reject rows with neither prompt nor response (D5)
+    stage: bool = True              # write the prepared union once to the shared checkpoint folder
 
 
 def prepare_source(src: Source, seed) -> DataFrame:
@@ -71,6 +72,16 @@ def run_recipe(recipe: Recipe) -> DataFrame:
     if recipe.drop_empty:
         u = u.filter(~F.col("is_empty"))
     u = u.select(*OUT_COLS)
+    if recipe.stage:
+        # The split reads its input three times (counts, boundary threshold, labels).
+        # A parquet table in the shared checkpoint folder computes the sources once,
+        # cuts the lineage (a lost executor re-reads files, not generators), and the
+        # two key-only passes read two columns of it.
+        from mixprep.session import scratch_path
+        spark = u.sparkSession
+        path = scratch_path(spark, "mix-stage")
+        u.write.mode("overwrite").parquet(path)
+        u = spark.read.parquet(path)
     group = "category" if recipe.split_by == "category" else "source"
     return split_eval(u, [group], "sample_key", ratio=recipe.eval_ratio, min_eval=recipe.min_eval, seed=recipe.seed,
                       max_groups=len(recipe.sources))

@@ -91,3 +91,23 @@ def read_sources(spark: SparkSession, mapping: dict[str, Sequence[str]], schema:
         return spark.createDataFrame([], StructType(list(schema.fields) + [
             StructField("file_name", StringType()), StructField("category", StringType())]))
     return out
+
+
+def with_content_key(df: DataFrame, cols=("system", "prompt", "response"), out: str = "sample_key",
+                     with_file: bool = True) -> DataFrame:
+    """A stable row key for sources without ids: md5 of the file name and the fields.
+
+    Rows that share a key are identical in every keyed field, so any order among
+    them gives the same result; no position (which JSON files do not carry) is used.
+    """
+    parts = ([F.coalesce(F.col("file_name"), F.lit(""))] if with_file and "file_name" in df.columns else [])
+    parts += [F.to_json(F.struct(*[F.col(c) for c in cols]))]
+    return df.withColumn(out, F.md5(F.concat_ws("\u0001", *parts)))
+
+
+def cap_per_file(df: DataFrame, max_samples: int | None, key: str = "sample_key", seed=42) -> DataFrame:
+    """At most ``max_samples`` rows per file (the same rows under any partitioning)."""
+    if max_samples is None:
+        return df
+    from mixprep.operators.sampling import cap_per_group
+    return cap_per_group(df, max_samples, ["file_name"], key, seed=seed)
