@@ -184,7 +184,9 @@ def resample_weighted(df: DataFrame, weight_col: str, id_col: str, seed=42, draw
     """
     w = F.col(weight_col).cast("double")
     base = df.withColumn("_mp_w", w)
-    ranked = hash_rank(base, ["_mp_w"], id_col, seed=f"{seed}:row", digits=digits, out="_mp_rn")
+    # Ranks are computed on (id, weight) only; full rows are fetched once at the end.
+    slim = base.select(id_col, "_mp_w")
+    ranked = hash_rank(slim, ["_mp_w"], id_col, seed=f"{seed}:row", digits=digits, out="_mp_rn")
 
     ct = base.groupBy("_mp_w").agg(F.count(F.lit(1)).alias("_mp_nc"))
     cum = Window.orderBy("_mp_w").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -205,5 +207,10 @@ def resample_weighted(df: DataFrame, weight_col: str, id_col: str, seed=42, draw
                      F.col("_mp_pick.w").alias("_mp_dw"),
                      F.least(F.floor(uniform01(draw_col, f"{seed}:index") * F.col("_mp_pick.n")).cast("long") + 1,
                              F.col("_mp_pick.n")).alias("_mp_idx")))
-    out = draws.join(ranked, (draws["_mp_dw"] == ranked["_mp_w"]) & (draws["_mp_idx"] == ranked["_mp_rn"]), "inner")
-    return out.drop("_mp_dw", "_mp_idx", "_mp_w", "_mp_rn")
+    pairs = (draws.join(ranked, (draws["_mp_dw"] == ranked["_mp_w"]) & (draws["_mp_idx"] == ranked["_mp_rn"]), "inner")
+             .select(draw_col, F.col(id_col).alias("_mp_pick_id")))
+    # Rows sharing an id are identical by contract; keep one so each draw yields one row.
+    # The de-duplication and the join both hash-partition by id: one shuffle of full rows.
+    rows = df.dropDuplicates([id_col])
+    out = pairs.join(rows, pairs["_mp_pick_id"] == rows[id_col], "inner").drop("_mp_pick_id")
+    return out

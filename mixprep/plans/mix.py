@@ -77,11 +77,8 @@ def run_recipe(recipe: Recipe) -> DataFrame:
         # A parquet table in the shared checkpoint folder computes the sources once,
         # cuts the lineage (a lost executor re-reads files, not generators), and the
         # two key-only passes read two columns of it.
-        from mixprep.session import scratch_path
-        spark = u.sparkSession
-        path = scratch_path(spark, "mix-stage")
-        u.write.mode("overwrite").parquet(path)
-        u = spark.read.parquet(path)
+        from mixprep.session import stage
+        u = stage(u, "mix-stage")
     group = "category" if recipe.split_by == "category" else "source"
     return split_eval(u, [group], "sample_key", ratio=recipe.eval_ratio, min_eval=recipe.min_eval, seed=recipe.seed,
                       max_groups=len(recipe.sources))

@@ -19,7 +19,7 @@ from mixprep.plans import generate as W3
 from mixprep.plans import mix as W12
 from mixprep.plans import prepare as W4
 from mixprep.plans import report as W5
-from mixprep.session import scratch_path
+from mixprep.session import scratch_path, stage
 from mixprep.sinks import jsonl as sinks
 from mixprep.sources import jsonl as src
 from mixprep.sources import keyed
@@ -596,6 +596,7 @@ def generate_all(spark: SparkSession, d: str) -> DataFrame:
 def encode_pipeline(spark: SparkSession, d: str) -> DataFrame:
     """Split; train resampled by category weight; both encoded (2048), F3 truncate, F4."""
     s = sampling.split_eval(_sft(spark, d), ["category"], "sample_id", seed=42, max_groups=len(CATEGORIES))
+    s = stage(s, "encode-split")   # both branches and the resampler's passes read it
     train = W4.prepare_train(s.filter(F.col("split") == "train"), "sample_id", WEIGHTS_BY_COLUMN,
                              max_len=2048, keep=["category"])
     ev = W4.prepare_eval(s.filter(F.col("split") == "eval"), "sample_id", max_len=2048, keep=["category"])

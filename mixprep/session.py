@@ -53,3 +53,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/mixprep-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(df, name: str):
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    Used where a plan reads the same input several times: the input is computed
+    once, lineage is cut (a lost executor re-reads files), and later passes that
+    need few columns read only those.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
