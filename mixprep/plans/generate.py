@@ -28,8 +28,17 @@ def user_table(long_df: DataFrame, sids: DataFrame, cap: int = 20, user_col: str
 
 
 def user_samples(long_df: DataFrame, sids: DataFrame, min_tokens: int = 3, max_users: int | None = None,
-                 cap: int = 20, user_col: str = "user_id", seed=42) -> tuple[DataFrame, DataFrame]:
+                 cap: int = 20, user_col: str = "user_id", seed=42, stage_users: bool = True) -> tuple[DataFrame, DataFrame]:
+    """G3 + G4 from one per-user token table.
+
+    With ``stage_users`` the table (one row per eligible user, at most 80 tokens)
+    is written once to the shared checkpoint folder, so the profile explode, the
+    look-up join and the regroup run once for both generators.
+    """
     users = G.eligible_users(user_table(long_df, sids, cap, user_col), min_tokens, max_users, user_col, seed)
+    if stage_users:
+        from mixprep.session import stage
+        users = stage(users, "users")
     key = F.col(user_col).cast("string").alias("key")
     nxt = G.next_item(users, user_col).select("task", key, "system", "prompt", "response")
     rec = G.interest(users, user_col).select("task", key, "system", "prompt", "response")
