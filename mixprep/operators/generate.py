@@ -142,13 +142,28 @@ def render_events(events: Column, max_lines: int = USER_HISTORY_LINES) -> Column
     return F.array_join(lines, "\n")
 
 
-def next_item(users: DataFrame, user_col: str = "user_id") -> DataFrame:
+def shuffled_events(events: Column, user_col: str, seed=42) -> Column:
+    """D4 option: the reference shuffles a user's events; here the order is that of
+    ``md5(seed:user:index)``, the same under any partitioning."""
+    keyed = F.transform(events, lambda e, i: F.struct(
+        F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(user_col).cast("string"), i.cast("string"))).alias("h"),
+        e.alias("e")))
+    return F.transform(F.array_sort(keyed), lambda x: x["e"])
+
+
+def next_item(users: DataFrame, user_col: str = "user_id", order: str = "by_domain", seed=42) -> DataFrame:
     """History of all events but the last (first 20 lines) -> the last event's token.
 
-    Events keep domain order (live, video, goods, ad); the response names the
-    target as a one-element JSON array after an empty thinking block.
+    ``order='by_domain'`` keeps domain order (live, video, goods, ad, as the older
+    script); ``'shuffled'`` applies a seeded per-user shuffle (as the newer one).
+    The response names the target as a one-element JSON array after an empty
+    thinking block.
     """
     ev = event_lines(users)
+    if order == "shuffled":
+        ev = shuffled_events(ev, user_col, seed)
+    elif order != "by_domain":
+        raise ValueError(f"unknown order {order!r}")
     u = users.withColumn("_ev", ev).filter(F.size("_ev") > 0)
     hist = F.slice(F.col("_ev"), 1, F.size("_ev") - 1)
     target = F.element_at(F.col("_ev"), -1)["tok"]

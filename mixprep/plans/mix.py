@@ -63,14 +63,21 @@ def prepare_source(src: Source, seed) -> DataFrame:
     return df
 
 
-def run_recipe(recipe: Recipe) -> DataFrame:
-    """Union of all prepared sources with a ``split`` column ('train' / 'eval')."""
+def run_recipe(recipe: Recipe, observation=None) -> DataFrame:
+    """Union of all prepared sources with a ``split`` column ('train' / 'eval').
+
+    ``observation`` (a ``pyspark.sql.Observation``) receives, per source, the rows
+    that passed normalisation, filters and sampling (A7), collected during the
+    same job that stages the union, without an extra pass.
+    """
     parts = [prepare_source(s, recipe.seed) for s in recipe.sources]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
     if recipe.drop_empty:
         u = u.filter(~F.col("is_empty"))
+    if observation is not None:
+        u = u.observe(observation, *[F.count_if(F.col("source") == s.name).alias(s.name) for s in recipe.sources])
     u = u.select(*OUT_COLS)
     if recipe.stage:
         # The split reads its input three times (counts, boundary threshold, labels).

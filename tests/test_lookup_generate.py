@@ -64,3 +64,13 @@ def test_item_samples_unknown_domain_dropped(spark):
     assert set(out) == {("desc2tok", "goods:1"), ("tok2desc", "goods:1")}
     assert out[("desc2tok", "goods:1")].response == "<think>红色杯子。容量大。耐热</think>\n<|prod_begin|><s_a_1><s_b_2><s_c_3>"
     assert out[("tok2desc", "goods:1")].prompt == "给定商品token<|prod_begin|><s_a_1><s_b_2><s_c_3>这件商品有什么特点？/think"
+
+
+def test_next_item_shuffled_order_is_deterministic_permutation(spark):
+    long_df = lookup.profile_to_long(_profile(spark), LISTS, TIMES, cap=20)
+    users = W3.user_table(long_df, _sids(spark))
+    a = {r.user_id: r.prompt for r in G.next_item(users, order="shuffled").collect()}
+    b = {r.user_id: r.prompt for r in G.next_item(users.repartition(3), order="shuffled").collect()}
+    d = {r.user_id: r.prompt for r in G.next_item(users).collect()}
+    assert a == b and a[3] != d[3]
+    assert sorted(a[1].split("\n")) != [] and len(a[1].split("\n")) == len(d[1].split("\n"))

@@ -71,3 +71,17 @@ def test_resample_size_and_class_frequencies(spark):
     for c, w in weights:
         p = nc[c] * w / W
         assert abs(freq[c] - n * p) <= 4 * math.sqrt(n * p * (1 - p))
+
+
+def test_recipe_observation_counts_per_source(spark):
+    from pyspark.sql import Observation
+    from mixprep.plans.mix import Recipe, Source, run_recipe
+    a = spark.range(100).select(F.col("id"), F.lit("s").alias("system"), F.lit("p").alias("prompt"),
+                                F.lit("r").alias("response"))
+    b = spark.range(10).select(F.col("id"), F.lit("s").alias("system"), F.repeat(F.lit("x"), 60).alias("prompt"),
+                               F.lit("r").alias("response"))
+    obs = Observation("funnel")
+    out = run_recipe(Recipe([Source("a", a, "id", fmt="sft", max_char=50), Source("b", b, "id", fmt="sft", max_char=50)]),
+                     observation=obs)
+    assert out.count() == 100
+    assert obs.get == {"a": 100, "b": 0}
