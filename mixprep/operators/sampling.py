@@ -180,7 +180,7 @@ def resample_weighted(df: DataFrame, weight_col: str, id_col: str, seed=42, draw
     ``w_c*n_c/W`` from one uniform, then a row of that class uniformly from a
     second uniform, and fetches it with an equi-join on (class, rank), which
     spreads even a class holding most rows over all partitions. The class table
-    reaches the draws as one scalar subquery (evaluated once, no join).
+    is fetched to the driver (at most ``max_classes`` rows, checked) and becomes literals.
     """
     w = F.col(weight_col).cast("double")
     base = df.withColumn("_mp_w", w)
@@ -188,25 +188,32 @@ def resample_weighted(df: DataFrame, weight_col: str, id_col: str, seed=42, draw
     slim = base.select(id_col, "_mp_w")
     ranked = hash_rank(slim, ["_mp_w"], id_col, seed=f"{seed}:row", digits=digits, out="_mp_rn")
 
-    ct = base.groupBy("_mp_w").agg(F.count(F.lit(1)).alias("_mp_nc"))
-    cum = Window.orderBy("_mp_w").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ct = ct.withColumn("_mp_hi", F.sum(F.col("_mp_w") * F.col("_mp_nc")).over(cum))
-    table = ct.select(F.sort_array(F.collect_list(F.struct(
-        F.col("_mp_hi").alias("hi"), F.col("_mp_w").alias("w"), F.col("_mp_nc").alias("n"))))).scalar()
-
-    x = uniform01(draw_col, f"{seed}:class") * F.element_at(table, -1)["hi"]
-    pick = F.when(F.size(table) > F.lit(int(max_classes)),
-                  F.raise_error(F.lit(f"resample_weighted: more than {max_classes} weight classes")))
-    for i in range(int(max_classes)):
-        e = F.get(table, i)
-        pick = pick.when(x < e["hi"], e)
-    pick = pick.otherwise(F.element_at(table, -1))
+    # The class table has one row per distinct weight: a bounded result (at most
+    # max_classes rows are ever fetched, the limit is checked) that becomes literals.
+    classes = (base.groupBy("_mp_w").agg(F.count(F.lit(1)).alias("_mp_nc"))
+               .orderBy("_mp_w").limit(int(max_classes) + 1).collect())
+    if len(classes) > max_classes:
+        raise ValueError(f"resample_weighted: more than {max_classes} weight classes")
+    bounds, hi = [], 0.0
+    for r in classes:
+        hi += float(r["_mp_w"]) * int(r["_mp_nc"])   # same left-to-right sum as the SQL window
+        bounds.append((hi, float(r["_mp_w"]), int(r["_mp_nc"])))
+    if not bounds:
+        return df.select(F.col(id_col).alias(draw_col), *df.columns).filter(F.lit(False))
+    x = uniform01(draw_col, f"{seed}:class") * F.lit(bounds[-1][0])
+    w_pick = n_pick = None
+    for b_hi, b_w, b_n in bounds[:-1]:
+        cond = x < F.lit(b_hi)
+        w_pick = F.when(cond, F.lit(b_w)) if w_pick is None else w_pick.when(cond, F.lit(b_w))
+        n_pick = F.when(cond, F.lit(b_n)) if n_pick is None else n_pick.when(cond, F.lit(b_n))
+    last_w, last_n = F.lit(bounds[-1][1]), F.lit(bounds[-1][2]).cast("long")
+    w_pick = last_w if w_pick is None else w_pick.otherwise(last_w)
+    n_pick = last_n if n_pick is None else n_pick.otherwise(last_n).cast("long")
     draws = (df.select(F.col(id_col).alias(draw_col))
-             .withColumn("_mp_pick", pick)
-             .select(draw_col,
-                     F.col("_mp_pick.w").alias("_mp_dw"),
-                     F.least(F.floor(uniform01(draw_col, f"{seed}:index") * F.col("_mp_pick.n")).cast("long") + 1,
-                             F.col("_mp_pick.n")).alias("_mp_idx")))
+             .select(draw_col, w_pick.alias("_mp_dw"), n_pick.alias("_mp_n"))
+             .select(draw_col, "_mp_dw",
+                     F.least(F.floor(uniform01(draw_col, f"{seed}:index") * F.col("_mp_n")).cast("long") + 1,
+                             F.col("_mp_n")).alias("_mp_idx")))
     pairs = (draws.join(ranked, (draws["_mp_dw"] == ranked["_mp_w"]) & (draws["_mp_idx"] == ranked["_mp_rn"]), "inner")
              .select(draw_col, F.col(id_col).alias("_mp_pick_id")))
     # Rows sharing an id are identical by contract; keep one so each draw yields one row.
