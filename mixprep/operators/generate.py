@@ -200,3 +200,90 @@ def eligible_users(users: DataFrame, min_tokens: int = 3, max_users: int | None
     if max_users is not None:
         u = sample_n(u, max_users, user_col, seed=seed)
     return u
+
+
+# ---------------------------------------------------------------------------
+# Short template (the older generator): fixed values that must equal the reference's.
+# "{label}" marks where the domain label goes.
+# ---------------------------------------------------------------------------
+SHORT_DESC2TOK_SYSTEM = "作为{label}标识生成助手，你需要根据给定的{label}描述输出匹配的{label}token。"
+SHORT_DESC2TOK_PROMPT = "下面是一段{label}描述，请返回匹配的{label}token："
+SHORT_TOK2DESC_LABEL = {"goods": "商品", "live": "直播", "video/ad": "广告", "video/video": "短视频"}
+SHORT_TOK2DESC_SYSTEM = {
+    "goods": "你是一个智能商品解说助手，可以根据输入的商品token创建生动、准确的商品描述。",
+    "video/ad": "你是一名广告内容理解助手，请根据给定的广告token生成准确、自然的广告内容描述。",
+    "live": "你是一名直播内容理解助手，请根据给定的直播token生成准确、自然的直播内容描述。",
+    "video/video": "作为视频内容解析助手，你需要根据提供的短视频标识给出精准的视频内容描述。",
+}
+SHORT_CAPTION_HEAD = 50
+SHORT_ITEMS_PER_DOMAIN = 10
+SHORT_USER_DOMAINS = {"live": "live", "video": "video/video", "goods": "goods"}
+SHORT_USER_LINE = "  --:-- [行为] "
+SHORT_USER_TAIL = "\n请预测该用户下一个可能交互的内容。"
+SHORT_REC_LINES = (
+    ("live", "用户直播行为: 观看了 ", 5),
+    ("video", "用户视频行为: 深度观看了 ", 5),
+    ("goods", "用户购物行为: 浏览了商品 ", 5),
+)
+SHORT_REC_RESPONSE = "<think>根据用户多域行为，偏好相关直播/视频/商品内容。</think>\n该用户最近喜欢的内容有: "
+
+
+def _fill(template: str, label: Column) -> Column:
+    parts = template.split("{label}")
+    out = [F.lit(parts[0])]
+    for p in parts[1:]:
+        out += [label, F.lit(p)]
+    return F.concat(*out)
+
+
+def short_desc_to_token(items: DataFrame) -> DataFrame:
+    """G1, short template: label-filled texts, the caption's first 50 characters as the thought."""
+    lab = domain_label(F.col("domain"), DOMAIN_LABEL)
+    out = items.select(
+        "pid", "domain", F.lit("desc2tok").alias("task"),
+        _fill(SHORT_DESC2TOK_SYSTEM, lab).alias("system"),
+        F.concat(_fill(SHORT_DESC2TOK_PROMPT, lab), F.col("caption")).alias("prompt"),
+        _think(F.substring("caption", 1, SHORT_CAPTION_HEAD), F.col("token")).alias("response"))
+    return out.filter(F.col("system").isNotNull())
+
+
+def short_token_to_desc(items: DataFrame) -> DataFrame:
+    """G2, short template (the live label reads differently in this direction)."""
+    lab = _lookup(F.col("domain"), SHORT_TOK2DESC_LABEL)
+    a, b, c, e = TOK2DESC_PARTS
+    out = items.select(
+        "pid", "domain", F.lit("tok2desc").alias("task"),
+        _lookup(F.col("domain"), SHORT_TOK2DESC_SYSTEM).alias("system"),
+        F.concat(F.lit(a), lab, F.lit(b), F.col("token"), F.lit(c), lab, F.lit(e)).alias("prompt"),
+        _think(F.substring("caption", 1, SHORT_CAPTION_HEAD), F.col("caption")).alias("response"))
+    return out.filter(F.col("system").isNotNull() & F.col("prompt").isNotNull())
+
+
+def short_all_tokens() -> Column:
+    return F.concat(*[F.col(f"{n}_tokens") for n in SHORT_USER_DOMAINS])
+
+
+def short_next_item(users: DataFrame, user_col: str = "user_id") -> DataFrame:
+    """G3, short template: every token but the last as a history line -> the last (users with >= 2)."""
+    allt = short_all_tokens()
+    u = users.withColumn("_all", allt).filter(F.size("_all") >= 2)
+    hist = F.slice(F.col("_all"), 1, F.size("_all") - 1)
+    lines = F.array_join(F.transform(hist, lambda t: F.concat(F.lit(SHORT_USER_LINE), t)), "\n")
+    return u.select(
+        user_col, F.lit("next_item").alias("task"), F.lit("").alias("system"),
+        F.concat(F.lit(USER_PROMPT_HEAD), lines, F.lit(SHORT_USER_TAIL)).alias("prompt"),
+        F.concat(F.lit("<think>\n</think>\n[\""), F.element_at(F.col("_all"), -1), F.lit("\"]")).alias("response"))
+
+
+def short_interest(users: DataFrame, user_col: str = "user_id") -> DataFrame:
+    """G4, short template: up to 5 tokens per domain line -> the user's last token (users with >= 1)."""
+    allt = short_all_tokens()
+    u = users.withColumn("_all", allt).filter(F.size("_all") >= 1)
+    lines = []
+    for name, lead, cap in SHORT_REC_LINES:
+        toks = F.col(f"{name}_tokens")
+        lines.append(F.when(F.size(toks) > 0, F.concat(F.lit(lead), F.array_join(F.slice(toks, 1, cap), ", "))))
+    return u.select(
+        user_col, F.lit("interest").alias("task"), F.lit(REC_SYSTEM).alias("system"),
+        F.concat(F.lit(REC_PROMPT_HEAD), F.array_join(F.array(*lines), "\n")).alias("prompt"),
+        F.concat(F.lit(SHORT_REC_RESPONSE), F.element_at(F.col("_all"), -1)).alias("response"))

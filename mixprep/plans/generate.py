@@ -64,3 +64,30 @@ def write_generated(spark, captions: DataFrame, sids: DataFrame, long_df: DataFr
         paths[name] = f"{root.rstrip('/')}/{name}"
         write_jsonl(df, paths[name], array_per_line=True, cols=SAMPLE_COLS)
     return paths
+
+
+def generate_short(captions: DataFrame, sids: DataFrame, long_df: DataFrame, max_candidates: int | None = None,
+                   max_users: int | None = None, user_col: str = "user_id", seed=42) -> DataFrame:
+    """W3 with the short template (the older generator).
+
+    Items: ``max_candidates`` captions are sampled *before* the membership test (so
+    fewer samples than candidates come out), both directions. Users: three
+    domains, first 10 items each; next-item samples need 2 tokens, interest
+    samples 1; ``max_users`` caps users (hash sample, before rendering).
+    """
+    from mixprep.operators.sampling import sample_n
+    cands = captions
+    if max_candidates is not None:
+        keyed = captions.withColumn("_k", F.concat(F.col("domain"), F.lit(":"), F.col("pid").cast("string")))
+        cands = sample_n(keyed, max_candidates, "_k", seed=seed).drop("_k")
+    items = join_items(cands, sids)
+    key = F.concat(F.col("domain"), F.lit(":"), F.col("pid").cast("string")).alias("key")
+    out = (G.short_desc_to_token(items).select("task", key, "system", "prompt", "response")
+           .unionByName(G.short_token_to_desc(items).select("task", key, "system", "prompt", "response")))
+    seq = sequence_lookup(long_df, sids, user_col=user_col, cap=G.SHORT_ITEMS_PER_DOMAIN)
+    users = user_token_lists(seq, G.SHORT_USER_DOMAINS, user_col=user_col)
+    if max_users is not None:
+        users = sample_n(users.filter(F.size(G.short_all_tokens()) >= 1), max_users, user_col, seed=seed)
+    ukey = F.col(user_col).cast("string").alias("key")
+    return (out.unionByName(G.short_next_item(users, user_col).select("task", ukey, "system", "prompt", "response"))
+            .unionByName(G.short_interest(users, user_col).select("task", ukey, "system", "prompt", "response")))

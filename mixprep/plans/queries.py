@@ -555,6 +555,23 @@ def mix_v3(spark: SparkSession, d: str) -> DataFrame:
     return W12.run_recipe(W12.Recipe(srcs, split_by="source"))
 
 
+def _short_long(spark, d):
+    return lookup.profile_to_long(fx.profile(spark, d), fx.PROFILE_LISTS, fx.PROFILE_TIMES, cap=G.SHORT_ITEMS_PER_DOMAIN)
+
+
+@query
+def generate_short(spark: SparkSession, d: str) -> DataFrame:
+    """W3, short template: all items both directions; users over 3 domains x 10 items."""
+    return W3.generate_short(fx.item_caption(spark, d), fx.item_sid(spark, d), _short_long(spark, d))
+
+
+@query
+def gen_short_capped(spark: SparkSession, d: str) -> DataFrame:
+    """G5, short template: 500 caption candidates before the membership test, 20 users."""
+    return W3.generate_short(fx.item_caption(spark, d), fx.item_sid(spark, d), _short_long(spark, d),
+                             max_candidates=500, max_users=20)
+
+
 @query
 def mix_v3_files(spark: SparkSession, d: str) -> DataFrame:
     """W2 as files: W3 writes ext JSONL (K2), base and world samples land as named JSONL

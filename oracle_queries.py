@@ -599,3 +599,76 @@ SELECT CASE WHEN grouping(category) = 1 THEN 'TOTAL' ELSE category END AS catego
        count(*) FILTER (WHERE split = 'train') AS n_train,
        count(*) FILTER (WHERE split = 'eval') AS n_eval
 FROM s GROUP BY ROLLUP (category)""")
+
+# ---------------------------------------------------------------------------
+# W3 short template (the older generator)
+# ---------------------------------------------------------------------------
+
+
+def _fill_sql(template: str, label: str) -> str:
+    parts = template.split("{label}")
+    out = [q(parts[0])]
+    for p in parts[1:]:
+        out += [label, q(p)]
+    return " || ".join(out)
+
+
+def short_items_sql(src: str) -> str:
+    lab = case_map("domain", _T.DOMAIN_LABEL)
+    lab2 = case_map("domain", _G.SHORT_TOK2DESC_LABEL)
+    a, b, c, e = _G.TOK2DESC_PARTS
+    doms = ", ".join(q(d) for d in _G.DESC2TOK_SYSTEM)
+    nl = chr(10)
+    return f"""
+  SELECT 'desc2tok' AS task, domain || ':' || CAST(pid AS VARCHAR) AS key,
+         {_fill_sql(_G.SHORT_DESC2TOK_SYSTEM, lab)} AS system,
+         {_fill_sql(_G.SHORT_DESC2TOK_PROMPT, lab)} || caption AS prompt,
+         '<think>' || substr(caption, 1, 50) || {q('</think>' + nl)} || token AS response
+  FROM {src} WHERE domain IN ({doms})
+  UNION ALL
+  SELECT 'tok2desc' AS task, domain || ':' || CAST(pid AS VARCHAR) AS key,
+         {case_map('domain', _G.SHORT_TOK2DESC_SYSTEM)} AS system,
+         {q(a)} || {lab2} || {q(b)} || token || {q(c)} || {lab2} || {q(e)} AS prompt,
+         '<think>' || substr(caption, 1, 50) || {q('</think>' + nl)} || caption AS response
+  FROM {src} WHERE domain IN ({doms})"""
+
+
+FIX["all_s"] = """
+all_s AS (
+  SELECT *, list_concat(list_concat(live_tokens, video_tokens), goods_tokens) AS all_tokens FROM (
+    SELECT user_id,
+      coalesce(list(token ORDER BY pos) FILTER (WHERE domain = 'live'), []::VARCHAR[]) AS live_tokens,
+      coalesce(list(token ORDER BY pos) FILTER (WHERE domain = 'video/video'), []::VARCHAR[]) AS video_tokens,
+      coalesce(list(token ORDER BY pos) FILTER (WHERE domain = 'goods'), []::VARCHAR[]) AS goods_tokens
+    FROM seq WHERE pos < 10 AND domain IN ('live', 'video/video', 'goods') GROUP BY user_id))"""
+
+
+def short_users_sql(src: str) -> str:
+    nl = chr(10)
+    lines = ", ".join(
+        f"CASE WHEN len({n}_tokens) > 0 THEN {q(lead)} || array_to_string({n}_tokens[1:{cap}], ', ') END"
+        for n, lead, cap in _G.SHORT_REC_LINES)
+    return f"""
+  SELECT 'next_item' AS task, CAST(user_id AS VARCHAR) AS key, '' AS system,
+         {q(_G.USER_PROMPT_HEAD)} || array_to_string(list_transform(all_tokens[1:len(all_tokens) - 1],
+             lambda t: {q(_G.SHORT_USER_LINE)} || t), {q(nl)}) || {q(_G.SHORT_USER_TAIL)} AS prompt,
+         {q('<think>' + nl + '</think>' + nl + '["')} || all_tokens[len(all_tokens)] || '"]' AS response
+  FROM {src} WHERE len(all_tokens) >= 2
+  UNION ALL
+  SELECT 'interest' AS task, CAST(user_id AS VARCHAR) AS key, {q(_G.REC_SYSTEM)} AS system,
+         {q(_G.REC_PROMPT_HEAD)} || concat_ws({q(nl)}, {lines}) AS prompt,
+         {q(_G.SHORT_REC_RESPONSE)} || all_tokens[len(all_tokens)] AS response
+  FROM {src} WHERE len(all_tokens) >= 1"""
+
+
+_SHORT = ["behaviour", "behaviour_head", "item_sid", "seq", "all_s", "item_caption", "items_j"]
+Q["generate_short"] = with_(_SHORT, f"\n{short_items_sql('items_j')}\nUNION ALL{short_users_sql('all_s')}")
+Q["gen_short_capped"] = with_(_SHORT, f"""
+, cap_c AS (SELECT * FROM (SELECT *, {hrank('', "domain || ':' || CAST(pid AS VARCHAR)", '42')} AS rk FROM item_caption)
+            WHERE rk <= 500)
+, items_c AS (SELECT c.pid, c.domain, c.caption, {sid_token('c.domain', 's.sid_three')} AS token
+              FROM cap_c c JOIN item_sid s ON s.pid = c.pid AND s.domain = c.domain)
+, users_c AS (SELECT * FROM (SELECT *, {hrank('', 'user_id', '42')} AS rk FROM all_s WHERE len(all_tokens) >= 1)
+              WHERE rk <= 20)
+{short_items_sql('items_c')}
+UNION ALL{short_users_sql('users_c')}""")

@@ -74,3 +74,27 @@ def test_next_item_shuffled_order_is_deterministic_permutation(spark):
     d = {r.user_id: r.prompt for r in G.next_item(users).collect()}
     assert a == b and a[3] != d[3]
     assert sorted(a[1].split("\n")) != [] and len(a[1].split("\n")) == len(d[1].split("\n"))
+
+
+def test_short_template_texts(spark):
+    caps = spark.createDataFrame([(1, "live", "主播很有趣，" + "长" * 60)], "pid long, domain string, caption string")
+    sids = spark.createDataFrame([(1, "live", [1, 2, 3]), (1, "video/video", [4, 5, 6]), (2, "video/video", [7, 8, 9])],
+                                 "pid long, domain string, sid_three array<int>")
+    prof = spark.createDataFrame([(9, [1], [5], [1, 2], None, None), (8, None, None, [2], None, None)],
+                                 "user_id long, live_list array<bigint>, live_ts array<bigint>, "
+                                 "video_list array<bigint>, goods_list array<bigint>, ad_list array<bigint>")
+    long_df = lookup.profile_to_long(prof, LISTS, TIMES, cap=10)
+    out = {(r.task, r.key): r for r in W3.generate_short(caps, sids, long_df).collect()}
+    tok = "<|living_begin|><s_a_1><s_b_2><s_c_3>"
+    head = ("主播很有趣，" + "长" * 60)[:50]
+    d = out[("desc2tok", "live:1")]
+    assert d.system == "作为主播标识生成助手，你需要根据给定的主播描述输出匹配的主播token。"
+    assert d.response == f"<think>{head}</think>\n{tok}"
+    t = out[("tok2desc", "live:1")]
+    assert t.prompt == f"给定直播token{tok}这件直播有什么特点？/think"
+    n = out[("next_item", "9")]
+    assert n.prompt == ("【用户交互历史】：\n  --:-- [行为] " + tok + "\n  --:-- [行为] <|video_begin|><s_a_4><s_b_5><s_c_6>"
+                        "\n请预测该用户下一个可能交互的内容。")
+    assert n.response == '<think>\n</think>\n["<|video_begin|><s_a_7><s_b_8><s_c_9>"]'
+    assert ("next_item", "8") not in out and ("interest", "8") in out
+    assert out[("interest", "9")].response.endswith("该用户最近喜欢的内容有: <|video_begin|><s_a_7><s_b_8><s_c_9>")
