@@ -99,10 +99,17 @@ def cmd_generate(args):
                        .alias("user_id"), *cols)
     lists = {c: d for c, d in PROFILE_LISTS.items() if c in cols}
     times = {c: d for c, d in PROFILE_TIMES.items() if c in cols}
-    long_df = profile_to_long(prof, lists, times, cap=20)
-    items = item_samples(caps, sids, args.max_materials)
-    nxt, rec = user_samples(long_df, sids, max_users=args.max_users)
-    for df, key in ((items, "items"), (nxt, "users"), (rec, "rec")):
+    if args.template == "short":
+        from mixprep.plans.generate import generate_short
+        long_df = profile_to_long(prof, lists, times, cap=10)
+        allg = generate_short(caps, sids, long_df, max_candidates=args.max_materials, max_users=args.max_users)
+        parts = {"items": allg.filter(F.col("task").isin("desc2tok", "tok2desc")),
+                 "users": allg.filter(F.col("task") == "next_item"), "rec": allg.filter(F.col("task") == "interest")}
+    else:
+        long_df = profile_to_long(prof, lists, times, cap=20)
+        nxt, rec = user_samples(long_df, sids, max_users=args.max_users)
+        parts = {"items": item_samples(caps, sids, args.max_materials), "users": nxt, "rec": rec}
+    for key, df in parts.items():
         write_jsonl(df, os.path.join(args.out, GENERATED[key]), array_per_line=True, cols=SAMPLE_COLS)  # K2
 
 
@@ -172,6 +179,8 @@ def main(argv=None):
     g.add_argument("--max-materials", dest="max_materials", type=int, default=10000)
     g.add_argument("--max-sid-files", dest="max_sid_files", type=int, default=None)
     g.add_argument("--max-cap-files", dest="max_cap_files", type=int, default=None)
+    g.add_argument("--template", choices=["full", "short"], default="full",
+                   help="full: 4 domains x 20 items, event history; short: 3 domains x 10 items (older templates)")
     g.set_defaults(fn=cmd_generate)
 
     p = sub.add_parser("prepare", help="W4: re-weight, render, tokenize, mask (and pad) the training set")

@@ -59,3 +59,14 @@ def test_cli_mix_analyze_prepare_generate(spark, capsys):
     items = spark.read.schema("system STRING, prompt STRING, response STRING").json(f"{root}/gen/懂物料_ext.jsonl")
     assert items.count() == 100
     assert spark.read.text(f"{root}/gen/懂用户_ext.jsonl").count() == 5
+
+
+def test_cli_generate_short(spark):
+    root = scratch_path(spark, "t-cli-short").replace("file:", "")
+    for name, df in (("sid", fx.item_sid(spark, SF)), ("cap", fx.item_caption(spark, SF)),
+                     ("prof", fx.profile(spark, SF).drop("user_id"))):
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
+    cli.main(["generate", "--template", "short", "--sid_dir", f"{root}/sid", "--caption_dir", f"{root}/cap",
+              "--profile_dir", f"{root}/prof", "--out", f"{root}/gen", "--max-materials", "50", "--max-users", "5"])
+    items = spark.read.text(f"{root}/gen/懂物料_ext.jsonl").count()
+    assert 0 < items <= 100 and spark.read.text(f"{root}/gen/懂推荐_ext.jsonl").count() == 5
