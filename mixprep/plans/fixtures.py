@@ -8,6 +8,8 @@ over the driver's tables here; the DuckDB twin of every view lives in
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mixprep.operators.normalize import chat_to_alpaca
@@ -29,8 +31,17 @@ PROFILE_LISTS = {
 PROFILE_TIMES = {"live_hist_timestamp_list": "live", "video_ts_list": "video/video"}
 
 
+_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table; the (lazy) DataFrame is reused per session, so its files are
+    listed and its footers read once, and repeated uses have identical plans."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    per = _TABLES.setdefault(spark, {})
+    if path not in per:
+        per[path] = spark.read.parquet(path)
+    return per[path]
 
 
 def _case(col, mapping: dict, default=None):
