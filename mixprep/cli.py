@@ -131,11 +131,16 @@ def cmd_prepare(args):
     if weights and "category" not in train.columns:
         args.weight_mode = "by_content"
     policy = "drop" if args.filter_long_samples else "truncate"
+    from pyspark.sql import Observation
+    seen, kept = Observation("raw"), Observation("processed")
+    train = train.observe(seen, F.count(F.lit(1)).alias("rows"))                 # A7, no extra pass
     out = prepare_train(train, "sample_key", weights, args.weight_mode, args.max_seq_length, policy, args.seed)
+    out = out.observe(kept, F.count(F.lit(1)).alias("rows"))
     if args.batch_size:
         out = pad_batches(out.select("draw_id", "input_ids", "attention_mask", "labels"), args.batch_size,
                           "draw_id", max_len=args.max_seq_length, seed=args.seed)
     out.write.mode("overwrite").parquet(os.path.join(args.out, "train"))
+    print(f"raw rows: {seen.get['rows']}  processed rows (after resampling and filters): {kept.get['rows']}")
     if args.eval_file:
         ev = with_content_key(read_jsonl(spark, args.eval_file, schema))
         prepare_eval(ev, "sample_key", args.max_seq_length, policy).write.mode("overwrite").parquet(

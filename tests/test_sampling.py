@@ -85,3 +85,17 @@ def test_recipe_observation_counts_per_source(spark):
                      observation=obs)
     assert out.count() == 100
     assert obs.get == {"a": 100, "b": 0}
+
+
+def test_skewed_group_split_rank_and_resample(spark):
+    """One group holds 90% of the rows: results stay exact."""
+    n = 200_000
+    df = spark.range(n).withColumn("g", F.when(F.col("id") % 10 == 0, "small").otherwise("hot"))
+    c = {(r.g, r.split): r["count"] for r in sampling.split_eval(df, ["g"], "id", max_groups=2)
+         .groupBy("g", "split").count().collect()}
+    assert c[("hot", "eval")] == int(180_000 * 0.05) and c[("small", "eval")] == int(20_000 * 0.05)
+    r = sampling.hash_rank(df, ["g"], "id").groupBy("g").agg(F.min("rn"), F.max("rn"), F.countDistinct("rn")).collect()
+    assert {(x[0], x[1], x[2], x[3]) for x in r} == {("hot", 1, 180_000, 180_000), ("small", 1, 20_000, 20_000)}
+    s = sampling.resample_weighted(df.withColumn("w", F.when(F.col("g") == "hot", 1.0).otherwise(9.0)), "w", "id",
+                                   max_classes=2)
+    assert s.count() == n
