@@ -52,6 +52,14 @@ def _case(col, mapping: dict, default=None):
     return expr.otherwise(F.lit(default)) if default is not None else expr
 
 
+def epoch_micros(ts):
+    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ, from its calendar fields only,
+    so the session time zone (and its daylight-saving jumps) never enters."""
+    return (F.unix_date(ts.cast("date")).cast("long") * 86_400_000_000
+            + F.hour(ts).cast("long") * 3_600_000_000 + F.minute(ts).cast("long") * 60_000_000
+            + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long"))
+
+
 def _domain_of_key(key):
     return _case(key % 4, dict(enumerate(DOMAIN_BY_MOD4)))
 
@@ -87,7 +95,7 @@ def behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").filter(F.col("event_type") != "error")
     code = _case(F.col("event_type"), EVENT_CODE, 3)
     pid = (F.round(F.col("value") * 100).cast("long") * 4 + code) % 2400
-    ts_us = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    ts_us = epoch_micros(F.col("ts"))
     return e.select("user_id", "event_id", "ts", ts_us.alias("ts_us"),
                     _case(F.col("event_type"), DOMAIN_BY_EVENT).alias("domain"), pid.alias("pid"))
 
