@@ -67,7 +67,7 @@ def build_mix(spark, base_dir: str, ext_dir: str, preset: str, eval_ratio: float
 
 
 def cmd_mix(args):
-    from mixprep.sinks.jsonl import stats_row, write_jsonl
+    from mixprep.sinks.jsonl import stats_row, write_jsonl, write_stats
     from mixprep.operators.sampling import shuffle_order
     from mixprep.operators.stats import split_counts
     spark = _spark(args)
@@ -77,8 +77,8 @@ def cmd_mix(args):
     out = shuffle_order(mixed, "sample_key", seed=f"{args.seed}:order")       # R1 before writing
     write_jsonl(out, args.out, partition_by="split")                            # K1 + K4
     if args.preset == "v2":
-        stats_row(mixed, p["max_char"], p["world_sample"], args.eval_ratio).coalesce(1).write.mode(
-            "overwrite").json(os.path.join(args.out, "_stats"))                  # K3
+        write_stats(stats_row(mixed, p["max_char"], p["world_sample"], args.eval_ratio),
+                    os.path.join(args.out, "_stats"))                            # K3
 
 
 def cmd_generate(args):

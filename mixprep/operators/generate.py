@@ -196,7 +196,8 @@ def interest(users: DataFrame, user_col: str = "user_id") -> DataFrame:
 def eligible_users(users: DataFrame, min_tokens: int = 3, max_users: int | None = None,
                    user_col: str = "user_id", seed=42) -> DataFrame:
     """F5 + G5: users with at least ``min_tokens`` resolved tokens; optional hash-sampled cap."""
-    u = users.withColumn("n_tokens", F.size(all_tokens(users))).filter(F.col("n_tokens") >= F.lit(int(min_tokens)))
+    from mixprep.operators.filters import filter_min_count
+    u = filter_min_count(users.withColumn("n_tokens", F.size(all_tokens(users))), "n_tokens", min_tokens)
     if max_users is not None:
         u = sample_n(u, max_users, user_col, seed=seed)
     return u

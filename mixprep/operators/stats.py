@@ -75,9 +75,9 @@ def subtype_counts(df: DataFrame, group_cols: Sequence[str], text_col: str = "sy
 def top_subtypes(df: DataFrame, group_cols: Sequence[str], text_col: str = "system", k: int = 5,
                  width: int = 30) -> DataFrame:
     """A5 + R5: the ``k`` most frequent sub-types per group, ties by sub-type text."""
+    from mixprep.operators.sampling import top_k_per_group
     c = subtype_counts(df, group_cols, text_col, width)
-    w = Window.partitionBy(*group_cols).orderBy(F.col("n").desc(), F.col("subtype"))
-    return c.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return top_k_per_group(c, group_cols, [F.col("n").desc(), F.col("subtype")], k, out="rank")
 
 
 def category_share(df: DataFrame, group_col: str = "category") -> DataFrame:

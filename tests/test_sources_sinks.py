@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from mixprep.schemas import SFT
 from mixprep.session import scratch_path

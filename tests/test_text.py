@@ -1,6 +1,5 @@
 """Row-wise text operators against plain-Python versions of the reference's semantics."""
 
-from pyspark.sql import functions as F
 
 from mixprep.functions import text as T
 
