@@ -44,6 +44,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return per[path]
 
 
+def _per_session(fn):
+    """Reuse a fixture view per (session, arguments): views are lazy plans, so reuse is
+    safe; it saves rebuilding expressions and gives identical (reusable) subplans."""
+    cache: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+    def wrapper(spark: SparkSession, sf_dir: str, *args):
+        per = cache.setdefault(spark, {})
+        key = (sf_dir.rstrip("/"),) + args
+        if key not in per:
+            per[key] = fn(spark, sf_dir, *args)
+        return per[key]
+    wrapper.__name__, wrapper.__doc__ = fn.__name__, fn.__doc__
+    return wrapper
+
+
 def _case(col, mapping: dict, default=None):
     expr = None
     for k, v in mapping.items():
@@ -64,6 +79,7 @@ def _domain_of_key(key):
     return _case(key % 4, dict(enumerate(DOMAIN_BY_MOD4)))
 
 
+@_per_session
 def item_sid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pid, domain, sid_three; every tenth part left out so look-ups miss."""
     p = table(spark, sf_dir, "part").filter(F.col("p_partkey") % 10 != 3)
@@ -74,6 +90,7 @@ def item_sid(spark: SparkSession, sf_dir: str) -> DataFrame:
                 (F.col("p_partkey") % 8192).cast("int")).alias("sid_three"))
 
 
+@_per_session
 def item_caption(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pid, domain, caption; every fifth caption is a long document text."""
     p = table(spark, sf_dir, "part")
@@ -90,6 +107,7 @@ def item_caption(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(k.alias("pid"), _domain_of_key(k).alias("domain"), F.coalesce(long_, short).alias("caption"))
 
 
+@_per_session
 def behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long form of the user profile: user_id, event_id, ts, ts_us, domain, pid."""
     e = table(spark, sf_dir, "events").filter(F.col("event_type") != "error")
@@ -100,6 +118,7 @@ def behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
                     _case(F.col("event_type"), DOMAIN_BY_EVENT).alias("domain"), pid.alias("pid"))
 
 
+@_per_session
 def behaviour_head(spark: SparkSession, sf_dir: str, k: int = PROFILE_MAX) -> DataFrame:
     """First ``k`` events per (user, domain) in time order, with 0-based ``pos``.
 
@@ -112,6 +131,7 @@ def behaviour_head(spark: SparkSession, sf_dir: str, k: int = PROFILE_MAX) -> Da
     return b.withColumn("pos", (F.col("_rn") - 1).cast("int")).drop("_rn")
 
 
+@_per_session
 def profile(spark: SparkSession, sf_dir: str, k: int = PROFILE_MAX) -> DataFrame:
     """Wide user profile with the reference's list columns (lists bounded by ``k``)."""
     h = behaviour_head(spark, sf_dir, k)
@@ -127,6 +147,7 @@ def profile(spark: SparkSession, sf_dir: str, k: int = PROFILE_MAX) -> DataFrame
     return wide.select(*out)
 
 
+@_per_session
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SFT samples with a category: the first half of a document is the prompt."""
     d = table(spark, sf_dir, "documents")
@@ -141,6 +162,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_per_session
 def alpaca(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alpaca samples (N3) from the conversations table."""
     return chat_to_alpaca(table(spark, sf_dir, "conversations"))
