@@ -120,14 +120,19 @@ def cmd_prepare(args):
     spark = _spark(args)
     schema = _schema("system STRING, prompt STRING, response STRING")
     weights = list(json.loads(args.sample_weights).items()) if args.sample_weights else None
-    if args.train_file:
+    if args.landed:
+        from mixprep.sources.jsonl import read_landed
+        train = read_landed(spark, args.landed, args.categories)
+    elif args.train_file:
         train = read_jsonl(spark, args.train_file, schema)
     else:
         cats = args.categories
         named = cats or ([k for k, _ in weights] if weights else None)
         train = read_dir(spark, args.data_dir, categories=cats, schema=schema,
                          with_category=named if args.weight_mode == "by_column" else None)
-    train = cap_per_file(with_content_key(train), args.max_samples)
+    if "sample_key" not in train.columns:
+        train = with_content_key(train)
+    train = cap_per_file(train, args.max_samples)
     if weights and "category" not in train.columns:
         args.weight_mode = "by_content"
     policy = "drop" if args.filter_long_samples else "truncate"
@@ -147,13 +152,27 @@ def cmd_prepare(args):
             os.path.join(args.out, "eval"))
 
 
+def cmd_land(args):
+    from mixprep.sinks.jsonl import land_parquet
+    from mixprep.sources.jsonl import read_dir, with_content_key
+    spark = _spark(args)
+    cats = args.categories or list(ANALYZE_CATEGORIES)
+    df = read_dir(spark, args.data_dir, schema=_schema("system STRING, prompt STRING, response STRING"),
+                  with_category=cats)
+    land_parquet(with_content_key(df), args.out)
+
+
 def cmd_analyze(args):
     from mixprep.plans.report import length_report
     from mixprep.sources.jsonl import read_dir
     spark = _spark(args)
     cats = args.categories or list(ANALYZE_CATEGORIES)
-    df = read_dir(spark, args.data_dir, schema=_schema("system STRING, prompt STRING, response STRING"),
-                  with_category=cats)
+    if args.landed:
+        from mixprep.sources.jsonl import read_landed
+        df = read_landed(spark, args.landed, cats)
+    else:
+        df = read_dir(spark, args.data_dir, schema=_schema("system STRING, prompt STRING, response STRING"),
+                      with_category=cats)
     rep = length_report(df)
     if args.out:
         rep.coalesce(1).write.mode("overwrite").json(args.out)
@@ -191,6 +210,7 @@ def main(argv=None):
     p = sub.add_parser("prepare", help="W4: re-weight, render, tokenize, mask (and pad) the training set")
     p.add_argument("--data_dir", default="dataset")
     p.add_argument("--train_file", default=None)
+    p.add_argument("--landed", default=None, help="parquet written by `land` (instead of --data_dir)")
     p.add_argument("--eval_file", default=None)
     p.add_argument("--categories", nargs="*", default=None)
     p.add_argument("--max_samples", type=int, default=None)
@@ -203,8 +223,15 @@ def main(argv=None):
     p.add_argument("--out", required=True)
     p.set_defaults(fn=cmd_prepare)
 
+    land = sub.add_parser("land", help="parse a JSONL directory once into parquet partitioned by category")
+    land.add_argument("--data_dir", default="dataset")
+    land.add_argument("--categories", nargs="*", default=None)
+    land.add_argument("--out", required=True)
+    land.set_defaults(fn=cmd_land)
+
     a = sub.add_parser("analyze", help="W5: length and category report")
     a.add_argument("--data_dir", default="dataset")
+    a.add_argument("--landed", default=None, help="parquet written by `land` (instead of --data_dir)")
     a.add_argument("--categories", nargs="*", default=None)
     a.add_argument("--out", default=None)
     a.set_defaults(fn=cmd_analyze)

@@ -63,3 +63,12 @@ def stats_row(mixed: DataFrame, max_char: int, world_sample_size: int, eval_rati
 
 def write_stats(stats: DataFrame, path: str) -> None:
     stats.coalesce(1).write.mode("overwrite").json(path)
+
+
+def land_parquet(df: DataFrame, path: str, partition_col: str = "category", mode: str = "overwrite") -> None:
+    """Land parsed samples once as parquet partitioned by ``partition_col``.
+
+    Later jobs then get partition pruning on the category, column pruning and
+    statistics, none of which JSON offers.
+    """
+    df.write.mode(mode).partitionBy(partition_col).parquet(path)

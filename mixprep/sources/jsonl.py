@@ -111,3 +111,11 @@ def cap_per_file(df: DataFrame, max_samples: int | None, key: str = "sample_key"
         return df
     from mixprep.operators.sampling import cap_per_group
     return cap_per_group(df, max_samples, ["file_name"], key, seed=seed)
+
+
+def read_landed(spark: SparkSession, path: str, categories: Sequence[str] | None = None) -> DataFrame:
+    """Samples landed by ``land_parquet``; a category list becomes a partition filter."""
+    df = spark.read.parquet(path)
+    if categories:
+        df = df.filter(F.col("category").isin(list(categories)))
+    return df

@@ -46,6 +46,9 @@ def test_cli_mix_analyze_prepare_generate(spark, capsys):
     cli.main(["analyze", "--data_dir", base])
     rows = [json.loads(l) for l in capsys.readouterr().out.splitlines() if l.startswith("{")]
     assert sorted(r["category"] for r in rows) == ["懂推荐", "懂物料", "懂用户"]
+    cli.main(["land", "--data_dir", base, "--out", f"{root}/landed"])
+    cli.main(["analyze", "--landed", f"{root}/landed"])
+    assert [json.loads(l) for l in capsys.readouterr().out.splitlines() if l.startswith("{")] == rows
 
     cli.main(["prepare", "--data_dir", base, "--sample_weights", '{"懂推荐": 1.0, "懂用户": 3.0, "懂物料": 1.0}',
               "--max_seq_length", "256", "--batch_size", "4", "--out", f"{root}/prep"])
