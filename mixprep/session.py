@@ -18,12 +18,32 @@ DEFAULT_CONF = {
 }
 
 
+# Sizes for a large cluster (~1000 executors, ~100 TB of input): start every shuffle
+# wide and let AQE coalesce to ~256 MB partitions; split skewed join partitions;
+# read ~256 MB per scan task; broadcast only what AQE measures below 64 MB.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",      # no broadcast from static estimates
+}
+
+
 def get_spark(app: str = "mixprep", master: str | None = None,
-              shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, extra: dict | None = None,
+              profile: str = "local") -> SparkSession:
+    """Session with the package's settings; ``profile='cluster'`` adds ``CLUSTER_CONF``."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    for k, v in DEFAULT_CONF.items():
+    conf = dict(DEFAULT_CONF)
+    if profile == "cluster":
+        conf.update(CLUSTER_CONF)
+    for k, v in conf.items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
