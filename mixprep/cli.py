@@ -43,7 +43,8 @@ def _spark(args):
     return get_spark("mixprep-cli", master=args.master)
 
 
-def build_mix(spark, base_dir: str, ext_dir: str, preset: str, eval_ratio: float = 0.05, seed=42):
+def build_mix(spark, base_dir: str, ext_dir: str, preset: str, eval_ratio: float = 0.05, seed=42,
+              observation=None):
     """W1 / W2 over the reference's file layout; returns the mixed DataFrame and its recipe parameters."""
     from mixprep.plans.mix import Recipe, Source, run_recipe
     from mixprep.sources.jsonl import read_sources, with_content_key
@@ -63,15 +64,19 @@ def build_mix(spark, base_dir: str, ext_dir: str, preset: str, eval_ratio: float
                           category=WORLD_CATEGORY, min_char=p["world_min"], max_char=p["max_char"],
                           sample=p["world_sample"]))
     recipe = Recipe(sources, split_by=p["split_by"], eval_ratio=eval_ratio, seed=seed)
-    return run_recipe(recipe), p
+    return run_recipe(recipe, observation=observation), p
 
 
 def cmd_mix(args):
     from mixprep.sinks.jsonl import stats_row, write_jsonl, write_stats
     from mixprep.operators.sampling import shuffle_order
     from mixprep.operators.stats import split_counts
+    from pyspark.sql import Observation
     spark = _spark(args)
-    mixed, p = build_mix(spark, args.base_dir, args.ext_dir, args.preset, args.eval_ratio, args.seed)
+    kept = Observation("kept")
+    mixed, p = build_mix(spark, args.base_dir, args.ext_dir, args.preset, args.eval_ratio, args.seed, kept)
+    for name, n in kept.get.items():                                           # A7 (filled by the staging job)
+        print(f"[{name}] kept after filters and sampling: {n}")
     for r in split_counts(mixed, "category").collect():                        # A1 (a few rows)
         print(f"{r.category}: train {r.n_train} eval {r.n_eval}")
     out = shuffle_order(mixed, "sample_key", seed=f"{args.seed}:order")       # R1 before writing
@@ -109,8 +114,13 @@ def cmd_generate(args):
         long_df = profile_to_long(prof, lists, times, cap=20)
         nxt, rec = user_samples(long_df, sids, max_users=args.max_users)
         parts = {"items": item_samples(caps, sids, args.max_materials), "users": nxt, "rec": rec}
+    from pyspark.sql import Observation
+    from mixprep.sources.files import size_bytes
     for key, df in parts.items():
-        write_jsonl(df, os.path.join(args.out, GENERATED[key]), array_per_line=True, cols=SAMPLE_COLS)  # K2
+        path, obs = os.path.join(args.out, GENERATED[key]), Observation(key)
+        write_jsonl(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, array_per_line=True,
+                    cols=SAMPLE_COLS)                                                      # K2
+        print(f"  {GENERATED[key]}: {obs.get['rows']} samples ({size_bytes(spark, path) / 1024 ** 2:.1f} MB)")
 
 
 def cmd_prepare(args):

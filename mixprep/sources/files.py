@@ -46,3 +46,9 @@ def first_files(spark: SparkSession, directory: str, n: int | None, pattern: str
     """The first ``n`` files of a table directory in name order (all when ``n`` is None)."""
     files = list_files(spark, directory, pattern)
     return files if n is None else files[:n]
+
+
+def size_bytes(spark: SparkSession, path: str) -> int:
+    """Total bytes under a path (a directory written by Spark or a file)."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0

@@ -32,7 +32,7 @@ def test_cli_mix_analyze_prepare_generate(spark, capsys):
 
     cli.main(["mix", "--preset", "v2", "--base_dir", base, "--ext_dir", ext, "--out", f"{root}/v2"])
     printed = capsys.readouterr().out
-    assert "TOTAL: train" in printed
+    assert "TOTAL: train" in printed and "[懂推荐] kept after filters and sampling:" in printed
     stats = json.loads(open([os.path.join(f"{root}/v2/_stats", f) for f in os.listdir(f"{root}/v2/_stats")
                              if f.endswith(".json")][0]).readline())
     n = {k: v["train"] + v["eval"] for k, v in json.loads(stats["categories"]).items()}
@@ -59,6 +59,7 @@ def test_cli_mix_analyze_prepare_generate(spark, capsys):
         df.write.mode("overwrite").parquet(f"{root}/{name}")
     cli.main(["generate", "--sid_dir", f"{root}/sid", "--caption_dir", f"{root}/cap", "--profile_dir", f"{root}/prof",
               "--out", f"{root}/gen", "--max-materials", "50", "--max-users", "5"])
+    assert "懂物料_ext.jsonl: 100 samples" in capsys.readouterr().out
     items = spark.read.schema("system STRING, prompt STRING, response STRING").json(f"{root}/gen/懂物料_ext.jsonl")
     assert items.count() == 100
     assert spark.read.text(f"{root}/gen/懂用户_ext.jsonl").count() == 5
