@@ -288,3 +288,10 @@ def short_interest(users: DataFrame, user_col: str = "user_id") -> DataFrame:
         user_col, F.lit("interest").alias("task"), F.lit(REC_SYSTEM).alias("system"),
         F.concat(F.lit(REC_PROMPT_HEAD), F.array_join(F.array(*lines), "\n")).alias("prompt"),
         F.concat(F.lit(SHORT_REC_RESPONSE), F.element_at(F.col("_all"), -1)).alias("response"))
+
+
+def unknown_domain_rows(df: DataFrame, domain_col: str = "domain") -> DataFrame:
+    """N8 quarantine: rows whose domain has no prefix, label or template (the reference would
+    raise on them; the generators leave them out, and this returns them for inspection)."""
+    known = list(DESC2TOK_SYSTEM)
+    return df.filter(F.col(domain_col).isNull() | ~F.col(domain_col).isin(known))

@@ -62,6 +62,7 @@ def test_item_samples_unknown_domain_dropped(spark):
     sids = spark.createDataFrame([(1, "goods", [1, 2, 3]), (2, "mars", [4, 5, 6])], "pid long, domain string, sid_three array<int>")
     out = {(r.task, r.key): r for r in W3.item_samples(caps, sids).collect()}
     assert set(out) == {("desc2tok", "goods:1"), ("tok2desc", "goods:1")}
+    assert [r.pid for r in G.unknown_domain_rows(caps).collect()] == [2]
     assert out[("desc2tok", "goods:1")].response == "<think>红色杯子。容量大。耐热</think>\n<|prod_begin|><s_a_1><s_b_2><s_c_3>"
     assert out[("tok2desc", "goods:1")].prompt == "给定商品token<|prod_begin|><s_a_1><s_b_2><s_c_3>这件商品有什么特点？/think"
 
