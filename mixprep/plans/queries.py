@@ -372,6 +372,14 @@ def gen_next_item(spark: SparkSession, d: str) -> DataFrame:
     return nxt
 
 
+@query
+def gen_next_item_shuffled(spark: SparkSession, d: str) -> DataFrame:
+    """G3 with the seeded per-user event shuffle (D4 option)."""
+    users = G.eligible_users(W3.user_table(_user_long(spark, d), fx.item_sid(spark, d)), 3)
+    return G.next_item(users, order="shuffled", seed=42).select(
+        "task", F.col("user_id").cast("string").alias("key"), "system", "prompt", "response")
+
+
 @query
 def gen_interest(spark: SparkSession, d: str) -> DataFrame:
     """Multi-domain interest samples."""
@@ -425,6 +433,14 @@ def resample_weighted(spark: SparkSession, d: str) -> DataFrame:
     return sampling.resample_weighted(s, "w", "sample_id", seed=42, max_classes=len(WEIGHTS_BY_COLUMN) + 1).select("draw_id", "sample_id", "category")
 
 
+@query
+def resample_by_content(spark: SparkSession, d: str) -> DataFrame:
+    """R4 with weights found by content (N12, first match, joined scope), as the reference's trainer does."""
+    s = _sft(spark, d).withColumn("w", T.weight_by_content(WEIGHTS_BY_CONTENT, scope="joined"))
+    return sampling.resample_weighted(s.select("sample_id", "category", "w"), "w", "sample_id", seed=42,
+                                      max_classes=len(WEIGHTS_BY_CONTENT) + 1).select("draw_id", "sample_id", "category")
+
+
 @query
 def subtype_top5(spark: SparkSession, d: str) -> DataFrame:
     """A5 + R5: 5 most frequent system prefixes (30 chars) per category."""

@@ -672,3 +672,20 @@ Q["gen_short_capped"] = with_(_SHORT, f"""
               WHERE rk <= 20)
 {short_items_sql('items_c')}
 UNION ALL{short_users_sql('users_c')}""")
+
+# D4 option: events in md5(seed:user:index) order, index = 0-based position in domain order.
+Q["gen_next_item_shuffled"] = with_(USER_CTES, f"""
+, evs AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY md5('42:' || CAST(user_id AS VARCHAR) || ':' ||
+                                                                      CAST(e - 1 AS VARCHAR))) AS e2
+          FROM ev WHERE user_id IN (SELECT user_id FROM elig))
+SELECT 'next_item' AS task, CAST(user_id AS VARCHAR) AS key, '' AS system,
+       {q(_G.USER_PROMPT_HEAD)} || coalesce(string_agg({event_line()}, {q(chr(10))} ORDER BY e2)
+           FILTER (WHERE e2 < n_ev AND e2 <= 20), '') AS prompt,
+       {q('<think>' + chr(10) + '</think>' + chr(10) + '["')} || max(tok) FILTER (WHERE e2 = n_ev) || '"]' AS response
+FROM evs GROUP BY user_id""")
+
+# R4 with first-match content weights (joined scope).
+Q["resample_by_content"] = with_(["samples"], f"""
+, sw AS (SELECT sample_id, category, {_wbc('joined')} AS w FROM samples)
+{resample_sql('sw')}
+SELECT draw_id, sample_id, category FROM drawn""")
