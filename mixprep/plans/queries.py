@@ -189,6 +189,18 @@ def norm_alpaca(spark: SparkSession, d: str) -> DataFrame:
     return alpaca_to_sft(fx.alpaca(spark, d), keep=["conv_id"])
 
 
+@query
+def norm_schema_aware(spark: SparkSession, d: str) -> DataFrame:
+    """SFT rows and Alpaca rows in one input; SFT fields pass, Alpaca rows are converted."""
+    from mixprep.operators.normalize import to_sft
+    sft = _sft(spark, d).select(F.concat(F.lit("s:"), F.col("sample_id").cast("string")).alias("key"),
+                                "system", "prompt", "response")
+    alp = fx.alpaca(spark, d).select(F.concat(F.lit("a:"), F.col("conv_id").cast("string")).alias("key"),
+                                     "instruction", "input", "output", "history")
+    both = sft.unionByName(alp, allowMissingColumns=True)
+    return to_sft(both, keep=["key"])
+
+
 @query
 def norm_history(spark: SparkSession, d: str) -> DataFrame:
     """The flattened history text alone."""

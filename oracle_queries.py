@@ -689,3 +689,15 @@ Q["resample_by_content"] = with_(["samples"], f"""
 , sw AS (SELECT sample_id, category, {_wbc('joined')} AS w FROM samples)
 {resample_sql('sw')}
 SELECT draw_id, sample_id, category FROM drawn""")
+
+# One input holding SFT rows and Alpaca rows.
+Q["norm_schema_aware"] = with_(["samples", "alpaca"], f"""
+SELECT 's:' || CAST(sample_id AS VARCHAR) AS key, coalesce(system, '') AS system, coalesce(prompt, '') AS prompt,
+       coalesce(response, '') AS response,
+       coalesce(prompt, '') = '' AND coalesce(response, '') = '' AS is_empty
+FROM samples
+UNION ALL
+SELECT 'a:' || CAST(conv_id AS VARCHAR) AS key, {strip("coalesce(instruction, '')")} AS system,
+       {history('history')} || {strip("coalesce(input, '')")} AS prompt, {strip("coalesce(output, '')")} AS response,
+       ({history('history')} || {strip("coalesce(input, '')")}) = '' AND {strip("coalesce(output, '')")} = '' AS is_empty
+FROM alpaca""")
