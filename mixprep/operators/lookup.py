@@ -80,18 +80,23 @@ def sequence_lookup(long_df: DataFrame, sids: DataFrame, user_col: str = "user_i
             .agg(F.sort_array(F.collect_list(F.struct("pos", "token", "ts"))).alias("seq")))
 
 
+def _is_domain(dom: str):
+    def pred(x):
+        return x["domain"] == F.lit(dom)
+    return pred
+
+
 def user_token_lists(seq: DataFrame, domains: Mapping[str, str], user_col: str = "user_id") -> DataFrame:
     """Pivot J3's output to one row per user with one token array (and struct array) per domain.
 
-    ``domains`` maps output name -> domain. At most one row per (user, domain)
-    exists, so ``first(ignorenulls)`` is deterministic.
+    ``domains`` maps output name -> domain. A user has at most one row per domain,
+    so the collected list holds at most ``len(domains)`` entries; ``collect_list``
+    runs as a hash-based object aggregation with partial aggregation (no sort).
     """
-    aggs = []
-    for name, dom in domains.items():
-        aggs.append(F.first(F.when(F.col("domain") == dom, F.col("seq")), ignorenulls=True).alias(f"{name}_seq"))
-    u = seq.groupBy(user_col).agg(*aggs)
+    u = seq.groupBy(user_col).agg(F.collect_list(F.struct("domain", "seq")).alias("_mp_d"))
     cols = [F.col(user_col)]
-    for name in domains:
-        sq = F.coalesce(F.col(f"{name}_seq"), F.array().cast("array<struct<pos:int,token:string,ts:bigint>>"))
+    for name, dom in domains.items():
+        got = F.get(F.filter("_mp_d", _is_domain(dom)), 0)["seq"]
+        sq = F.coalesce(got, F.array().cast("array<struct<pos:int,token:string,ts:bigint>>"))
         cols += [sq.alias(f"{name}_seq"), F.transform(sq, lambda e: e["token"]).alias(f"{name}_tokens")]
     return u.select(*cols)
