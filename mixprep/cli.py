@@ -34,8 +34,8 @@ _ANY = ("system STRING, prompt STRING, response STRING, instruction STRING, inpu
 
 
 def _schema(ddl: str):
-    from pyspark.sql.types import _parse_datatype_string
-    return _parse_datatype_string(ddl)
+    from mixprep.sources.jsonl import as_schema
+    return as_schema(ddl)
 
 
 def _spark(args):

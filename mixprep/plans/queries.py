@@ -69,8 +69,7 @@ def src_jsonl_scan(spark: SparkSession, d: str) -> DataFrame:
     sinks.write_jsonl(s, f"{root}/objects", array_per_line=False, cols=cols)
     sinks.write_jsonl(s, f"{root}/arrays", array_per_line=True, cols=cols)
     schema = "sample_id BIGINT, category STRING, system STRING, prompt STRING, response STRING"
-    from pyspark.sql.types import _parse_datatype_string
-    df = src.read_jsonl(spark, [f"{root}/objects", f"{root}/arrays"], _parse_datatype_string(schema))
+    df = src.read_jsonl(spark, [f"{root}/objects", f"{root}/arrays"], src.as_schema(schema))
     fmt = F.when(F.col("file_name").endswith(".json"), F.lit("object")).otherwise(F.lit("array"))
     return df.select(fmt.alias("fmt"), *cols)
 
@@ -88,17 +87,15 @@ _SFT_ID = "sample_id BIGINT, system STRING, prompt STRING, response STRING"
 @query
 def src_dir_scan(spark: SparkSession, d: str) -> DataFrame:
     """S2 + S6: every *.jsonl of a directory; category from the file-name prefix."""
-    from pyspark.sql.types import _parse_datatype_string
-    df = src.read_dir(spark, _landed_dir(spark, d), schema=_parse_datatype_string(_SFT_ID), with_category=CATEGORIES)
+    df = src.read_dir(spark, _landed_dir(spark, d), schema=src.as_schema(_SFT_ID), with_category=CATEGORIES)
     return df.select("category", "sample_id", "system", "prompt", "response")
 
 
 @query
 def src_category_prune(spark: SparkSession, d: str) -> DataFrame:
     """S3: only files whose name starts with a listed category are opened."""
-    from pyspark.sql.types import _parse_datatype_string
     df = src.read_dir(spark, _landed_dir(spark, d), categories=["rec", "user"],
-                      schema=_parse_datatype_string(_SFT_ID), with_category=CATEGORIES)
+                      schema=src.as_schema(_SFT_ID), with_category=CATEGORIES)
     return df.select("category", "sample_id", "system", "prompt", "response")
 
 
@@ -167,8 +164,7 @@ def sink_jsonl_array(spark: SparkSession, d: str) -> DataFrame:
     items = W3.item_samples(fx.item_caption(spark, d), fx.item_sid(spark, d))
     cols = ("task", "key", "system", "prompt", "response")
     sinks.write_jsonl(items, root, array_per_line=True, cols=cols)
-    from pyspark.sql.types import _parse_datatype_string
-    back = src.read_jsonl(spark, root, _parse_datatype_string(
+    back = src.read_jsonl(spark, root, src.as_schema(
         "task STRING, key STRING, system STRING, prompt STRING, response STRING"), lineage=False)
     return back.select(*cols)
 
@@ -604,7 +600,6 @@ def gen_short_capped(spark: SparkSession, d: str) -> DataFrame:
 def mix_v3_files(spark: SparkSession, d: str) -> DataFrame:
     """W2 as files: W3 writes ext JSONL (K2), base and world samples land as named JSONL
     files; v3 reads them through the multi-file source (S5, a missing file is skipped)."""
-    from pyspark.sql.types import _parse_datatype_string
     root = scratch_path(spark, "mix-v3-files")
     ext = W3.write_generated(spark, fx.item_caption(spark, d), fx.item_sid(spark, d), _user_long(spark, d),
                              f"{root}/ext")
@@ -612,9 +607,9 @@ def mix_v3_files(spark: SparkSession, d: str) -> DataFrame:
     landed = sinks.write_jsonl_named(spark, _sft(spark, d), base_dir, "category",
                                      cols=("sample_id", "system", "prompt", "response"))
     sinks.write_jsonl(fx.alpaca(spark, d), f"{root}/world", cols=("conv_id", "instruction", "input", "output", "history"))
-    gen_schema = _parse_datatype_string("task STRING, key STRING, system STRING, prompt STRING, response STRING")
-    base_schema = _parse_datatype_string(_SFT_ID)
-    world_schema = _parse_datatype_string(
+    gen_schema = src.as_schema("task STRING, key STRING, system STRING, prompt STRING, response STRING")
+    base_schema = src.as_schema(_SFT_ID)
+    world_schema = src.as_schema(
         "conv_id BIGINT, instruction STRING, input STRING, output STRING, history ARRAY<ARRAY<STRING>>")
     key = F.concat_ws(":", "task", "key").alias("gen_key")
     srcs = []
@@ -655,8 +650,7 @@ def encode_pipeline(spark: SparkSession, d: str) -> DataFrame:
 @query
 def length_report(spark: SparkSession, d: str) -> DataFrame:
     """JSONL directory -> category from file name -> token lengths -> report."""
-    from pyspark.sql.types import _parse_datatype_string
-    df = src.read_dir(spark, _landed_dir(spark, d), schema=_parse_datatype_string(_SFT_ID), with_category=CATEGORIES)
+    df = src.read_dir(spark, _landed_dir(spark, d), schema=src.as_schema(_SFT_ID), with_category=CATEGORIES)
     return W5.length_report(df)
 
 

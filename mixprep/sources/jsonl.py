@@ -19,12 +19,21 @@ from mixprep.schemas import SFT
 from mixprep.sources import files
 
 CORRUPT = "_corrupt_record"
+
+
+def as_schema(schema: StructType | str) -> StructType:
+    """A StructType from itself or from a DDL string such as ``"system STRING, prompt STRING"``."""
+    if isinstance(schema, StructType):
+        return schema
+    from pyspark.sql.types import _parse_datatype_string
+    return _parse_datatype_string(schema)
 _SCALAR = r'^\s*(-?[0-9][0-9.eE+-]*|"(?:[^"\\]|\\.)*"|true|false|null)\s*$'
 
 
-def read_jsonl(spark: SparkSession, paths: str | Sequence[str], schema: StructType = SFT, on_bad: str = "fail",
+def read_jsonl(spark: SparkSession, paths: str | Sequence[str], schema: StructType | str = SFT, on_bad: str = "fail",
                name_glob: str | None = None, lineage: bool = True):
     """Samples from JSONL files; returns a DataFrame (or ``(good, bad)`` for quarantine)."""
+    schema = as_schema(schema)
     full = StructType(list(schema.fields) + [StructField(CORRUPT, StringType())])
     r = (spark.read.schema(full).option("mode", "PERMISSIVE")
          .option("columnNameOfCorruptRecord", CORRUPT).option("encoding", "UTF-8"))
@@ -52,7 +61,7 @@ def read_jsonl(spark: SparkSession, paths: str | Sequence[str], schema: StructTy
 
 
 def read_dir(spark: SparkSession, directory: str, categories: Sequence[str] | None = None,
-             max_files: int | None = None, schema: StructType = SFT, on_bad: str = "fail",
+             max_files: int | None = None, schema: StructType | str = SFT, on_bad: str = "fail",
              with_category: Sequence[str] | None = None) -> DataFrame:
     """S2 + S3 (+ S6, S8): every ``*.jsonl`` of a directory, in name order.
 
@@ -61,6 +70,7 @@ def read_dir(spark: SparkSession, directory: str, categories: Sequence[str] | No
     adds a ``category`` column from the file-name prefix (first match wins) and
     drops rows of unmatched files.
     """
+    schema = as_schema(schema)
     paths = files.list_files(spark, directory, "*.jsonl")
     if not paths:
         raise FileNotFoundError(f"No .jsonl files found in {directory}")
@@ -77,9 +87,10 @@ def read_dir(spark: SparkSession, directory: str, categories: Sequence[str] | No
     return df
 
 
-def read_sources(spark: SparkSession, mapping: dict[str, Sequence[str]], schema: StructType = SFT,
+def read_sources(spark: SparkSession, mapping: dict[str, Sequence[str]], schema: StructType | str = SFT,
                  on_bad: str = "fail") -> DataFrame:
     """Named lists of files per category; missing files are skipped quietly."""
+    schema = as_schema(schema)
     out = None
     for cat, paths in mapping.items():
         present = [p for p in paths if files.exists(spark, p)]
