@@ -1,7 +1,7 @@
 """Task balance of the ranking/splitting operators on a skewed input, from Spark's event log.
 
 Usage: python tools/skew_report.py [rows]   (default 2,000,000; one group holds 90% of them)
-Runs hash_rank and split_eval, then prints, per stage that reads a shuffle, the
+Runs hash_rank, split_eval and resample_weighted, then prints, per stage that reads a shuffle, the
 largest and the median number of shuffle records read by one task. With the
 hash-bucket design no task receives the hot group: max and median stay close.
 """
@@ -40,8 +40,10 @@ def main() -> None:
                       extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": logdir,
                              "spark.sql.adaptive.coalescePartitions.enabled": "false"})
     df = spark.range(n).withColumn("g", F.when(F.col("id") % 10 == 0, "small").otherwise("hot"))
+    weighted = df.withColumn("w", F.when(F.col("g") == "hot", 1.0).otherwise(9.0))
     for name, out in (("hash_rank", sampling.hash_rank(df, ["g"], "id")),
-                      ("split_eval", sampling.split_eval(df, ["g"], "id", max_groups=2))):
+                      ("split_eval", sampling.split_eval(df, ["g"], "id", max_groups=2)),
+                      ("resample", sampling.resample_weighted(weighted, "w", "id", max_classes=2))):
         spark.sparkContext.setJobDescription(name)
         out.write.format("noop").mode("overwrite").save()
     spark.stop()
