@@ -54,6 +54,11 @@ def test_cli_mix_analyze_prepare_generate(spark, capsys):
               "--max_seq_length", "256", "--batch_size", "4", "--out", f"{root}/prep"])
     prep = spark.read.parquet(f"{root}/prep/train")
     assert prep.count() > 0 and prep.filter(F.size("input_ids") != F.col("width")).count() == 0
+    cli.main(["prepare", "--landed", f"{root}/landed", "--sample_weights", '{"懂推荐": 1.0, "懂用户": 3.0, "懂物料": 1.0}',
+              "--max_seq_length", "256", "--batch_size", "4", "--out", f"{root}/prep_landed"])
+    a = spark.read.parquet(f"{root}/prep/train").select("draw_id", "batch_id", "input_ids")
+    b = spark.read.parquet(f"{root}/prep_landed/train").select("draw_id", "batch_id", "input_ids")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
     for name, df in (("sid", fx.item_sid(spark, SF)), ("cap", fx.item_caption(spark, SF)), ("prof", fx.profile(spark, SF).drop("user_id"))):
         df.write.mode("overwrite").parquet(f"{root}/{name}")
