@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mixprep.functions import text as T
-from mixprep.functions.tokenize import token_count
 from mixprep.operators import encode as E
 from mixprep.operators import filters, generate as G, lookup, sampling, stats
 from mixprep.operators.normalize import alpaca_to_sft
@@ -513,7 +512,7 @@ def mix_funnel(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 @query
-def token_count_q(spark: SparkSession, d: str) -> DataFrame:
+def token_count(spark: SparkSession, d: str) -> DataFrame:
     """Native token count of system + prompt + response."""
     return _tok_len(spark, d).select("sample_id", "n_tokens")
 
@@ -653,5 +652,3 @@ def length_report(spark: SparkSession, d: str) -> DataFrame:
     df = src.read_dir(spark, _landed_dir(spark, d), schema=src.as_schema(_SFT_ID), with_category=CATEGORIES)
     return W5.length_report(df)
 
-
-QUERIES["token_count"] = QUERIES.pop("token_count_q")
