@@ -100,10 +100,21 @@ def src_category_prune(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def src_file_limit(spark: SparkSession, d: str) -> DataFrame:
-    """S7 + S8: a keyed map table of 4 parquet files, only the first 2 files read, last wins."""
+    """S7 + S8: a keyed map table laid out as files named in domain order; only the files
+    of the first two domains (in name order) are read, last wins within them."""
+    from mixprep.sources import files
     root = scratch_path(spark, "sid-files")
-    fx.item_sid(spark, d).repartition(4, "pid").write.mode("overwrite").parquet(root)
-    df = read_keyed_last(spark, root, ["pid", "domain"], ["sid_three"], max_files=2, key_casts={"pid": "bigint"})
+    staging = f"{root}/_staging"
+    (fx.item_sid(spark, d).withColumn("_part", F.col("domain"))
+     .write.mode("overwrite").partitionBy("_part").parquet(staging))
+    table, per_dir = f"{root}/table", []
+    for k, sub in enumerate(files.list_dirs(spark, staging)):
+        parts = files.list_files(spark, sub, "part-*.parquet")
+        for i, f in enumerate(parts):
+            files.rename(spark, f, f"{table}/{k:02d}-{i:05d}.parquet")
+        per_dir.append(len(parts))
+    df = read_keyed_last(spark, table, ["pid", "domain"], ["sid_three"], max_files=sum(per_dir[:2]),
+                         key_casts={"pid": "bigint"})
     return df.select("pid", "domain", _ints("sid_three").alias("sid"))
 
 

@@ -701,3 +701,7 @@ SELECT 'a:' || CAST(conv_id AS VARCHAR) AS key, {strip("coalesce(instruction, ''
        {history('history')} || {strip("coalesce(input, '')")} AS prompt, {strip("coalesce(output, '')")} AS response,
        ({history('history')} || {strip("coalesce(input, '')")}) = '' AND {strip("coalesce(output, '')")} = '' AS is_empty
 FROM alpaca""")
+
+# The files of the first two domains in name order (goods, live).
+Q["src_file_limit"] = with_(["item_sid"], """
+SELECT pid, domain, array_to_string(sid_three, ',') AS sid FROM item_sid WHERE domain IN ('goods', 'live')""")
