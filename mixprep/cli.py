@@ -149,7 +149,8 @@ def cmd_prepare(args):
     from pyspark.sql import Observation
     seen, kept = Observation("raw"), Observation("processed")
     train = train.observe(seen, F.count(F.lit(1)).alias("rows"))                 # A7, no extra pass
-    out = prepare_train(train, "sample_key", weights, args.weight_mode, args.max_seq_length, policy, args.seed)
+    out = prepare_train(train, "sample_key", weights, args.weight_mode, args.max_seq_length, policy, args.seed,
+                        unique_ids=False)   # content keys: identical lines share one
     out = out.observe(kept, F.count(F.lit(1)).alias("rows"))
     if args.batch_size:
         out = pad_batches(out.select("draw_id", "input_ids", "attention_mask", "labels"), args.batch_size,

@@ -51,20 +51,20 @@ def chat_to_alpaca(conv: DataFrame, conv_col: str = "conv_id", turn_col: str = "
     when there are none). Conversations without an answered user turn vanish.
 
     A conversation becomes one output row, so its turns are bounded by what a row
-    can hold; ``lead`` runs per conversation, the pair aggregation is partial.
+    can hold; ``lead`` runs per conversation and the pairs are collected once
+    (hash-based object aggregation), the last pair being the last element.
     """
     w = Window.partitionBy(conv_col).orderBy(turn_col)
     t = conv.select(conv_col, turn_col, role_col, text_col,
                     F.lead(role_col).over(w).alias("_nrole"), F.lead(text_col).over(w).alias("_ntext"))
     pairs = (t.filter((F.col(role_col) == "user") & (F.col("_nrole") == "assistant"))
              .select(conv_col, turn_col, F.col(text_col).alias("u"), F.col("_ntext").alias("a")))
-    agg = pairs.groupBy(conv_col).agg(
-        F.max_by(F.struct("u", "a"), turn_col).alias("_last"),
-        F.max(turn_col).alias("_lt"),
-        F.sort_array(F.collect_list(F.struct(turn_col, "u", "a"))).alias("_all"))
+    agg = pairs.groupBy(conv_col).agg(F.sort_array(F.collect_list(F.struct(turn_col, "u", "a"))).alias("_all"))
+    agg = agg.withColumn("_last", F.element_at("_all", -1)).withColumn("_lt", F.col("_last")[turn_col])
     hist = F.transform(F.filter("_all", lambda p: p[turn_col] < F.col("_lt")), lambda p: F.array(p["u"], p["a"]))
+    # min over the system turns, as the first of their sorted list (hash-based object aggregation)
     sysd = (conv.filter(F.col(role_col) == "system").groupBy(conv_col)
-            .agg(F.min(text_col).alias("_instr")))
+            .agg(F.get(F.sort_array(F.collect_list(text_col)), 0).alias("_instr")))
     out = agg.join(sysd, conv_col, "left")
     return out.select(
         conv_col,

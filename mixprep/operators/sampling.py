@@ -171,7 +171,7 @@ def class_weights(weights: Mapping[str, float] | Sequence[tuple[str, float]], cl
 
 
 def resample_weighted(df: DataFrame, weight_col: str, id_col: str, seed=42, draw_col: str = "draw_id",
-                      digits: int = 4, max_classes: int = 64) -> DataFrame:
+                      digits: int = 4, max_classes: int = 64, unique_ids: bool = True) -> DataFrame:
     """As many draws with replacement as rows, P(row) proportional to its weight.
 
     Rows of equal weight form a class (weights come from a short list, so there
@@ -216,8 +216,9 @@ def resample_weighted(df: DataFrame, weight_col: str, id_col: str, seed=42, draw
                              F.col("_mp_n")).alias("_mp_idx")))
     pairs = (draws.join(ranked, (draws["_mp_dw"] == ranked["_mp_w"]) & (draws["_mp_idx"] == ranked["_mp_rn"]), "inner")
              .select(draw_col, F.col(id_col).alias("_mp_pick_id")))
-    # Rows sharing an id are identical by contract; keep one so each draw yields one row.
-    # The de-duplication and the join both hash-partition by id: one shuffle of full rows.
-    rows = df.dropDuplicates([id_col])
+    # With ``unique_ids=False`` (content keys: rows sharing a key are identical) one row
+    # per id is kept, so each draw yields one row; that de-duplication and the join
+    # hash-partition by id alike, so the full rows are still shuffled once.
+    rows = df if unique_ids else df.dropDuplicates([id_col])
     out = pairs.join(rows, pairs["_mp_pick_id"] == rows[id_col], "inner").drop("_mp_pick_id")
     return out

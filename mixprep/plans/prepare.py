@@ -27,10 +27,12 @@ def weights_column(weights: Sequence[tuple[str, float]], mode: str = "by_column"
 
 def prepare_train(df: DataFrame, id_col: str, weights: Sequence[tuple[str, float]] | None = None,
                   mode: str = "by_column", max_len: int = 2048, policy: str = "truncate", seed=42,
-                  keep=()) -> DataFrame:
+                  keep=(), unique_ids: bool = True) -> DataFrame:
+    """``unique_ids=False`` when ``id_col`` is a content key that identical rows share."""
     if weights:
         df = df.withColumn("_w", weights_column(weights, mode))
-        df = resample_weighted(df, "_w", id_col, seed=seed, max_classes=len(weights) + 1).drop("_w")
+        df = resample_weighted(df, "_w", id_col, seed=seed, max_classes=len(weights) + 1,
+                               unique_ids=unique_ids).drop("_w")
     else:
         df = df.withColumn("draw_id", F.col(id_col))
     enc = encode(df, max_len=max_len, keep=["draw_id", id_col, *keep])
