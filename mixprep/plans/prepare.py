@@ -27,8 +27,9 @@ def weights_column(weights: Sequence[tuple[str, float]], mode: str = "by_column"
 
 def prepare_train(df: DataFrame, id_col: str, weights: Sequence[tuple[str, float]] | None = None,
                   mode: str = "by_column", max_len: int = 2048, policy: str = "truncate", seed=42,
-                  keep=(), unique_ids: bool = True) -> DataFrame:
-    """``unique_ids=False`` when ``id_col`` is a content key that identical rows share."""
+                  keep=(), unique_ids: bool = False) -> DataFrame:
+    """Rows drawn by the resampler are fetched once per id (``unique_ids=False``, safe for content
+    keys that identical rows share); ``True`` skips that de-duplication for unique ids."""
     if weights:
         df = df.withColumn("_w", weights_column(weights, mode))
         df = resample_weighted(df, "_w", id_col, seed=seed, max_classes=len(weights) + 1,
