@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mixprep.llm.common import table
+from mixprep.llm.common import fold, table
 
 
 def tokenizer_path(name: str) -> str:
@@ -12,22 +12,49 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from labelled rows whose ``crc32(doc_id) mod 4`` is not 2."""
+    from mixprep.llm.toxicity import labelled_documents, learn_lexicon, toxicity
+    docs = table(spark, sf_dir, "documents")
+    seen = labelled_documents(docs, table(spark, sf_dir, "labels"), fold("id", 4) != 2)
+    scored = toxicity(docs, learn_lexicon(seen), threshold=0.3)
+    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted", "n_matches")
+
+
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mixprep.llm.near_dedup import near_dedup
+    return near_dedup(table(spark, sf_dir, "documents"), percent=85, words=5)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mixprep.llm.packing import pack
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), window=2048, end_id=1, payload="crc32")
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mixprep.llm.embedding_dedup import embedding_dedup
+    return embedding_dedup(table(spark, sf_dir, "embeddings"), least=0.93)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mixprep.llm.token_counts import token_counts
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), limit=2048)
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from documents whose ``crc32(doc_id) mod 5`` is not 0."""
+    from mixprep.llm.language_id import language_id, learn_profiles
+    docs = table(spark, sf_dir, "documents")
+    found = language_id(docs, learn_profiles(docs, usable=fold("id", 5) != 0))
+    return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mixprep.llm.exact_dedup import exact_dedup
     return exact_dedup(table(spark, sf_dir, "documents"), f"{sf_dir}/documents.parquet")
 
 
-QUERIES = {f.__name__: f for f in (op4_packing, op7_token_counts, op9_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_near_dedup, op4_packing, op6_embedding_dedup, op7_token_counts, op8_language_id, op9_exact_dedup)}
 ORACLE_SQL = {
     "op9_exact_dedup": r"""
 with d as (select doc_id, coalesce(text, '') as t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') as norm from documents),
