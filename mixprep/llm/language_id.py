@@ -4,7 +4,8 @@ A dictionary per language holds sample texts of that language, as they are. A te
 of them, and the language whose dictionary gives the fewest bytes wins. Where the two best are
 closer than a margin, the prediction is marked as rejected. Texts and dictionaries are lower case, with ASCII
 digits, signs and white space as single blanks. Long texts are compressed in chunks, so that a dictionary
-counts for all of a text, and not just for its beginning; equal sizes are settled word by word.
+counts for all of a text, and not just for its beginning. Short texts follow a piece of the dictionary, whose
+own size is taken off: alone they may not shrink at all, and all sizes would be equal.
 """
 
 from __future__ import annotations
@@ -17,7 +18,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from mixprep.llm.common import arrow_map, keep_columns
 
 #: Bytes of a dictionary and of a chunk; the compression level.
-DICTIONARY_BYTES, CHUNK_BYTES, LEVEL = 192 << 10, 8 << 10, 7
+DICTIONARY_BYTES, CHUNK_BYTES, LEVEL = 192 << 10, 8 << 10, 5
+#: Bytes up to which a text is short, and bytes of the dictionary put before it.
+SHORT_BYTES, PRIMER_BYTES = 1 << 10, 128
 UNKNOWN = "und"
 _LETTERS = bytes(c if chr(c).isalpha() else 32 for c in range(128)) + bytes(range(128, 256))
 
@@ -33,27 +36,28 @@ class Profiles:
     level: int = LEVEL
     chunk: int = CHUNK_BYTES
 
-    def compressors(self) -> list[tuple[str, object]]:
+    def compressors(self) -> list[tuple[str, object, bytes, int]]:
+        """(language, compressor, primer, size of the primer alone)."""
         import zstandard as zstd
         out = []
         for lang, raw in sorted(self.content.items()):
             d = zstd.ZstdCompressionDict(raw, dict_type=zstd.DICT_TYPE_RAWCONTENT)
             d.precompute_compress(level=self.level)
-            out.append((lang, zstd.ZstdCompressor(dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)))
+            c = zstd.ZstdCompressor(dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
+            out.append((lang, c, raw[-PRIMER_BYTES:] + b" ", len(c.compress(raw[-PRIMER_BYTES:]))))
         return out
 
 
 def classify(text: str, compressors: list, chunk: int) -> tuple[str, float]:
     """(language, margin): the margin is the share of bytes saved against the second best."""
     raw = letters(text)
-    chunks = [raw[k:k + chunk] for k in range(0, len(raw), chunk)] if len(raw) > chunk else [raw]
-    sizes = sorted((sum([len(c.compress(x)) for x in chunks]), lang) for lang, c in compressors)
+    if len(raw) < SHORT_BYTES:
+        sizes = sorted((max(1, len(c.compress(primer + raw)) - alone), lang) for lang, c, primer, alone in compressors)
+    else:
+        chunks = [raw[k:k + chunk] for k in range(0, len(raw), chunk)]
+        sizes = sorted((sum([len(c.compress(x)) for x in chunks]), lang) for lang, c, _, _ in compressors)
     if len(sizes) < 2:
         return sizes[0][1], 1.0
-    if sizes[0][0] == sizes[1][0]:
-        tied = {lang for size, lang in sizes if size == sizes[0][0]}
-        words = set(raw.split())
-        return min((sum(len(c.compress(w)) for w in words), lang) for lang, c in compressors if lang in tied)[1], 0.0
     return sizes[0][1], (sizes[1][0] - sizes[0][0]) / sizes[1][0]
 
 
