@@ -21,6 +21,17 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", "predicted", "n_matches")
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes every text, decodes the ids and holds the result against the text."""
+    from mixprep.llm.sentencepiece_codec import decode, encode
+    path = tokenizer_path("piece_bpe_32k.model")
+    text = F.replace(F.coalesce("text", F.lit("")), F.lit("\u2581"), F.lit(" "))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(text.cast("binary")).alias("crc"))
+    coded = encode(docs, path, keep={"crc": "bigint"}).withColumn("ids_crc32", F.crc32("ids"))
+    back = decode(coded, path, keep={"n_pieces": "bigint", "n_byte_pieces": "bigint", "ids_crc32": "bigint", "crc": "bigint"}, crc=True)
+    return back.select("doc_id", "n_pieces", "n_byte_pieces", "ids_crc32", "text_crc32", (F.col("text_crc32") == F.col("crc")).alias("round_trip"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mixprep.llm.near_dedup import near_dedup
     return near_dedup(table(spark, sf_dir, "documents"), percent=85, words=5)
@@ -31,6 +42,12 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), window=2048, end_id=1, payload="crc32")
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mixprep.llm.sharding import interleave
+    rows = interleave(table(spark, sf_dir, "documents"), shards=8)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mixprep.llm.embedding_dedup import embedding_dedup
     return embedding_dedup(table(spark, sf_dir, "embeddings"), least=0.93)
@@ -54,7 +71,15 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), f"{sf_dir}/documents.parquet")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_near_dedup, op4_packing, op6_embedding_dedup, op7_token_counts, op8_language_id, op9_exact_dedup)}
+def op10_shard_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mixprep.llm.shard_writer import write_shards
+    rows = write_shards(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), window=256, end_id=1, pad_id=0)
+    return rows.select("doc_id", "start", "length", F.col("index").alias("sequence_index"), "slot", "shard", "byte_offset", "ids_crc32")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_sentencepiece, op3_near_dedup, op4_packing, op5_sharding, op6_embedding_dedup, op7_token_counts, op8_language_id, op9_exact_dedup,
+    op10_shard_writer)}
 ORACLE_SQL = {
     "op9_exact_dedup": r"""
 with d as (select doc_id, coalesce(text, '') as t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') as norm from documents),

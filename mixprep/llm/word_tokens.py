@@ -87,7 +87,29 @@ def _ranks(spec: dict):
     return tiktoken.Encoding("ranks", pat_str=f"[^{END}]*{END}", mergeable_ranks=ranks, special_tokens={}), by_rank, ends
 
 
-class WordTokens:
+class WordTable:
+    """``values(words)`` with a bounded table of words already done; ``_encode`` does the others in batches."""
+
+    def __init__(self):
+        self.known: dict = {}
+
+    def _encode(self, words: list[str]) -> dict:
+        raise NotImplementedError
+
+    def values(self, words: list[str]) -> list:
+        got = list(map(self.known.get, words))
+        if None not in got:
+            return got
+        new = list({w for w, v in zip(words, got) if v is None})
+        extra: dict = {}
+        for k in range(0, len(new), 50_000):
+            extra.update(self._encode(new[k:k + 50_000]))
+        if len(self.known) < KEPT_WORDS:
+            self.known.update((w, v) for w, v in extra.items() if len(w) <= KEPT_CHARS)
+        return [extra[w] if v is None else v for w, v in zip(words, got)]
+
+
+class WordTokens(WordTable):
     """``values(words)`` gives per word its ids as little-endian bytes (``kind='ids'``) or their number."""
 
     def __init__(self, path: str, kind: str = "ids", dtype: str = "<u4"):
@@ -140,15 +162,3 @@ class WordTokens:
         else:
             out = dict(zip(simple, np.diff(stop, prepend=0).tolist()))
         return out | self._by_library(other) if other else out
-
-    def values(self, words: list[str]) -> list:
-        got = list(map(self.known.get, words))
-        if None not in got:
-            return got
-        new = list({w for w, v in zip(words, got) if v is None})
-        extra: dict = {}
-        for k in range(0, len(new), 50_000):
-            extra.update(self._encode(new[k:k + 50_000]))
-        if len(self.known) < KEPT_WORDS:
-            self.known.update((w, v) for w, v in extra.items() if len(w) <= KEPT_CHARS)
-        return [extra[w] if v is None else v for w, v in zip(words, got)]
