@@ -51,10 +51,19 @@ def _conf(spark: SparkSession, values: dict[str, str]):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def located(df: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column]) -> DataFrame:
+    """(id, norm, points, digest, locator) of a Parquet scan; a locator is the file's name and the row in it."""
+    text = F.col(f"`{text_col}`")
+    rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), normalized(text).alias("norm"),
+                     F.char_length(F.coalesce(text, F.lit(""))).cast("long").alias("points"),
+                     F.concat_ws("#", F.col("_metadata.file_name"), F.col("_metadata.row_index")).alias("locator"))
+    return rows.withColumn("digest", digest(F.col("norm")))
+
+
 def retained(spark: SparkSession, path: str, schema, id_col: str, text_col: str, digest: Callable[[Column], Column],
              checkpoint: str, max_bytes_per_batch: str | None = None) -> DataFrame:
     """Run the streaming query over the Parquet files at ``path`` and return what its state holds: per digest
-    ``n`` rows and the row that stays: ``keep_id`` and ``locator`` (file name, then row in the file).
+    ``n`` rows and the row that stays: ``keep_id`` and ``keep_at``, its locator.
 
     Started again with the same ``checkpoint``, it goes on where it was: only new files are read.
     """
@@ -64,13 +73,8 @@ def retained(spark: SparkSession, path: str, schema, id_col: str, text_col: str,
     if not _status(spark, path).isDirectory():  # streams read folders: the one file of its folder
         path, name = path.rsplit("/", 1)
         reader = reader.option("pathGlobFilter", name)
-    text = F.col(f"`{text_col}`")
-    rows = reader.parquet(path).select(
-        F.col(f"`{id_col}`").alias("id"), digest(normalized(text)).alias("digest"),
-        F.char_length(F.coalesce(text, F.lit(""))).cast("long").alias("points"),
-        F.concat_ws("#", F.col("_metadata.file_name"), F.col("_metadata.row_index")).alias("locator"))
     best = F.max(F.struct("points", (-F.col("id")).alias("minus_id"), "locator"))
-    state = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), best.alias("best"))
+    state = located(reader.parquet(path), id_col, text_col, digest).groupBy("digest").agg(F.count(F.lit(1)).alias("n"), best.alias("best"))
     out = f"{checkpoint}/updates"
 
     def put(batch: DataFrame, number: int) -> None:
@@ -80,13 +84,12 @@ def retained(spark: SparkSession, path: str, schema, id_col: str, text_col: str,
         query = (state.writeStream.outputMode("update").option("checkpointLocation", f"{checkpoint}/state")
                  .trigger(availableNow=True).foreachBatch(put).start())
         query.awaitTermination()
-    schema = "digest string, n bigint, best struct<points: bigint, minus_id: bigint, locator: string>, batch bigint"
     if _status(spark, out) is None:  # no file, no row
-        return spark.createDataFrame([], "digest string, n bigint, keep_id bigint, locator string")
-    updates = spark.read.schema(schema).parquet(out)
+        return spark.createDataFrame([], "digest string, n bigint, keep_id bigint, keep_at string")
+    updates = spark.read.schema("digest string, n bigint, best struct<points: bigint, minus_id: bigint, locator: string>, batch bigint").parquet(out)
     if query.lastProgress is None or query.lastProgress["batchId"] > 0:  # the last update of a digest holds
         updates = updates.groupBy("digest").agg(F.max(F.struct("batch", "n", "best")).alias("u")).select("digest", "u.n", "u.best")
-    return updates.select("digest", "n", (-F.col("best.minus_id")).alias("keep_id"), F.col("best.locator").alias("locator"))
+    return updates.select("digest", "n", (-F.col("best.minus_id")).alias("keep_id"), F.col("best.locator").alias("keep_at"))
 
 
 def _status(spark: SparkSession, path: str):
@@ -96,48 +99,41 @@ def _status(spark: SparkSession, path: str):
     return fs.getFileStatus(at) if fs.exists(at) else None
 
 
-def exact_dedup(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col: str = "text",
                 digest: Callable[[Column], Column] = sha256_hex, max_bytes_per_batch: str | None = None) -> DataFrame:
-    """One row per input row: id column, keep_id, group_size, kept, text_sha256.
-
-    ``path`` holds the same rows as ``df``, as Parquet: the stream reads them there. Equal are texts whose
-    normalised bytes are equal. Of a group the row with the most code points in the original text stays,
-    then the one with the smallest id. Null and empty texts are equal to each other and to texts of white
-    space. Ids must be whole numbers; a null id counts as larger than any other. Rows that repeat an id
-    and a text are copies like others: ``kept`` is then true for each row that bears the id that
-    stays. No rows in, no rows out. Other columns are not read.
+    """One row per row of the Parquet files at ``path``: id column, keep_id, group_size, kept, text_sha256, locator.
+
+    Equal are texts whose normalised bytes are equal. Of a group the row with the most code points in the
+    original text stays, then the one with the smallest id; of rows that repeat both, the one with the greatest locator, so
+    exactly one row of a group is ``kept``. Null and empty texts are equal to each other and to texts of white space.
+    Ids must be whole numbers; a null id counts as larger than any other. No rows in, no rows out. Other columns are not read.
     """
-    spark = df.sparkSession
     checkpoint = scratch_path(spark, "exact-dedup")
-    schema = df.schema
-    groups = retained(spark, path, schema, id_col, text_col, digest, checkpoint, max_bytes_per_batch)
-    rows = keep_columns(df, {id_col: "id", text_col: "text"}).select(
-        "id", normalized(F.col("text")).alias("norm"), F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("points"))
-    rows = rows.withColumn("digest", digest(F.col("norm")))
+    table = spark.read.parquet(path)
+    groups = retained(spark, path, table.schema, id_col, text_col, digest, checkpoint, max_bytes_per_batch)
+    rows = located(table, id_col, text_col, digest)
 
     # Every hit against the bytes of the retained row. Only rows of digests with copies get here.
-    copies = groups.filter("n > 1").select("digest", "keep_id")
-    rows.join(copies.hint("shuffle_hash"), "digest").write.mode("overwrite").parquet(f"{checkpoint}/hits")
+    copies = groups.filter("n > 1").select("digest", "keep_at")
+    rows.select("norm", "digest", "locator").join(copies.hint("shuffle_hash"), "digest").write.mode("overwrite").parquet(f"{checkpoint}/hits")
     hits = spark.read.parquet(f"{checkpoint}/hits")
-    kept = hits.filter(F.col("id").eqNullSafe(F.col("keep_id"))).select("digest", F.col("norm").alias("kept_norm"))
-    differ = hits.join(kept, "digest").filter("norm <> kept_norm")
-    if differ.isEmpty():
-        out = rows.select("id", "norm", "digest").join(groups.select("digest", "n", "keep_id"), "digest")
-        if digest is sha256_hex:
-            out = out.withColumn("sha", F.col("digest"))
-        else:
-            out = out.withColumn("sha", sha256_hex(F.col("norm")))
-        return _result(out, id_col)
+    kept = hits.filter("locator = keep_at").select("digest", F.col("norm").alias("kept_norm"))
+    clash = hits.join(kept, "digest").filter("norm <> kept_norm").select("digest").distinct()
+    cols = ["id", "n", "keep_id", "keep_at", "locator", "sha"]
+    fine = rows.select("id", "digest", "locator", (F.col("digest") if digest is sha256_hex else sha256_hex(F.col("norm"))).alias("sha"))
+    if clash.isEmpty():
+        return _result(fine.join(groups, "digest").select(*cols), id_col)
     # Two texts share a digest: such digests are grouped by the bytes themselves.
-    clash = differ.select("digest").distinct()
-    fine = rows.join(clash, "digest", "left_anti").select("id", "norm", "digest").join(groups.select("digest", "n", "keep_id"), "digest")
+    clash.write.mode("overwrite").parquet(f"{checkpoint}/clash")
+    clash = spark.read.parquet(f"{checkpoint}/clash")
     mixed = rows.join(clash, "digest", "left_semi")
-    own = mixed.groupBy("digest", "norm").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("points", (-F.col("id")).alias("id"))).alias("b"))
-    mixed = mixed.select("id", "digest", "norm").join(own.select("digest", "norm", "n", (-F.col("b.id")).alias("keep_id")), ["digest", "norm"])
-    cols = ["id", "n", "keep_id", sha256_hex(F.col("norm")).alias("sha")]
+    own = mixed.groupBy("digest", "norm").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("points", (-F.col("id")).alias("minus_id"), "locator")).alias("best"))
+    own = own.select("digest", "norm", "n", (-F.col("best.minus_id")).alias("keep_id"), F.col("best.locator").alias("keep_at"))
+    mixed = mixed.join(own, ["digest", "norm"]).withColumn("sha", sha256_hex(F.col("norm")))
+    fine = fine.join(clash, "digest", "left_anti").join(groups, "digest")
     return _result(fine.select(*cols).unionByName(mixed.select(*cols)), id_col)
 
 
 def _result(out: DataFrame, id_col: str) -> DataFrame:
-    return out.select(F.col("id").alias(id_col), "keep_id", F.col("n").alias("group_size"),
-                      F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
+    return out.select(F.col("id").alias(id_col), "keep_id", F.col("n").alias("group_size"), (F.col("locator") == F.col("keep_at")).alias("kept"),
+                      F.col("sha").alias("text_sha256"), "locator")

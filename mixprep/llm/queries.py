@@ -68,7 +68,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from mixprep.llm.exact_dedup import exact_dedup
-    return exact_dedup(table(spark, sf_dir, "documents"), f"{sf_dir}/documents.parquet")
+    return exact_dedup(spark, f"{sf_dir}/documents.parquet").drop("locator")
 
 
 def op10_shard_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
