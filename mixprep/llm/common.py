@@ -65,3 +65,25 @@ def keep_columns(df: DataFrame, needed: dict[str, str]) -> DataFrame:
     """Only the columns an operator reads, under its own names: clashing or extra columns of
     the input can then never meet the operator's working columns."""
     return df.select(*[F.col(f"`{c}`").alias(name) for c, name in needed.items()])
+
+
+#: Rows of keys up to which a table of dropped rows is broadcast (at most about 100 MB); beyond, a shuffled join.
+BROADCAST_KEYS = 1_000_000
+
+
+def drop_rows(df: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
+    """``df`` without the rows whose ``key`` is in ``dropped`` (one column, written already). Null keys stay."""
+    dropped = dropped.select(F.col(key).alias("dropped_key")).filter("dropped_key is not null")
+    if dropped.count() <= BROADCAST_KEYS:
+        dropped = F.broadcast(dropped)
+    return df.join(dropped, F.col(key) == F.col("dropped_key"), "left_anti")
+
+
+def filter_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list[bool]]], text_col: str = "text") -> DataFrame:
+    """Rows of ``df``, with all columns, for which the batch function of ``make()`` says True. ``text`` is its only input."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = make()
+        for b in batches:
+            if b.num_rows:
+                yield b.filter(pa.array(test(b.column(text_col)), pa.bool_()))
+    return df.mapInArrow(run, df.schema)

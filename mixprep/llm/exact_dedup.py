@@ -18,7 +18,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from mixprep.llm.common import ASCII_SPACE, keep_columns, scratch_path
+from mixprep.llm.common import ASCII_SPACE, drop_rows, scratch_path, stage
 
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -137,3 +137,23 @@ def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
 def _result(out: DataFrame, id_col: str) -> DataFrame:
     return out.select(F.col("id").alias(id_col), "keep_id", F.col("n").alias("group_size"), (F.col("locator") == F.col("keep_at")).alias("kept"),
                       F.col("sha").alias("text_sha256"), "locator")
+
+
+def source_path(df: DataFrame) -> str:
+    """The Parquet folder or file that ``df`` reads; where it reads none, or not all rows of it, a staged copy."""
+    files = df.inputFiles()
+    if files:
+        path = files[0] if len(files) == 1 else files[0].rsplit("/", 1)[0]
+        if all(f.startswith(path) for f in files) and df.sparkSession.read.parquet(path).count() == df.count():
+            return path
+    path = scratch_path(df.sparkSession, "source")
+    df.write.parquet(path)
+    return path
+
+
+def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, that stay: one of every group of equal texts (see ``exact_dedup``)."""
+    spark, path = df.sparkSession, source_path(df)
+    copies = stage(exact_dedup(spark, path, id_col, text_col).filter("not kept").select(F.col("locator").alias("copy_at")), "copies")
+    at = F.concat_ws("#", F.col("_metadata.file_name"), F.col("_metadata.row_index")).alias("copy_at")
+    return drop_rows(spark.read.parquet(path).select("*", at), copies, "copy_at").select(*[F.col(f"`{c}`") for c in df.columns])

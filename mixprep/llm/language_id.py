@@ -15,13 +15,15 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mixprep.llm.common import arrow_map, keep_columns
+from mixprep.llm.common import arrow_map, filter_rows, keep_columns
 
 #: Bytes of a dictionary and of a chunk; the compression level.
 DICTIONARY_BYTES, CHUNK_BYTES, LEVEL = 192 << 10, 8 << 10, 5
 #: Bytes up to which a text is short, and bytes of the dictionary put before it.
 SHORT_BYTES, PRIMER_BYTES = 1 << 10, 128
 UNKNOWN = "und"
+#: Share of bytes by which the best language must beat the second.
+MIN_MARGIN = 0.002
 _LETTERS = bytes(c if chr(c).isalpha() else 32 for c in range(128)) + bytes(range(128, 256))
 
 
@@ -87,7 +89,7 @@ def learn_profiles(docs: DataFrame, usable: Column | None = None, id_col: str =
     return Profiles({lang: raw for lang, raw in joined.items() if len(raw) >= 8})
 
 
-def language_id(df: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text", min_margin: float = 0.002) -> DataFrame:
+def language_id(df: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text", min_margin: float = MIN_MARGIN) -> DataFrame:
     """Per row: the id column, lang_pred, score (0 to 1: the margin, 0.1 or more counts as 1), rejected.
 
     ``und``, with score 0 and rejected, where the text is null or holds no letter, and for every text where
@@ -98,12 +100,7 @@ def language_id(df: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_
     id_type = df.schema[id_col].dataType.simpleString()
 
     def make():
-        compressors = profiles.compressors()
-
-        def one(text: str | None) -> tuple[str, float]:
-            if not compressors or not text or not any(map(str.isalpha, text)):
-                return UNKNOWN, 0.0
-            return classify(text, compressors, profiles.chunk)
+        one = _predictor(profiles)
 
         def step(batch: pa.RecordBatch) -> dict:
             got = [one(t) for t in batch.column("text").to_pylist()]
@@ -113,3 +110,29 @@ def language_id(df: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_
     out = arrow_map(keep_columns(df, {id_col: "id", text_col: "text"}), make, f"id {id_type}, lang_pred string, margin double")
     return out.select(F.col("id").alias(id_col), "lang_pred", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("margin") * 10)).alias("score"),
                       ((F.col("lang_pred") == UNKNOWN) | (F.col("margin") < min_margin)).alias("rejected"))
+
+
+def _predictor(profiles: Profiles):
+    compressors = profiles.compressors()
+
+    def one(text: str | None) -> tuple[str, float]:
+        if not compressors or not text or not any(map(str.isalpha, text)):
+            return UNKNOWN, 0.0
+        return classify(text, compressors, profiles.chunk)
+    return one
+
+
+def drop_unknown(df: DataFrame, profiles: Profiles, text_col: str = "text", min_margin: float = MIN_MARGIN) -> DataFrame:
+    """The rows, with all their columns, whose language is predicted with a margin of ``min_margin`` at least.
+    Null texts and texts without a letter go. With no profile learned, nothing can be told and all rows stay."""
+    if not profiles.content:
+        return df
+
+    def make():
+        one = _predictor(profiles)
+
+        def keep(texts) -> list[bool]:
+            got = [one(t) for t in texts.to_pylist()]
+            return [lang != UNKNOWN and margin >= min_margin for lang, margin in got]
+        return keep
+    return filter_rows(df, make, text_col)

@@ -24,7 +24,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from mixprep.llm.common import arrow_map, keep_columns, stage
+from mixprep.llm.common import arrow_map, drop_rows, keep_columns, stage
 from mixprep.llm.components import connected_components
 
 #: 20 bands of 5 slots: a pair at similarity 0.85 shares no band with probability 8e-6, at 0.8 with 4e-4.
@@ -270,6 +270,12 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
 
 
+def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
+    """The rows, with all their columns, that stay: of every group of linked documents the one with the smallest id."""
+    found = near_dedup(df, id_col, text_col, percent)
+    return drop_rows(df, stage(found.filter("not kept").select(F.col(id_col)), "near-copies"), id_col)
+
+
 def _repeats(sign: DataFrame) -> bool:
     """Whether an id stands in several rows."""
     return not sign.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()

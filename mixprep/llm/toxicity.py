@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mixprep.llm.common import arrow_map, keep_columns, rate_sample
+from mixprep.llm.common import arrow_map, filter_rows, keep_columns, rate_sample
 
 #: Letters of other scripts that look like Latin ones, and digits and signs that stand for letters.
 HOMOGLYPHS = {"а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ѕ": "s", "ԁ": "d", "ԛ": "q", "һ": "h", "ј": "j",
@@ -45,7 +45,6 @@ def _fold_table() -> dict[int, str]:
 
 
 FOLD = _fold_table()
-_NO_LETTER = {c: " " for c in range(128) if not chr(c).isalpha()}
 #: Folding of plain ASCII at C speed.
 _ASCII_FOLD = bytes(ord((FOLD.get(ord(chr(c).lower()), chr(c).lower())) if chr(c).isalpha() or chr(c) in SUBSTITUTES else " ") for c in range(128)) + bytes(range(128, 256))
 
@@ -225,11 +224,22 @@ def toxicity(df: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col:
     return out.select(F.col("id").alias(id_col), "score", "n_matches", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def labelled_documents(docs: DataFrame, labels: DataFrame, usable: Column, label_col: str = "toxic", id_col: str = "doc_id", max_rows: int = 12_000) -> DataFrame:
+def drop_toxic(df: DataFrame, lexicon: Lexicon, text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+    """The rows, with all their columns, whose text scores below ``threshold``. Null and blank texts hold no match."""
+    lexicon._automaton = None
+
+    def make():
+        own = Lexicon(lexicon.weights, lexicon.exceptions, lexicon.curve)
+        return lambda texts: [own.score(own.features(t or "")) < threshold for t in texts.to_pylist()]
+    return filter_rows(df, make, text_col)
+
+
+def labelled_documents(docs: DataFrame, labels: DataFrame, usable: Column, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text",
+                       max_rows: int = 12_000) -> DataFrame:
     """Texts of labelled rows for ``learn_lexicon``: a bounded hash sample of the labels picks the ids first, so
     only they meet the texts. ``usable`` is a condition on the id column ``id``."""
     ids = keep_columns(labels, {id_col: "id", label_col: "label"}).filter("label is not null").filter(usable)
     ids = rate_sample(ids, "id", max_rows, ids.count())
     ids = F.broadcast(ids.select(F.col("id").alias("label_id"), "label"))  # about max_rows ids at most
-    return docs.select(F.col(f"`{id_col}`").alias("id"), F.col("text")).join(ids, F.col("id") == F.col("label_id")).select(
-        F.col("id").alias(id_col), "text", F.col("label").alias(label_col))
+    return keep_columns(docs, {id_col: "id", text_col: "text"}).join(ids, F.col("id") == F.col("label_id")).select(
+        F.col("id").alias(id_col), F.col("text").alias(text_col), F.col("label").alias(label_col))
