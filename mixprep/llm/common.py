@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,7 +15,7 @@ from mixprep.session import scratch_path, stage
 #: ASCII white space of the contracts, ``[\x20\x09-\x0D]``, as a Java regex.
 ASCII_SPACE = "[\\x20\\x09-\\x0D]+"
 
-__all__ = ["ASCII_SPACE", "arrow_map", "byte_batches", "fold", "keep_columns", "rate_sample", "scratch_path", "stage", "table"]
+__all__ = ["ASCII_SPACE", "arrow_map", "byte_batches", "drop_rows", "filter_rows", "fold", "keep_columns", "rate_sample", "scratch_path", "ship", "stage", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +41,23 @@ def rate_sample(df: DataFrame, key: str, expected: int, total: int, seed: int =
     return df.filter(h < F.lit(cut))
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once a context, so that they need not have it installed."""
+    sc = spark.sparkContext
+    if getattr(sc, "mixprep_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    name = os.path.join(tempfile.mkdtemp(prefix="mixprep-"), "mixprep_code.zip")
+    with zipfile.ZipFile(name, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.join("mixprep", os.path.relpath(path, root)))
+    sc.addPyFile(name)
+    sc.mixprep_shipped = True
+
+
 def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str) -> DataFrame:
     """``mapInArrow`` with a per-task set-up: ``make()`` runs once a task and gives the batch function,
     which returns columns (name -> list or array) in the order of ``schema``."""
@@ -46,6 +66,7 @@ def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]
         for b in batches:
             if b.num_rows:
                 yield pa.RecordBatch.from_pydict(step(b))
+    ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
@@ -86,4 +107,5 @@ def filter_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], lis
         for b in batches:
             if b.num_rows:
                 yield b.filter(pa.array(test(b.column(text_col)), pa.bool_()))
+    ship(df.sparkSession)
     return df.mapInArrow(run, df.schema)

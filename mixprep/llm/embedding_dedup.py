@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from mixprep.llm.common import keep_columns, stage
+from mixprep.llm.common import keep_columns, ship, stage
 from mixprep.llm.components import connected_components
 from mixprep.llm.hnsw import Graph
 
@@ -127,6 +127,7 @@ def embedding_dedup(df: DataFrame, least: float = 0.93, id_col: str = "vec_id",
     vectors linked directly, equal ones included. Ids must be whole numbers that are not repeated; rows with a null
     id are left out. Other columns are not read. No rows in, no rows out.
     """
+    ship(df.sparkSession)
     rows = keep_columns(df, {id_col: "id", vector_col: "v", label_col: "label"}).filter("id is not null")
     rows = rows.select(F.col("id").cast("bigint").alias("id"), F.col("v").cast("array<double>").alias("v"), F.col("label").cast("string").alias("label"))
     bad = F.exists("v", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))

@@ -212,7 +212,10 @@ def read_slots(folder: str, first_slot: int, count: int, window: int, per_shard:
     while slot < first_slot + count:
         shard, at = divmod(slot, per_shard)
         n = min(per_shard - at, first_slot + count - slot)
-        with system.open_input_file(f"{path}/shard-{shard:06d}.bin") as f:
+        name = f"{path}/shard-{shard:06d}.bin"
+        if not system.get_file_info(name).is_file:
+            return                                   # behind the last shard
+        with system.open_input_file(name) as f:
             data = f.read_at(n * stride, at * stride)
         if not data:
             return

@@ -3,9 +3,8 @@
 * Folding: homoglyphs of other scripts and digit or sign substitutions become plain letters, so that
   a disguised word meets its lexicon entry. Letters that one sign may stand for (i, l, 1, !, |) share
   one class. Patterns are folded alike.
-* Lexicon: whole words and word beginnings with a weight each, learned from labelled rows: the
-  log-odds of the share of toxic and of clean documents that hold them, kept only where the lower
-  confidence bound of P(toxic | pattern) is high.
+* Lexicon: whole words and word beginnings with a weight each, learned from labelled rows: by how much the log-odds
+  of a document that holds them, at the lower confidence bound of P(toxic | pattern), exceed those of all.
 * Exception phrases: matches inside one of them do not count.
 * Score: matched weights, and matched weights a word, through a logistic curve fitted to the same rows.
 """
@@ -13,6 +12,7 @@
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 from collections import Counter
 from dataclasses import dataclass, field
@@ -21,44 +21,53 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mixprep.llm.common import arrow_map, filter_rows, keep_columns, rate_sample
+from mixprep.llm.common import arrow_map, filter_rows, keep_columns, rate_sample, ship
+from mixprep.llm.near_dedup import shingle_set
 
 #: Letters of other scripts that look like Latin ones, and digits and signs that stand for letters.
 HOMOGLYPHS = {"а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ѕ": "s", "ԁ": "d", "ԛ": "q", "һ": "h", "ј": "j",
               "к": "k", "м": "m", "т": "t", "в": "b", "н": "h", "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t",
               "υ": "u", "ı": "i", "ɑ": "a", "ɡ": "g", "ⅼ": "l", "ո": "n", "օ": "o"}
-SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "i"}
+SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g"}
+#: Signs that do so only before a letter; elsewhere they are signs.
+SIGNS = {"@": "a", "$": "s", "!": "i", "|": "i"}
 #: Harmless phrases around words that lexicons tend to hold.
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "clown car", "circus clown", "sore loser", "pond scum")
+#: Matched weight above which more adds nothing but density.
+MOST = 30.0
 #: Characters of a word beginning.
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
 
 
 def _fold_table() -> dict[int, str]:
     table = {ord(a): b for a, b in HOMOGLYPHS.items()}
     table |= {ord(a.upper()): b for a, b in HOMOGLYPHS.items() if len(a.upper()) == 1}
     table |= {ord(a): b for a, b in SUBSTITUTES.items()}
-    table |= {c: unicodedata.normalize("NFKC", chr(c)).lower() for c in range(0xFF01, 0xFF5F)}           # full width
+    wide = {c: unicodedata.normalize("NFKC", chr(c)).lower() for c in range(0xFF01, 0xFF5F)}              # full width
+    table |= {c: SUBSTITUTES.get(v, v) if v.isalnum() else " " for c, v in wide.items()}
     table |= {c: "" for c in (0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF, 0xAD)}                              # invisible
     table = {c: "i" if v == "l" else v for c, v in table.items()}
     return table | {ord("l"): "i", ord("L"): "i"}
 
 
 FOLD = _fold_table()
-#: Folding of plain ASCII at C speed.
-_ASCII_FOLD = bytes(ord((FOLD.get(ord(chr(c).lower()), chr(c).lower())) if chr(c).isalpha() or chr(c) in SUBSTITUTES else " ") for c in range(128)) + bytes(range(128, 256))
+#: Folding of plain ASCII at C speed; ``SIGNS`` stay for the pattern below.
+_ASCII_FOLD = bytes(ord(FOLD.get(ord(chr(c).lower()), chr(c).lower())) if chr(c).isalpha() or chr(c) in SUBSTITUTES else c if chr(c) in SIGNS else 32
+                    for c in range(128)) + bytes(range(128, 256))
+_SIGN = re.compile(rb"([@$!|])(?=[a-z\x80-\xff])|[@$!|]+")
 
 
 def fold_text(text: str) -> str:
     """Folded lower-case letters; signs and white space become blanks."""
-    if text.isascii():
-        return text.encode().translate(_ASCII_FOLD).decode("ascii")
-    # Plain letters first, at byte speed: bytes of other letters are all above 127 and stay.
-    text = text.encode("utf-8", "surrogatepass").translate(_ASCII_FOLD).decode("utf-8", "surrogatepass")
-    other = set(text)
-    moved = {c: FOLD[ord(c)] for c in other if ord(c) > 127 and ord(c) in FOLD}
-    for a, b in moved.items():
-        text = text.replace(a, b)
+    raw = text.encode("utf-8", "surrogatepass").translate(_ASCII_FOLD)  # bytes of other letters are above 127 and stay
+    if b"@" in raw or b"$" in raw or b"!" in raw or b"|" in raw:
+        raw = _SIGN.sub(lambda m: SIGNS[m[1].decode()].encode() if m[1] else b" ", raw)
+    if raw.isascii():
+        return raw.decode("ascii")
+    text = raw.decode("utf-8", "surrogatepass")
+    for c in set(text):
+        if ord(c) > 127 and ord(c) in FOLD:
+            text = text.replace(c, FOLD[ord(c)])
     return text.lower()
 
 
@@ -72,7 +81,7 @@ def patterns_of(folded: str) -> set[str]:
 class Lexicon:
     """Folded pattern -> weight; a pattern that ends in ``*`` matches word beginnings, others whole words.
 
-    ``curve`` holds intercept and the slopes of log(1 + matched weight) and of
+    ``curve`` holds intercept and the slopes of the matched weight, up to ``MOST``, and of
     log(1 + 100 * matched weight / (words + 20)).
     """
     weights: dict[str, float]
@@ -122,7 +131,7 @@ class Lexicon:
         if not n:
             return 0.0, 0.0, 0
         words = folded.count(" ") + 1
-        return math.log1p(weight), math.log1p(100 * weight / (words + 20)), n
+        return min(weight, MOST), math.log1p(100 * weight / (words + 20)), n
 
     def score(self, x: tuple[float, float]) -> float:
         a, b, c = self.curve
@@ -151,17 +160,30 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
 
 
 def learn_lexicon(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 12_000,
-                  max_patterns: int = 4_000, min_docs: int = 5, least: float = 0.5, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
+                  max_patterns: int = 4_000, min_docs: int = 5, least: float = 0.35, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """Lexicon and curve from labelled documents.
 
     Learns from all rows up to ``max_rows``, beyond that from a hash sample of that expected size
     (bounded and documented: what the driver receives is at most the patterns held by ``min_docs`` toxic
-    rows of the sample, and three numbers a row). Rows without a label or text are left out; of
-    equal texts one counts. No labelled row, or none of one class: an empty lexicon, which scores all texts alike.
+    rows of the sample, and three numbers a row). Rows without a label are left out. Of texts that share their
+    least shingle hash, as copies and most near copies do, one counts for each label: a copied text says no more
+    about its words than one. No labelled row, or none of one class: an empty lexicon, which scores all texts alike.
     """
     rows = keep_columns(labelled, {id_col: "id", text_col: "text", label_col: "label"}).filter("label is not null")
     rows = rows.select("id", F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("int").alias("label"))
-    rows = rate_sample(rows, "id", max_rows, rows.count()).dropDuplicates(["text"])
+    rows = rate_sample(rows, "id", max_rows, rows.count())
+    ship(labelled.sparkSession)
+
+    def family():
+        def step(batch: pa.RecordBatch) -> dict:
+            sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
+            return {"family": pa.array([int(s[0].astype(np.int64)) if len(s) else None for s in sets], pa.int64()),
+                    **{c: batch.column(c) for c in ("id", "text", "label")}}
+        return step
+
+    id_type = rows.schema["id"].dataType.simpleString()
+    rows = arrow_map(rows, family, f"family bigint, id {id_type}, text string, label int")
+    rows = rows.groupBy("family", "label").agg(F.min(F.struct("id", "text")).alias("first")).select("first.text", "label")
 
     def count(batches):
         seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
@@ -176,15 +198,16 @@ def learn_lexicon(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     rows = rows.repartition(16)
     found = (rows.mapInArrow(count, "pattern string, clean bigint, toxic bigint").groupBy("pattern").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-             .filter(f"pattern = '' or (toxic >= {min_docs} and toxic > clean)").collect())
+             .filter(f"pattern = '' or (toxic >= {min_docs} and toxic > {least} * clean)").collect())
     counts = {r["pattern"]: (r["clean"], r["toxic"]) for r in found}
     n_clean, n_toxic = counts.pop("", (0, 0))
     if not n_clean or not n_toxic:
         return Lexicon({}, exceptions, (math.log((n_toxic + 0.5) / (n_clean + 0.5)), 0.0, 0.0))
     weights = {}
     for p, (clean, toxic) in counts.items():
-        if toxic >= max(min_docs, 0.01 * n_toxic) and _lower_bound(toxic, clean + toxic) >= least:
-            weights[p] = math.log((toxic + 0.5) / (n_toxic + 1)) - math.log((clean + 0.5) / (n_clean + 1))
+        bound = _lower_bound(toxic, clean + toxic)
+        if toxic >= max(min_docs, 0.01 * n_toxic) and bound >= max(least, 2 * n_toxic / (n_clean + n_toxic)):
+            weights[p] = math.log(bound / (1 - bound)) - math.log(n_toxic / n_clean)
     # A word or longer beginning adds nothing to a shorter beginning that weighs as much.
     kept = {p: w for p, w in weights.items() if not any(weights.get(p[:k] + "*", -1e9) >= w - 0.1 for k in PREFIXES if len(p.rstrip("*")) > k)}
     kept = dict(sorted(kept.items(), key=lambda x: (-x[1], x[0]))[:max_patterns])
