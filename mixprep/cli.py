@@ -27,7 +27,7 @@ PRESETS = {
     "v3": {"max_char": 36000, "world_min": 50, "world_sample": 60000, "split_by": "source", "ext": True},
 }
 GENERATED = {"items": "懂物料_ext.jsonl", "users": "懂用户_ext.jsonl", "rec": "懂推荐_ext.jsonl"}
-ANALYZE_CATEGORIES = ("懂推荐", "懂物料", "懂用户")
+OTHER = "other"   # category of files that no listed name matches
 
 _ANY = ("system STRING, prompt STRING, response STRING, instruction STRING, input STRING, output STRING, "
         "history ARRAY<ARRAY<STRING>>")
@@ -45,38 +45,36 @@ def _spark(args):
 
 def build_mix(spark, base_dir: str, ext_dir: str, preset: str, eval_ratio: float = 0.05, seed=42,
               observation=None):
-    """W1 / W2 over the reference's file layout; returns the mixed DataFrame and its recipe parameters."""
+    """W1 / W2 over the reference's file layout; returns the mixed DataFrame, the preset and the recipe."""
     from mixprep.plans.mix import Recipe, Source, run_recipe
-    from mixprep.sources.jsonl import read_sources, with_content_key
+    from mixprep.sources.jsonl import read_sources, staged_with_ids
     p = PRESETS[preset]
-    schema = _schema(_ANY)
-    sources = []
-    for cat, names in BASE_FILES.items():
-        df = with_content_key(read_sources(spark, {cat: [f"{base_dir}/{n}" for n in names]}, schema))
-        sources.append(Source(cat, df, "sample_key", fmt="auto", category=cat, max_char=p["max_char"]))
+    files = {cat: [f"{base_dir}/{n}" for n in names] for cat, names in BASE_FILES.items()}
     if p["ext"]:
-        for name, fname in EXT_FILES.items():
-            df = with_content_key(read_sources(spark, {name: [f"{ext_dir}/{fname}"]}, schema))
-            sources.append(Source(name, df, "sample_key", fmt="auto", max_char=p["max_char"]))
-    world = with_content_key(read_sources(spark, {"w": [f"{ext_dir}/{WORLD_FILE}"]}, schema),
-                             cols=("instruction", "input", "output", "history"))
-    sources.append(Source(WORLD_CATEGORY + ("_ext" if p["ext"] else ""), world, "sample_key", fmt="alpaca",
-                          category=WORLD_CATEGORY, min_char=p["world_min"], max_char=p["max_char"],
-                          sample=p["world_sample"]))
+        files |= {name: [f"{ext_dir}/{fname}"] for name, fname in EXT_FILES.items()}
+    world_name = WORLD_CATEGORY + ("_ext" if p["ext"] else "")
+    files[world_name] = [f"{ext_dir}/{WORLD_FILE}"]
+    # All lines are parsed once into a table laid out by source, with a unique id per row; a source reads its folder.
+    raw = read_sources(spark, files, _schema(_ANY)).withColumnRenamed("category", "src").drop("file_name")
+    raw = staged_with_ids(raw, "mix-raw", partition_by="src")
+    plain = tuple(n for n in files if n != world_name)
+    sources = [Source("plain", raw.filter(F.col("src").isin(*plain)), "sample_key", fmt="auto", max_char=p["max_char"],
+                      name_col="src", names=plain),
+               Source(world_name, raw.filter(F.col("src") == world_name), "sample_key", fmt="alpaca", category=WORLD_CATEGORY,
+                      min_char=p["world_min"], max_char=p["max_char"], sample=p["world_sample"])]
     recipe = Recipe(sources, split_by=p["split_by"], eval_ratio=eval_ratio, seed=seed)
-    return run_recipe(recipe, observation=observation), p
+    return run_recipe(recipe, observation=observation), p, recipe
 
 
 def cmd_mix(args):
     from mixprep.sinks.jsonl import stats_row, write_jsonl, write_stats
     from mixprep.operators.sampling import shuffle_order
     from mixprep.operators.stats import split_counts
-    from pyspark.sql import Observation
+    from mixprep.plans.mix import funnel
     spark = _spark(args)
-    kept = Observation("kept")
-    mixed, p = build_mix(spark, args.base_dir, args.ext_dir, args.preset, args.eval_ratio, args.seed, kept)
-    for name, n in kept.get.items():                                           # A7 (filled by the staging job)
-        print(f"[{name}] kept after filters and sampling: {n}")
+    mixed, p, recipe = build_mix(spark, args.base_dir, args.ext_dir, args.preset, args.eval_ratio, args.seed)
+    for r in funnel(recipe, mixed).orderBy("source").collect():                # A7 (a row per source)
+        print(f"[{r.source}] raw {r.n_raw} -> kept after filters and sampling: {r.n_kept} -> train {r.n_train} / eval {r.n_eval}")
     for r in split_counts(mixed, "category").collect():                        # A1 (a few rows)
         print(f"{r.category}: train {r.n_train} eval {r.n_eval}")
     out = shuffle_order(mixed, "sample_key", seed=f"{args.seed}:order")       # R1 before writing
@@ -112,8 +110,14 @@ def cmd_generate(args):
                  "users": allg.filter(F.col("task") == "next_item"), "rec": allg.filter(F.col("task") == "interest")}
     else:
         long_df = profile_to_long(prof, lists, times, cap=20)
-        nxt, rec = user_samples(long_df, sids, max_users=args.max_users)
+        nxt, rec = user_samples(long_df, sids, max_users=args.max_users, order=args.event_order)
         parts = {"items": item_samples(caps, sids, args.max_materials), "users": nxt, "rec": rec}
+    from mixprep.operators.generate import unknown_domain_rows
+    unknown = unknown_domain_rows(caps).count()
+    if unknown:                                                                            # N8 quarantine
+        path = os.path.join(args.out, "_unknown_domains")
+        unknown_domain_rows(caps).write.mode("overwrite").parquet(path)
+        print(f"  {unknown} captions of unknown domains set aside in {path}")
     from pyspark.sql import Observation
     from mixprep.sources.files import size_bytes
     for key, df in parts.items():
@@ -126,7 +130,7 @@ def cmd_generate(args):
 def cmd_prepare(args):
     from mixprep.plans.prepare import prepare_eval, prepare_train
     from mixprep.operators.encode import pad_batches
-    from mixprep.sources.jsonl import cap_per_file, read_dir, read_jsonl, with_content_key
+    from mixprep.sources.jsonl import cap_per_file, read_dir, read_jsonl, staged_with_ids, with_content_key
     spark = _spark(args)
     schema = _schema("system STRING, prompt STRING, response STRING")
     weights = list(json.loads(args.sample_weights).items()) if args.sample_weights else None
@@ -138,25 +142,24 @@ def cmd_prepare(args):
     else:
         cats = args.categories
         named = cats or ([k for k, _ in weights] if weights else None)
-        train = read_dir(spark, args.data_dir, categories=cats, schema=schema,
+        # Files that no weight names keep all their rows, at weight 1.0.
+        train = read_dir(spark, args.data_dir, categories=cats, schema=schema, other=OTHER,
                          with_category=named if args.weight_mode == "by_column" else None)
-    if "sample_key" not in train.columns:
-        train = with_content_key(train)
+    train = staged_with_ids(train, "train-raw")
+    raw = train.count()                                                          # A7 (from file footers)
     train = cap_per_file(train, args.max_samples)
     if weights and "category" not in train.columns:
         args.weight_mode = "by_content"
     policy = "drop" if args.filter_long_samples else "truncate"
     from pyspark.sql import Observation
-    seen, kept = Observation("raw"), Observation("processed")
-    train = train.observe(seen, F.count(F.lit(1)).alias("rows"))                 # A7, no extra pass
-    out = prepare_train(train, "sample_key", weights, args.weight_mode, args.max_seq_length, policy, args.seed,
-                        unique_ids=False)   # content keys: identical lines share one
+    kept = Observation("processed")
+    out = prepare_train(train, "sample_key", weights, args.weight_mode, args.max_seq_length, policy, args.seed)
     out = out.observe(kept, F.count(F.lit(1)).alias("rows"))
     if args.batch_size:
         out = pad_batches(out.select("draw_id", "input_ids", "attention_mask", "labels"), args.batch_size,
                           "draw_id", max_len=args.max_seq_length, seed=args.seed)
     out.write.mode("overwrite").parquet(os.path.join(args.out, "train"))
-    print(f"raw rows: {seen.get['rows']}  processed rows (after resampling and filters): {kept.get['rows']}")
+    print(f"raw rows: {raw}  processed rows (after resampling and filters): {kept.get['rows']}")
     if args.eval_file:
         ev = with_content_key(read_jsonl(spark, args.eval_file, schema))
         prepare_eval(ev, "sample_key", args.max_seq_length, policy).write.mode("overwrite").parquet(
@@ -165,30 +168,32 @@ def cmd_prepare(args):
 
 def cmd_land(args):
     from mixprep.sinks.jsonl import land_parquet
-    from mixprep.sources.jsonl import read_dir, with_content_key
+    from mixprep.sources.jsonl import read_dir
     spark = _spark(args)
-    cats = args.categories or list(ANALYZE_CATEGORIES)
     df = read_dir(spark, args.data_dir, schema=_schema("system STRING, prompt STRING, response STRING"),
-                  with_category=cats)
-    land_parquet(with_content_key(df), args.out)
+                  with_category=args.categories or True, other=OTHER)
+    land_parquet(df, args.out)
 
 
 def cmd_analyze(args):
-    from mixprep.plans.report import length_report
+    from mixprep.plans.report import length_report, subtypes
+    from mixprep.session import stage
     from mixprep.sources.jsonl import read_dir
     spark = _spark(args)
-    cats = args.categories or list(ANALYZE_CATEGORIES)
     if args.landed:
         from mixprep.sources.jsonl import read_landed
-        df = read_landed(spark, args.landed, cats)
+        df = read_landed(spark, args.landed, args.categories)
     else:
         df = read_dir(spark, args.data_dir, schema=_schema("system STRING, prompt STRING, response STRING"),
-                      with_category=cats)
+                      with_category=args.categories or True, other=OTHER)
+        df = stage(df, "analyze")                                                # lines are parsed once for both tables
     rep = length_report(df)
     if args.out:
         rep.coalesce(1).write.mode("overwrite").json(args.out)
     for r in rep.orderBy("category").collect():   # one row per category
         print(json.dumps(r.asDict(), ensure_ascii=False))
+    for r in subtypes(df).orderBy("category", "rank").collect():   # five per category
+        print(f"  [{r.category}] [{r.n}x] {r.subtype}...")
 
 
 def main(argv=None):
@@ -216,6 +221,8 @@ def main(argv=None):
     g.add_argument("--max-cap-files", dest="max_cap_files", type=int, default=None)
     g.add_argument("--template", choices=["full", "short"], default="full",
                    help="full: 4 domains x 20 items, event history; short: 3 domains x 10 items (older templates)")
+    g.add_argument("--event-order", dest="event_order", choices=["shuffled", "by_domain"], default="shuffled",
+                   help="order of a user's events in next-item samples (full template)")
     g.set_defaults(fn=cmd_generate)
 
     p = sub.add_parser("prepare", help="W4: re-weight, render, tokenize, mask (and pad) the training set")
@@ -248,4 +255,7 @@ def main(argv=None):
     a.set_defaults(fn=cmd_analyze)
 
     args = ap.parse_args(argv)
+    from mixprep import session
+    before = len(session._SCRATCH)
     args.fn(args)
+    session.remove_scratch(_spark(args), keep=before)   # the output is written: intermediate copies go

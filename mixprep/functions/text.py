@@ -126,12 +126,23 @@ def caption_summary(col, max_len: int = 50) -> Column:
 # N2 / N11 / N12 / N15 / S6
 # ---------------------------------------------------------------------------
 
+def _is_pair(p: Column) -> Column:
+    return F.coalesce(F.size(p) == 2, F.lit(False))
+
+
+def history_misfit(history_col) -> Column:
+    """Whether a history holds anything but pairs (then ``history_prefix`` fails, as unpacking does)."""
+    return F.coalesce(F.exists(_c(history_col), lambda p: ~_is_pair(p)), F.lit(False))
+
+
 def history_prefix(history_col) -> Column:
-    """``Previous User: u\\nPrevious Assistant: a\\n\\n`` per pair, in order."""
+    """``Previous User: u\\nPrevious Assistant: a\\n\\n`` per pair, in order. A NULL part reads ``None``; an
+    entry that is not a pair fails the job (``normalize.split_misfits`` sets such rows aside first)."""
     h = F.coalesce(_c(history_col), F.array().cast("array<array<string>>"))
+    part = lambda p, i: F.coalesce(F.get(p, i), F.lit("None"))
     return F.array_join(
-        F.transform(h, lambda p: F.concat(F.lit(HISTORY_USER), F.get(p, 0), F.lit(HISTORY_ASSISTANT),
-                                          F.get(p, 1), F.lit(HISTORY_END))),
+        F.transform(h, lambda p: F.when(_is_pair(p), F.concat(F.lit(HISTORY_USER), part(p, 0), F.lit(HISTORY_ASSISTANT), part(p, 1), F.lit(HISTORY_END)))
+                    .otherwise(F.raise_error(F.lit("a history entry is not a pair")).cast("string"))),
         "")
 
 

@@ -43,21 +43,23 @@ def pad_batches(df: DataFrame, batch_size: int, id_col: str, max_len: int | None
     """Rows in seeded order, cut into batches of ``batch_size``, right-padded to the
     batch's longest row (capped at ``max_len``): ids with ``pad_id``, mask 0, labels -100.
 
-    The batch window partitions by ``batch_id``: groups of ``batch_size`` rows.
+    The batch window partitions by ``batch_id``: groups of ``batch_size`` rows. Only ids and the length of the
+    unsupervised part cross the shuffles; mask and labels are made behind them. Labels must be -100 over a prefix and the
+    ids behind it, as ``encode`` makes them.
     """
-    r = hash_rank(df, [], id_col, seed=seed, out="_rank")
+    other = [c for c in df.columns if c not in ("input_ids", "attention_mask", "labels")]
+    ignored = F.size(F.filter("labels", lambda x: x == IGNORE_INDEX)).alias("_ignored")
+    r = hash_rank(df.select(*other, "input_ids", ignored), [], id_col, seed=seed, out="_rank")
     r = r.withColumn("batch_id", F.floor((F.col("_rank") - 1) / F.lit(int(batch_size))).cast("long"))
     width = F.max(F.size("input_ids")).over(Window.partitionBy("batch_id"))
     if max_len is not None:
         width = F.least(width, F.lit(int(max_len)))
-    r = r.withColumn("width", width.cast("int"))
-    ids = F.slice("input_ids", 1, F.col("width"))
-    labels = F.slice("labels", 1, F.col("width"))
-    pad = F.col("width") - F.size(ids)
+    r = r.withColumn("width", width.cast("int")).withColumn("_ids", F.slice("input_ids", 1, F.col("width")))
+    pad = F.col("width") - F.size("_ids")
+    labels = F.transform("_ids", lambda x, i: F.when(i < F.col("_ignored"), F.lit(IGNORE_INDEX)).otherwise(x))
     return r.select(
-        *[c for c in df.columns if c not in ("input_ids", "attention_mask", "labels")],
-        "batch_id", (F.col("_rank") - 1 - F.col("batch_id") * F.lit(int(batch_size))).cast("int").alias("row_in_batch"),
+        *other, "batch_id", (F.col("_rank") - 1 - F.col("batch_id") * F.lit(int(batch_size))).cast("int").alias("row_in_batch"),
         "width",
-        F.concat(ids, F.array_repeat(F.lit(int(pad_id)), pad)).alias("input_ids"),
-        F.concat(F.array_repeat(F.lit(1), F.size(ids)), F.array_repeat(F.lit(0), pad)).alias("attention_mask"),
+        F.concat("_ids", F.array_repeat(F.lit(int(pad_id)), pad)).alias("input_ids"),
+        F.concat(F.array_repeat(F.lit(1), F.size("_ids")), F.array_repeat(F.lit(0), pad)).alias("attention_mask"),
         F.concat(labels, F.array_repeat(F.lit(IGNORE_INDEX), pad)).alias("labels"))

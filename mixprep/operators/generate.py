@@ -6,6 +6,8 @@ samples taken on the keys *before* rendering.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mixprep.functions.text import DOMAIN_LABEL, caption_summary, domain_label
@@ -36,8 +38,8 @@ TOK2DESC_SYSTEM = {
     "video/ad": "你是一名广告内容理解助手，请根据给定的广告token生成准确、自然的广告内容描述。",
     "video/video": "作为视频内容解析助手，你需要根据提供的短视频标识给出精准的视频内容描述。",
 }
-# Token -> description prompt: "给定{label}token{token}这件{label}有什么特点？/think".
-TOK2DESC_PARTS = ("给定", "token", "这件", "有什么特点？/think")
+# Token -> description prompt, in both templates.
+TOK2DESC_PROMPT = "给定{label}token{token}这件{label}有什么特点？/think"
 THINK_SUFFIX = "/think"
 THINK_OPEN, THINK_CLOSE = "<think>", "</think>\n"
 
@@ -78,33 +80,40 @@ def cap_items(items: DataFrame, max_per_task: int | None, seed=42) -> DataFrame:
     """``max_per_task`` items (hash sample on the item key), before rendering."""
     if max_per_task is None:
         return items
-    keyed = items.withColumn("_item_key", F.concat(F.col("domain"), F.lit(":"), F.col("pid").cast("string")))
-    return sample_n(keyed, max_per_task, "_item_key", seed=seed).drop("_item_key")
+    from mixprep.session import stage
+    keyed = stage(items.select("pid", "domain", F.concat(F.col("domain"), F.lit(":"), F.col("pid").cast("string")).alias("_item_key")), "item-keys")
+    return items.join(sample_n(keyed, max_per_task, "_item_key", seed=seed).drop("_item_key"), ["pid", "domain"], "left_semi")
+
+
+def fill(template: str, **columns: Column) -> Column:
+    """``template`` with ``{name}`` replaced by the column of that name."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[columns[p] if i % 2 else F.lit(p) for i, p in enumerate(parts)])
 
 
-def desc_to_token(items: DataFrame) -> DataFrame:
-    """G1: caption -> token. ``items`` is J1's output (pid, domain, caption, token).
-    Rows of an unknown domain get NULL texts and are dropped (quarantine)."""
-    d = F.col("domain")
-    out = items.select(
-        "pid", "domain", F.lit("desc2tok").alias("task"),
-        _lookup(d, DESC2TOK_SYSTEM).alias("system"),
-        F.concat(_lookup(d, DESC2TOK_PROMPT), F.col("caption"), F.lit(THINK_SUFFIX)).alias("prompt"),
-        _think(caption_summary(F.col("caption")), F.col("token")).alias("response"))
-    return out.filter(F.col("system").isNotNull())
+def _sample(task: str, system: Column, prompt: Column, response: Column) -> Column:
+    return F.struct(F.lit(task).alias("task"), system.alias("system"), prompt.alias("prompt"), response.alias("response"))
 
 
-def token_to_desc(items: DataFrame) -> DataFrame:
+def desc_to_token() -> Column:
+    """G1: caption -> token, as a sample struct over J1's columns. NULL texts where the domain is unknown."""
+    d, caption = F.col("domain"), F.col("caption")
+    return _sample("desc2tok", _lookup(d, DESC2TOK_SYSTEM), F.concat(_lookup(d, DESC2TOK_PROMPT), caption, F.lit(THINK_SUFFIX)),
+                   _think(caption_summary(caption), F.col("token")))
+
+
+def token_to_desc() -> Column:
     """Token -> caption."""
-    d = F.col("domain")
-    lab = domain_label(d, DOMAIN_LABEL)
-    a, b, c, e = TOK2DESC_PARTS
-    out = items.select(
-        "pid", "domain", F.lit("tok2desc").alias("task"),
-        _lookup(d, TOK2DESC_SYSTEM).alias("system"),
-        F.concat(F.lit(a), lab, F.lit(b), F.col("token"), F.lit(c), lab, F.lit(e)).alias("prompt"),
-        _think(caption_summary(F.col("caption")), F.col("caption")).alias("response"))
-    return out.filter(F.col("system").isNotNull())
+    d, caption = F.col("domain"), F.col("caption")
+    return _sample("tok2desc", _lookup(d, TOK2DESC_SYSTEM), fill(TOK2DESC_PROMPT, label=domain_label(d, DOMAIN_LABEL), token=F.col("token")),
+                   _think(caption_summary(caption), caption))
+
+
+def item_tasks(items: DataFrame, *samples: Column) -> DataFrame:
+    """(pid, domain, task, system, prompt, response): every sample struct of every item of J1's output, from one pass
+    over the join. Rows of an unknown domain get NULL texts and are left out (see ``unknown_domain_rows``)."""
+    out = items.select("pid", "domain", F.explode(F.array(*samples)).alias("s")).select("pid", "domain", "s.*")
+    return out.filter(F.col("system").isNotNull() & F.col("prompt").isNotNull())
 
 
 def all_tokens(users: DataFrame) -> Column:
@@ -229,35 +238,18 @@ SHORT_REC_LINES = (
 SHORT_REC_RESPONSE = "<think>根据用户多域行为，偏好相关直播/视频/商品内容。</think>\n该用户最近喜欢的内容有: "
 
 
-def _fill(template: str, label: Column) -> Column:
-    parts = template.split("{label}")
-    out = [F.lit(parts[0])]
-    for p in parts[1:]:
-        out += [label, F.lit(p)]
-    return F.concat(*out)
-
-
-def short_desc_to_token(items: DataFrame) -> DataFrame:
+def short_desc_to_token() -> Column:
     """G1, short template: label-filled texts, the caption's first 50 characters as the thought."""
     lab = domain_label(F.col("domain"), DOMAIN_LABEL)
-    out = items.select(
-        "pid", "domain", F.lit("desc2tok").alias("task"),
-        _fill(SHORT_DESC2TOK_SYSTEM, lab).alias("system"),
-        F.concat(_fill(SHORT_DESC2TOK_PROMPT, lab), F.col("caption")).alias("prompt"),
-        _think(F.substring("caption", 1, SHORT_CAPTION_HEAD), F.col("token")).alias("response"))
-    return out.filter(F.col("system").isNotNull())
+    return _sample("desc2tok", fill(SHORT_DESC2TOK_SYSTEM, label=lab), F.concat(fill(SHORT_DESC2TOK_PROMPT, label=lab), F.col("caption")),
+                   _think(F.substring("caption", 1, SHORT_CAPTION_HEAD), F.col("token")))
 
 
-def short_token_to_desc(items: DataFrame) -> DataFrame:
+def short_token_to_desc() -> Column:
     """G2, short template (the live label reads differently in this direction)."""
     lab = _lookup(F.col("domain"), SHORT_TOK2DESC_LABEL)
-    a, b, c, e = TOK2DESC_PARTS
-    out = items.select(
-        "pid", "domain", F.lit("tok2desc").alias("task"),
-        _lookup(F.col("domain"), SHORT_TOK2DESC_SYSTEM).alias("system"),
-        F.concat(F.lit(a), lab, F.lit(b), F.col("token"), F.lit(c), lab, F.lit(e)).alias("prompt"),
-        _think(F.substring("caption", 1, SHORT_CAPTION_HEAD), F.col("caption")).alias("response"))
-    return out.filter(F.col("system").isNotNull() & F.col("prompt").isNotNull())
+    return _sample("tok2desc", _lookup(F.col("domain"), SHORT_TOK2DESC_SYSTEM), fill(TOK2DESC_PROMPT, label=lab, token=F.col("token")),
+                   _think(F.substring("caption", 1, SHORT_CAPTION_HEAD), F.col("caption")))
 
 
 def short_all_tokens() -> Column:

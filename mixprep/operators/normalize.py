@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from mixprep.functions.text import default_empty, history_prefix, py_strip
+from mixprep.functions.text import default_empty, history_misfit, history_prefix, py_strip
+
+
+def split_misfits(df: DataFrame, history_col: str = "history") -> tuple[DataFrame, DataFrame]:
+    """(rows that can be converted, rows whose history holds an entry that is not a pair)."""
+    bad = history_misfit(history_col)
+    return df.filter(~bad), df.filter(bad)
 
 
 def alpaca_to_sft(df: DataFrame, keep=()) -> DataFrame:
@@ -52,8 +58,11 @@ def chat_to_alpaca(conv: DataFrame, conv_col: str = "conv_id", turn_col: str = "
 
     A conversation becomes one output row, so its turns are bounded by what a row
     can hold; ``lead`` runs per conversation and the pairs are collected once
-    (hash-based object aggregation), the last pair being the last element.
+    (hash-based object aggregation), the last pair being the last element. The system text is that of the
+    first system turn (constant state per conversation). Turns without a conversation id belong to none and are left
+    out (``orphan_turns`` returns them).
     """
+    conv = conv.filter(F.col(conv_col).isNotNull())
     w = Window.partitionBy(conv_col).orderBy(turn_col)
     t = conv.select(conv_col, turn_col, role_col, text_col,
                     F.lead(role_col).over(w).alias("_nrole"), F.lead(text_col).over(w).alias("_ntext"))
@@ -62,9 +71,7 @@ def chat_to_alpaca(conv: DataFrame, conv_col: str = "conv_id", turn_col: str = "
     agg = pairs.groupBy(conv_col).agg(F.sort_array(F.collect_list(F.struct(turn_col, "u", "a"))).alias("_all"))
     agg = agg.withColumn("_last", F.element_at("_all", -1)).withColumn("_lt", F.col("_last")[turn_col])
     hist = F.transform(F.filter("_all", lambda p: p[turn_col] < F.col("_lt")), lambda p: F.array(p["u"], p["a"]))
-    # min over the system turns, as the first of their sorted list (hash-based object aggregation)
-    sysd = (conv.filter(F.col(role_col) == "system").groupBy(conv_col)
-            .agg(F.get(F.sort_array(F.collect_list(text_col)), 0).alias("_instr")))
+    sysd = conv.filter(F.col(role_col) == "system").groupBy(conv_col).agg(F.min_by(text_col, turn_col).alias("_instr"))
     out = agg.join(sysd, conv_col, "left")
     return out.select(
         conv_col,
@@ -72,3 +79,8 @@ def chat_to_alpaca(conv: DataFrame, conv_col: str = "conv_id", turn_col: str = "
         F.col("_last.u").alias("input"),
         F.col("_last.a").alias("output"),
         F.when(F.size(hist) > 0, hist).alias("history"))
+
+
+def orphan_turns(conv: DataFrame, conv_col: str = "conv_id") -> DataFrame:
+    """Turns without a conversation id, which N3 leaves out."""
+    return conv.filter(F.col(conv_col).isNull())

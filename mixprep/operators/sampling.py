@@ -19,6 +19,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from mixprep.functions.hashing import hash_hex, uniform01
 
 _H, _B, _C, _OFF, _N = "_mp_h", "_mp_b", "_mp_c", "_mp_off", "_mp_n"
+#: Hash digits of a bucket: 4096 buckets per group.
+DIGITS = 3
+#: Rows up to which a per-bucket table, written and counted, is broadcast (about 50 MB); beyond, a shuffled join.
+BROADCAST_ROWS = 500_000
 
 
 def _keys(group_cols) -> list[str]:
@@ -58,7 +62,7 @@ def _join_offsets(bucketed: DataFrame, offsets: DataFrame, keys: list[str]) -> D
     return bucketed.join(o, cond, "inner").drop("_mp_bk", *ren.values())
 
 
-def hash_rank(df: DataFrame, group_cols, id_col: str, seed=42, digits: int = 4, out: str = "rn",
+def hash_rank(df: DataFrame, group_cols, id_col: str, seed=42, digits: int = DIGITS, out: str = "rn",
               limit: int | None = None, keep_total: str | None = None) -> DataFrame:
     """1-based position of each row inside its group under ``md5(seed:id)``, ties by id.
 
@@ -74,7 +78,10 @@ def hash_rank(df: DataFrame, group_cols, id_col: str, seed=42, digits: int = 4,
         offs = offs.filter(F.col(_OFF) < F.lit(int(limit)))
     j = _join_offsets(b, offs, keys)
     w = Window.partitionBy(*keys, _B).orderBy(_H, id_col)
-    r = j.withColumn(out, (F.row_number().over(w) + F.col(_OFF)).cast("long"))
+    r = j.withColumn(out, F.row_number().over(w))
+    if limit is not None:  # offsets are never negative: the rank in the bucket alone already bounds it (partial top-k)
+        r = r.filter(F.col(out) <= F.lit(int(limit)))
+    r = r.withColumn(out, (F.col(out) + F.col(_OFF)).cast("long"))
     if limit is not None:
         r = r.filter(F.col(out) <= F.lit(int(limit)))
     if keep_total:
@@ -82,7 +89,7 @@ def hash_rank(df: DataFrame, group_cols, id_col: str, seed=42, digits: int = 4,
     return r.drop(_H, _B, _C, _OFF, _N)
 
 
-def sample_n(df: DataFrame, n: int, id_col: str, group_cols=(), seed=42, digits: int = 4) -> DataFrame:
+def sample_n(df: DataFrame, n: int, id_col: str, group_cols=(), seed=42, digits: int = DIGITS) -> DataFrame:
     """R2: ``n`` rows without replacement per group (all rows when the group is smaller)."""
     return hash_rank(df, group_cols, id_col, seed=seed, digits=digits, out="_mp_rn", limit=n).drop("_mp_rn")
 
@@ -92,21 +99,40 @@ def cap_per_group(df: DataFrame, n: int, group_cols, id_col: str, seed=42, digit
     return sample_n(df, n, id_col, group_cols=group_cols, seed=seed, digits=digits)
 
 
+def number_copies(df: DataFrame, key_col: str, row_col: str, out: str) -> DataFrame:
+    """Unique ids from keys that repeat: ``key`` for the first row of a key, ``key#1``, ``key#2``, ... for the others.
+
+    Copies are numbered in the order of ``md5(copy:row)``, ``row_col`` being unique (e.g. ``session.stage_rows``). Rows that
+    share a key and all fields may change numbers, which changes nothing in a result. Only rows of repeated keys
+    are ranked, in hash buckets, so a line repeated a billion times is spread over all tasks.
+    """
+    from mixprep.session import stage
+    thin = df.select(key_col, row_col)
+    many = stage(thin.groupBy(key_col).agg(F.count(F.lit(1)).alias(_C)).filter(F.col(_C) > 1).select(F.col(key_col).alias("_mp_key")), "repeated-keys")
+    dup = thin.join(many, F.col(key_col) == F.col("_mp_key")).select(key_col, row_col)
+    copy = hash_rank(dup, [key_col], row_col, seed="copy", out="_mp_rn").select(F.col(row_col).alias("_mp_row"), (F.col("_mp_rn") - 1).alias("_mp_copy"))
+    j = df.join(copy, F.col(row_col) == F.col("_mp_row"), "left")
+    key = F.col(key_col).cast("string")
+    unique = F.when(F.col("_mp_copy") > 0, F.concat(key, F.lit("#"), F.col("_mp_copy").cast("string"))).otherwise(key)
+    return j.withColumn(out, unique).drop("_mp_row", "_mp_copy")
+
+
+def _checked(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once; broadcast if it has few rows, else as it is."""
+    from mixprep.session import stage
+    df = stage(df, name)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def split_eval(df: DataFrame, group_cols, id_col: str, ratio: float = 0.05, min_eval: int = 1, seed=42,
-               digits: int = 4, out: str = "split", max_groups: int | None = None) -> DataFrame:
+               digits: int = DIGITS, out: str = "split") -> DataFrame:
     """Per group, the first ``max(min_eval, int(n*ratio))`` shuffled rows are 'eval', the rest 'train'.
 
-    The full rows are computed once and never shuffled. Side passes read only the
-    group and id columns (Catalyst prunes everything else): one counts rows per
-    (group, hash bucket); one ranks the rows of the single bucket per group that
-    straddles the eval boundary and keeps only the last eval row's ``(hash, id)``
-    (one row per group). The main pass joins the small per-bucket table and
-    labels each row by its bucket offset, or, inside the boundary bucket, by
-    comparing its ``(hash, id)`` with the group's threshold.
-
-    ``max_groups`` (e.g. the number of categories of a recipe) proves the size of
-    the per-bucket table (``max_groups * 16**digits`` rows) and lets it be
-    broadcast explicitly; without it AQE decides from runtime sizes.
+    The full rows are computed once and never shuffled. Two side passes read the group and id columns (and what
+    ``df`` needs to compute or filter them): one counts rows per (group, hash bucket); one ranks the rows of
+    the single bucket per group that straddles the eval boundary and keeps only the last eval row's ``(hash, id)``.
+    Their result, a row per bucket, is written, counted and broadcast if it is small; the main pass labels
+    each row by its bucket offset, or, inside the boundary bucket, by comparing its ``(hash, id)`` with the threshold.
     """
     keys = _keys(group_cols)
     b = _bucketed(df, id_col, seed, digits)
@@ -115,23 +141,17 @@ def split_eval(df: DataFrame, group_cols, id_col: str, ratio: float = 0.05, min_
                         F.floor(F.col(_N) * F.lit(float(ratio))).cast("long"))
     offs = offs.withColumn("_mp_ne", n_eval).withColumn(
         "_mp_edge", (F.col(_OFF) < F.col("_mp_ne")) & (F.col(_OFF) + F.col(_C) > F.col("_mp_ne")))
+    offs = _checked(offs.select(*keys, _B, _C, _OFF, "_mp_ne", "_mp_edge"), "split-buckets")
 
     # Threshold (hash, id) of the last eval row, from the boundary buckets only.
-    bounded = max_groups is not None and int(max_groups) * 16 ** digits <= 4_000_000
     slim = _bucketed(df.select(*keys, id_col), id_col, seed, digits)
     edge_offs = offs.filter(F.col("_mp_edge")).select(*keys, _B, _OFF, "_mp_ne")
-    if bounded:  # at most one boundary bucket per group
-        edge_offs = F.broadcast(edge_offs)
     w = Window.partitionBy(*keys, _B).orderBy(_H, id_col)
     thr = (_join_on(slim, edge_offs, keys + [_B])
            .withColumn("_mp_rn", F.row_number().over(w) + F.col(_OFF))
            .filter(F.col("_mp_rn") == F.col("_mp_ne"))
            .select(*keys, _B, F.col(_H).alias("_mp_th"), F.col(id_col).alias("_mp_tid")))
-    if bounded:  # one threshold row per group
-        thr = F.broadcast(thr)
-    table = _join_on(offs.select(*keys, _B, _C, _OFF, "_mp_ne", "_mp_edge"), thr, keys + [_B], how="left")
-    if bounded:
-        table = F.broadcast(table)
+    table = _checked(_join_on(offs, thr, keys + [_B], how="left"), "split-table")
 
     j = _join_on(b, table, keys + [_B])
     in_edge = (F.col(_H) < F.col("_mp_th")) | ((F.col(_H) == F.col("_mp_th")) & (F.col(id_col) <= F.col("_mp_tid")))
@@ -171,7 +191,7 @@ def class_weights(weights: Mapping[str, float] | Sequence[tuple[str, float]], cl
 
 
 def resample_weighted(df: DataFrame, weight_col: str, id_col: str, seed=42, draw_col: str = "draw_id",
-                      digits: int = 4, max_classes: int = 64, unique_ids: bool = True) -> DataFrame:
+                      digits: int = DIGITS, max_classes: int = 64) -> DataFrame:
     """As many draws with replacement as rows, P(row) proportional to its weight.
 
     Rows of equal weight form a class (weights come from a short list, so there
@@ -182,6 +202,13 @@ def resample_weighted(df: DataFrame, weight_col: str, id_col: str, seed=42, draw
     spreads even a class holding most rows over all partitions. The class table
     is fetched to the driver (at most ``max_classes`` rows, checked) and becomes literals.
     """
+    pairs = weighted_draws(df, weight_col, id_col, seed, draw_col, digits, max_classes)
+    return pairs.join(df, pairs["_mp_pick_id"] == df[id_col], "inner").drop("_mp_pick_id")
+
+
+def weighted_draws(df: DataFrame, weight_col: str, id_col: str, seed=42, draw_col: str = "draw_id", digits: int = DIGITS,
+                   max_classes: int = 64) -> DataFrame:
+    """The draws of R4 alone: (draw id, ``_mp_pick_id``: the id of the row drawn), from ids and weights."""
     w = F.col(weight_col).cast("double")
     base = df.withColumn("_mp_w", w)
     # Ranks are computed on (id, weight) only; full rows are fetched once at the end.
@@ -199,7 +226,7 @@ def resample_weighted(df: DataFrame, weight_col: str, id_col: str, seed=42, draw
         hi += float(r["_mp_w"]) * int(r["_mp_nc"])   # same left-to-right sum as the SQL window
         bounds.append((hi, float(r["_mp_w"]), int(r["_mp_nc"])))
     if not bounds:
-        return df.select(F.col(id_col).alias(draw_col), *df.columns).filter(F.lit(False))
+        return df.select(F.col(id_col).alias(draw_col), F.col(id_col).alias("_mp_pick_id")).filter(F.lit(False))
     x = uniform01(draw_col, f"{seed}:class") * F.lit(bounds[-1][0])
     w_pick = n_pick = None
     for b_hi, b_w, b_n in bounds[:-1]:
@@ -214,11 +241,5 @@ def resample_weighted(df: DataFrame, weight_col: str, id_col: str, seed=42, draw
              .select(draw_col, "_mp_dw",
                      F.least(F.floor(uniform01(draw_col, f"{seed}:index") * F.col("_mp_n")).cast("long") + 1,
                              F.col("_mp_n")).alias("_mp_idx")))
-    pairs = (draws.join(ranked, (draws["_mp_dw"] == ranked["_mp_w"]) & (draws["_mp_idx"] == ranked["_mp_rn"]), "inner")
-             .select(draw_col, F.col(id_col).alias("_mp_pick_id")))
-    # With ``unique_ids=False`` (content keys: rows sharing a key are identical) one row
-    # per id is kept, so each draw yields one row; that de-duplication and the join
-    # hash-partition by id alike, so the full rows are still shuffled once.
-    rows = df if unique_ids else df.dropDuplicates([id_col])
-    out = pairs.join(rows, pairs["_mp_pick_id"] == rows[id_col], "inner").drop("_mp_pick_id")
-    return out
+    return (draws.join(ranked, (draws["_mp_dw"] == ranked["_mp_w"]) & (draws["_mp_idx"] == ranked["_mp_rn"]), "inner")
+            .select(draw_col, F.col(id_col).alias("_mp_pick_id")))

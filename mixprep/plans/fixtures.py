@@ -16,10 +16,11 @@ from mixprep.operators.normalize import chat_to_alpaca
 
 # Fixed fixture parameters (FIXTURES.md).
 DOMAIN_BY_MOD4 = ("goods", "live", "video/video", "video/ad")          # p_partkey % 4
-DOMAIN_BY_EVENT = {"purchase": "goods", "view": "live", "click": "video/video", "signup": "video/ad"}
-EVENT_CODE = {"purchase": 0, "view": 1, "click": 2, "signup": 3}
+DOMAIN_BY_EVENT = {"purchase": "goods", "view": "live", "click": "video/video", "signup": "video/ad", "error": "goods"}
+EVENT_CODE = {"purchase": 0, "view": 1, "click": 2, "signup": 3, "error": 0}
 CATEGORY_BY_LANG = {"en": "rec", "fr": "item", "de": "user"}          # everything else: world
-PROFILE_MAX = 100     # list length bound of the wide profile (per user and domain)
+# A profile row holds a user's events of one block of this many event ids, so its lists are bounded and whole.
+PROFILE_BLOCK, USER_STEP = 100_000, 1_000_000_000
 
 # Wide profile columns of the reference, and the domain each list belongs to.
 PROFILE_LISTS = {
@@ -81,8 +82,8 @@ def _domain_of_key(key):
 
 @_per_session
 def item_sid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pid, domain, sid_three; every tenth part left out so look-ups miss."""
-    p = table(spark, sf_dir, "part").filter(F.col("p_partkey") % 10 != 3)
+    """pid, domain, sid_three of every part."""
+    p = table(spark, sf_dir, "part")
     return p.select(
         F.col("p_partkey").alias("pid"),
         _domain_of_key(F.col("p_partkey")).alias("domain"),
@@ -90,9 +91,15 @@ def item_sid(spark: SparkSession, sf_dir: str) -> DataFrame:
                 (F.col("p_partkey") % 8192).cast("int")).alias("sid_three"))
 
 
+@_per_session
+def max_part(spark: SparkSession, sf_dir: str) -> int:
+    """The largest part key: ids above it do not exist, so look-ups of them miss."""
+    return int(table(spark, sf_dir, "part").agg(F.max("p_partkey")).first()[0])
+
+
 @_per_session
 def item_caption(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pid, domain, caption; every fifth caption is a long document text."""
+    """pid, domain, caption; every fifth caption is a whole document text, every tenth belongs to an id that does not exist."""
     p = table(spark, sf_dir, "part")
     d = table(spark, sf_dir, "documents").select(F.col("doc_id"), F.col("text"))
     j = p.join(d, p["p_partkey"] == d["doc_id"], "left")
@@ -103,38 +110,47 @@ def item_caption(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat(F.col("p_name"), F.lit(sep), F.col("p_type"), F.lit(sep), F.col("p_brand"),
                         F.lit(sep + "size "), size)
     short = F.when(k % 3 == 0, joined("。")).when(k % 3 == 1, joined("，")).otherwise(joined(" "))
-    long_ = F.when(k % 5 == 0, F.expr("substring(text, 1, 400)"))
-    return j.select(k.alias("pid"), _domain_of_key(k).alias("domain"), F.coalesce(long_, short).alias("caption"))
+    long_ = F.when(k % 5 == 0, F.col("text"))
+    pid = F.when(k % 10 == 3, k + F.lit(max_part(spark, sf_dir))).otherwise(k)
+    return j.select(pid.alias("pid"), _domain_of_key(k).alias("domain"), F.coalesce(long_, short).alias("caption"))
 
 
 @_per_session
 def behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long form of the user profile: user_id, event_id, ts, ts_us, domain, pid."""
-    e = table(spark, sf_dir, "events").filter(F.col("event_type") != "error")
+    """Long form of the user profile: user_id, event_id, ts, ts_us, domain, pid, one row per event.
+
+    About a tenth of the item ids lie above the largest part key and miss. ``user_id`` tells the blocks of
+    ``PROFILE_BLOCK`` event ids of one user apart.
+    """
+    e = table(spark, sf_dir, "events")
     code = _case(F.col("event_type"), EVENT_CODE, 3)
-    pid = (F.round(F.col("value") * 100).cast("long") * 4 + code) % 2400
+    fold = 4 * -(-max_part(spark, sf_dir) * 11 // 40)
+    pid = (F.round(F.col("value") * 100).cast("long") * 4 + code) % fold
     ts_us = epoch_micros(F.col("ts"))
-    return e.select("user_id", "event_id", "ts", ts_us.alias("ts_us"),
+    user = F.col("user_id") + F.floor(F.col("event_id") / PROFILE_BLOCK) * USER_STEP
+    return e.select(user.cast("long").alias("user_id"), "event_id", "ts", ts_us.alias("ts_us"),
                     _case(F.col("event_type"), DOMAIN_BY_EVENT).alias("domain"), pid.alias("pid"))
 
 
 @_per_session
-def behaviour_head(spark: SparkSession, sf_dir: str, k: int = PROFILE_MAX) -> DataFrame:
-    """First ``k`` events per (user, domain) in time order, with 0-based ``pos``.
+def behaviour_head(spark: SparkSession, sf_dir: str, k: int | None = None) -> DataFrame:
+    """Events per (user, domain) in time order, with 0-based ``pos``; the first ``k`` alone where given.
 
     ``row_number() <= k`` is planned as WindowGroupLimit: each map task keeps at
     most ``k`` rows per key before the shuffle, so a hot user cannot pile up.
     """
     from pyspark.sql import Window
     w = Window.partitionBy("user_id", "domain").orderBy("ts_us", "event_id")
-    b = behaviour(spark, sf_dir).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
+    b = behaviour(spark, sf_dir).withColumn("_rn", F.row_number().over(w))
+    if k is not None:
+        b = b.filter(F.col("_rn") <= k)
     return b.withColumn("pos", (F.col("_rn") - 1).cast("int")).drop("_rn")
 
 
 @_per_session
-def profile(spark: SparkSession, sf_dir: str, k: int = PROFILE_MAX) -> DataFrame:
-    """Wide user profile with the reference's list columns (lists bounded by ``k``)."""
-    h = behaviour_head(spark, sf_dir, k)
+def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide user profile with the reference's list columns; a list holds all events of its block."""
+    h = behaviour_head(spark, sf_dir)
     aggs = []
     for col, dom in PROFILE_LISTS.items():
         aggs.append(F.sort_array(F.collect_list(F.when(F.col("domain") == dom, F.struct("pos", "pid")))).alias(col))

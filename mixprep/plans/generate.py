@@ -18,8 +18,7 @@ SAMPLE_COLS = ["task", "key", "system", "prompt", "response"]
 def item_samples(captions: DataFrame, sids: DataFrame, max_per_task: int | None = None, seed=42) -> DataFrame:
     items = G.cap_items(join_items(captions, sids), max_per_task, seed=seed)
     key = F.concat(F.col("domain"), F.lit(":"), F.col("pid").cast("string")).alias("key")
-    return (G.desc_to_token(items).select("task", key, "system", "prompt", "response")
-            .unionByName(G.token_to_desc(items).select("task", key, "system", "prompt", "response")))
+    return G.item_tasks(items, G.desc_to_token(), G.token_to_desc()).select("task", key, "system", "prompt", "response")
 
 
 def user_table(long_df: DataFrame, sids: DataFrame, cap: int = 20, user_col: str = "user_id") -> DataFrame:
@@ -28,8 +27,9 @@ def user_table(long_df: DataFrame, sids: DataFrame, cap: int = 20, user_col: str
 
 
 def user_samples(long_df: DataFrame, sids: DataFrame, min_tokens: int = 3, max_users: int | None = None,
-                 cap: int = 20, user_col: str = "user_id", seed=42, stage_users: bool = True) -> tuple[DataFrame, DataFrame]:
-    """G3 + G4 from one per-user token table.
+                 cap: int = 20, user_col: str = "user_id", seed=42, stage_users: bool = True,
+                 order: str = "by_domain") -> tuple[DataFrame, DataFrame]:
+    """G3 + G4 from one per-user token table; ``order`` is that of the events of G3.
 
     With ``stage_users`` the table (one row per eligible user, at most 80 tokens)
     is written once to the shared checkpoint folder, so the profile explode, the
@@ -40,14 +40,14 @@ def user_samples(long_df: DataFrame, sids: DataFrame, min_tokens: int = 3, max_u
         from mixprep.session import stage
         users = stage(users, "users")
     key = F.col(user_col).cast("string").alias("key")
-    nxt = G.next_item(users, user_col).select("task", key, "system", "prompt", "response")
+    nxt = G.next_item(users, user_col, order=order, seed=seed).select("task", key, "system", "prompt", "response")
     rec = G.interest(users, user_col).select("task", key, "system", "prompt", "response")
     return nxt, rec
 
 
 def generate_all(captions: DataFrame, sids: DataFrame, long_df: DataFrame, max_per_task: int | None = None,
-                 max_users: int | None = None, min_tokens: int = 3, seed=42) -> DataFrame:
-    nxt, rec = user_samples(long_df, sids, min_tokens=min_tokens, max_users=max_users, seed=seed)
+                 max_users: int | None = None, min_tokens: int = 3, seed=42, order: str = "by_domain") -> DataFrame:
+    nxt, rec = user_samples(long_df, sids, min_tokens=min_tokens, max_users=max_users, seed=seed, order=order)
     return item_samples(captions, sids, max_per_task, seed).unionByName(nxt).unionByName(rec)
 
 
@@ -78,14 +78,15 @@ def generate_short(captions: DataFrame, sids: DataFrame, long_df: DataFrame, max
     from mixprep.operators.sampling import sample_n
     cands = captions
     if max_candidates is not None:
-        keyed = captions.withColumn("_k", F.concat(F.col("domain"), F.lit(":"), F.col("pid").cast("string")))
-        cands = sample_n(keyed, max_candidates, "_k", seed=seed).drop("_k")
+        # The cap ranks keys alone; captions join the few that remain.
+        keyed = captions.select("pid", "domain", F.concat(F.col("domain"), F.lit(":"), F.col("pid").cast("string")).alias("_k"))
+        cands = captions.join(sample_n(keyed, max_candidates, "_k", seed=seed).drop("_k"), ["pid", "domain"], "left_semi")
     items = join_items(cands, sids)
     key = F.concat(F.col("domain"), F.lit(":"), F.col("pid").cast("string")).alias("key")
-    out = (G.short_desc_to_token(items).select("task", key, "system", "prompt", "response")
-           .unionByName(G.short_token_to_desc(items).select("task", key, "system", "prompt", "response")))
+    out = G.item_tasks(items, G.short_desc_to_token(), G.short_token_to_desc()).select("task", key, "system", "prompt", "response")
     seq = sequence_lookup(long_df, sids, user_col=user_col, cap=G.SHORT_ITEMS_PER_DOMAIN)
-    users = user_token_lists(seq, G.SHORT_USER_DOMAINS, user_col=user_col)
+    from mixprep.session import stage
+    users = stage(user_token_lists(seq, G.SHORT_USER_DOMAINS, user_col=user_col), "short-users")   # both generators read it
     if max_users is not None:
         users = sample_n(users.filter(F.size(G.short_all_tokens()) >= 1), max_users, user_col, seed=seed)
     ukey = F.col(user_col).cast("string").alias("key")

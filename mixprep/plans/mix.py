@@ -29,6 +29,8 @@ class Source:
     min_char: int | None = None     # exclusive lower bound (F2)
     max_char: int | None = None     # inclusive upper bound (F1)
     sample: int | None = None       # R2 sample size
+    name_col: str | None = None     # several sources in one frame: the column that names them (``name`` is then unused)
+    names: tuple[str, ...] = ()     # and their names
 
 
 @dataclass
@@ -43,16 +45,17 @@ class Recipe:
 
 
 def prepare_source(src: Source, seed) -> DataFrame:
-    key = F.concat(F.lit(f"{src.name}:"), F.col(src.id_col).cast("string")).alias("sample_key")
+    name = F.col(src.name_col) if src.name_col else F.lit(src.name)
+    key = F.concat(name, F.lit(":"), F.col(src.id_col).cast("string")).alias("sample_key")
+    name = name.alias("source")
     if src.fmt == "alpaca":
-        df = alpaca_to_sft(src.df, keep=[key]).withColumn("is_empty", F.lit(False))
+        df = alpaca_to_sft(src.df, keep=[key, name]).withColumn("is_empty", F.lit(False))
     elif src.fmt == "sft":
-        df = src.df.select(key, "system", "prompt", "response").withColumn("is_empty", F.lit(False))
+        df = src.df.select(key, name, "system", "prompt", "response").withColumn("is_empty", F.lit(False))
         df = df.fillna("", ["system", "prompt", "response"])
     else:
-        df = to_sft(src.df, keep=[key])
-    df = df.withColumn("source", F.lit(src.name)).withColumn(
-        "category", F.lit(src.category) if src.category else alias_merge(F.lit(src.name)))
+        df = to_sft(src.df, keep=[key, name])
+    df = df.withColumn("category", F.lit(src.category) if src.category else alias_merge(F.col("source")))
     n = char_len("system", "prompt", "response")
     if src.min_char is not None:
         df = df.filter(n > F.lit(int(src.min_char)))
@@ -63,6 +66,22 @@ def prepare_source(src: Source, seed) -> DataFrame:
     return df
 
 
+def funnel(recipe: Recipe, mixed: DataFrame) -> DataFrame:
+    """A7 of a recipe: per source the raw rows, those kept by filters and sampling, and the train and eval rows of ``mixed``.
+
+    The raw rows are counted from the inputs alone: no column is read but a name column.
+    """
+    raw = None
+    for s in recipe.sources:
+        one = s.df.select((F.col(s.name_col) if s.name_col else F.lit(s.name)).alias("source"))
+        one = one.groupBy("source").agg(F.count(F.lit(1)).alias("n_raw"))
+        raw = one if raw is None else raw.unionByName(one)
+    after = mixed.groupBy("source").agg(F.count(F.lit(1)).alias("n_kept"), F.count_if(F.col("split") == "train").alias("n_train"),
+                                        F.count_if(F.col("split") == "eval").alias("n_eval"))
+    zero = {c: 0 for c in ("n_kept", "n_train", "n_eval")}
+    return raw.join(after, "source", "left").fillna(zero)
+
+
 def run_recipe(recipe: Recipe, observation=None) -> DataFrame:
     """Union of all prepared sources with a ``split`` column ('train' / 'eval').
 
@@ -70,6 +89,7 @@ def run_recipe(recipe: Recipe, observation=None) -> DataFrame:
     that passed normalisation, filters and sampling (A7), collected during the
     same job that stages the union, without an extra pass.
     """
+    names = [n for s in recipe.sources for n in (s.names or (s.name,))]
     parts = [prepare_source(s, recipe.seed) for s in recipe.sources]
     u = parts[0]
     for p in parts[1:]:
@@ -77,7 +97,7 @@ def run_recipe(recipe: Recipe, observation=None) -> DataFrame:
     if recipe.drop_empty:
         u = u.filter(~F.col("is_empty"))
     if observation is not None:
-        u = u.observe(observation, *[F.count_if(F.col("source") == s.name).alias(s.name) for s in recipe.sources])
+        u = u.observe(observation, *[F.count_if(F.col("source") == n).alias(n) for n in names])
     u = u.select(*OUT_COLS)
     if recipe.stage:
         # The split reads its input three times (counts, boundary threshold, labels).
@@ -87,5 +107,4 @@ def run_recipe(recipe: Recipe, observation=None) -> DataFrame:
         from mixprep.session import stage
         u = stage(u, "mix-stage")
     group = "category" if recipe.split_by == "category" else "source"
-    return split_eval(u, [group], "sample_key", ratio=recipe.eval_ratio, min_eval=recipe.min_eval, seed=recipe.seed,
-                      max_groups=len(recipe.sources))
+    return split_eval(u, [group], "sample_key", ratio=recipe.eval_ratio, min_eval=recipe.min_eval, seed=recipe.seed)

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 from mixprep.functions.text import weight_by_content
 from mixprep.operators.encode import encode
 from mixprep.operators.filters import filter_min_tokens, long_policy
-from mixprep.operators.sampling import class_weights, resample_weighted
+from mixprep.operators.sampling import class_weights, weighted_draws
+from mixprep.session import stage
 
 
 def weights_column(weights: Sequence[tuple[str, float]], mode: str = "by_column", category_col: str = "category",
@@ -27,17 +28,17 @@ def weights_column(weights: Sequence[tuple[str, float]], mode: str = "by_column"
 
 def prepare_train(df: DataFrame, id_col: str, weights: Sequence[tuple[str, float]] | None = None,
                   mode: str = "by_column", max_len: int = 2048, policy: str = "truncate", seed=42,
-                  keep=(), unique_ids: bool = False) -> DataFrame:
-    """Rows drawn by the resampler are fetched once per id (``unique_ids=False``, safe for content
-    keys that identical rows share); ``True`` skips that de-duplication for unique ids."""
-    if weights:
-        df = df.withColumn("_w", weights_column(weights, mode))
-        df = resample_weighted(df, "_w", id_col, seed=seed, max_classes=len(weights) + 1,
-                               unique_ids=unique_ids).drop("_w")
-    else:
-        df = df.withColumn("draw_id", F.col(id_col))
-    enc = encode(df, max_len=max_len, keep=["draw_id", id_col, *keep])
-    return filter_min_tokens(long_policy(enc, max_len, policy))
+                  keep=()) -> DataFrame:
+    """Draws are made from ids and weights alone; a row that is drawn is rendered and tokenized once, and only
+    then multiplied by its draws (all by joins on the id, so its text crosses one shuffle). Ids must be unique."""
+    if not weights:
+        return prepare_eval(df, id_col, max_len, policy, keep)
+    thin = stage(df.select(id_col, weights_column(weights, mode).alias("_w")), "weights")
+    draws = stage(weighted_draws(thin, "_w", id_col, seed=seed, max_classes=len(weights) + 1), "draws")
+    picked = draws.select(F.col("_mp_pick_id").alias("_pick")).distinct()
+    rows = df.join(picked, F.col(id_col) == F.col("_pick"), "left_semi")
+    enc = filter_min_tokens(long_policy(encode(rows, max_len=max_len, keep=[id_col, *keep]), max_len, policy))
+    return draws.join(enc, F.col("_mp_pick_id") == F.col(id_col)).drop("_mp_pick_id")
 
 
 def prepare_eval(df: DataFrame, id_col: str, max_len: int = 2048, policy: str = "truncate", keep=()) -> DataFrame:

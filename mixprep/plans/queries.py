@@ -7,7 +7,7 @@ that an independent engine can be compared value by value.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from mixprep.functions import text as T
 from mixprep.operators import encode as E
@@ -73,6 +73,16 @@ def src_jsonl_scan(spark: SparkSession, d: str) -> DataFrame:
     return df.select(fmt.alias("fmt"), *cols)
 
 
+@query
+def src_jsonl_mixed(spark: SparkSession, d: str) -> DataFrame:
+    """Lines that hold an array of an object, a number and a string; objects stay, scalars go."""
+    root = scratch_path(spark, "jsonl-mixed")
+    s = _sft(spark, d)
+    one = F.to_json(F.struct("sample_id", "system", "prompt", "response"))
+    s.select(F.concat(F.lit("["), one, F.lit(', 3, "x", null, '), one, F.lit("]")).alias("value")).write.text(root)
+    return src.read_jsonl(spark, root, src.as_schema(_SFT_ID), lineage=False)
+
+
 def _landed_dir(spark, d) -> str:
     root = scratch_path(spark, "jsonl-dir")
     sinks.write_jsonl_named(spark, _sft(spark, d), root, "category",
@@ -195,6 +205,15 @@ def norm_alpaca(spark: SparkSession, d: str) -> DataFrame:
     return alpaca_to_sft(fx.alpaca(spark, d), keep=["conv_id"])
 
 
+@query
+def norm_history_nulls(spark: SparkSession, d: str) -> DataFrame:
+    """N2 with NULL parts: every third conversation loses a question or an answer of its history."""
+    def cut(p):
+        return F.array(F.when(F.col("conv_id") % 3 != 1, p[0]), F.when(F.col("conv_id") % 3 != 2, p[1]))
+    a = fx.alpaca(spark, d).withColumn("history", F.transform("history", cut))
+    return a.select("conv_id", T.history_prefix("history").alias("history_text"))
+
+
 @query
 def norm_schema_aware(spark: SparkSession, d: str) -> DataFrame:
     """SFT rows and Alpaca rows in one input; SFT fields pass, Alpaca rows are converted."""
@@ -440,7 +459,7 @@ def sample_n(spark: SparkSession, d: str) -> DataFrame:
 def split_eval(spark: SparkSession, d: str) -> DataFrame:
     """Per category, max(1, int(n*0.05)) eval rows, the rest train."""
     s = _sft(spark, d).select("sample_id", "category")
-    return sampling.split_eval(s, ["category"], "sample_id", ratio=0.05, seed=42, max_groups=len(CATEGORIES))
+    return sampling.split_eval(s, ["category"], "sample_id", ratio=0.05, seed=42)
 
 
 @query
@@ -459,6 +478,51 @@ def resample_by_content(spark: SparkSession, d: str) -> DataFrame:
                                       max_classes=len(WEIGHTS_BY_CONTENT) + 1).select("draw_id", "sample_id", "category")
 
 
+def _keyed_by_text(spark, d) -> DataFrame:
+    """Documents whose only key is their text: copies share it, and are numbered."""
+    docs = fx.table(spark, d, "documents")
+    cat = fx._case(F.col("lang"), fx.CATEGORY_BY_LANG, "world").alias("category")
+    return sampling.number_copies(docs.select(F.md5(F.coalesce("text", F.lit(""))).alias("text_key"), "doc_id", cat), "text_key", "doc_id", "uid")
+
+
+@query
+def number_copies(spark: SparkSession, d: str) -> DataFrame:
+    """X1 with repeated keys: every row of a repeated text has an id of its own."""
+    return _keyed_by_text(spark, d).select("doc_id", "category", "uid")
+
+
+@query
+def split_eval_dups(spark: SparkSession, d: str) -> DataFrame:
+    """R3 over rows that share keys: still exactly max(1, int(n*0.05)) eval rows per category."""
+    return sampling.split_eval(_keyed_by_text(spark, d).select("doc_id", "uid", "category"), ["category"], "uid", seed=42)
+
+
+@query
+def resample_dups(spark: SparkSession, d: str) -> DataFrame:
+    """R4 over rows that share keys: every copy draws by itself, as many draws as rows."""
+    s = _keyed_by_text(spark, d).select("uid", "category").withColumn("w", sampling.class_weights(WEIGHTS_BY_COLUMN, "category"))
+    return sampling.resample_weighted(s, "w", "uid", seed=42, max_classes=len(WEIGHTS_BY_COLUMN) + 1).select("draw_id", "uid", "category")
+
+
+@query
+def weights_default(spark: SparkSession, d: str) -> DataFrame:
+    """R4's weights where no entry names a category: such rows are kept at 1.0."""
+    s = _sft(spark, d).select("sample_id", "category")
+    return s.withColumn("w", sampling.class_weights((("rec", 3.0),), "category"))
+
+
+@query
+def shuffle_written(spark: SparkSession, d: str) -> DataFrame:
+    """R1 as written: the shuffled rows through the writer, read back, numbered by file and row."""
+    out = scratch_path(spark, "shuffled")
+    sampling.shuffle_order(_sft(spark, d).select("sample_id", "category"), "sample_id", seed="42:order").write.parquet(out)
+    back = spark.read.parquet(out).select("sample_id", "category", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    before = back.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy(F.lit(0)).orderBy("file").rowsBetween(Window.unboundedPreceding, -1)   # a row per file
+    before = before.select("file", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("before"))
+    return back.join(before, "file").select("sample_id", "category", (F.col("before") + F.col("row") + 1).alias("pos"))
+
+
 @query
 def subtype_top5(spark: SparkSession, d: str) -> DataFrame:
     """A5 + R5: 5 most frequent system prefixes (30 chars) per category."""
@@ -474,7 +538,7 @@ def mix_counts(spark: SparkSession, d: str) -> DataFrame:
     """A1: samples -> F1(12288) -> R3 per category -> train/eval counts with total row."""
     s = filters.filter_max_len(_sft(spark, d), V2_MAX_CHAR)
     s = sampling.split_eval(s.select("sample_id", "category", "system", "prompt", "response"),
-                            ["category"], "sample_id", ratio=0.05, seed=42, max_groups=len(CATEGORIES))
+                            ["category"], "sample_id", ratio=0.05, seed=42)
     return stats.split_counts(s, "category")
 
 
@@ -558,17 +622,21 @@ def pad_batches(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def _base_sources(spark, d, max_char):
-    s = _sft(spark, d)
-    return [W12.Source(c, s.filter(F.col("category") == c), "sample_id", fmt="sft", max_char=max_char)
-            for c in ("rec", "item", "user")]
+    names = ("rec", "item", "user")   # one scan for the three
+    s = _sft(spark, d).filter(F.col("category").isin(*names))
+    return [W12.Source("base", s, "sample_id", fmt="sft", max_char=max_char, name_col="category", names=names)]
+
+
+def _recipe_v2(spark, d):
+    world = W12.Source("world", fx.alpaca(spark, d), "conv_id", fmt="alpaca", min_char=WORLD_MIN_CHAR,
+                       max_char=V2_MAX_CHAR, sample=WORLD_SAMPLE)
+    return W12.Recipe(_base_sources(spark, d, V2_MAX_CHAR) + [world], split_by="category")
 
 
 @query
 def mix_v2(spark: SparkSession, d: str) -> DataFrame:
     """rec/item/user F1(12288) + world (Alpaca, 50 < len <= 12288, sample 60); split per category."""
-    world = W12.Source("world", fx.alpaca(spark, d), "conv_id", fmt="alpaca", min_char=WORLD_MIN_CHAR,
-                       max_char=V2_MAX_CHAR, sample=WORLD_SAMPLE)
-    return W12.run_recipe(W12.Recipe(_base_sources(spark, d, V2_MAX_CHAR) + [world], split_by="category"))
+    return W12.run_recipe(_recipe_v2(spark, d))
 
 
 @query
@@ -589,6 +657,28 @@ def mix_v3(spark: SparkSession, d: str) -> DataFrame:
     return W12.run_recipe(W12.Recipe(srcs, split_by="source"))
 
 
+@query
+def mix_funnel_recipe(spark: SparkSession, d: str) -> DataFrame:
+    """A7 of the v2 mixture: raw, kept, train and eval rows per source."""
+    recipe = _recipe_v2(spark, d)
+    return W12.funnel(recipe, W12.run_recipe(recipe))
+
+
+@query
+def mix_v3_alpaca_files(spark: SparkSession, d: str) -> DataFrame:
+    """W2's Alpaca-form files, which have no ids: two files of one source with the same lines, read back, keyed by
+    content, copies numbered, split per source."""
+    root = scratch_path(spark, "alpaca-files")
+    a = fx.alpaca(spark, d).select("instruction", "input", "output")
+    for name in ("one", "two"):
+        sinks.write_jsonl(a, f"{root}/{name}", cols=("instruction", "input", "output"))
+    schema = src.as_schema("system STRING, prompt STRING, response STRING, instruction STRING, input STRING, output STRING")
+    rows = src.read_sources(spark, {"item_ext": [f"{root}/one", f"{root}/two"]}, schema).drop("file_name", "category")
+    rows = src.staged_with_ids(rows, "alpaca-rows")
+    source = W12.Source("item_ext", rows, "sample_key", fmt="auto", max_char=V3_MAX_CHAR)
+    return W12.run_recipe(W12.Recipe([source], split_by="source"))
+
+
 def _short_long(spark, d):
     return lookup.profile_to_long(fx.profile(spark, d), fx.PROFILE_LISTS, fx.PROFILE_TIMES, cap=G.SHORT_ITEMS_PER_DOMAIN)
 
@@ -642,10 +732,16 @@ def generate_all(spark: SparkSession, d: str) -> DataFrame:
     return W3.generate_all(fx.item_caption(spark, d), fx.item_sid(spark, d), _user_long(spark, d))
 
 
+@query
+def generate_all_shuffled(spark: SparkSession, d: str) -> DataFrame:
+    """W3 with the seeded shuffle of each user's events."""
+    return W3.generate_all(fx.item_caption(spark, d), fx.item_sid(spark, d), _user_long(spark, d), order="shuffled")
+
+
 @query
 def encode_pipeline(spark: SparkSession, d: str) -> DataFrame:
     """Split; train resampled by category weight; both encoded (2048), F3 truncate, F4."""
-    s = sampling.split_eval(_sft(spark, d), ["category"], "sample_id", seed=42, max_groups=len(CATEGORIES))
+    s = sampling.split_eval(_sft(spark, d), ["category"], "sample_id", seed=42)
     s = stage(s, "encode-split")   # both branches and the resampler's passes read it
     train = W4.prepare_train(s.filter(F.col("split") == "train"), "sample_id", WEIGHTS_BY_COLUMN,
                              max_len=2048, keep=["category"])
@@ -663,3 +759,9 @@ def length_report(spark: SparkSession, d: str) -> DataFrame:
     df = src.read_dir(spark, _landed_dir(spark, d), schema=src.as_schema(_SFT_ID), with_category=CATEGORIES)
     return W5.length_report(df)
 
+
+
+@query
+def length_report_subtypes(spark: SparkSession, d: str) -> DataFrame:
+    """W5's sub-types: the five most frequent beginnings of the system text per category, with their share."""
+    return W5.subtypes(_sft(spark, d))

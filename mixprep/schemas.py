@@ -1,16 +1,9 @@
 """Declared schemas (no inference pass on read)."""
 
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 SFT = StructType([StructField("system", StringType()), StructField("prompt", StringType()),
                   StructField("response", StringType())])
 ALPACA = StructType([StructField("instruction", StringType()), StructField("input", StringType()),
                      StructField("output", StringType()),
                      StructField("history", ArrayType(ArrayType(StringType())))])
-ITEM_SID = StructType([StructField("pid", LongType()), StructField("domain", StringType()),
-                       StructField("sid_three", ArrayType(IntegerType()))])
-ITEM_CAPTION = StructType([StructField("pid", LongType()), StructField("domain", StringType()),
-                           StructField("caption", StringType())])
-ENCODED = StructType([StructField("input_ids", ArrayType(IntegerType())),
-                      StructField("attention_mask", ArrayType(IntegerType())),
-                      StructField("labels", ArrayType(IntegerType()))])

@@ -58,21 +58,40 @@ def get_spark(app: str = "mixprep", master: str | None = None,
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/mixprep-checkpoints") -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    A folder of our own is set only when the session has none (local tests).
+    A folder of our own is set only when a local session has none. On a cluster a folder of one machine
+    would hold only what that machine's executors write, so there an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf and not (sc.master or "").split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     sc.setCheckpointDir(conf or fallback)
     return sc.getCheckpointDir()
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/mixprep-{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(f"{base}/mixprep-{name}-{uuid.uuid4().hex[:12]}")
+    return _SCRATCH[-1]
+
+
+def remove_scratch(spark: SparkSession, keep: int = 0) -> int:
+    """Delete the scratch folders this process has asked for after the first ``keep``; nothing lazy may read them any more.
+
+    The command line calls it when a command has written its output.
+    """
+    n = 0
+    while len(_SCRATCH) > keep:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return n
 
 
 def stage(df, name: str):
@@ -86,3 +105,19 @@ def stage(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def stage_rows(df, name: str, partition_by: str | None = None, row_col: str = "_row"):
+    """``stage`` with a unique row id: the name of the staged file and the row in it, the same in every later pass.
+
+    ``partition_by`` lays the copy out by a column, so a filter on it reads only its folders.
+    """
+    from pyspark.sql import functions as F
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    w = df.write.mode("overwrite")
+    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+    schema = df.schema
+    back = spark.read.schema(schema).parquet(path)
+    at = F.concat_ws("/", *([F.col(partition_by).cast("string")] if partition_by else []), F.col("_metadata.file_name"), F.col("_metadata.row_index").cast("string"))
+    return back.select(*df.columns, at.alias(row_col))

@@ -42,8 +42,7 @@ def write_jsonl_named(spark: SparkSession, df: DataFrame, root: str, name_col: s
         name = unquote(d.rstrip("/").rsplit("/", 1)[-1].split("=", 1)[1])
         for i, f in enumerate(p for p in files.list_files(spark, d, "part-*")):
             dst = f"{root.rstrip('/')}/{name}_{i:05d}.jsonl"
-            files.rename(spark, f, dst)
-            out.append(dst)
+            out.append(files.rename(spark, f, dst))
     return out
 
 

@@ -37,9 +37,14 @@ def list_dirs(spark: SparkSession, directory: str) -> list[str]:
     return sorted(st.getPath().toString() for st in fs.listStatus(p) if st.isDirectory())
 
 
-def rename(spark: SparkSession, src: str, dst: str) -> bool:
+def rename(spark: SparkSession, src: str, dst: str) -> str:
+    """Move a file, making the folder it goes to; a refusal is an error, never a lost file."""
     fs, p = _fs(spark, src)
-    return bool(fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(dst)))
+    to = spark._jvm.org.apache.hadoop.fs.Path(dst)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(p, to):
+        raise OSError(f"could not move {src} to {dst}")
+    return dst
 
 
 def first_files(spark: SparkSession, directory: str, n: int | None, pattern: str = "*") -> list[str]:

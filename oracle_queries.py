@@ -21,13 +21,13 @@ item_sid AS (
   SELECT p_partkey AS pid,
          CASE p_partkey % 4 WHEN 0 THEN 'goods' WHEN 1 THEN 'live' WHEN 2 THEN 'video/video' ELSE 'video/ad' END AS domain,
          [CAST(substr(p_brand, 7) AS INT), p_size, CAST(p_partkey % 8192 AS INT)] AS sid_three
-  FROM part WHERE p_partkey % 10 <> 3)"""
+  FROM part)"""
 
 FIX["item_caption"] = """
 item_caption AS (
-  SELECT p_partkey AS pid,
+  SELECT CASE WHEN p_partkey % 10 = 3 THEN p_partkey + (SELECT max(p_partkey) FROM part) ELSE p_partkey END AS pid,
          CASE p_partkey % 4 WHEN 0 THEN 'goods' WHEN 1 THEN 'live' WHEN 2 THEN 'video/video' ELSE 'video/ad' END AS domain,
-         coalesce(CASE WHEN p_partkey % 5 = 0 THEN substr(d.text, 1, 400) END,
+         coalesce(CASE WHEN p_partkey % 5 = 0 THEN d.text END,
            CASE p_partkey % 3
              WHEN 0 THEN p_name || '。' || p_type || '。' || p_brand || '。size ' || CAST(p_size AS VARCHAR)
              WHEN 1 THEN p_name || '，' || p_type || '，' || p_brand || '，size ' || CAST(p_size AS VARCHAR)
@@ -36,18 +36,18 @@ item_caption AS (
 
 FIX["behaviour"] = """
 behaviour AS (
-  SELECT user_id, event_id, ts, epoch_us(ts) AS ts_us,
-         CASE event_type WHEN 'purchase' THEN 'goods' WHEN 'view' THEN 'live'
+  SELECT CAST(user_id + event_id // 100000 * 1000000000 AS BIGINT) AS user_id, event_id, ts, epoch_us(ts) AS ts_us,
+         CASE event_type WHEN 'purchase' THEN 'goods' WHEN 'view' THEN 'live' WHEN 'error' THEN 'goods'
                          WHEN 'click' THEN 'video/video' WHEN 'signup' THEN 'video/ad' END AS domain,
          (CAST(round(value * 100) AS BIGINT) * 4
-          + CASE event_type WHEN 'purchase' THEN 0 WHEN 'view' THEN 1 WHEN 'click' THEN 2 ELSE 3 END) % 2400 AS pid
-  FROM events WHERE event_type <> 'error')"""
+          + CASE event_type WHEN 'purchase' THEN 0 WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'error' THEN 0 ELSE 3 END)
+         % (SELECT 4 * CAST(ceil(max(p_partkey) * 11 / 40.0) AS BIGINT) FROM part) AS pid
+  FROM events)"""
 
 FIX["behaviour_head"] = """
 behaviour_head AS (
-  SELECT * FROM (
-    SELECT *, CAST(row_number() OVER (PARTITION BY user_id, domain ORDER BY ts_us, event_id) - 1 AS INT) AS pos
-    FROM behaviour) WHERE pos < 100)"""
+  SELECT *, CAST(row_number() OVER (PARTITION BY user_id, domain ORDER BY ts_us, event_id) - 1 AS INT) AS pos
+  FROM behaviour)"""
 
 FIX["profile"] = """
 profile AS (
@@ -73,11 +73,11 @@ FIX["alpaca"] = """
 alpaca AS (
   WITH t AS (SELECT conv_id, turn, role, text,
                     lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS nrole,
-                    lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS ntext FROM conversations),
+                    lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS ntext FROM conversations WHERE conv_id IS NOT NULL),
        p AS (SELECT conv_id, turn, text AS u, ntext AS a,
                     row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back
              FROM t WHERE role = 'user' AND nrole = 'assistant'),
-       s AS (SELECT conv_id, min(text) AS instruction FROM conversations WHERE role = 'system' GROUP BY conv_id)
+       s AS (SELECT conv_id, arg_min(text, turn) AS instruction FROM conversations WHERE role = 'system' GROUP BY conv_id)
   SELECT p.conv_id, coalesce(min(s.instruction), '') AS instruction,
          min(CASE WHEN back = 1 THEN u END) AS input, min(CASE WHEN back = 1 THEN a END) AS output,
          list([u, a] ORDER BY turn) FILTER (WHERE back > 1) AS history
@@ -145,8 +145,8 @@ def summary(c: str, n: int = 50) -> str:
 
 
 def history(h: str) -> str:
-    return (f"coalesce(array_to_string(list_transform({h}, lambda p: 'Previous User: ' || p[1] || "
-            f"{q(chr(10) + 'Previous Assistant: ')} || p[2] || {q(chr(10) * 2)}), ''), '')")
+    return (f"coalesce(array_to_string(list_transform({h}, lambda p: 'Previous User: ' || coalesce(p[1], 'None') || "
+            f"{q(chr(10) + 'Previous Assistant: ')} || coalesce(p[2], 'None') || {q(chr(10) * 2)}), ''), '')")
 
 
 def prefix_text(s: str, p: str) -> str:
@@ -189,7 +189,7 @@ items_j AS (
 
 def item_samples_sql(src: str = "items_j") -> str:
     label = case_map("domain", _T.DOMAIN_LABEL)
-    a, b, c, e = _G.TOK2DESC_PARTS
+    a, b, c, e = "给定", "token", "这件", "有什么特点？/think"
     doms = ", ".join(q(d) for d in _G.DESC2TOK_SYSTEM)
     nl = chr(10)
     return f"""
@@ -616,7 +616,7 @@ def _fill_sql(template: str, label: str) -> str:
 def short_items_sql(src: str) -> str:
     lab = case_map("domain", _T.DOMAIN_LABEL)
     lab2 = case_map("domain", _G.SHORT_TOK2DESC_LABEL)
-    a, b, c, e = _G.TOK2DESC_PARTS
+    a, b, c, e = "给定", "token", "这件", "有什么特点？/think"
     doms = ", ".join(q(d) for d in _G.DESC2TOK_SYSTEM)
     nl = chr(10)
     return f"""
@@ -705,3 +705,62 @@ FROM alpaca""")
 # The files of the first two domains in name order (goods, live).
 Q["src_file_limit"] = with_(["item_sid"], """
 SELECT pid, domain, array_to_string(sid_three, ',') AS sid FROM item_sid WHERE domain IN ('goods', 'live')""")
+
+# Rows whose only key is their text.
+FIX["keyed"] = f"""
+keyed AS (
+  SELECT doc_id, category, text_key || CASE WHEN c > 0 THEN '#' || CAST(c AS VARCHAR) ELSE '' END AS uid
+  FROM (SELECT doc_id, CASE lang WHEN 'en' THEN 'rec' WHEN 'fr' THEN 'item' WHEN 'de' THEN 'user' ELSE 'world' END AS category,
+               md5(coalesce(text, '')) AS text_key,
+               row_number() OVER (PARTITION BY md5(coalesce(text, '')) ORDER BY md5('copy:' || CAST(doc_id AS VARCHAR)), doc_id) - 1 AS c
+        FROM documents))"""
+Q["number_copies"] = with_(["keyed"], "\nSELECT doc_id, category, uid FROM keyed")
+Q["split_eval_dups"] = with_(["keyed"], f"""
+SELECT doc_id, uid, category, {split_case('rn', 'n')} AS split
+FROM (SELECT *, {hrank('category', 'uid', '42')} AS rn, count(*) OVER (PARTITION BY category) AS n FROM keyed)""")
+Q["resample_dups"] = with_(["keyed"], f"""
+, sw AS (SELECT uid AS sample_id, category, {WEIGHTS_SQL} AS w FROM keyed)
+{resample_sql('sw')}
+SELECT draw_id, sample_id AS uid, category FROM drawn""")
+Q["weights_default"] = with_(["samples"], """
+SELECT sample_id, category, CAST(CASE WHEN category = 'rec' THEN 3.0 ELSE 1.0 END AS DOUBLE) AS w FROM samples""")
+Q["shuffle_written"] = with_(["samples"], f"\nSELECT sample_id, category, {hrank('', 'sample_id', '42:order')} AS pos FROM samples")
+Q["norm_history_nulls"] = with_(["alpaca"], f"""
+, cut AS (SELECT conv_id, list_transform(history, lambda p: [CASE WHEN conv_id % 3 <> 1 THEN p[1] END,
+                                                             CASE WHEN conv_id % 3 <> 2 THEN p[2] END]) AS h FROM alpaca)
+SELECT conv_id, {history('h')} AS history_text FROM cut""")
+Q["src_jsonl_mixed"] = with_(["samples"], """
+SELECT sample_id, system, prompt, response FROM samples UNION ALL SELECT sample_id, system, prompt, response FROM samples""")
+_names2, _body2 = mix_sql(2)
+Q["mix_funnel_recipe"] = with_(_names2, _body2 + """
+, raw AS (SELECT category AS source, count(*) AS n_raw FROM samples WHERE category IN ('rec', 'item', 'user') GROUP BY ALL
+          UNION ALL SELECT 'world', count(*) FROM alpaca)
+SELECT raw.source, n_raw, count(mix.source) AS n_kept, count(*) FILTER (WHERE split = 'train') AS n_train,
+       count(*) FILTER (WHERE split = 'eval') AS n_eval
+FROM raw LEFT JOIN mix ON mix.source = raw.source GROUP BY raw.source, n_raw""")
+Q["mix_v3_alpaca_files"] = with_(["alpaca"], f"""
+, one AS (SELECT instruction, input, output, md5(concat_ws(chr(1), chr(2), chr(2), chr(2), coalesce(instruction, chr(2)), coalesce(input, chr(2)),
+                                                           coalesce(output, chr(2)))) AS k FROM alpaca)
+, lines AS (SELECT * FROM one UNION ALL SELECT * FROM one)
+, ids AS (SELECT *, row_number() OVER (PARTITION BY k) - 1 AS c FROM lines)
+, u AS (SELECT 'item_ext' AS source, 'item' AS category, 'item_ext:' || k || CASE WHEN c > 0 THEN '#' || CAST(c AS VARCHAR) ELSE '' END AS sample_key,
+               {strip("coalesce(instruction, '')")} AS system, {strip("coalesce(input, '')")} AS prompt, {strip("coalesce(output, '')")} AS response FROM ids)
+, f AS (SELECT * FROM u WHERE {char_len('system', 'prompt', 'response')} <= 36000 AND NOT (prompt = '' AND response = ''))
+SELECT source, category, sample_key, system, prompt, response, {split_case('rn', 'n')} AS split
+FROM (SELECT *, {hrank('', 'sample_key', '42')} AS rn, count(*) OVER () AS n FROM f)""")
+Q["generate_all_shuffled"] = with_(USER_CTES + ["item_caption", "items_j", "item_samples", "interest"], f"""
+, evs AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY md5('42:' || CAST(user_id AS VARCHAR) || ':' ||
+                                                                      CAST(e - 1 AS VARCHAR))) AS e2
+          FROM ev WHERE user_id IN (SELECT user_id FROM elig))
+SELECT task, key, system, prompt, response FROM item_samples
+UNION ALL SELECT task, key, system, prompt, response FROM interest
+UNION ALL SELECT 'next_item' AS task, CAST(user_id AS VARCHAR) AS key, '' AS system,
+       {q(_G.USER_PROMPT_HEAD)} || coalesce(string_agg({event_line()}, {q(chr(10))} ORDER BY e2)
+           FILTER (WHERE e2 < n_ev AND e2 <= 20), '') AS prompt,
+       {q('<think>' + chr(10) + '</think>' + chr(10) + '["')} || max(tok) FILTER (WHERE e2 = n_ev) || '"]' AS response
+FROM evs GROUP BY user_id""")
+Q["length_report_subtypes"] = with_(["samples"], """
+, c AS (SELECT category, substr(coalesce(system, ''), 1, 30) AS subtype, count(*) AS n FROM samples GROUP BY ALL)
+SELECT category, rank, subtype, n, CAST(floor(n * 100 / total) AS BIGINT) AS pct FROM (
+  SELECT *, row_number() OVER (PARTITION BY category ORDER BY n DESC, subtype) AS rank, sum(n) OVER (PARTITION BY category) AS total FROM c)
+WHERE rank <= 5""")

@@ -7,7 +7,7 @@ import pytest
 from mixprep.plans import fixtures as fx
 
 COUNTS = {  # view: (sf0.001, sf0.01)
-    "item_sid": (180, 1800), "item_caption": (200, 2000), "behaviour": (799, 7986), "profile": (15, 150),
+    "item_sid": (200, 2000), "item_caption": (200, 2000), "behaviour": (1000, 10000), "profile": (15, 150),
     "samples": (200, 1000), "alpaca": (16, 98),
 }
 

@@ -91,7 +91,7 @@ def test_skewed_group_split_rank_and_resample(spark):
     """One group holds 90% of the rows: results stay exact."""
     n = 200_000
     df = spark.range(n).withColumn("g", F.when(F.col("id") % 10 == 0, "small").otherwise("hot"))
-    c = {(r.g, r.split): r["count"] for r in sampling.split_eval(df, ["g"], "id", max_groups=2)
+    c = {(r.g, r.split): r["count"] for r in sampling.split_eval(df, ["g"], "id")
          .groupBy("g", "split").count().collect()}
     assert c[("hot", "eval")] == int(180_000 * 0.05) and c[("small", "eval")] == int(20_000 * 0.05)
     r = sampling.hash_rank(df, ["g"], "id").groupBy("g").agg(F.min("rn"), F.max("rn"), F.countDistinct("rn")).collect()

@@ -42,7 +42,7 @@ def main() -> None:
     df = spark.range(n).withColumn("g", F.when(F.col("id") % 10 == 0, "small").otherwise("hot"))
     weighted = df.withColumn("w", F.when(F.col("g") == "hot", 1.0).otherwise(9.0))
     for name, out in (("hash_rank", sampling.hash_rank(df, ["g"], "id")),
-                      ("split_eval", sampling.split_eval(df, ["g"], "id", max_groups=2)),
+                      ("split_eval", sampling.split_eval(df, ["g"], "id")),
                       ("resample", sampling.resample_weighted(weighted, "w", "id", max_classes=2))):
         spark.sparkContext.setJobDescription(name)
         out.write.format("noop").mode("overwrite").save()
