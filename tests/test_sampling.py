@@ -99,3 +99,49 @@ def test_skewed_group_split_rank_and_resample(spark):
     s = sampling.resample_weighted(df.withColumn("w", F.when(F.col("g") == "hot", 1.0).otherwise(9.0)), "w", "id",
                                    max_classes=2)
     assert s.count() == n
+
+
+def test_copies_are_numbered_once_each(spark):
+    """One key has 90 % of the rows: all get ids of their own, and the split of them is exact."""
+    df = spark.range(20_000).withColumn("key", F.when(F.col("id") % 10 > 0, F.lit("hot")).otherwise(F.col("id").cast("string")))
+    ids = sampling.number_copies(df, "key", "id", "uid")
+    assert ids.count() == 20_000 and ids.select("uid").distinct().count() == 20_000
+    hot = {r.uid for r in ids.filter("key = 'hot'").collect()}
+    assert hot == {"hot"} | {f"hot#{i}" for i in range(1, 18_000)}
+    split = sampling.split_eval(ids.withColumn("g", F.lit("x")), ["g"], "uid")
+    assert split.filter("split = 'eval'").count() == 1_000
+
+
+def test_result_does_not_depend_on_which_copy_got_which_number(spark):
+    rows = [("a", "x")] * 30 + [("b", "y")] * 5 + [(f"k{i}", "z") for i in range(40)]
+    sets = []
+    for order in (1, -1):
+        df = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(rows[::order])], "key string, v string, row long")
+        out = sampling.split_eval(sampling.number_copies(df, "key", "row", "uid").withColumn("g", F.lit(0)), ["g"], "uid", ratio=0.3)
+        sets.append(Counter((r.key, r.v, r.split) for r in out.collect()))
+    assert sets[0] == sets[1]
+
+
+def test_a_large_bucket_table_is_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "BROADCAST_ROWS", 10)
+    df = spark.range(5000).withColumn("g", (F.col("id") % 50).cast("string"))
+    out = sampling.split_eval(df, ["g"], "id")
+    assert out.filter("split = 'eval'").count() == 50 * 5
+
+
+def test_scratch_is_removed_and_a_cluster_needs_a_shared_folder(spark):
+    from mixprep import session
+    before = len(session._SCRATCH)
+    path = session.scratch_path(spark, "t-remove")
+    spark.range(3).write.parquet(path)
+    assert session.remove_scratch(spark, keep=before) == 1 and len(session._SCRATCH) == before
+
+    class Fake:
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:
+            get = staticmethod(lambda k, d=None: d)
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Fake)

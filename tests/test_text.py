@@ -74,3 +74,36 @@ def test_category_from_name_and_alias(spark):
     got = [r[0] for r in df.select(T.category_from_name("n", ["懂推荐", "懂物料"])).collect()]
     assert got == ["懂推荐", "懂物料", None]
     assert _one(spark, [("懂世界_ext",)], T.alias_merge("s")) == ["懂世界"]
+
+
+def test_history_with_missing_parts_and_misfits(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    from mixprep.functions.text import history_prefix
+    from mixprep.operators.normalize import orphan_turns, chat_to_alpaca, split_misfits
+    df = spark.createDataFrame([(1, [["u1", None], ["u2", "a2"]]), (2, [["u3"]]), (3, None), (4, [None])], "id long, history array<array<string>>")
+    good, bad = split_misfits(df)
+    assert sorted(r.id for r in bad.collect()) == [2, 4]
+    text = {r.id: r.t for r in good.select("id", history_prefix("history").alias("t")).collect()}
+    assert text == {1: "Previous User: u1\nPrevious Assistant: None\n\nPrevious User: u2\nPrevious Assistant: a2\n\n", 3: ""}
+    with pytest.raises(Exception):
+        df.select(history_prefix("history")).collect()
+    conv = spark.createDataFrame([(1, 0, "system", "z first"), (1, 1, "system", "a second"), (1, 2, "user", "q"), (1, 3, "assistant", "r"),
+                                  (None, 0, "user", "x"), (None, 1, "assistant", "y")], "conv_id long, turn int, role string, text string")
+    assert [(r.conv_id, r.instruction) for r in chat_to_alpaca(conv).collect()] == [(1, "z first")]
+    assert orphan_turns(conv).count() == 2
+
+
+def test_fixed_texts_letter_by_letter():
+    """The texts that must equal the reference's, written out again."""
+    from mixprep.operators import generate as G
+    assert G.DESC2TOK_SYSTEM["goods"] == "作为商品标识生成助手，你需要根据给定的商品描述输出匹配的商品token。"
+    assert G.DESC2TOK_SYSTEM["video/ad"] == "你擅长根据广告内容、风格和主题描述，输出对应的广告token。"
+    assert G.DESC2TOK_PROMPT["video/video"] == "基于这段短视频描述，生成最匹配的短视频token："
+    assert G.TOK2DESC_SYSTEM["live"] == "你是一名主播内容理解助手，请根据给定的主播token生成准确、自然的主播内容描述。"
+    assert G.TOK2DESC_PROMPT == "给定{label}token{token}这件{label}有什么特点？/think"
+    assert G.REC_SYSTEM == "你负责根据用户多域行为理解用户兴趣偏好，并输出该用户在各场景中的目标内容。"
+    assert [x[1] for x in G.REC_LINES] == ["用户在直播域: 关注了主播 ", "用户视频行为: 深度观看了 ", "用户购物行为: 浏览了商品 ", "用户广告行为: 点击了 "]
+    assert G.USER_EVENT_ACTION == {"live": "直播-关注", "video": "视频-观看", "goods": "商品-购买", "ad": "广告-点击"}
+    assert G.SHORT_USER_TAIL == "\n请预测该用户下一个可能交互的内容。"
+    assert G.SHORT_REC_RESPONSE == "<think>根据用户多域行为，偏好相关直播/视频/商品内容。</think>\n该用户最近喜欢的内容有: "
