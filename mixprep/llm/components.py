@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, functions as F
 from mixprep.llm.common import stage
 
 
-def _star(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The edges (u, v) and, written, the smallest ``v`` of each ``u``."""
-    return edges, stage(edges.groupBy("u").agg(F.min("v").alias("m")), "cc-min")
+def _least(edges: DataFrame) -> DataFrame:
+    """(u, m), written: the smallest ``v`` of each ``u``."""
+    return stage(edges.groupBy("u").agg(F.min("v").alias("m")), "cc-min")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -30,8 +30,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if (r["n"], r["h"]) == mark or not r["n"]:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
         mark = (r["n"], r["h"])
-        both, least = _star(now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))))
-        large = stage(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct(), "cc-large")
-        down, least = _star(large)
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = stage(both.join(_least(both), "u").filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct(), "cc-large")
+        least = _least(large)
         own = least.select("u", F.col("m").alias("v"))
-        now = stage(down.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(own).distinct(), "cc")
+        now = stage(large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(own).distinct(), "cc")

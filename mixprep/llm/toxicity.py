@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from mixprep.llm.common import arrow_map, filter_rows, keep_columns, rate_sample, ship
+from mixprep.llm.common import arrow_map, filter_rows, keep_columns, rate_sample, ship, stage
 from mixprep.llm.near_dedup import shingle_set
 
 #: Letters of other scripts that look like Latin ones, and digits and signs that stand for letters.
@@ -184,6 +184,7 @@ def learn_lexicon(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "
     id_type = rows.schema["id"].dataType.simpleString()
     rows = arrow_map(rows, family, f"family bigint, id {id_type}, text string, label int")
     rows = rows.groupBy("family", "label").agg(F.min(F.struct("id", "text")).alias("first")).select("first.text", "label")
+    rows = stage(rows.repartition(16), "labelled")   # bounded; both passes below read it
 
     def count(batches):
         seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
@@ -196,7 +197,6 @@ def learn_lexicon(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "
         yield pa.RecordBatch.from_pydict({"pattern": ["", *names], "clean": pa.array([total[0], *(seen[0][p] for p in names)], pa.int64()),
                                           "toxic": pa.array([total[1], *(seen[1][p] for p in names)], pa.int64())})
 
-    rows = rows.repartition(16)
     found = (rows.mapInArrow(count, "pattern string, clean bigint, toxic bigint").groupBy("pattern").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
              .filter(f"pattern = '' or (toxic >= {min_docs} and toxic > {least} * clean)").collect())
     counts = {r["pattern"]: (r["clean"], r["toxic"]) for r in found}

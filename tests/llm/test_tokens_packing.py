@@ -49,7 +49,7 @@ def test_ids_of_real_texts(library):
 
 def test_every_piece_of_the_vocabulary_is_reached_by_ranks(library):
     """The ranks give the merges of the file: each whole word of the vocabulary is one token."""
-    words = [w[:-4] for w in library.get_vocab() if w.endswith("</w>") and word_tokens.SIMPLE.fullmatch(w[:-4])]
+    words = [w[:-4] for w in library.get_vocab() if w.endswith("</w>") and w[:-4].isalpha()]
     table = word_tokens.WordTokens(PATH, "ids")
     got = table.values(words)
     want = library.encode_batch(words, add_special_tokens=False)
