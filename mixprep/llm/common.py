@@ -58,14 +58,18 @@ def ship(spark: SparkSession) -> None:
     sc.mixprep_shipped = True
 
 
-def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str) -> DataFrame:
+#: Rows of an Arrow batch that become Python objects at once.
+STEP_ROWS = 1_024
+
+
+def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str, rows: int = STEP_ROWS) -> DataFrame:
     """``mapInArrow`` with a per-task set-up: ``make()`` runs once a task and gives the batch function,
-    which returns columns (name -> list or array) in the order of ``schema``."""
+    which returns columns (name -> list or array) in the order of ``schema``. It gets ``rows`` rows at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for b in batches:
-            if b.num_rows:
-                yield pa.RecordBatch.from_pydict(step(b))
+            for k in range(0, b.num_rows, rows):
+                yield pa.RecordBatch.from_pydict(step(b.slice(k, rows)))
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
@@ -105,7 +109,8 @@ def filter_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], lis
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         test = make()
         for b in batches:
-            if b.num_rows:
-                yield b.filter(pa.array(test(b.column(text_col)), pa.bool_()))
+            for k in range(0, b.num_rows, STEP_ROWS):
+                part = b.slice(k, STEP_ROWS)
+                yield part.filter(pa.array(test(part.column(text_col)), pa.bool_()))
     ship(df.sparkSession)
     return df.mapInArrow(run, df.schema)

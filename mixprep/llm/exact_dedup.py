@@ -25,6 +25,8 @@ ROCKSDB = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",  # a store's native memory goes with its task
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else every partition reserves megabytes of disk
 }
 
