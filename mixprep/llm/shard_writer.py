@@ -107,7 +107,10 @@ def _file_system(uri: str):
 def write_shards(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", window: int = 256, end_id: int = 1, pad_id: int = 0,
                  key: int = 20_240, shard_bytes: int = SHARD_BYTES, dtype: str = "<u2", out: str | None = None) -> DataFrame:
     """Write the sequences of all documents; one row per sequence: id column, start, length, index, slot, shard, byte_offset,
-    ids_crc32, file.
+    ids_crc32, file, folder: the manifest.
+
+    The files are written by the tasks that make the manifest's rows, so when the returned frame is first evaluated, as a rule by
+    writing it; evaluating it again writes the same bytes again.
 
     A document's ids, with ``end_id`` behind them, are cut into windows; each is a sequence of ``length`` ids, padded with
     ``pad_id`` to a record of ``window`` ids of ``dtype`` (little-endian unsigned). Files go to ``out``, by default a fresh folder in the
@@ -150,7 +153,8 @@ def write_shards(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             for a, b in zip(cuts, [*cuts[1:], len(order)]):
                 part = order[a:b]
                 raw = b"".join([data[i][s * stride:(s + 1) * stride] for i, s in zip(row[part].tolist(), k[part].tolist())])
-                blocks.append(squeeze.compress(pickle.dumps((slot[part], index[part], [ids[i] for i in row[part].tolist()], k[part] * window, length[part], raw), protocol=4)))
+                blocks.append(squeeze.compress(pickle.dumps((slot[part], [ids[i] for i in row[part].tolist()], k[part].astype(np.int32),
+                                                             length[part].astype(np.int32), raw), protocol=4)))
             return {"shard": pa.array(shard[cuts], pa.int32()), "block": pa.array(blocks, pa.binary())}
         return step
 
@@ -166,28 +170,27 @@ def write_shards(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 held.setdefault(s, []).append(block)
         for s in sorted(held):
             parts = [pickle.loads(grow.decompress(x)) for x in held.pop(s)]
-            slot = np.concatenate([p[0] for p in parts])
+            slot, k, length = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in (0, 2, 3))
             order = np.argsort(slot)
-            length = np.concatenate([p[4] for p in parts])
-            begin = np.cumsum(length) - length
-            raw = b"".join([p[5] for p in parts])
+            flat = np.frombuffer(b"".join([p[4] for p in parts]), dtype)
+            inside = np.arange(window) < length[:, None]
             record = np.full((len(slot), window), pad_id, dtype)
-            flat = np.frombuffer(raw, dtype)
-            for j, i in enumerate(order.tolist()):
-                record[j, :length[i]] = flat[begin[i]:begin[i] + length[i]]
+            record[inside] = flat
+            record = record[order]
             name = f"shard-{s:06d}.bin"
             put(out, name, record.tobytes())
-            ids = [x for p in parts for x in p[2]]
-            sorted_ = lambda k: np.concatenate([p[k] for p in parts])[order]
+            ids = [x for p in parts for x in p[1]]
+            slot, length = slot[order], length[order]
             yield pa.RecordBatch.from_pydict({
-                "id": [ids[i] for i in order.tolist()], "start": sorted_(3), "length": length[order].astype(np.int64), "index": sorted_(1), "slot": slot[order],
-                "shard": np.full(len(slot), s, np.int32), "byte_offset": np.arange(len(slot)) * stride,
-                "ids_crc32": np.array([zlib.crc32(record[j, :n].tobytes()) for j, n in enumerate(length[order].tolist())], np.int64), "file": [name] * len(slot)}, schema=schema)
+                "id": [ids[i] for i in order.tolist()], "start": k[order] * window, "length": length,
+                "index": feistel(slot, total, key, inverse=True), "slot": slot, "shard": np.full(len(slot), s, np.int32),
+                "byte_offset": np.arange(len(slot)) * stride,
+                "ids_crc32": np.array([zlib.crc32(r[:n]) for r, n in zip(record, length.tolist())], np.int64), "file": [name] * len(slot)}, schema=schema)
 
-    blocks = arrow_map(docs.join(firsts, "row").select("id", "first", "ids"), make_blocks, "shard int, block binary")
+    blocks = arrow_map(docs.join(firsts, "row").select("id", "first", "ids"), make_blocks, "shard int, block binary", rows=1 << 20)
     rows = blocks.repartitionById(shards, "shard").mapInArrow(write, f"id {id_type}, start bigint, length bigint, index bigint, slot bigint, shard int, "
                                                               "byte_offset bigint, ids_crc32 bigint, file string")
-    return stage(rows.withColumn("folder", F.lit(out)), "manifest").withColumnRenamed("id", id_col)
+    return rows.withColumn("folder", F.lit(out)).withColumnRenamed("id", id_col)
 
 
 def _arrow_type(name: str) -> pa.DataType:
