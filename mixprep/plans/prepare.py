@@ -9,9 +9,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from mixprep.functions.text import weight_by_content
+from mixprep.functions.text import IM_END, chat_prefix_text, default_empty, weight_by_content
+from mixprep.functions.tokenize import token_count
 from mixprep.operators.encode import encode
-from mixprep.operators.filters import filter_min_tokens, long_policy
+from mixprep.operators.filters import long_policy
 from mixprep.operators.sampling import class_weights, weighted_draws
 from mixprep.session import stage
 
@@ -26,6 +27,15 @@ def weights_column(weights: Sequence[tuple[str, float]], mode: str = "by_column"
     raise ValueError(f"unknown mode {mode!r}")
 
 
+def _long_enough(df: DataFrame, max_len: int, policy: str, min_exclusive: int = 10) -> DataFrame:
+    """F3 and F4 before encoding, from counted matches: a filter on the encoded arrays would be pushed below shuffles and
+    joins and make the arrays a second time there."""
+    n = token_count(chat_prefix_text("system", "prompt")) + token_count(F.concat(default_empty("response"), F.lit(f"{IM_END}\n")))
+    n = F.least(n, F.lit(int(max_len))) if policy == "truncate" else n
+    df = df.withColumn("_n", n)
+    return long_policy(df, max_len, policy, "_n").filter(F.least("_n", F.lit(int(max_len))) > F.lit(min_exclusive)).drop("_n")
+
+
 def prepare_train(df: DataFrame, id_col: str, weights: Sequence[tuple[str, float]] | None = None,
                   mode: str = "by_column", max_len: int = 2048, policy: str = "truncate", seed=42,
                   keep=()) -> DataFrame:
@@ -36,11 +46,12 @@ def prepare_train(df: DataFrame, id_col: str, weights: Sequence[tuple[str, float
     thin = stage(df.select(id_col, weights_column(weights, mode).alias("_w")), "weights")
     draws = stage(weighted_draws(thin, "_w", id_col, seed=seed, max_classes=len(weights) + 1), "draws")
     picked = draws.select(F.col("_mp_pick_id").alias("_pick")).distinct()
-    rows = df.join(picked, F.col(id_col) == F.col("_pick"), "left_semi")
-    enc = filter_min_tokens(long_policy(encode(rows, max_len=max_len, keep=[id_col, *keep]), max_len, policy))
+    # Dealt by id first: the joins on the id keep that, and tokenizing runs as wide as the shuffle, however few files there are.
+    rows = _long_enough(df, max_len, policy).repartition(F.col(id_col)).join(picked, F.col(id_col) == F.col("_pick"), "left_semi")
+    enc = encode(rows, max_len=max_len, keep=[id_col, *keep])
     return draws.join(enc, F.col("_mp_pick_id") == F.col(id_col)).drop("_mp_pick_id")
 
 
 def prepare_eval(df: DataFrame, id_col: str, max_len: int = 2048, policy: str = "truncate", keep=()) -> DataFrame:
-    enc = encode(df.withColumn("draw_id", F.col(id_col)), max_len=max_len, keep=["draw_id", id_col, *keep])
-    return filter_min_tokens(long_policy(enc, max_len, policy))
+    df = _long_enough(df, max_len, policy)
+    return encode(df.withColumn("draw_id", F.col(id_col)), max_len=max_len, keep=["draw_id", id_col, *keep])
