@@ -1,14 +1,20 @@
-"""SentencePiece encoding and decoding (2): batched Viterbi in numpy.
+"""SentencePiece encoding and decoding (2): batched merging (BPE models) or Viterbi (unigram models) in numpy.
 
 A text with its blanks escaped falls into units: a run of blanks and the word behind it. Pieces hold blanks only at their
-beginning, so the best segmentation of a text is that of its units, one by one. Units of equal length advance
-together: at every end position the hashes of all substrings that end there probe the sorted keys of the pieces, and
-vectorised maxima keep score and backpointer. A character that no piece holds becomes its UTF-8 bytes.
-The segmentation is the one with the highest sum of piece scores; ties go to the longest last piece.
+beginning, so the segmentation of a text is that of its units, one by one. A character that no piece holds becomes
+its UTF-8 bytes.
+
+BPE (``MergedPieces``): the two neighbours whose joint piece scores best merge first, the leftmost of equals, until none
+do. Units are cut between characters that stand together in no piece; cuts of equal length advance together, one
+merge each a round.
+Unigram (``Pieces``): the segmentation with the highest sum of piece scores; ties go to the longest last piece. Units of
+equal length advance together: at every end position the hashes of all substrings that end there probe the sorted keys
+of the pieces, and vectorised maxima keep score and backpointer.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 
@@ -23,13 +29,15 @@ BLANK = "▁"
 #: What a character without a piece costs more than the worst piece.
 UNKNOWN_PENALTY = 10.0
 BATCH_BYTES = 4 << 20
+#: Characters that merge in one numpy batch, and the length from which a cut merges by a heap, alone.
+MERGE_CHARS, LONG_CUT = 200_000, 64
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNIT = re.compile(" +[^ ]*")
 _of_process: dict = {}
 
 
 class Pieces(WordTable):
-    """The pieces of a model file; ``values(units)`` gives the ids of units as little-endian 32-bit bytes.
+    """The pieces of a model file; ``values(units)`` gives the ids of units, by Viterbi, as little-endian 32-bit bytes.
 
     A unit is named without its first blank: ``"word"`` for one blank and a word.
     """
@@ -61,9 +69,9 @@ class Pieces(WordTable):
 
     @classmethod
     def of(cls, path: str) -> "Pieces":
-        if path not in _of_process:
-            _of_process[path] = cls(path)
-        return _of_process[path]
+        if (cls, path) not in _of_process:
+            _of_process[cls, path] = cls(path)
+        return _of_process[cls, path]
 
     @staticmethod
     def _hash(piece: str) -> int:
@@ -150,6 +158,143 @@ class Pieces(WordTable):
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
+class MergedPieces(Pieces):
+    """The pieces of a BPE model; ``values(units)`` gives the library's ids."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        import sentencepiece
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        names = [model.id_to_piece(i) for i in self.ids.tolist()]
+        if any(model.is_unused(i) for i in range(model.get_piece_size())) or any(kind == _USER_DEFINED for kind in _spec(path)[1]):
+            raise ValueError("unused and user-defined pieces of BPE models are not merged by score alone")
+        self.ranks = np.unique(self.scores, return_inverse=True)[1].astype(np.int32)
+        self.rank_of = dict(zip(names, self.ranks.tolist()))
+        self.at = {name: k for k, name in enumerate(names)}
+        self.together = np.array(sorted({ord(a) << 32 | ord(b) for name in names for a, b in zip(name, name[1:])}), np.uint64)
+
+    def _find(self, h: np.ndarray, lengths: np.ndarray | int) -> np.ndarray:
+        """Places of pieces by hash and length; -1 for no piece."""
+        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+        return np.where((self.keys[at] == h) & (self.lengths[at] == lengths), at, -1).astype(np.int32)
+
+    def merge(self, chars: np.ndarray, piece: np.ndarray) -> None:
+        """For cuts (n x length, code points): ``piece`` (n x length), which has the piece of every character, gets that of
+        every merged piece at its begin, and -2 behind it."""
+        n, length = chars.shape
+        prefix = np.zeros((n, length + 1), np.uint64)
+        for k in range(length):
+            prefix[:, k + 1] = prefix[:, k] * _BASE + chars[:, k] + np.uint64(1)
+        after = np.tile(np.arange(1, length + 2, dtype=np.int32), (n, 1))
+        before = np.tile(np.arange(-1, length, dtype=np.int32), (n, 1))
+        joint = np.full((n, length), -1, np.int32)       # the piece of a symbol and its right neighbour, and its rank
+        joint[:, :-1] = self._find(prefix[:, 2:] - prefix[:, :-2] * self.power[2], 2)
+        rank = np.where(joint >= 0, self.ranks[joint], -1)
+
+        def look(rows: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+            size = end - begin
+            fits = size <= self.longest
+            h = prefix[rows, end] - prefix[rows, begin] * self.power[np.where(fits, size, 0)]
+            found = np.where(fits, self._find(h, size), -1)
+            joint[rows, begin], rank[rows, begin] = found, np.where(found >= 0, self.ranks[found], -1)
+
+        rows = np.arange(n)
+        while True:
+            at = rank[rows].argmax(axis=1)
+            live = rank[rows, at] >= 0
+            rows, at = rows[live], at[live]
+            if not len(rows):
+                return
+            gone = after[rows, at]
+            end = after[rows, gone]
+            piece[rows, at], piece[rows, gone] = joint[rows, at], -2
+            rank[rows, gone], rank[rows, at] = -1, -1
+            after[rows, at], before[rows, end] = end, at
+            more = end < length
+            look(rows[more], at[more], after[rows[more], end[more]])
+            more = at > 0
+            look(rows[more], before[rows[more], at[more]], end[more])
+
+    def _merge_long(self, text: str, piece: np.ndarray) -> None:
+        """``merge`` for one long cut."""
+        after, before, heap = list(range(1, len(text) + 2)), list(range(-1, len(text))), []
+        alive = [True] * len(text)
+
+        def look(begin: int, end: int) -> None:
+            rank = self.rank_of.get(text[begin:end]) if end - begin <= self.longest else None
+            if rank is not None:
+                heapq.heappush(heap, (-rank, begin, end))
+
+        for b in range(len(text) - 1):
+            look(b, b + 2)
+        while heap:
+            _, b, end = heapq.heappop(heap)
+            gone = after[b]
+            if not alive[b] or gone >= end or after[gone] != end:
+                continue
+            piece[b], piece[gone], alive[gone] = self.at[text[b:end]], -2, False
+            after[b], before[end] = end, b
+            if end < len(text):
+                look(b, after[end])
+            if b > 0:
+                look(before[b], end)
+
+    def _encode(self, units: list[str]) -> dict:
+        out: dict = {}
+        for a, b in byte_batches([len(u) + 1 for u in units], MERGE_CHARS):
+            self._encode_some(units[a:b], out)
+        return out
+
+    def _encode_some(self, units: list[str], out: dict) -> None:
+        text = "".join([BLANK + u.replace(" ", BLANK) for u in units])
+        chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        stop = np.cumsum([len(u) + 1 for u in units])
+        piece = self._find(chars + np.uint64(1), 1)
+        pair = chars[:-1] << np.uint64(32) | chars[1:]
+        place = np.minimum(np.searchsorted(self.together, pair), len(self.together) - 1)
+        cut = np.concatenate(([True], self.together[place] != pair))
+        cut[stop[:-1]] = True
+        begin = np.flatnonzero(cut)
+        size = np.diff(begin, append=len(chars))
+        for length in np.unique(size[(size > 1) & (size < LONG_CUT)]).tolist():
+            at = begin[size == length][:, None] + np.arange(length)
+            found = piece[at]
+            self.merge(chars[at], found)
+            piece[at] = found
+        for k in np.flatnonzero(size >= LONG_CUT).tolist():
+            self._merge_long(text[begin[k]:begin[k] + size[k]], piece[begin[k]:begin[k] + size[k]])
+        begin = np.flatnonzero(piece != -2)
+        ids = np.where(piece[begin] >= 0, self.ids[piece[begin]], -1)
+        last = np.searchsorted(begin, stop)
+        odd = np.add.reduceat(ids < 0, np.concatenate(([0], last[:-1]))) > 0
+        data = ids.astype("<u4").tobytes()
+        a = 0
+        for u, b, strange, first in zip(units, last.tolist(), odd.tolist(), (stop - [len(u) + 1 for u in units]).tolist()):
+            out[u] = self._with_bytes(u, ids[a:b], begin[a:b] - first) if strange else data[4 * a:4 * b]
+            a = b
+
+
+_UNIGRAM, _BPE, _USER_DEFINED = 1, 2, 4
+
+
+def _spec(path: str) -> tuple[int, list[int]]:
+    """The kind of a model file and those of its pieces."""
+    from sentencepiece import sentencepiece_model_pb2
+    with open(path, "rb") as f:
+        model = sentencepiece_model_pb2.ModelProto.FromString(f.read())
+    return model.trainer_spec.model_type, [p.type for p in model.pieces]
+
+
+def pieces_of(path: str) -> Pieces:
+    """The codec of a model file, by its kind; once a process."""
+    if ("kind", path) not in _of_process:
+        _of_process["kind", path] = _spec(path)[0]
+    kind = _of_process["kind", path]
+    if kind not in (_UNIGRAM, _BPE):
+        raise ValueError("neither a unigram nor a BPE model")
+    return (MergedPieces if kind == _BPE else Pieces).of(path)
+
+
 def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: dict[str, str] | None = None) -> DataFrame:
     """Per row: the id column, ids (little-endian unsigned 32-bit, as binary), n_pieces, n_byte_pieces (pieces of single
     bytes), and the columns of ``df`` named in ``keep`` (name -> Spark type).
@@ -161,7 +306,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     id_type = df.schema[id_col].dataType.simpleString()
 
     def make():
-        pieces = Pieces.of(path)
+        pieces = pieces_of(path)
         single = np.zeros(len(pieces.raw), bool)
         single[list(pieces.byte_id.values())] = True
 
@@ -195,7 +340,7 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
     id_type = df.schema[id_col].dataType.simpleString()
 
     def make():
-        pieces = Pieces.of(path)
+        pieces = pieces_of(path)
 
         def step(batch: pa.RecordBatch) -> dict:
             texts = [pieces.decode(x or b"") for x in batch.column("ids").to_pylist()]
