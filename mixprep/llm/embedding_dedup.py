@@ -4,7 +4,7 @@ verified in double precision, components by union-find.
 Vectors of a label are dealt by hash into shards of about ``shard_rows``; a graph is built per shard and
 written. Every vector queries every shard of its label, in blocks of about ``query_rows``, so a label with a
 third of all vectors becomes many tasks. A task audits a sample of its queries against all rows of its shard and
-doubles the beam until they agree; a query whose whole beam is linked is widened on its own, and
+doubles the beam until they agree, query by query; a query whose whole beam is linked is widened on its own, and
 past ``max_beam`` it is answered by a scan of the shard, so no number of partners is a cap.
 Equal vectors are one node with a weight. A task returns a count per query and a spanning forest of its links.
 """
@@ -39,7 +39,8 @@ def _exact(q: np.ndarray, x: np.ndarray, least: float) -> list[np.ndarray]:
     return out
 
 
-def _by_graph(graph: Graph, q: np.ndarray, x: np.ndarray, least: float, beam: int, max_beam: int) -> list[np.ndarray]:
+def _by_graph(graph: Graph, q: np.ndarray, x: np.ndarray, least: float, beam: int, max_beam: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Rows linked to each query, and which queries were answered by a scan."""
     out: list[np.ndarray] = [np.empty(0, int)] * len(q)
     todo = np.arange(len(q))
     while len(todo) and beam < len(x) and beam <= max_beam:
@@ -56,21 +57,35 @@ def _by_graph(graph: Graph, q: np.ndarray, x: np.ndarray, least: float, beam: in
         todo, beam = np.concatenate(full), 2 * beam
     for i, found in zip(todo, _exact(q[todo], x, least) if len(todo) else []):
         out[i] = found
-    return out
+    scanned = np.zeros(len(q), bool)
+    scanned[todo] = True
+    return out, scanned
 
 
 def linked(graph: Graph, q: np.ndarray, x: np.ndarray, least: float, first_beam: int = FIRST_BEAM, max_beam: int = MAX_BEAM,
-           audited: int = AUDITED, recall: float = RECALL) -> list[np.ndarray]:
-    """Rows of ``x`` with inner product of at least ``least`` for each unit vector of ``q``."""
+           audited: int = AUDITED, recall: float = RECALL, own: np.ndarray | None = None) -> list[np.ndarray]:
+    """Rows of ``x`` with inner product of at least ``least`` for each unit vector of ``q``; ``own`` is the row that is the query itself, or -1.
+
+    Recall is the mean over the audited queries that the graph answers: the share of a query's partners that it found, or, of a
+    query without partners, whether the nearest row was in the beam. A query that finds itself, or that a scan answered,
+    says nothing about the graph; where a scan answers more than three quarters, it answers all.
+    """
     if len(x) <= 2 * first_beam:
         return _exact(q, x, least)
     sample = np.linspace(0, len(q) - 1, min(audited, len(q))).astype(int)
-    want = _exact(q[sample], x, least)
-    total, beam = sum(map(len, want)), first_beam
+    sims = q[sample] @ x.T
+    if own is not None:
+        at = np.flatnonzero(own[sample] >= 0)
+        sims[at, own[sample][at]] = -np.inf
+    want, nearest, beam = [np.flatnonzero(row >= least) for row in sims], sims.argmax(axis=1), first_beam
     while beam <= max_beam:
-        got = _by_graph(graph, q[sample], x, least, beam, max_beam)
-        if sum(len(np.intersect1d(a, b)) for a, b in zip(want, got)) >= recall * total:
-            return _by_graph(graph, q, x, least, beam, max_beam)
+        got, scanned = _by_graph(graph, q[sample], x, least, beam, max_beam)
+        ids, _ = graph.search(q[sample].astype(np.float32), beam)
+        share = np.array([np.isin(w, g).mean() if len(w) else float(k in i) for w, g, k, i in zip(want, got, nearest, ids)])[~scanned]
+        if 4 * len(share) < len(sample):
+            break
+        if share.mean() >= recall:
+            return _by_graph(graph, q, x, least, beam, max_beam)[0]
         beam *= 2
     return _exact(q, x, least)
 
@@ -109,7 +124,9 @@ def _query(least: float):
         rows = rows.sort_values("h", kind="stable")
         own = rows["id"].to_numpy()
         q = unit(np.stack(rows["v"].to_numpy()).astype(np.float64))
-        found = linked(Graph(x.astype(np.float32), made["layers"]), q, x, least)
+        order = np.argsort(ids)
+        place = order[np.minimum(np.searchsorted(ids, own, sorter=order), len(ids) - 1)]
+        found = linked(Graph(x.astype(np.float32), made["layers"]), q, x, least, own=np.where(ids[place] == own, place, -1))
         n = np.array([w[f].sum() - w[f[ids[f] == i]].sum() for i, f in zip(own, found)], np.int64)
         a = np.repeat(own, [len(f) for f in found])
         b = ids[np.concatenate(found)] if len(a) else a
