@@ -141,15 +141,29 @@ def _result(out: DataFrame, id_col: str) -> DataFrame:
                       F.col("sha").alias("text_sha256"), "locator")
 
 
+def plain_path(df: DataFrame) -> str | None:
+    """The one Parquet folder or file that ``df`` reads as it is, all rows and columns; None for any other frame.
+
+    Spark's plan tells: it is a bare scan, without options, partition folders or a schema other than that of the files.
+    """
+    plan = df._jdf.queryExecution().analyzed()
+    if plan.getClass().getSimpleName() != "LogicalRelation" or plan.relation().getClass().getSimpleName() != "HadoopFsRelation":
+        return None
+    scan = plan.relation()
+    roots = scan.location().rootPaths()
+    options = scan.options().size() - int(scan.options().contains("path"))
+    if scan.fileFormat().toString() != "Parquet" or options or scan.partitionSchema().length() or roots.size() != 1:
+        return None
+    path = roots.head().toString()
+    return path if df.sparkSession.read.parquet(path).schema == df.schema else None
+
+
 def source_path(df: DataFrame) -> str:
-    """The Parquet folder or file that ``df`` reads; where it reads none, or not all rows of it, a staged copy."""
-    files = df.inputFiles()
-    if files:
-        path = files[0] if len(files) == 1 else files[0].rsplit("/", 1)[0]
-        if all(f.startswith(path) for f in files) and df.sparkSession.read.parquet(path).count() == df.count():
-            return path
-    path = scratch_path(df.sparkSession, "source")
-    df.write.parquet(path)
+    """The Parquet folder or file that ``df`` is a plain read of; for any other frame a staged copy."""
+    path = plain_path(df)
+    if path is None:
+        path = scratch_path(df.sparkSession, "source")
+        df.write.parquet(path)
     return path
 
 
