@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from mixprep.llm.common import arrow_map, drop_rows, keep_columns, stage
 from mixprep.llm.components import connected_components
+from mixprep.llm.exact_dedup import source_path
 
 #: 20 bands of 5 slots: a pair at similarity 0.85 shares no band with probability 8e-6, at 0.8 with 4e-4.
 BANDS, ROWS = 20, 5
@@ -35,6 +36,8 @@ WORDS = 5
 BATCH_ELEMENTS = 400_000
 #: Candidate ids up to which their (id, pivot) table is broadcast: 16 MB of longs; beyond, a shuffled join.
 BROADCAST_IDS = 1_000_000
+#: The column of the row keys, and the bits of a row's number in its file.
+ROW, ROW_BITS = "near_dedup_row", 36
 
 _U = np.uint64
 _M1, _M2, _GOLD = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB), _U(0x9E3779B97F4A7C15)
@@ -97,7 +100,7 @@ def band_keys(sign: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndar
 
 
 def signatures(df: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(id, n_shingles, set_hash, bands): the band keys are null for empty sets."""
+    """(id, doc, n_shingles, set_hash, bands) of (id, doc, text): the band keys are null for empty sets."""
     def make():
         import xxhash
 
@@ -122,10 +125,21 @@ def signatures(df: DataFrame, words: int = WORDS, bands: int = BANDS, rows: int
                     flush()
                     held = 0
             flush()
-            return {"id": batch.column("id"), "n_shingles": pa.array(n, pa.int64()), "set_hash": pa.array(hashes, pa.string()),
+            return {"id": batch.column("id"), "doc": batch.column("doc"), "n_shingles": pa.array(n, pa.int64()), "set_hash": pa.array(hashes, pa.string()),
                     "bands": pa.array(keys, pa.list_(pa.int64()))}
         return step
-    return arrow_map(df, make, "id bigint, n_shingles bigint, set_hash string, bands array<bigint>")
+    return arrow_map(df, make, "id bigint, doc bigint, n_shingles bigint, set_hash string, bands array<bigint>")
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """The rows of ``df``, from their files or a staged copy, with a key of their own: the number of the file and the row in it."""
+    spark, path = df.sparkSession, source_path(df)
+    back = spark.read.parquet(path)
+    names = sorted(r[0] for r in back.select(F.col("_metadata.file_name")).distinct().collect())
+    files = spark.createDataFrame(list(enumerate(names)), f"{ROW}_file bigint, {ROW}_name string")
+    rows = back.select("*", F.col("_metadata.file_name").alias(f"{ROW}_name"), F.col("_metadata.row_index").alias(f"{ROW}_at"))
+    key = F.shiftleft(f"{ROW}_file", ROW_BITS) + F.col(f"{ROW}_at")
+    return rows.join(F.broadcast(files), f"{ROW}_name").select(*[F.col(f"`{c}`") for c in df.columns], key.alias(ROW))
 
 
 def similar(inter, a, b, percent: int):
@@ -206,17 +220,23 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     """One row per input row: id column, n_shingles, component_id, kept.
 
     Linked are documents with ``100 * intersection >= percent * union`` of their sets of distinct word shingles.
-    ``component_id`` is the smallest id reachable by links, the own one included; ``kept`` marks it. Null, empty and
-    blank texts have the empty set and are linked with nothing. Rows with a null id are left out, as no link could
-    name them; rows that repeat an id are one document when their texts are equal. Other columns are not read. No rows
-    in, no rows out.
+    ``component_id`` is the smallest id reachable by links, the own one included; ``kept`` marks one row of it. Null, empty and
+    blank texts have the empty set and are linked with nothing. Every row is a document, also where ids repeat or are
+    null: null ids come after all others, and a group of null ids alone has a null ``component_id``; of rows that
+    repeat the smallest id, the first by file and place is kept. Other columns are not read. No rows in, no rows out.
     """
-    docs = keep_columns(df, {id_col: "id", text_col: "text"}).select(F.col("id").cast("bigint").alias("id"), "text").filter("id is not null")
+    return _near(_numbered(df), id_col, text_col, percent, words, bands, rows, block).drop(ROW)
+
+
+def _near(df: DataFrame, id_col: str, text_col: str, percent: int, words: int = WORDS, bands: int = BANDS, rows: int = ROWS, block: int = 128) -> DataFrame:
+    """``near_dedup`` of numbered rows, with their numbers. Here ``id`` is a row's number and ``doc`` its id."""
+    docs = keep_columns(df, {ROW: "id", id_col: "doc", text_col: "text"}).select("id", F.col("doc").cast("bigint").alias("doc"), "text")
     sign = stage(signatures(docs, words, bands, rows), "sign")
-    same = stage(sign.filter("set_hash is not null").groupBy("set_hash").agg(F.min("id").alias("rep")), "same")
-    member = stage(sign.select("id", "n_shingles", "set_hash").join(same, "set_hash", "left").select("id", "n_shingles", F.coalesce("rep", "id").alias("rep")), "member")
+    first = F.struct(F.col("doc").isNull().alias("none"), "doc", "id")
+    same = stage(sign.filter("set_hash is not null").groupBy("set_hash").agg(F.min(first).alias("first")).withColumn("rep", F.col("first.id")), "same")
+    member = stage(sign.select("id", "doc", "n_shingles", "set_hash").join(same, "set_hash", "left").select("id", "doc", "n_shingles", "first", "rep"), "member")
 
-    banded = sign.join(same.select(F.col("rep").alias("id"), "set_hash"), ["id", "set_hash"], "left_semi").dropDuplicates(["id"])
+    banded = sign.join(same.select(F.col("rep").alias("id"), "set_hash"), ["id", "set_hash"], "left_semi")
     banded = stage(banded.select(F.col("id"), F.explode("bands").alias("key")), "banded")
     buckets = stage(banded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("pivot")).filter("n > 1"), "buckets")
     held = stage(banded.join(buckets.select("key", "n", "pivot"), "key"), "held")              # rows of shared buckets alone
@@ -232,8 +252,7 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
                     "s": pa.array([shingle_set(t, words).tobytes() for t in batch.column("text").to_pylist()], pa.binary())}
         return step
     texts = docs.join(cand, F.col("id") == F.col("cand")).select("id", "pivot", "text")
-    sets = stage(arrow_map(texts, make, "id bigint, pivot bigint, s binary").dropDuplicates(["id"]) if _repeats(sign) else
-                 arrow_map(texts, make, "id bigint, pivot bigint, s binary"), "sets")
+    sets = stage(arrow_map(texts, make, "id bigint, pivot bigint, s binary"), "sets")
 
     star = sets.filter("pivot is not null").join(sets.select(F.col("id").alias("pivot"), F.col("s").alias("t")), "pivot")
     links = stage(_verify_star(star, percent), "links")
@@ -266,16 +285,16 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", pe
     if not more.isEmpty():
         own_links = group.select(F.col("node").alias("u"), F.col("component").alias("v"))
         group = stage(connected_components(own_links.unionByName(more)), "group")
-    out = member.join(group.select(F.col("node").alias("rep"), "component"), "rep", "left").select("id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
-
-
-def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
-    """The rows, with all their columns, that stay: of every group of linked documents the one with the smallest id."""
-    found = near_dedup(df, id_col, text_col, percent)
-    return drop_rows(df, stage(found.filter("not kept").select(F.col(id_col)), "near-copies"), id_col)
-
-
-def _repeats(sign: DataFrame) -> bool:
-    """Whether an id stands in several rows."""
-    return not sign.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+    nodes = group.select(F.col("node").alias("rep"), "component")
+    nodes = stage(nodes.unionByName(nodes.select(F.col("component").alias("rep"), "component").distinct()), "nodes")
+    least = stage(nodes.join(same.select("rep", "first"), "rep").groupBy("component").agg(F.min("first").alias("least")), "least")
+    nodes = nodes.join(F.broadcast(least) if least.count() <= BROADCAST_IDS // 4 else least, "component").select("rep", "least")
+    out = member.join(nodes, "rep", "left").select("id", "doc", "n_shingles", F.coalesce("least", "first", first).alias("best"))
+    return out.select(F.col("doc").alias(id_col), "n_shingles", F.col("best.doc").alias("component_id"), (F.col("id") == F.col("best.id")).alias("kept"), F.col("id").alias(ROW))
+
+
+def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, bands: int = BANDS) -> DataFrame:
+    """The rows, with all their columns, that stay: one of every group of linked documents (see ``near_dedup``)."""
+    rows = _numbered(df)
+    copies = stage(_near(rows, id_col, text_col, percent, bands=bands).filter("not kept").select(ROW), "near-copies")
+    return drop_rows(rows, copies, ROW).select(*[F.col(f"`{c}`") for c in df.columns])
