@@ -1,6 +1,7 @@
 """Sharding (5): proportional stratified interleaving, with DataFrame functions alone.
 
-Rows of a source are shuffled by a seeded hash and ranked; rank r of n rows stands at ``(r - 1/2) / n``. All rows
+Rows of a source are shuffled by a seeded hash and ranked; rank r of n rows stands at ``(r - 1 + u) / n``, where u in [0, 1) is
+a hash of the source, so that sources of equally few rows do not all stand at the same places. All rows
 sorted by that place are an interleaving in which every stretch holds the sources in the proportion of the whole, and
 equal cuts of it are the shards: counts differ by one at most, and every shard matches the mixture.
 
@@ -19,6 +20,8 @@ from mixprep.llm.common import keep_columns, stage
 BUCKET_ROWS = 2_000
 #: Ranges of counts that one task adds up.
 GROUP = 1_024
+#: Bits of the hash that shifts the places of a source.
+SHIFT_BITS = 21
 
 
 def _offsets(counts: DataFrame, by: list[str], bucket: str) -> DataFrame:
@@ -60,7 +63,8 @@ def interleave(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     ranked = dealt.withColumn("r", F.row_number().over(within)).join(before, ["key", "bucket"])
     # The place as a whole number: 2^40 steps of the unit interval; ties go by source, then rank.
     rank = F.col("r") + F.col("before")
-    place = F.floor((2 * rank - 1).cast("decimal(38,0)") * F.lit(2 ** 40) / (2 * F.col("total"))).cast("long")
+    step = (rank - 1) * 2 ** SHIFT_BITS + F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit("shift"), "key"), 64 - SHIFT_BITS)
+    place = F.floor(step.cast("decimal(38,0)") * F.lit(2 ** 40) / (F.col("total") * 2 ** SHIFT_BITS)).cast("long")
     ranked = stage(ranked.select("id", "size", "crc", "source", "key", rank.alias("rank"), place.alias("place")), "ranked")
 
     n = ranked.count()
