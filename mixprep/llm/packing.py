@@ -3,7 +3,8 @@
 A document's ids are cut into full windows, which stand alone, and one remainder. Remainders are
 placed, longest first, into the tightest open window of their block: a segment tree indexed by
 remaining capacity finds it. Blocks are equal hash ranges of about ``block_rows`` documents, so no
-task ever holds more than a block and a document's place does not depend on partitioning. A block
+task ever holds more than a block and a document's place does not depend on partitioning. Rows of an id
+(or of the null id) that more than an eighth of a block's rows share are dealt by their place in the staged files as well. A block
 wastes about one window in its several thousand.
 """
 
@@ -140,7 +141,12 @@ def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text
             "doc_tokens": n[row], "sequence_id": sequence + (int(key[0]) << 32), "offset": begin, "sequence_length": total,
             "padded_length": np.where(total & (total - 1) == 0, total, window)})
 
-    out = (docs.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
+    block = F.xxhash64("id")
+    hot = stage(docs.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > block_rows // 8).select(F.col("id").alias("hot_id"), F.lit(True).alias("hot")), "hot")
+    if not hot.isEmpty():
+        docs = docs.withColumn("at", F.struct("_metadata.file_name", "_metadata.row_index")).join(F.broadcast(hot), F.col("id").eqNullSafe(F.col("hot_id")), "left")
+        block = F.when(F.col("hot"), F.xxhash64("id", "n", "at")).otherwise(block)
+    out = (docs.select("id", "n", "parts", F.pmod(block, F.lit(blocks)).alias("block"))
            .groupBy("block").applyInPandas(place, f"id {id_type}, start bigint, length bigint, {name} {value}, doc_tokens bigint, "
                                            "sequence_id bigint, offset bigint, sequence_length bigint, padded_length bigint"))
     return out.withColumnRenamed("id", id_col)
