@@ -77,9 +77,14 @@ def op10_shard_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "start", "length", F.col("index").alias("sequence_index"), "slot", "shard", "byte_offset", "ids_crc32")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mixprep.llm.whitening import whitening
+    return whitening(table(spark, sf_dir, "embeddings"), components=16, scale=64.0, shift=1_000_000)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_sentencepiece, op3_near_dedup, op4_packing, op5_sharding, op6_embedding_dedup, op7_token_counts, op8_language_id, op9_exact_dedup,
-    op10_shard_writer)}
+    op10_shard_writer, op11_whitening)}
 ORACLE_SQL = {
     "op9_exact_dedup": r"""
 with d as (select doc_id, coalesce(text, '') as t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') as norm from documents),
