@@ -82,13 +82,26 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening(table(spark, sf_dir, "embeddings"), components=16, scale=64.0, shift=1_000_000)
 
 
+def op12_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mixprep.llm.exact_search import exact_top_k
+    return exact_top_k(table(spark, sf_dir, "embeddings"), every=100, k=10, scale=1024.0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_sentencepiece, op3_near_dedup, op4_packing, op5_sharding, op6_embedding_dedup, op7_token_counts, op8_language_id, op9_exact_dedup,
-    op10_shard_writer, op11_whitening)}
+    op10_shard_writer, op11_whitening, op12_exact_search)}
 ORACLE_SQL = {
     "op9_exact_dedup": r"""
 with d as (select doc_id, coalesce(text, '') as t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') as norm from documents),
 r as (select *, first_value(doc_id) over (partition by norm order by length(t) desc, doc_id) as keep_id,
              count(*) over (partition by norm) as group_size from d)
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(norm) as text_sha256 from r""",
+    "op12_exact_search": r"""
+with d as (select row_number() over () as row_key, vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as y
+           from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.row_key, q.vec_id as query_id, c.vec_id,
+             cast(list_sum(list_transform(list_zip(q.y, c.y), lambda p: p[1] * p[2])) as bigint) as score
+      from d q join d c on q.vec_id % 100 = 0 and q.row_key <> c.row_key),
+r as (select *, row_number() over (partition by row_key order by score desc, vec_id) as rank from s)
+select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 10""",
 }
