@@ -87,9 +87,14 @@ def op12_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(table(spark, sf_dir, "embeddings"), every=100, k=10, scale=1024.0)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mixprep.llm.conversation_repair import repair_damaged
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_sentencepiece, op3_near_dedup, op4_packing, op5_sharding, op6_embedding_dedup, op7_token_counts, op8_language_id, op9_exact_dedup,
-    op10_shard_writer, op11_whitening, op12_exact_search)}
+    op10_shard_writer, op11_whitening, op12_exact_search, op13_conversation_repair)}
 ORACLE_SQL = {
     "op9_exact_dedup": r"""
 with d as (select doc_id, coalesce(text, '') as t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') as norm from documents),
