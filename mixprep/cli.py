@@ -127,6 +127,11 @@ def cmd_generate(args):
         print(f"  {GENERATED[key]}: {obs.get['rows']} samples ({size_bytes(spark, path) / 1024 ** 2:.1f} MB)")
 
 
+def _tokenizer(args):
+    from mixprep.functions.subword import Subword
+    return Subword(args.tokenizer) if args.tokenizer else None
+
+
 def cmd_prepare(args):
     from mixprep.plans.prepare import prepare_eval, prepare_train
     from mixprep.operators.encode import pad_batches
@@ -153,16 +158,17 @@ def cmd_prepare(args):
     policy = "drop" if args.filter_long_samples else "truncate"
     from pyspark.sql import Observation
     kept = Observation("processed")
-    out = prepare_train(train, "sample_key", weights, args.weight_mode, args.max_seq_length, policy, args.seed)
+    tokenizer = _tokenizer(args)
+    out = prepare_train(train, "sample_key", weights, args.weight_mode, args.max_seq_length, policy, args.seed, tokenizer=tokenizer)
     out = out.observe(kept, F.count(F.lit(1)).alias("rows"))
     if args.batch_size:
         out = pad_batches(out.select("draw_id", "input_ids", "attention_mask", "labels"), args.batch_size,
-                          "draw_id", max_len=args.max_seq_length, seed=args.seed)
+                          "draw_id", max_len=args.max_seq_length, seed=args.seed, **({"pad_id": tokenizer.pad_id()} if tokenizer else {}))
     out.write.mode("overwrite").parquet(os.path.join(args.out, "train"))
     print(f"raw rows: {raw}  processed rows (after resampling and filters): {kept.get['rows']}")
     if args.eval_file:
         ev = with_content_key(read_jsonl(spark, args.eval_file, schema))
-        prepare_eval(ev, "sample_key", args.max_seq_length, policy).write.mode("overwrite").parquet(
+        prepare_eval(ev, "sample_key", args.max_seq_length, policy, tokenizer=tokenizer).write.mode("overwrite").parquet(
             os.path.join(args.out, "eval"))
 
 
@@ -187,7 +193,7 @@ def cmd_analyze(args):
         df = read_dir(spark, args.data_dir, schema=_schema("system STRING, prompt STRING, response STRING"),
                       with_category=args.categories or True, other=OTHER)
         df = stage(df, "analyze")                                                # lines are parsed once for both tables
-    rep = length_report(df)
+    rep = length_report(df, tokenizer=_tokenizer(args))
     if args.out:
         rep.coalesce(1).write.mode("overwrite").json(args.out)
     for r in rep.orderBy("category").collect():   # one row per category
@@ -238,6 +244,7 @@ def main(argv=None):
     p.add_argument("--max_seq_length", type=int, default=8192)
     p.add_argument("--batch_size", type=int, default=None)
     p.add_argument("--seed", type=int, default=42)
+    p.add_argument("--tokenizer", default=None, help="tokenizer JSON file at the same path on every executor (default: the native tokenizer)")
     p.add_argument("--out", required=True)
     p.set_defaults(fn=cmd_prepare)
 
@@ -251,6 +258,7 @@ def main(argv=None):
     a.add_argument("--data_dir", default="dataset")
     a.add_argument("--landed", default=None, help="parquet written by `land` (instead of --data_dir)")
     a.add_argument("--categories", nargs="*", default=None)
+    a.add_argument("--tokenizer", default=None, help="tokenizer JSON file at the same path on every executor (default: the native tokenizer)")
     a.add_argument("--out", default=None)
     a.set_defaults(fn=cmd_analyze)
 

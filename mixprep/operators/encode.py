@@ -1,15 +1,17 @@
 """Chat encoding, label masking and batch padding.
 
 The prefix text (system + user + generation prompt) is a literal prefix of the
-full text and ends on a separator, so the full token list is the prefix tokens
+full text and ends on a separator, so with the native tokenizer the full token list is the prefix tokens
 followed by the response tokens: each part is tokenized once, and the label mask
-is exact (the reference's prefix-of-ids assumption, D10, holds by construction).
+is exact (the reference's prefix-of-ids assumption, D10, holds by construction). A sub-word tokenizer may merge
+across the border; there the mask goes by character offsets in the full text.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from mixprep.functions.subword import Subword, encode_texts
 from mixprep.functions.text import IM_END, chat_prefix_text, default_empty
 from mixprep.functions.tokenize import PAD_ID, native_tokens, token_ids
 from mixprep.operators.sampling import hash_rank
@@ -18,24 +20,32 @@ IGNORE_INDEX = -100
 
 
 def encode(df: DataFrame, max_len: int = 2048, system="system", prompt="prompt", response="response",
-           keep=()) -> DataFrame:
+           keep=(), tokenizer: Subword | None = None, border: str = "mask") -> DataFrame:
     """E2 + E3: ``input_ids``, ``attention_mask``, ``labels`` right-truncated to ``max_len``.
 
     Also ``n_tokens_full`` (untruncated length, for F3), ``n_prefix`` and
-    ``n_supervised`` (0 when the prefix fills the window, D10).
+    ``n_supervised`` (0 when the prefix fills the window, D10). With a ``tokenizer`` the ids are its own, the mask goes by character
+    offsets, and ``n_border`` tells rows where a merge crosses the border; ``border`` says how that token counts (``subword.encode_texts``).
     """
+    if tokenizer is not None:
+        return _with_masks(encode_texts(df, tokenizer, chat_prefix_text(system, prompt), F.concat(default_empty(response), F.lit(f"{IM_END}\n")),
+                                        int(max_len), keep, border), [*keep], ["n_border"])
     p_tok = native_tokens(chat_prefix_text(system, prompt))
     r_tok = native_tokens(F.concat(default_empty(response), F.lit(f"{IM_END}\n")))
     t = df.select(*keep, p_tok.alias("_pt"), r_tok.alias("_rt"))
     t = t.select(*keep, F.size("_pt").alias("n_prefix"), (F.size("_pt") + F.size("_rt")).alias("n_tokens_full"),
                  token_ids(F.slice(F.concat("_pt", "_rt"), 1, int(max_len))).alias("input_ids"))
+    return _with_masks(t, [*keep])
+
+
+def _with_masks(t: DataFrame, keep: list[str], more: list[str] = []) -> DataFrame:
     n = F.size("input_ids")
     return t.select(
         *keep, "input_ids",
         F.array_repeat(F.lit(1), n).alias("attention_mask"),
         F.transform("input_ids", lambda x, i: F.when(i < F.col("n_prefix"), F.lit(IGNORE_INDEX)).otherwise(x)).alias("labels"),
         "n_tokens_full", F.least(F.col("n_prefix"), n).alias("n_prefix"),
-        F.greatest(n - F.col("n_prefix"), F.lit(0)).alias("n_supervised"))
+        F.greatest(n - F.col("n_prefix"), F.lit(0)).alias("n_supervised"), *more)
 
 
 def pad_batches(df: DataFrame, batch_size: int, id_col: str, max_len: int | None = None, pad_id: int = PAD_ID,

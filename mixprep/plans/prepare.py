@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from mixprep.functions.subword import Subword
 from mixprep.functions.text import IM_END, chat_prefix_text, default_empty, weight_by_content
 from mixprep.functions.tokenize import token_count
 from mixprep.operators.encode import encode
@@ -38,20 +39,30 @@ def _long_enough(df: DataFrame, max_len: int, policy: str, min_exclusive: int =
 
 def prepare_train(df: DataFrame, id_col: str, weights: Sequence[tuple[str, float]] | None = None,
                   mode: str = "by_column", max_len: int = 2048, policy: str = "truncate", seed=42,
-                  keep=()) -> DataFrame:
+                  keep=(), tokenizer: Subword | None = None) -> DataFrame:
     """Draws are made from ids and weights alone; a row that is drawn is rendered and tokenized once, and only
-    then multiplied by its draws (all by joins on the id, so its text crosses one shuffle). Ids must be unique."""
+    then multiplied by its draws (all by joins on the id, so its text crosses one shuffle). Ids must be unique.
+    With a ``tokenizer`` (``encode``) the length rules go by its tokens, counted while they are made."""
     if not weights:
-        return prepare_eval(df, id_col, max_len, policy, keep)
+        return prepare_eval(df, id_col, max_len, policy, keep, tokenizer)
     thin = stage(df.select(id_col, weights_column(weights, mode).alias("_w")), "weights")
     draws = stage(weighted_draws(thin, "_w", id_col, seed=seed, max_classes=len(weights) + 1), "draws")
     picked = draws.select(F.col("_mp_pick_id").alias("_pick")).distinct()
     # Dealt by id first: the joins on the id keep that, and tokenizing runs as wide as the shuffle, however few files there are.
-    rows = _long_enough(df, max_len, policy).repartition(F.col(id_col)).join(picked, F.col(id_col) == F.col("_pick"), "left_semi")
-    enc = encode(rows, max_len=max_len, keep=[id_col, *keep])
+    rows = df if tokenizer else _long_enough(df, max_len, policy)
+    rows = rows.repartition(F.col(id_col)).join(picked, F.col(id_col) == F.col("_pick"), "left_semi")
+    enc = _encoded(rows, max_len, policy, [id_col, *keep], tokenizer)
     return draws.join(enc, F.col("_mp_pick_id") == F.col(id_col)).drop("_mp_pick_id")
 
 
-def prepare_eval(df: DataFrame, id_col: str, max_len: int = 2048, policy: str = "truncate", keep=()) -> DataFrame:
-    df = _long_enough(df, max_len, policy)
-    return encode(df.withColumn("draw_id", F.col(id_col)), max_len=max_len, keep=["draw_id", id_col, *keep])
+def prepare_eval(df: DataFrame, id_col: str, max_len: int = 2048, policy: str = "truncate", keep=(), tokenizer: Subword | None = None) -> DataFrame:
+    df = df if tokenizer else _long_enough(df, max_len, policy)
+    return _encoded(df.withColumn("draw_id", F.col(id_col)), max_len, policy, ["draw_id", id_col, *keep], tokenizer)
+
+
+def _encoded(df: DataFrame, max_len: int, policy: str, keep: list[str], tokenizer: Subword | None, min_exclusive: int = 10) -> DataFrame:
+    """Encoded rows; those of a ``tokenizer`` are filtered here (F3, F4), by the counts that come with the ids."""
+    enc = encode(df, max_len=max_len, keep=keep, tokenizer=tokenizer)
+    if tokenizer is None:
+        return enc
+    return long_policy(enc, max_len, policy, "n_tokens_full").filter(F.size("input_ids") > F.lit(min_exclusive))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from mixprep.functions import text as T
+from mixprep.functions.subword import Subword, encode_texts, token_counts
 from mixprep.operators import encode as E
 from mixprep.operators import filters, generate as G, lookup, sampling, stats
 from mixprep.operators.normalize import alpaca_to_sft
@@ -617,6 +618,31 @@ def pad_batches(spark: SparkSession, d: str) -> DataFrame:
                     _ints("attention_mask").alias("attention_mask"), _ints("labels").alias("labels"))
 
 
+def _subword() -> Subword:
+    import public_tokenizers
+    return Subword(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def token_count_subword(spark: SparkSession, d: str) -> DataFrame:
+    """E1(b): tokens of system + prompt + response by a byte-level BPE tokenizer."""
+    return token_counts(_sft(spark, d), _subword(), keep=["sample_id"])
+
+
+@query
+def encode_subword(spark: SparkSession, d: str) -> DataFrame:
+    """E2 + E3 with a byte-level BPE tokenizer: chat markers are single tokens, the mask goes by character offsets."""
+    enc = E.encode(_sft(spark, d), max_len=2048, keep=["sample_id"], tokenizer=_subword())
+    return enc.select("sample_id", _ints("input_ids").alias("input_ids"), _ints("labels").alias("labels"), "n_tokens_full", "n_prefix", "n_supervised", "n_border")
+
+
+@query
+def encode_completion(spark: SparkSession, d: str) -> DataFrame:
+    """Prompt and response as one text without a template, cut inside words, so merges cross the border."""
+    enc = encode_texts(_sft(spark, d), _subword(), T.default_empty("prompt"), T.default_empty("response"), 2048, ["sample_id"], border="learn")
+    return enc.select("sample_id", _ints("input_ids").alias("input_ids"), "n_tokens_full", "n_prefix", "n_border")
+
+
 # ---------------------------------------------------------------------------
 # Pipelines
 # ---------------------------------------------------------------------------
@@ -753,6 +779,25 @@ def encode_pipeline(spark: SparkSession, d: str) -> DataFrame:
     return cols(train, "train").unionByName(cols(ev, "eval"))
 
 
+@query
+def encode_pipeline_subword(spark: SparkSession, d: str) -> DataFrame:
+    """W4 with a byte-level BPE tokenizer: train resampled by category weight and eval, encoded (1024), longer samples dropped by their own tokens."""
+    s = sampling.split_eval(_sft(spark, d), ["category"], "sample_id", seed=42)
+    s = stage(s, "encode-split")
+    t = _subword()
+    train = W4.prepare_train(s.filter(F.col("split") == "train"), "sample_id", WEIGHTS_BY_COLUMN, max_len=1024, policy="drop", keep=["category"], tokenizer=t)
+    ev = W4.prepare_eval(s.filter(F.col("split") == "eval"), "sample_id", max_len=1024, policy="drop", keep=["category"], tokenizer=t)
+    cols = lambda df, sp: df.select(F.lit(sp).alias("split"), "draw_id", "sample_id", "category", F.size("input_ids").alias("n_ids"),
+                                    "n_supervised", "n_border", F.md5(_ints("input_ids")).alias("ids_md5"), F.md5(_ints("labels")).alias("labels_md5"))
+    return cols(train, "train").unionByName(cols(ev, "eval"))
+
+
+@query
+def length_report_subword(spark: SparkSession, d: str) -> DataFrame:
+    """W5 in tokens of a byte-level BPE tokenizer."""
+    return W5.length_report(_sft(spark, d), tokenizer=_subword())
+
+
 @query
 def length_report(spark: SparkSession, d: str) -> DataFrame:
     """JSONL directory -> category from file name -> token lengths -> report."""

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from mixprep.functions.subword import Subword, token_counts
 from mixprep.functions.tokenize import token_count
 from mixprep.operators import stats
 from mixprep.operators.sampling import top_k_per_group
@@ -13,19 +14,25 @@ from mixprep.operators.sampling import top_k_per_group
 THRESHOLDS = (1024, 2048, 4096, 8192)
 
 
-def with_token_len(df: DataFrame) -> DataFrame:
-    """E1 on ``system + prompt + response`` (no special tokens)."""
+def with_token_len(df: DataFrame, tokenizer: Subword | None = None) -> DataFrame:
+    """E1 on ``system + prompt + response`` (no special tokens), by the native tokenizer or the one given."""
+    if tokenizer is not None:
+        return token_counts(df, tokenizer)
     text = F.concat(*[F.coalesce(F.col(c), F.lit("")) for c in ("system", "prompt", "response")])
     return df.withColumn("n_tokens", token_count(text))
 
 
-def length_report(df: DataFrame, category_col: str = "category", thresholds: Sequence[int] = THRESHOLDS) -> DataFrame:
+def length_report(df: DataFrame, category_col: str = "category", thresholds: Sequence[int] = THRESHOLDS,
+                  tokenizer: Subword | None = None) -> DataFrame:
     """One row per category: n, share, min/max/avg, P50/P90/P99, rows over each threshold.
 
     All statistics come from one aggregation of the (category, length) histogram with its running counts; the
     window runs over distinct lengths only.
     """
-    t = with_token_len(df)
+    if tokenizer is not None:       # of the rows, only category and count leave the tokenizer's tasks
+        t = token_counts(df, tokenizer, keep=[category_col])
+    else:
+        t = with_token_len(df)
     hist = stats.length_histogram(t, [category_col], "n_tokens")
     by = Window.partitionBy(category_col)
     v, c = F.col("n_tokens"), F.col("_cnt")

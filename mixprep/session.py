@@ -72,6 +72,26 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/mixprep-che
     return sc.getCheckpointDir()
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once a context, so that Python tasks need not have it installed."""
+    import os
+    import tempfile
+    import zipfile
+    sc = spark.sparkContext
+    if getattr(sc, "mixprep_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.join(tempfile.mkdtemp(prefix="mixprep-"), "mixprep_code.zip")     # the code alone; addPyFile copies it to every executor
+    with zipfile.ZipFile(name, "w") as z:
+        for folder, _, names in os.walk(root):
+            for f in names:
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.join("mixprep", os.path.relpath(path, root)))
+    sc.addPyFile(name)
+    sc.mixprep_shipped = True
+
+
 _SCRATCH: list[str] = []
 
 
