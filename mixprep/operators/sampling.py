@@ -1,13 +1,13 @@
-"""Deterministic ranking, sampling, splitting and weighted resampling.
+"""Deterministic ranking, sampling, splitting and weighted resampling.
 
 The reference shuffles Python lists with a seeded generator. Here a row's place in a
 shuffle is the order of ``md5('{seed}:{id}')`` (ties broken by id), which is the
 same under any partitioning and any retry.
 
-Scale: a category can hold a third of all rows, so no operator here puts a whole
-group into one window partition. Rows are spread over ``16**digits`` hash-prefix
-buckets per group; a small (group, bucket) count table gives every bucket its
-offset, and only rows of the buckets that matter are ranked.
+Scale: a category can hold a third of all rows, so no window here runs over more than about ``BUCKET_ROWS`` rows. Groups are
+counted first. Those with more rows (at most one in ``BUCKET_ROWS`` rows of the input) are cut into ranges by as many digits of the hash as their own size
+asks for; counts per range give each its offset, by prefix sums in two levels. Groups with fewer rows are one range, and
+where no group is large, no range is counted at all.
 """
 
 from __future__ import annotations
@@ -19,8 +19,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from mixprep.functions.hashing import hash_hex, uniform01
 
 _H, _B, _C, _OFF, _N = "_mp_h", "_mp_b", "_mp_c", "_mp_off", "_mp_n"
-#: Hash digits of a bucket: 4096 buckets per group.
-DIGITS = 3
+_D, _E, _P, _S = "_mp_d", "_mp_ne", "_mp_p", "_mp_s"
+#: Rows of a window task, about: the expected size of a range is between a 32nd and a half of it.
+BUCKET_ROWS = 65_536
+#: Hash digits that one level of prefix sums takes: 4096 ranges a window.
+LEVEL = 3
 #: Rows up to which a per-bucket table, written and counted, is broadcast (about 50 MB); beyond, a shuffled join.
 BROADCAST_ROWS = 500_000
 
@@ -33,68 +36,95 @@ def _keys(group_cols) -> list[str]:
     return list(group_cols)
 
 
-def _bucketed(df: DataFrame, id_col: str, seed, digits: int) -> DataFrame:
-    return df.withColumn(_H, hash_hex(id_col, seed)).withColumn(_B, F.substring(F.col(_H), 1, digits))
+def _hashed(df: DataFrame, id_col: str, seed) -> DataFrame:
+    return df.withColumn(_H, hash_hex(id_col, seed))
 
 
-def bucket_offsets(bucketed: DataFrame, keys: list[str]) -> DataFrame:
-    """(group, bucket) -> count, rows before the bucket, rows in the group.
+def group_sizes(df: DataFrame, keys: list[str], weight: str | None = None, bucket_rows: int | None = None) -> tuple[DataFrame, int]:
+    """(group, rows, weight, ``_mp_d``: the hash digits its size asks for), written once, and the most digits of any group."""
+    from pyspark.sql import Observation
 
-    Partial aggregation makes this a tiny shuffle; its window runs over at most
-    ``16**digits`` rows per group.
-    """
-    counts = bucketed.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias(_C))
-    wg = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wall = Window.partitionBy(*keys)
-    return counts.select(*keys, _B, _C,
-                         (F.sum(_C).over(wg) - F.col(_C)).alias(_OFF),
-                         F.sum(_C).over(wall).alias(_N))
-
-
-def _join_offsets(bucketed: DataFrame, offsets: DataFrame, keys: list[str]) -> DataFrame:
-    # Null-safe on the group keys; renamed to avoid self-join attribute clashes.
-    ren = {k: f"_mp_k{i}" for i, k in enumerate(keys)}
-    o = offsets.select(*[F.col(k).alias(v) for k, v in ren.items()], F.col(_B).alias("_mp_bk"), _C, _OFF, _N)
-    if not keys:
-        # One group: the offset table has at most 16**digits rows, a proven bound.
-        o = F.broadcast(o)
-    cond = [bucketed[_B] == o["_mp_bk"]] + [bucketed[k].eqNullSafe(o[v]) for k, v in ren.items()]
-    return bucketed.join(o, cond, "inner").drop("_mp_bk", *ren.values())
-
-
-def hash_rank(df: DataFrame, group_cols, id_col: str, seed=42, digits: int = DIGITS, out: str = "rn",
-              limit: int | None = None, keep_total: str | None = None) -> DataFrame:
+    from mixprep.session import stage
+    rows = bucket_rows or BUCKET_ROWS
+    n = F.count(F.lit(1))
+    sizes = df.groupBy(*keys).agg(n.alias(_N), (F.sum(weight) if weight else n).cast("long").alias(_S))
+    # Expected rows of a range: half of ``rows`` at most, so none is above it but by the hash's chance.
+    digits = F.greatest(F.lit(0), F.ceil(F.log2(F.col(_N) * (2.0 / rows)) / 4)).cast("int")
+    sizes = sizes.filter(F.col(_N) > 0).withColumn(_D, F.when(F.col(_N) <= rows, 0).otherwise(digits))
+    seen = Observation()
+    table = stage(sizes.observe(seen, F.max(_D).alias("digits")), "group-sizes")
+    return table, seen.get["digits"] or 0
+
+
+def _ranged(hashed: DataFrame, sizes: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """Rows with ``_mp_b``, the beginning of their hash that names their range in the group: nothing where the group is one range."""
+    if not most:
+        return hashed.withColumn(_B, F.substring(F.col(_H), 1, 0))
+    large = _checked(sizes.filter(F.col(_D) > 0).select(*keys, _D), "large-groups")
+    return _with_group(hashed, large, keys, "left").withColumn(_B, F.expr(f"substring({_H}, 1, coalesce({_D}, 0))")).drop(_D)
+
+
+def range_offsets(ranged: DataFrame, keys: list[str], most: int, weight: str | None = None) -> DataFrame:
+    """(group, range) -> weight, weight before the range; ranges of large groups alone. Windows run over 4096 ranges at most, in two levels
+    (16.7 million ranges a group) where a group has more."""
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = ranged.filter(F.length(_B) > 0).groupBy(*keys, _B).agg(n.cast("long").alias(_C))
+    before = lambda *by: Window.partitionBy(*by).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum(_C).over(before(*keys, _P)), F.lit(0)).cast("long")
+    if most <= LEVEL:
+        return counts.withColumn(_P, F.substring(F.col(_B), 1, 0)).withColumn(_OFF, inside).drop(_P)
+    from mixprep.session import stage
+    counts = stage(counts.withColumn(_P, F.expr(f"substring({_B}, 1, length({_B}) - {LEVEL})")), "range-counts")
+    upper = counts.groupBy(*keys, _P).agg(F.sum(_C).alias("_mp_pc"))
+    w = Window.partitionBy(*keys).orderBy(_P).rowsBetween(Window.unboundedPreceding, -1)
+    upper = upper.select(*keys, _P, F.coalesce(F.sum("_mp_pc").over(w), F.lit(0)).cast("long").alias("_mp_po"))
+    return _join_on(counts, upper, [*keys, _P]).withColumn(_OFF, F.col("_mp_po") + inside).drop(_P, "_mp_po")
+
+
+def hash_rank(df: DataFrame, group_cols, id_col: str, seed=42, digits: int | None = None, out: str = "rn",
+              limit: int | None = None, keep_total: str | None = None, bucket_rows: int | None = None) -> DataFrame:
     """1-based position of each row inside its group under ``md5(seed:id)``, ties by id.
 
     Equals ``row_number() over (partition by g order by md5(seed||':'||id), id)``.
-    With ``limit``, rows of buckets that start at or after ``limit`` are dropped
-    before the (small) ranking window, so ``rank <= limit`` never sorts the rest.
-    ``keep_total`` names an output column with the group's row count.
+    With ``limit``, rows of ranges that start at or after ``limit`` are dropped
+    before the ranking window, so ``rank <= limit`` never sorts the rest.
+    ``keep_total`` names an output column with the group's row count. ``digits`` fixes the hash digits of a range for all groups; by
+    default each group's size decides. Groups are counted when this is called.
     """
     keys = _keys(group_cols)
-    b = _bucketed(df, id_col, seed, digits)
-    offs = bucket_offsets(b, keys)
-    if limit is not None:
-        offs = offs.filter(F.col(_OFF) < F.lit(int(limit)))
-    j = _join_offsets(b, offs, keys)
+    sizes, most = group_sizes(df, keys, bucket_rows=bucket_rows)
+    if digits is not None:
+        sizes, most = sizes.withColumn(_D, F.lit(int(digits))), int(digits)
+    r = _ranged(_hashed(df, id_col, seed), sizes, keys, most)
+    if most:
+        offs = range_offsets(r, keys, most).select(*keys, _B, _OFF)
+        offs = offs.filter(F.col(_OFF) < F.lit(int(limit))) if limit is not None else offs
+        # Ranges of small groups are in no table; with a limit, those of large groups must be in it.
+        r = _join_on(r, _checked(offs, "offsets"), [*keys, _B], "left")
+        if limit is not None:
+            r = r.filter((F.length(_B) == 0) | F.col(_OFF).isNotNull())
+    else:
+        r = r.withColumn(_OFF, F.lit(0).cast("long"))
     w = Window.partitionBy(*keys, _B).orderBy(_H, id_col)
-    r = j.withColumn(out, F.row_number().over(w))
-    if limit is not None:  # offsets are never negative: the rank in the bucket alone already bounds it (partial top-k)
+    r = r.withColumn(out, F.row_number().over(w))
+    if limit is not None:  # offsets are never negative: the rank in the range alone already bounds it (partial top-k)
         r = r.filter(F.col(out) <= F.lit(int(limit)))
-    r = r.withColumn(out, (F.col(out) + F.col(_OFF)).cast("long"))
+    r = r.withColumn(out, (F.col(out) + F.coalesce(F.col(_OFF), F.lit(0))).cast("long"))
     if limit is not None:
         r = r.filter(F.col(out) <= F.lit(int(limit)))
+    r = r.drop(_H, _B, _OFF)
     if keep_total:
-        r = r.withColumnRenamed(_N, keep_total)
-    return r.drop(_H, _B, _C, _OFF, _N)
+        totals = sizes.select(*keys, F.col(_N).alias(keep_total))
+        r = _with_group(r, _checked(totals, "totals"), keys)
+    return r
 
 
-def sample_n(df: DataFrame, n: int, id_col: str, group_cols=(), seed=42, digits: int = DIGITS) -> DataFrame:
+def sample_n(df: DataFrame, n: int, id_col: str, group_cols=(), seed=42, digits: int | None = None) -> DataFrame:
     """R2: ``n`` rows without replacement per group (all rows when the group is smaller)."""
     return hash_rank(df, group_cols, id_col, seed=seed, digits=digits, out="_mp_rn", limit=n).drop("_mp_rn")
 
 
-def cap_per_group(df: DataFrame, n: int, group_cols, id_col: str, seed=42, digits: int = 2) -> DataFrame:
+def cap_per_group(df: DataFrame, n: int, group_cols, id_col: str, seed=42, digits: int | None = None) -> DataFrame:
     """At most ``n`` rows per group, the same rows under any partitioning."""
     return sample_n(df, n, id_col, group_cols=group_cols, seed=seed, digits=digits)
 
@@ -124,40 +154,98 @@ def _checked(df: DataFrame, name: str) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def cut_points(df: DataFrame, keys: list[str], id_col: str, seed, sizes: DataFrame, most: int, budget: Column, weight: str | None = None) -> DataFrame:
+    """(group, ``_mp_th``, ``_mp_tid``): hash and id of the last row, in hash order, that has less than the group's budget before it.
+
+    ``sizes`` and ``most`` are those of ``group_sizes``, ``budget`` a column over them. Two passes at most over group, id and weight: one
+    adds up the ranges of large groups, if there are any; one orders the rows of the single range per group in which its budget ends.
+    """
+    thin = _hashed(df.select(*keys, id_col, *([weight] if weight else [])), id_col, seed)
+    r = _ranged(thin, sizes, keys, most)
+    budgets = sizes.select(*keys, budget.cast("long").alias(_E), F.col(_S))
+    if most:
+        offs = range_offsets(r, keys, most, weight)
+        offs = _with_group(offs, budgets, keys)
+        last = F.col(_OFF) + F.col(_C) >= F.least(F.col(_E), F.col(_S))
+        edge = offs.filter((F.col(_OFF) < F.col(_E)) & last).select(*keys, _B, _OFF, _E)
+        small = sizes.filter(F.col(_D) == 0).select(*keys, F.lit("").alias(_B), F.lit(0).cast("long").alias(_OFF), budget.cast("long").alias(_E))
+        budgets = edge.unionByName(small)
+        on = [*keys, _B]
+    else:
+        budgets, on = budgets.withColumn(_OFF, F.lit(0).cast("long")).drop(_S), keys
+    budgets = _checked(budgets, "budgets")
+    r = _with_group(r, budgets, on)
+    order = Window.partitionBy(*keys, _B).orderBy(_H, id_col)
+    if weight:
+        before = F.coalesce(F.sum(weight).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col(_OFF)
+    else:
+        before = F.row_number().over(order) - 1 + F.col(_OFF)
+    r = r.withColumn("_mp_before", before).filter(F.col("_mp_before") < F.col(_E))
+    cut = r.groupBy(*keys).agg(F.max(F.struct(F.col(_H).alias("h"), F.col(id_col).alias("i"))).alias("_mp_cut"))
+    return cut.select(*keys, F.col("_mp_cut.h").alias("_mp_th"), F.col("_mp_cut.i").alias("_mp_tid"))
+
+
+def _upto(id_col: str) -> Column:
+    """Rows up to the group's cut point."""
+    return (F.col(_H) < F.col("_mp_th")) | ((F.col(_H) == F.col("_mp_th")) & (F.col(id_col) <= F.col("_mp_tid")))
+
+
+def eval_size(ratio: float, min_eval: int, n: str = _N) -> Column:
+    """``max(min_eval, int(n * ratio))``."""
+    return F.greatest(F.lit(int(min_eval)).cast("long"), F.floor(F.col(n) * F.lit(float(ratio))).cast("long"))
+
+
 def split_eval(df: DataFrame, group_cols, id_col: str, ratio: float = 0.05, min_eval: int = 1, seed=42,
-               digits: int = DIGITS, out: str = "split") -> DataFrame:
+               digits: int | None = None, out: str = "split", bucket_rows: int | None = None) -> DataFrame:
     """Per group, the first ``max(min_eval, int(n*ratio))`` shuffled rows are 'eval', the rest 'train'.
 
-    The full rows are computed once and never shuffled. Two side passes read the group and id columns (and what
-    ``df`` needs to compute or filter them): one counts rows per (group, hash bucket); one ranks the rows of
-    the single bucket per group that straddles the eval boundary and keeps only the last eval row's ``(hash, id)``.
-    Their result, a row per bucket, is written, counted and broadcast if it is small; the main pass labels
-    each row by its bucket offset, or, inside the boundary bucket, by comparing its ``(hash, id)`` with the threshold.
+    The full rows are computed once and never shuffled. Side passes read the group and id columns (and what
+    ``df`` needs to compute or filter them): one counts the groups, one finds each group's cut point, the ``(hash, id)`` of its last
+    eval row (``cut_points``). The cut points, a row per group, are written, counted and broadcast if they are few; the main pass compares
+    each row with that of its group. ``digits`` as in ``hash_rank``.
     """
     keys = _keys(group_cols)
-    b = _bucketed(df, id_col, seed, digits)
-    offs = bucket_offsets(b, keys)
-    n_eval = F.greatest(F.lit(int(min_eval)).cast("long"),
-                        F.floor(F.col(_N) * F.lit(float(ratio))).cast("long"))
-    offs = offs.withColumn("_mp_ne", n_eval).withColumn(
-        "_mp_edge", (F.col(_OFF) < F.col("_mp_ne")) & (F.col(_OFF) + F.col(_C) > F.col("_mp_ne")))
-    offs = _checked(offs.select(*keys, _B, _C, _OFF, "_mp_ne", "_mp_edge"), "split-buckets")
-
-    # Threshold (hash, id) of the last eval row, from the boundary buckets only.
-    slim = _bucketed(df.select(*keys, id_col), id_col, seed, digits)
-    edge_offs = offs.filter(F.col("_mp_edge")).select(*keys, _B, _OFF, "_mp_ne")
-    w = Window.partitionBy(*keys, _B).orderBy(_H, id_col)
-    thr = (_join_on(slim, edge_offs, keys + [_B])
-           .withColumn("_mp_rn", F.row_number().over(w) + F.col(_OFF))
-           .filter(F.col("_mp_rn") == F.col("_mp_ne"))
-           .select(*keys, _B, F.col(_H).alias("_mp_th"), F.col(id_col).alias("_mp_tid")))
-    table = _checked(_join_on(offs, thr, keys + [_B], how="left"), "split-table")
-
-    j = _join_on(b, table, keys + [_B])
-    in_edge = (F.col(_H) < F.col("_mp_th")) | ((F.col(_H) == F.col("_mp_th")) & (F.col(id_col) <= F.col("_mp_tid")))
-    label = F.when(F.col("_mp_edge"), in_edge).otherwise(F.col(_OFF) + F.col(_C) <= F.col("_mp_ne"))
-    return (j.withColumn(out, F.when(label, F.lit("eval")).otherwise(F.lit("train")))
-            .drop(_H, _B, _C, _OFF, "_mp_ne", "_mp_edge", "_mp_th", "_mp_tid"))
+    sizes, most = group_sizes(df, keys, bucket_rows=bucket_rows)
+    if digits is not None:
+        sizes, most = sizes.withColumn(_D, F.lit(int(digits))), int(digits)
+    cuts = _checked(cut_points(df, keys, id_col, seed, sizes, most, eval_size(ratio, min_eval)), "cut-points")
+    rows = _hashed(df, id_col, seed)
+    j = _with_group(rows, cuts, keys)
+    return j.withColumn(out, F.when(_upto(id_col), F.lit("eval")).otherwise(F.lit("train"))).drop(_H, "_mp_th", "_mp_tid")
+
+
+def split_by_key(df: DataFrame, group_cols, key_col: str, ratio: float = 0.05, min_eval: int = 1, seed=42, out: str = "split",
+                 bucket_rows: int | None = None) -> DataFrame:
+    """R3 for rows that belong together: all rows of a group that share ``key_col`` are on one side.
+
+    Per group, keys are taken in the order of ``md5(seed:key)`` while fewer than ``n_eval = max(min_eval, int(n*ratio))`` rows are before them. Keys
+    of more than ``n_eval`` rows, and of more than the group's smallest key, are not eval keys: one of them would be most of the split.
+    So the eval rows are ``n_eval`` and less than one key's more, if the other keys have that many.
+    Null keys are one key.
+
+    Rows per key are counted with map-side aggregation, so a key with a third of all rows is no large task. The
+    label follows from the key's hash, its group's cut point and the list of keys too large for eval (at most ``1 / ratio`` a group, and one more
+    for each that holds more rows than the smallest): full rows are never shuffled where those lists are small, which is checked.
+    """
+    from mixprep.session import stage
+    keys = _keys(group_cols)
+    name = F.coalesce(F.concat(F.lit("="), F.col(key_col).cast("string")), F.lit("")).alias("_mp_key")
+    counts = stage(df.select(*keys, name).groupBy(*keys, "_mp_key").agg(F.count(F.lit(1)).alias("_mp_rows")), "keys")
+    groups = counts.groupBy(*keys).agg(F.sum("_mp_rows").alias(_N), F.min("_mp_rows").alias("_mp_least"))
+    groups = groups.filter(F.col(_N) > 0).select(*keys, eval_size(ratio, min_eval).alias("_mp_budget"), "_mp_least")
+    groups = _checked(groups, "key-groups")
+    counts = _with_group(counts, groups, keys)
+    fits = F.col("_mp_rows") <= F.greatest("_mp_budget", "_mp_least")
+    large = _checked(counts.filter(~fits).select(*keys, "_mp_key", F.lit(True).alias("_mp_large")), "large-keys")
+    small = counts.filter(fits).select(*keys, "_mp_key", "_mp_rows")
+    sizes, most = group_sizes(small, keys, weight="_mp_rows", bucket_rows=bucket_rows)
+    sizes = _with_group(sizes, groups.drop("_mp_least"), keys)
+    cuts = _checked(cut_points(small, keys, "_mp_key", seed, sizes, most, F.col("_mp_budget"), weight="_mp_rows"), "cut-points")
+    rows = _hashed(df.withColumn("_mp_key", name), "_mp_key", seed)
+    j = _with_group(rows, cuts, keys)
+    j = _join_on(j, large, [*keys, "_mp_key"], "left")
+    chosen = _upto("_mp_key") & F.col("_mp_large").isNull()
+    return j.withColumn(out, F.when(chosen, F.lit("eval")).otherwise(F.lit("train"))).drop(_H, "_mp_th", "_mp_tid", "_mp_key", "_mp_large")
 
 
 def _join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -168,6 +256,16 @@ def _join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inn
     return left.join(r, cond, how).drop(*ren.values())
 
 
+def _with_group(df: DataFrame, table: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Rows with the columns of their group's row in ``table``. Without keys the table has one row at most, whose values become literals."""
+    if keys:
+        return _join_on(df, table, keys, how)
+    row = table.first()
+    if row is None and how == "inner":
+        df = df.filter(F.lit(False))
+    return df.withColumns({f.name: F.lit(row[f.name] if row else None).cast(f.dataType) for f in table.schema})
+
+
 def shuffle_order(df: DataFrame, id_col: str, seed=42) -> DataFrame:
     """The rows in seeded-shuffle order (range-partitioned sort, no single task)."""
     return df.withColumn("_mp_h", hash_hex(id_col, seed)).orderBy("_mp_h", id_col).drop("_mp_h")
@@ -191,7 +289,7 @@ def class_weights(weights: Mapping[str, float] | Sequence[tuple[str, float]], cl
 
 
 def resample_weighted(df: DataFrame, weight_col: str, id_col: str, seed=42, draw_col: str = "draw_id",
-                      digits: int = DIGITS, max_classes: int = 64) -> DataFrame:
+                      digits: int | None = None, max_classes: int = 64) -> DataFrame:
     """As many draws with replacement as rows, P(row) proportional to its weight.
 
     Rows of equal weight form a class (weights come from a short list, so there
@@ -206,7 +304,7 @@ def resample_weighted(df: DataFrame, weight_col: str, id_col: str, seed=42, draw
     return pairs.join(df, pairs["_mp_pick_id"] == df[id_col], "inner").drop("_mp_pick_id")
 
 
-def weighted_draws(df: DataFrame, weight_col: str, id_col: str, seed=42, draw_col: str = "draw_id", digits: int = DIGITS,
+def weighted_draws(df: DataFrame, weight_col: str, id_col: str, seed=42, draw_col: str = "draw_id", digits: int | None = None,
                    max_classes: int = 64) -> DataFrame:
     """The draws of R4 alone: (draw id, ``_mp_pick_id``: the id of the row drawn), from ids and weights."""
     w = F.col(weight_col).cast("double")
