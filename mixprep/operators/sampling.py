@@ -341,3 +341,82 @@ def weighted_draws(df: DataFrame, weight_col: str, id_col: str, seed=42, draw_co
                              F.col("_mp_n")).alias("_mp_idx")))
     return (draws.join(ranked, (draws["_mp_dw"] == ranked["_mp_w"]) & (draws["_mp_idx"] == ranked["_mp_rn"]), "inner")
             .select(draw_col, F.col(id_col).alias("_mp_pick_id")))
+
+
+#: Weights become whole numbers of this fraction of one.
+WEIGHT_UNITS = 1_000_000
+
+
+def weight_units(weight: Column, units: int = WEIGHT_UNITS) -> Column:
+    """A weight in whole units, ``floor(weight * units + 1/2)``; null is 0, a negative, infinite or undefined weight fails the job."""
+    w = F.coalesce(weight.cast("double"), F.lit(0.0))
+    bad = (w < 0) | F.isnan(w) | (w * float(units) >= 2.0 ** 62)
+    return F.when(bad, F.raise_error(F.lit("a weight is negative, undefined or too large")).cast("bigint")).otherwise(F.floor(w * float(units) + 0.5).cast("bigint"))
+
+
+def weighted_draws_by_row(df: DataFrame, weight_col: str, id_col: str, seed=42, draw_col: str = "draw_id", units: int = WEIGHT_UNITS,
+                          bucket_rows: int | None = None) -> DataFrame:
+    """R4 for any weights: (draw id, ``_mp_pick_id``), a draw per row with P(row) proportional to its own weight, as whole units.
+
+    Inverse-CDF sampling in exact integers: the rows, in the order of ``md5(seed:row:id)`` and id, are laid end to end, each as long as its weight;
+    draw i falls on ``x = u W div 2^52`` with u the first 52 bits of ``md5(seed:draw:id)`` and W the sum of all weights, and takes the row at x. No table of classes is
+    made, and nothing of the rows reaches the driver but their number and W (which must stay below 2^63 units).
+
+    1. Rows are cut into ranges of the hash (``group_sizes``); sums per range, in two levels, give every range its stretch, and a window within a range every row.
+    2. Draws find their range: stretches and draws are dealt into equal cells of the line, a stretch into all it touches, and merged in order.
+    3. They find their row the same way, in cells of a range: as many as its share of the draws asks for. So a single row with a third of
+       all weight is many cells, and a range of a million weightless rows is a range like any other.
+
+    No window holds more than about the rows of a range and the draws of a cell. Ids must be unique. Without any weight above 0 there are no draws.
+    """
+    from mixprep.session import stage
+    rows = bucket_rows or BUCKET_ROWS
+    sizes, most = group_sizes(df.select(id_col), [], bucket_rows=rows)
+    thin = _hashed(df.select(F.col(id_col).alias("i"), weight_units(F.col(weight_col), units).alias("w")), "i", f"{seed}:row")
+    thin = stage(_ranged(thin, sizes, [], most), "weights")
+    sums = thin.groupBy(_B).agg(F.sum("w").alias("len")).filter("len > 0")
+    sums = stage(sums.withColumn(_P, F.expr(f"substring({_B}, 1, greatest(0, length({_B}) - {LEVEL}))")), "weight-ranges")
+    upper = sums.groupBy(_P).agg(F.sum("len").alias("_mp_pc"))
+    upper = upper.select(_P, F.coalesce(F.sum("_mp_pc").over(Window.orderBy(_P).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_mp_po"))   # 4096 rows
+    inside = F.sum("len").over(Window.partitionBy(_P).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1))
+    n, total = (sizes.first() or {_N: 0})[_N], sums.agg(F.sum("len").alias("w")).first()["w"] or 0
+    if not total:
+        return df.select(F.col(id_col).alias(draw_col), F.col(id_col).alias("_mp_pick_id")).filter(F.lit(False))
+    # Cells of a range: its expected draws over the rows of a window.
+    cells = F.greatest(F.lit(1), F.ceil(F.col("len") / (float(total) * rows / n))).cast("bigint")
+    ranges = sums.join(F.broadcast(upper), _P).select(_B, (F.coalesce(inside, F.lit(0)) + F.col("_mp_po")).alias("lo"), "len")
+    ranges = ranges.select(_B, "lo", "len", F.ceil(F.col("len") / cells).cast("bigint").alias("cell"))
+    ranges = stage(ranges, "stretches")
+
+    u = F.conv(F.substring(hash_hex(draw_col, f"{seed}:draw"), 1, 13), 16, 10).cast("decimal(16,0)")
+    draws = df.select(F.col(id_col).alias(draw_col)).withColumn("u", u).select(draw_col, F.expr(f"u * cast({total} as decimal(19,0)) div 4503599627370496").alias("x"))
+    if most:
+        width = -(-int(total) // max(1, -(-n // rows)))
+        spread = ranges.select(F.explode(F.sequence(F.expr(f"lo div {width}"), F.expr(f"(lo + len - 1) div {width}"))).alias("at"), _B, "lo", "cell")
+        draws = _merged(spread.select("at", F.greatest("lo", F.expr(f"at * {width}")).alias("pos"), F.struct(_B, "lo", "cell").alias("hit")),
+                        draws.select(F.expr(f"x div {width}").alias("at"), F.col("x").alias("pos"), F.struct(draw_col, "x").alias("draw")), ["at"])
+        draws = draws.select("draw.*", "hit.*")
+    else:
+        draws = _with_group(draws, ranges.select(_B, "lo", "cell"), [])
+    draws = draws.select(draw_col, _B, (F.col("x") - F.col("lo")).alias("x"), "cell")
+
+    own = F.coalesce(F.sum("w").over(Window.partitionBy(_B).orderBy(_H, "i").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = thin.withColumn("own", own).filter("w > 0")
+    placed = _with_group(placed, ranges.select(_B, "cell"), [_B]) if most else _with_group(placed, ranges.select("cell"), [])
+    placed = placed.select(_B, F.explode(F.sequence(F.expr("own div cell"), F.expr("(own + w - 1) div cell"))).alias("at"), "own", "cell", "i")
+    found = _merged(placed.select(_B, "at", F.greatest("own", F.col("at") * F.col("cell")).alias("pos"), F.struct("i").alias("hit")),
+                    draws.select(_B, F.expr("x div cell").alias("at"), F.col("x").alias("pos"), F.struct(draw_col).alias("draw")), [_B, "at"])
+    return found.select(f"draw.{draw_col}", F.col("hit.i").alias("_mp_pick_id"))
+
+
+def _merged(stretches: DataFrame, draws: DataFrame, cell: list[str]) -> DataFrame:
+    """(draw, hit): each draw of a cell with the last stretch that begins at or before it (``pos``): one ordered pass over both, no pairs."""
+    both = stretches.select(*cell, "pos", F.lit(0).alias("kind"), "hit").unionByName(draws.select(*cell, "pos", F.lit(1).alias("kind"), "draw"), allowMissingColumns=True)
+    w = Window.partitionBy(*cell).orderBy("pos", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return both.withColumn("hit", F.last("hit", ignorenulls=True).over(w)).filter("kind = 1").select("draw", "hit")
+
+
+def resample_by_row(df: DataFrame, weight_col: str, id_col: str, seed=42, draw_col: str = "draw_id", units: int = WEIGHT_UNITS) -> DataFrame:
+    """R4 with a weight per row: as many draws with replacement as rows, with the drawn rows' columns (``weighted_draws_by_row``)."""
+    pairs = weighted_draws_by_row(df, weight_col, id_col, seed, draw_col, units)
+    return pairs.join(df, pairs["_mp_pick_id"] == df[id_col], "inner").drop("_mp_pick_id")

@@ -471,6 +471,27 @@ def resample_weighted(spark: SparkSession, d: str) -> DataFrame:
     return sampling.resample_weighted(s, "w", "sample_id", seed=42, max_classes=len(WEIGHTS_BY_COLUMN) + 1).select("draw_id", "sample_id", "category")
 
 
+@query
+def resample_by_row(spark: SparkSession, d: str) -> DataFrame:
+    """R4 with a weight of its own for every row: a tenth and a thousandth of its length."""
+    docs = fx.table(spark, d, "documents").select("doc_id", (F.lit(0.1) + F.coalesce(F.col("n_chars"), F.lit(0)) / F.lit(1000.0)).alias("w"))
+    return sampling.resample_by_row(docs, "w", "doc_id", seed=42).select("draw_id", "doc_id", "w")
+
+
+@query
+def split_by_item(spark: SparkSession, d: str) -> DataFrame:
+    """Both directions of an item's samples on one side of the split, per domain."""
+    rows = _items(spark, d).select("domain", "pid", F.explode(F.array(F.lit("desc2tok"), F.lit("tok2desc"))).alias("task"))
+    return sampling.split_by_key(rows, ["domain"], "pid", ratio=0.05, seed=42)
+
+
+@query
+def split_by_order(spark: SparkSession, d: str) -> DataFrame:
+    """D12 where keys have many sizes: the lines of an order on one side, per return flag."""
+    lines = fx.table(spark, d, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber")
+    return sampling.split_by_key(lines, ["l_returnflag"], "l_orderkey", ratio=0.05, seed=42)
+
+
 @query
 def resample_by_content(spark: SparkSession, d: str) -> DataFrame:
     """R4 with weights found by content (N12, first match, joined scope), as the reference's trainer does."""
@@ -538,8 +559,8 @@ def subtype_top5(spark: SparkSession, d: str) -> DataFrame:
 def mix_counts(spark: SparkSession, d: str) -> DataFrame:
     """A1: samples -> F1(12288) -> R3 per category -> train/eval counts with total row."""
     s = filters.filter_max_len(_sft(spark, d), V2_MAX_CHAR)
-    s = sampling.split_eval(s.select("sample_id", "category", "system", "prompt", "response"),
-                            ["category"], "sample_id", ratio=0.05, seed=42)
+    s = stage(s.select("sample_id", "category"), "counted")      # the texts are read once, for the filter
+    s = sampling.split_eval(s, ["category"], "sample_id", ratio=0.05, seed=42)
     return stats.split_counts(s, "category")
 
 

@@ -497,6 +497,30 @@ Q["resample_weighted"] = with_(["samples"], f"""
 , sw AS (SELECT sample_id, category, {WEIGHTS_SQL} AS w FROM samples)
 {resample_sql('sw')}
 SELECT draw_id, sample_id, category FROM drawn""")
+Q["resample_by_row"] = """
+WITH d AS (SELECT doc_id, CAST(0.1 AS DOUBLE) + coalesce(n_chars, 0) / CAST(1000.0 AS DOUBLE) AS w FROM documents)
+, r AS (SELECT *, CAST(floor(w * 1000000 + 0.5) AS HUGEINT) AS units FROM d)
+, line AS (SELECT *, sum(units) OVER (ORDER BY md5('42:row:' || doc_id), doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - units AS lo FROM r WHERE units > 0)
+, draws AS (SELECT doc_id AS draw_id, CAST(('0x' || substr(md5('42:draw:' || doc_id), 1, 13)) AS BIGINT)::HUGEINT * (SELECT sum(units) FROM r) // 4503599627370496 AS x FROM d)
+SELECT draw_id, line.doc_id, line.w FROM draws ASOF JOIN line ON draws.x >= line.lo"""
+
+
+def split_by_key_sql(src: str, group: str, key: str) -> str:
+    """The rule of D12 over ``src``, by key counts and a running sum over eligible keys."""
+    return f"""
+, k AS (SELECT {group}, {key}, count(*) AS n FROM {src} GROUP BY ALL)
+, g AS (SELECT {group}, greatest(1, floor(sum(n) * CAST(0.05 AS DOUBLE))) AS budget, min(n) AS least FROM k GROUP BY {group})
+, o AS (SELECT k.*, budget, coalesce(sum(n) OVER (PARTITION BY k.{group} ORDER BY md5('42:=' || k.{key}), '=' || k.{key}
+                                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+        FROM k JOIN g ON k.{group} = g.{group} WHERE n <= greatest(budget, least))
+SELECT {src}.*, CASE WHEN o.before < o.budget THEN 'eval' ELSE 'train' END AS split
+FROM {src} LEFT JOIN o ON {src}.{group} = o.{group} AND {src}.{key} = o.{key}"""
+
+
+Q["split_by_item"] = with_(["item_sid", "item_caption"], """
+, r AS (SELECT c.domain, c.pid, t.task FROM item_caption c JOIN item_sid s ON c.pid = s.pid AND c.domain = s.domain, (VALUES ('desc2tok'), ('tok2desc')) t(task))
+""" + split_by_key_sql("r", "domain", "pid"))
+Q["split_by_order"] = "WITH r AS (SELECT l_returnflag, l_orderkey, l_linenumber FROM lineitem)" + split_by_key_sql("r", "l_returnflag", "l_orderkey")
 Q["subtype_top5"] = with_(["samples"], """
 SELECT * FROM (
   SELECT category, subtype, n, row_number() OVER (PARTITION BY category ORDER BY n DESC, subtype) AS rank
