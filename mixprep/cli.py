@@ -67,7 +67,8 @@ def build_mix(spark, base_dir: str, ext_dir: str, preset: str, eval_ratio: float
 
 
 def cmd_mix(args):
-    from mixprep.sinks.jsonl import stats_row, write_jsonl, write_stats
+    from mixprep.sinks.jsonl import SFT_COLS, stats_row, write_jsonl, write_stats
+    from mixprep.sinks.published import publish_jsonl
     from mixprep.operators.sampling import shuffle_order
     from mixprep.operators.stats import split_counts
     from mixprep.plans.mix import funnel
@@ -78,7 +79,11 @@ def cmd_mix(args):
     for r in split_counts(mixed, "category").collect():                        # A1 (a few rows)
         print(f"{r.category}: train {r.n_train} eval {r.n_eval}")
     out = shuffle_order(mixed, "sample_key", seed=f"{args.seed}:order")       # R1 before writing
-    write_jsonl(out, args.out, partition_by="split")                            # K1 + K4
+    if args.layout == "split":
+        write_jsonl(out, args.out, partition_by="split")                        # K1 + K4
+    else:                                                                       # as train.jsonl and eval.jsonl
+        order = F.md5(F.concat(F.lit(f"{args.seed}:order:"), F.col("sample_key")))
+        publish_jsonl(spark, mixed if args.layout == "plain" else out, args.out, "split", SFT_COLS, layout=args.layout, order=(order, "sample_key"))
     if args.preset == "v2":
         write_stats(stats_row(mixed, p["max_char"], p["world_sample"], args.eval_ratio),
                     os.path.join(args.out, "_stats"))                            # K3
@@ -149,10 +154,12 @@ def cmd_prepare(args):
         named = cats or ([k for k, _ in weights] if weights else None)
         # Files that no weight names keep all their rows, at weight 1.0.
         train = read_dir(spark, args.data_dir, categories=cats, schema=schema, other=OTHER,
-                         with_category=named if args.weight_mode == "by_column" else None)
+                         with_category=named if args.weight_mode == "by_column" else None,
+                         first=args.max_samples if args.sample_rows == "first" else None)
     train = staged_with_ids(train, "train-raw")
     raw = train.count()                                                          # A7 (from file footers)
-    train = cap_per_file(train, args.max_samples)
+    if args.sample_rows == "hash" or args.train_file or args.landed:
+        train = cap_per_file(train, args.max_samples)
     if weights and "category" not in train.columns:
         args.weight_mode = "by_content"
     policy = "drop" if args.filter_long_samples else "truncate"
@@ -212,6 +219,8 @@ def main(argv=None):
     m.add_argument("--base_dir", required=True)
     m.add_argument("--ext_dir", required=True)
     m.add_argument("--out", required=True)
+    m.add_argument("--layout", choices=["split", "folders", "plain"], default="split",
+                   help="split: folders split=train, split=eval; folders: train.jsonl, eval.jsonl as folders of part files; plain: as one file each")
     m.add_argument("--eval_ratio", type=float, default=0.05)
     m.add_argument("--seed", type=int, default=42)
     m.set_defaults(fn=cmd_mix)
@@ -238,6 +247,8 @@ def main(argv=None):
     p.add_argument("--eval_file", default=None)
     p.add_argument("--categories", nargs="*", default=None)
     p.add_argument("--max_samples", type=int, default=None)
+    p.add_argument("--sample_rows", choices=["first", "hash"], default="first",
+                   help="which --max_samples rows of a file of --data_dir: the first ones (only they are read), or any, by a hash")
     p.add_argument("--sample_weights", default=None, help='e.g. \'{"懂推荐": 1.0, "懂用户": 3.0}\'')
     p.add_argument("--weight_mode", choices=["by_column", "by_content"], default="by_column")
     p.add_argument("--filter_long_samples", action="store_true")

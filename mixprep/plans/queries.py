@@ -21,6 +21,7 @@ from mixprep.plans import prepare as W4
 from mixprep.plans import report as W5
 from mixprep.session import scratch_path, stage
 from mixprep.sinks import jsonl as sinks
+from mixprep.sinks.published import publish_jsonl
 from mixprep.sources import jsonl as src
 from mixprep.sources import keyed
 from mixprep.sources.keyed import read_keyed_last
@@ -136,6 +137,30 @@ def cap_per_group(spark: SparkSession, d: str) -> DataFrame:
     return sampling.cap_per_group(docs, 5, ["source"], "doc_id", seed=42)
 
 
+@query
+def src_first_samples(spark: SparkSession, d: str) -> DataFrame:
+    """The first 20 samples of each file, in file order; no more of a file is read than they take.
+
+    Files are plain, one a category, written in the order of the sample id."""
+    root = scratch_path(spark, "jsonl-heads")
+    publish_jsonl(spark, _sft(spark, d), root, "category", ("sample_id", "system", "prompt", "response"), layout="plain", order=("sample_id",))
+    df = src.read_dir(spark, root, schema=src.as_schema(_SFT_ID), with_category=CATEGORIES, first=20)
+    return df.select("category", "sample_no", "sample_id", "system", "prompt", "response")
+
+
+@query
+def sink_published(spark: SparkSession, d: str) -> DataFrame:
+    """K1 + K4: train.jsonl and eval.jsonl published by a commit protocol and read back by name."""
+    root = scratch_path(spark, "published")
+    s = sampling.split_eval(_sft(spark, d), ["category"], "sample_id", ratio=0.05, seed=42)
+    paths = publish_jsonl(spark, s, root, "split", ("sample_id", "system", "prompt", "response"))
+    back = None
+    for p in paths:
+        df = src.read_jsonl(spark, p, src.as_schema(_SFT_ID), lineage=False).withColumn("name", F.lit(p.rstrip("/").rsplit("/", 1)[-1]))
+        back = df if back is None else back.unionByName(df)
+    return back.select("name", "sample_id", "system", "prompt", "response")
+
+
 @query
 def category_from_name(spark: SparkSession, d: str) -> DataFrame:
     """First listed prefix of the name wins (src1 before src)."""

@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mixprep.sources import files
-
 SFT_COLS = ("system", "prompt", "response")
 
 
@@ -34,16 +30,9 @@ def write_jsonl(df: DataFrame, path: str, array_per_line: bool = False, partitio
 def write_jsonl_named(spark: SparkSession, df: DataFrame, root: str, name_col: str,
                       array_per_line: bool = False, cols=SFT_COLS) -> list[str]:
     """Land rows as ``{root}/{name}_{i:05d}.jsonl`` files, one name per value of ``name_col``
-    (the layout the directory scan and file-name categories expect)."""
-    staging = f"{root.rstrip('/')}/_staging"
-    write_jsonl(df, staging, array_per_line=array_per_line, partition_by=name_col, cols=cols)
-    out = []
-    for d in files.list_dirs(spark, staging):
-        name = unquote(d.rstrip("/").rsplit("/", 1)[-1].split("=", 1)[1])
-        for i, f in enumerate(p for p in files.list_files(spark, d, "part-*")):
-            dst = f"{root.rstrip('/')}/{name}_{i:05d}.jsonl"
-            out.append(files.rename(spark, f, dst))
-    return out
+    (the layout the directory scan and file-name categories expect), published by one rename (``published``)."""
+    from mixprep.sinks.published import publish_jsonl
+    return publish_jsonl(spark, df, root, name_col, cols, layout="flat", array_per_line=array_per_line)
 
 
 def stats_row(mixed: DataFrame, max_char: int, world_sample_size: int, eval_ratio: float,

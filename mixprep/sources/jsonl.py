@@ -81,14 +81,15 @@ def category_of_file(name_col) -> Column:
 
 def read_dir(spark: SparkSession, directory: str, categories: Sequence[str] | None = None,
              max_files: int | None = None, schema: StructType | str = SFT, on_bad: str = "fail",
-             with_category: Sequence[str] | bool | None = None, other: str | None = None) -> DataFrame:
+             with_category: Sequence[str] | bool | None = None, other: str | None = None, first: int | None = None) -> DataFrame:
     """S2 + S3 (+ S6, S8): every ``*.jsonl`` of a directory, in name order.
 
     ``categories`` keeps files whose name starts with one of them; the file list
     is pruned on the driver, so unmatched files are never opened. ``with_category``
     adds a ``category`` column from the file-name prefix (first match wins); rows of
     unmatched files get the category ``other``, or are left out where that is None.
-    ``with_category=True`` takes every file's category from its own name.
+    ``with_category=True`` takes every file's category from its own name. ``first`` reads the first samples of each
+    file alone (S4, ``heads.read_heads``), which adds ``sample_no`` and ``line_offset``.
     """
     schema = as_schema(schema)
     paths = files.list_files(spark, directory, "*.jsonl")
@@ -100,7 +101,11 @@ def read_dir(spark: SparkSession, directory: str, categories: Sequence[str] | No
         paths = paths[:max_files]
     if not paths:
         return spark.createDataFrame([], StructType(list(schema.fields) + [StructField("file_name", StringType())]))
-    df = read_jsonl(spark, paths, schema, on_bad=on_bad)
+    if first is not None:
+        from mixprep.sources.heads import read_heads
+        df = read_heads(spark, paths, schema, first)
+    else:
+        df = read_jsonl(spark, paths, schema, on_bad=on_bad)
     if with_category is True:
         return df.withColumn("category", category_of_file(F.col("file_name")))
     if with_category:

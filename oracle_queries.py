@@ -497,6 +497,12 @@ Q["resample_weighted"] = with_(["samples"], f"""
 , sw AS (SELECT sample_id, category, {WEIGHTS_SQL} AS w FROM samples)
 {resample_sql('sw')}
 SELECT draw_id, sample_id, category FROM drawn""")
+Q["src_first_samples"] = with_(["samples"], """
+, r AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY sample_id) - 1 AS sample_no FROM samples)
+SELECT category, sample_no, sample_id, system, prompt, response FROM r WHERE sample_no < 20""")
+Q["sink_published"] = with_(["samples"], f"""
+SELECT {split_case('rn', 'n')} || '.jsonl' AS name, sample_id, system, prompt, response
+FROM (SELECT *, {hrank('category', 'sample_id', '42')} AS rn, count(*) OVER (PARTITION BY category) AS n FROM samples)""")
 Q["resample_by_row"] = """
 WITH d AS (SELECT doc_id, CAST(0.1 AS DOUBLE) + coalesce(n_chars, 0) / CAST(1000.0 AS DOUBLE) AS w FROM documents)
 , r AS (SELECT *, CAST(floor(w * 1000000 + 0.5) AS HUGEINT) AS units FROM d)
