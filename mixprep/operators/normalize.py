@@ -81,6 +81,40 @@ def chat_to_alpaca(conv: DataFrame, conv_col: str = "conv_id", turn_col: str = "
         F.when(F.size(hist) > 0, hist).alias("history"))
 
 
+#: Turns of a stretch, about.
+STRETCH_ROWS = 100_000
+
+
+def chat_pairs(conv: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text",
+               parts: int | None = None) -> DataFrame:
+    """N3 as rows, for conversations of any length: conversation, turn, u, a, is_last: a row per user turn that the very next turn answers.
+
+    ``is_last`` marks the pair that is input and output; the others are history, which stays rows until something renders it. Turns are
+    dealt by range of (conversation, turn) into stretches of about ``STRETCH_ROWS`` turns, so a conversation with a third of all turns is many stretches;
+    ``lead`` runs within a stretch, and where a conversation goes on in a later one, that one's first turn is carried back (a row per stretch).
+    Turns of one number go by role and digest of the text. Turns without a conversation id are left out.
+    """
+    from mixprep.session import stage
+    spark = conv.sparkSession
+    t = conv.filter(F.col(conv_col).isNotNull()).select(F.col(conv_col).alias("c"), F.col(turn_col).alias("t"), F.col(role_col).alias("role"), F.col(text_col).alias("text"),
+                                                       F.md5(F.coalesce(F.col(text_col), F.lit(""))).alias("h"))
+    parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-t.count() // STRETCH_ROWS))
+    order = ["t", "role", "h"]
+    placed = stage(t.repartitionByRange(parts, "c", *order).withColumn("part", F.spark_partition_id()), "stretches")
+    first = placed.groupBy("c", "part").agg(F.min_by(F.struct("role", "text"), F.struct(*order)).alias("first"))
+    several = placed.select("c", "part").distinct().groupBy("c").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("c")
+    carried = first.join(several, "c", "left_semi").withColumn("carried", F.lead("first").over(Window.partitionBy("c").orderBy("part")))
+    carried = stage(carried.filter("carried is not null").select("c", "part", "carried"), "carried")
+    w = Window.partitionBy("c", "part").orderBy(*order)
+    led = placed.withColumn("next", F.lead(F.struct("role", "text")).over(w)).join(carried, ["c", "part"], "left")
+    following = F.coalesce("next", "carried")
+    pairs = led.filter((F.col("role") == "user") & (following["role"] == "assistant")).select("c", "t", "h", F.col("text").alias("u"), following["text"].alias("a"))
+    pairs = stage(pairs, "pairs")
+    last = pairs.groupBy("c").agg(F.max(F.struct("t", "h")).alias("last"))
+    out = pairs.join(last, "c")
+    return out.select(F.col("c").alias(conv_col), F.col("t").alias(turn_col), "u", "a", (F.struct("t", "h") == F.col("last")).alias("is_last"))
+
+
 def orphan_turns(conv: DataFrame, conv_col: str = "conv_id") -> DataFrame:
     """Turns without a conversation id, which N3 leaves out."""
     return conv.filter(F.col(conv_col).isNull())

@@ -13,7 +13,7 @@ from mixprep.functions import text as T
 from mixprep.functions.subword import Subword, encode_texts, token_counts
 from mixprep.operators import encode as E
 from mixprep.operators import filters, generate as G, lookup, sampling, stats
-from mixprep.operators.normalize import alpaca_to_sft
+from mixprep.operators.normalize import alpaca_to_sft, chat_pairs as chat_pairs_of
 from mixprep.plans import fixtures as fx
 from mixprep.plans import generate as W3
 from mixprep.plans import mix as W12
@@ -23,7 +23,7 @@ from mixprep.session import scratch_path, stage
 from mixprep.sinks import jsonl as sinks
 from mixprep.sinks.published import publish_jsonl
 from mixprep.sources import jsonl as src
-from mixprep.sources import keyed
+from mixprep.sources import item_maps, keyed
 from mixprep.sources.keyed import read_keyed_last
 
 QUERIES = {}
@@ -180,6 +180,23 @@ def dedupe_last_wins(spark: SparkSession, d: str) -> DataFrame:
     return df.select("pid", "domain", _ints("sid_three").alias("sid"))
 
 
+@query
+def dedupe_growing(spark: SparkSession, d: str) -> DataFrame:
+    """S7 on a map that grows: a shifted copy of some items arrives first, under later names, then the items; state keeps the last row of each key."""
+    from mixprep.sources import files
+    from mixprep.streaming.keyed_map import GrowingMap
+    root = scratch_path(spark, "growing")
+    items = fx.item_sid(spark, d).select("pid", "domain", F.col("sid_three"))
+    later = items.filter(F.col("pid") % 7 == 0).withColumn("sid_three", F.array(F.get("sid_three", 0) + 1, F.get("sid_three", 1), F.get("sid_three", 2)))
+    grown = GrowingMap(spark, f"{root}/map", f"{root}/state", ["pid", "domain"], ["sid_three"], "pid bigint, domain string, sid_three array<int>")
+    for letter, rows in (("b", later), ("a", items)):
+        rows.write.parquet(f"{root}/arriving-{letter}")
+        for i, f in enumerate(files.list_files(spark, f"{root}/arriving-{letter}", "part-*.parquet")):
+            files.rename(spark, f, f"{root}/map/{letter}-{i:05d}.parquet")
+        grown.refresh()
+    return grown.table().select("pid", "domain", _ints("sid_three").alias("sid"))
+
+
 @query
 def profile_scan(spark: SparkSession, d: str) -> DataFrame:
     """The wide profile's list columns (projection reaches the scan)."""
@@ -269,6 +286,12 @@ def chat_to_alpaca(spark: SparkSession, d: str) -> DataFrame:
     return a.select("conv_id", "instruction", "input", "output", _pairs_text("history").alias("history"))
 
 
+@query
+def chat_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """N3 as rows: every user turn that the next turn answers, the last pair marked; conversations cut into stretches."""
+    return chat_pairs_of(fx.table(spark, d, "conversations"))
+
+
 @query
 def char_len(spark: SparkSession, d: str) -> DataFrame:
     """Code-point length of system + prompt + response."""
@@ -396,6 +419,33 @@ def seq_lookup(spark: SparkSession, d: str) -> DataFrame:
     return seq.select("user_id", "domain", F.size("seq").alias("n_tokens"), F.array_join(toks, ",").alias("tokens"))
 
 
+def _landed_maps(spark, d) -> tuple[DataFrame, DataFrame]:
+    root = scratch_path(spark, "maps")
+    sids = item_maps.land_bucketed(fx.item_sid(spark, d), f"{root}/sid", buckets=8)
+    return item_maps.land_bucketed(fx.item_caption(spark, d), f"{root}/caption", like=f"{root}/sid"), sids
+
+
+@query
+def join_item_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """J1 on maps dealt by key once: neither side is shuffled."""
+    return lookup.join_items(*_landed_maps(spark, d)).select("pid", "domain", "caption", "token")
+
+
+@query
+def semi_item_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """J2 on maps dealt by key once."""
+    return lookup.semi_items(*_landed_maps(spark, d)).select("pid", "domain")
+
+
+@query
+def seq_lookup_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """J3 on a map dealt by key once: only the asking side is shuffled; items asked for over 50 times are answered by a table of their own."""
+    long_df = lookup.profile_to_long(fx.profile(spark, d), fx.PROFILE_LISTS, fx.PROFILE_TIMES, cap=20)
+    seq = item_maps.sequence_lookup_bucketed(long_df, _landed_maps(spark, d)[1], cap=20, hot_rows=50)
+    toks = F.transform("seq", lambda e: e["token"])
+    return seq.select("user_id", "domain", F.size("seq").alias("n_tokens"), F.array_join(toks, ",").alias("tokens"))
+
+
 @query
 def seq_lookup_ts(spark: SparkSession, d: str) -> DataFrame:
     """Live items keep their own time through the look-up."""

@@ -497,6 +497,14 @@ Q["resample_weighted"] = with_(["samples"], f"""
 , sw AS (SELECT sample_id, category, {WEIGHTS_SQL} AS w FROM samples)
 {resample_sql('sw')}
 SELECT draw_id, sample_id, category FROM drawn""")
+Q["dedupe_growing"] = with_(["item_sid"], """
+SELECT pid, domain, array_to_string([sid_three[1] + CASE WHEN pid % 7 = 0 THEN 1 ELSE 0 END, sid_three[2], sid_three[3]], ',') AS sid FROM item_sid""")
+Q["chat_pairs"] = """
+WITH t AS (SELECT conv_id, turn, role, text, lead(role) OVER w AS nrole, lead(text) OVER w AS a FROM conversations WHERE conv_id IS NOT NULL
+           WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+SELECT conv_id, turn, text AS u, a, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1 AS is_last FROM t WHERE role = 'user' AND nrole = 'assistant'"""
+for _plain in ("join_item", "semi_item", "seq_lookup"):
+    Q[f"{_plain}_bucketed"] = Q[_plain]
 Q["src_first_samples"] = with_(["samples"], """
 , r AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY sample_id) - 1 AS sample_no FROM samples)
 SELECT category, sample_no, sample_id, system, prompt, response FROM r WHERE sample_no < 20""")
