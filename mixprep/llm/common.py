@@ -15,7 +15,7 @@ from mixprep.session import scratch_path, stage
 #: ASCII white space of the contracts, ``[\x20\x09-\x0D]``, as a Java regex.
 ASCII_SPACE = "[\\x20\\x09-\\x0D]+"
 
-__all__ = ["ASCII_SPACE", "arrow_map", "byte_batches", "drop_rows", "filter_rows", "fold", "keep_columns", "rate_sample", "scratch_path", "ship", "stage", "table"]
+__all__ = ["ASCII_SPACE", "arrow_map", "byte_batches", "drop_rows", "filter_rows", "fold", "free_name", "keep_columns", "rate_sample", "scratch_path", "ship", "stage", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,16 +92,25 @@ def keep_columns(df: DataFrame, needed: dict[str, str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(name) for c, name in needed.items()])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with as many signs behind it as no column of ``df`` has, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 #: Rows of keys up to which a table of dropped rows is broadcast (at most about 100 MB); beyond, a shuffled join.
 BROADCAST_KEYS = 1_000_000
 
 
 def drop_rows(df: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
     """``df`` without the rows whose ``key`` is in ``dropped`` (one column, written already). Null keys stay."""
-    dropped = dropped.select(F.col(key).alias("dropped_key")).filter("dropped_key is not null")
+    name = free_name(df, "dropped_key")
+    dropped = dropped.select(F.col(key).alias(name)).filter(F.col(name).isNotNull())
     if dropped.count() <= BROADCAST_KEYS:
         dropped = F.broadcast(dropped)
-    return df.join(dropped, F.col(key) == F.col("dropped_key"), "left_anti")
+    return df.join(dropped, F.col(f"`{key}`") == F.col(name), "left_anti")
 
 
 def filter_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list[bool]]], text_col: str = "text") -> DataFrame:

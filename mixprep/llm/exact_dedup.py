@@ -13,12 +13,14 @@ are compared with those of the retained row, and rows that differ form groups of
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from contextlib import contextmanager
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from mixprep.llm.common import ASCII_SPACE, drop_rows, scratch_path, stage
+from mixprep.llm.common import ASCII_SPACE, drop_rows, free_name, scratch_path, stage
 
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -30,6 +32,9 @@ ROCKSDB = {
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else every partition reserves megabytes of disk
 }
 
+#: Hits up to which their locators are broadcast (about 50 MB); beyond, a shuffled join.
+BROADCAST_HITS = 200_000
+
 
 def normalized(text: Column) -> Column:
     """The text without white space of ``[\\x20\\x09-\\x0D]``; null counts as empty."""
@@ -53,12 +58,23 @@ def _conf(spark: SparkSession, values: dict[str, str]):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def located(df: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column]) -> DataFrame:
-    """(id, norm, points, digest, locator) of a Parquet scan; a locator is the file's name and the row in it."""
+def row_locator(spark: SparkSession, path: str) -> Column:
+    """File and row of a row of the Parquet files at ``path``: the file's place under ``path``, folders of partitions included, as one task
+    writes files of the same name into several of them."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    root = fs.makeQualified(at if fs.getFileStatus(at).isDirectory() else at.getParent()).toString()
+    plain = lambda uri: re.sub("^file:/+", "/", uri)
+    file = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/")
+    return F.concat_ws("#", F.replace(file, F.lit(plain(quote(root, safe="/:")).rstrip("/") + "/"), F.lit("")), F.col("_metadata.row_index"))
+
+
+def located(df: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column], locator: Column) -> DataFrame:
+    """(id, norm, points, digest, locator) of a Parquet scan (``row_locator``)."""
     text = F.col(f"`{text_col}`")
     rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), normalized(text).alias("norm"),
                      F.char_length(F.coalesce(text, F.lit(""))).cast("long").alias("points"),
-                     F.concat_ws("#", F.col("_metadata.file_name"), F.col("_metadata.row_index")).alias("locator"))
+                     locator.alias("locator"))
     return rows.withColumn("digest", digest(F.col("norm")))
 
 
@@ -72,11 +88,12 @@ def retained(spark: SparkSession, path: str, schema, id_col: str, text_col: str,
     reader = spark.readStream.schema(schema)
     if max_bytes_per_batch:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_batch)
+    locator = row_locator(spark, path)
     if not _status(spark, path).isDirectory():  # streams read folders: the one file of its folder
         path, name = path.rsplit("/", 1)
         reader = reader.option("pathGlobFilter", name)
     best = F.max(F.struct("points", (-F.col("id")).alias("minus_id"), "locator"))
-    state = located(reader.parquet(path), id_col, text_col, digest).groupBy("digest").agg(F.count(F.lit(1)).alias("n"), best.alias("best"))
+    state = located(reader.parquet(path), id_col, text_col, digest, locator).groupBy("digest").agg(F.count(F.lit(1)).alias("n"), best.alias("best"))
     out = f"{checkpoint}/updates"
 
     def put(batch: DataFrame, number: int) -> None:
@@ -113,16 +130,24 @@ def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
     checkpoint = scratch_path(spark, "exact-dedup")
     table = spark.read.parquet(path)
     groups = retained(spark, path, table.schema, id_col, text_col, digest, checkpoint, max_bytes_per_batch)
-    rows = located(table, id_col, text_col, digest)
+    rows = located(table, id_col, text_col, digest, row_locator(spark, path))
+    thin = rows.select("id", "digest", "locator", (F.col("digest") if digest is sha256_hex else sha256_hex(F.col("norm"))).alias("sha"))
+    thin.write.mode("overwrite").parquet(f"{checkpoint}/thin")
+    thin = spark.read.parquet(f"{checkpoint}/thin")
 
-    # Every hit against the bytes of the retained row. Only rows of digests with copies get here.
+    # Every hit against the bytes of the retained row. Digests and locators alone are joined to find the hits; only their texts are read, made
+    # again and shuffled. Locators that are too many to send are joined by a shuffle, which then moves the other texts as well.
     copies = groups.filter("n > 1").select("digest", "keep_at")
-    rows.select("norm", "digest", "locator").join(copies.hint("shuffle_hash"), "digest").write.mode("overwrite").parquet(f"{checkpoint}/hits")
+    thin.select("digest", "locator").join(copies, "digest").write.mode("overwrite").parquet(f"{checkpoint}/hit-rows")
+    wanted = spark.read.parquet(f"{checkpoint}/hit-rows").withColumnRenamed("locator", "at")
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_HITS else wanted
+    source = table.select(normalized(F.col(f"`{text_col}`")).alias("norm"), row_locator(spark, path).alias("locator"))
+    source.join(wanted, F.col("locator") == F.col("at")).select("norm", "digest", "locator", "keep_at").write.mode("overwrite").parquet(f"{checkpoint}/hits")
     hits = spark.read.parquet(f"{checkpoint}/hits")
     kept = hits.filter("locator = keep_at").select("digest", F.col("norm").alias("kept_norm"))
     clash = hits.join(kept, "digest").filter("norm <> kept_norm").select("digest").distinct()
     cols = ["id", "n", "keep_id", "keep_at", "locator", "sha"]
-    fine = rows.select("id", "digest", "locator", (F.col("digest") if digest is sha256_hex else sha256_hex(F.col("norm"))).alias("sha"))
+    fine = thin
     if clash.isEmpty():
         return _result(fine.join(groups, "digest").select(*cols), id_col)
     # Two texts share a digest: such digests are grouped by the bytes themselves.
@@ -170,6 +195,6 @@ def source_path(df: DataFrame) -> str:
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows, with all their columns, that stay: one of every group of equal texts (see ``exact_dedup``)."""
     spark, path = df.sparkSession, source_path(df)
-    copies = stage(exact_dedup(spark, path, id_col, text_col).filter("not kept").select(F.col("locator").alias("copy_at")), "copies")
-    at = F.concat_ws("#", F.col("_metadata.file_name"), F.col("_metadata.row_index")).alias("copy_at")
-    return drop_rows(spark.read.parquet(path).select("*", at), copies, "copy_at").select(*[F.col(f"`{c}`") for c in df.columns])
+    at = free_name(df, "copy_at")
+    copies = stage(exact_dedup(spark, path, id_col, text_col).filter("not kept").select(F.col("locator").alias(at)), "copies")
+    return drop_rows(spark.read.parquet(path).select("*", row_locator(spark, path).alias(at)), copies, at).select(*[F.col(f"`{c}`") for c in df.columns])
