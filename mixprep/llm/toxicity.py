@@ -120,7 +120,7 @@ class Lexicon:
             elif weight > best.get(start, 0.0):
                 best[start] = weight
         if spared and best:
-            best = {s: w for s, w in best.items() if not any(x <= s < y for x, y in spared)}
+            best = _outside(best, spared)
         return sum(best.values()), len(best)
 
     def features(self, text: str) -> tuple[float, float, int]:
@@ -139,6 +139,19 @@ class Lexicon:
         return 1 / (1 + math.exp(-z))
 
 
+def _outside(best: dict[int, float], spared: list[tuple[int, int]]) -> dict[int, float]:
+    """The matches that begin in none of the spared stretches ``[a, b)``: one pass over both in order."""
+    spared.sort()
+    out, reach, k = {}, -1, 0
+    for s in sorted(best):
+        while k < len(spared) and spared[k][0] <= s:
+            reach = max(reach, spared[k][1])
+            k += 1
+        if s >= reach:
+            out[s] = best[s]
+    return out
+
+
 def _lower_bound(hits: float, n: float, z: float = 2.6) -> float:
     """Wilson's lower confidence bound of a share."""
     p = hits / n
@@ -210,7 +223,8 @@ def learn_lexicon(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "
             weights[p] = math.log(bound / (1 - bound)) - math.log(n_toxic / n_clean)
     # A word or longer beginning adds nothing to a shorter beginning that weighs as much.
     kept = {p: w for p, w in weights.items() if not any(weights.get(p[:k] + "*", -1e9) >= w - 0.1 for k in PREFIXES if len(p.rstrip("*")) > k)}
-    kept = dict(sorted(kept.items(), key=lambda x: (-x[1], x[0]))[:max_patterns])
+    if len(kept) > max_patterns:
+        raise ValueError(f"{len(kept)} patterns learned, max_patterns is {max_patterns}: raise it or min_docs")
     lexicon = Lexicon(kept, exceptions)
 
     def features(batches):
