@@ -149,7 +149,8 @@ def embedding_dedup(df: DataFrame, least: float = 0.93, id_col: str = "vec_id",
     rows = rows.select(F.col("id").cast("bigint").alias("id"), F.col("v").cast("array<double>").alias("v"), F.col("label").cast("string").alias("label"))
     bad = F.exists("v", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     usable = F.coalesce(F.col("label").isNotNull() & ~bad & F.exists("v", lambda c: c != 0), F.lit(False))
-    key = F.sha2(F.concat_ws(",", F.lit("v"), F.col("label"), F.transform("v", lambda c: c.cast("string"))), 256)
+    # The label's length comes first, so no label can be read as the beginning of another's vector.
+    key = F.sha2(F.concat_ws(",", F.length("label").cast("string"), F.col("label"), F.transform("v", lambda c: c.cast("string"))), 256)
     rows = stage(rows.select("id", "v", "label", F.when(usable, key).alias("key")), "vectors")
     same = stage(rows.filter("key is not null").groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("w")), "same")
 
