@@ -64,9 +64,11 @@ def classify(text: str, compressors: list, chunk: int) -> tuple[str, float]:
 
 
 def learn_profiles(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                   sample_docs: int = 100, sample_chars: int = 4_000, max_languages: int = 256, dictionary_bytes: int = DICTIONARY_BYTES) -> Profiles:
-    """Dictionaries from a bounded sample: about ``sample_docs`` labelled documents a language, chosen by a hash of the id, and at most
-    ``sample_chars`` characters of each, joined in hash order and cut to ``dictionary_bytes``.
+                   sample_docs: int = 100, pieces: int = 8, max_languages: int = 256, dictionary_bytes: int = DICTIONARY_BYTES) -> Profiles:
+    """Dictionaries from a bounded sample: about ``sample_docs`` labelled documents a language, chosen by a hash of the id, joined in hash order.
+
+    The bound is on documents. All of them share the ``dictionary_bytes`` evenly, and of a text longer than its share ``pieces`` pieces are taken, one at a
+    hashed place in each equal stretch of the whole text: no part of a text is left out for where it stands.
 
     ``usable`` is a condition on the column ``id``. Rows without language or text are left out. More than
     ``max_languages`` languages are an error, as the driver's share would no longer be bounded. Copies of a text count once.
@@ -82,13 +84,28 @@ def learn_profiles(docs: DataFrame, usable: Column | None = None, id_col: str =
     rate = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, sample_docs / n))])
     order = F.xxhash64(F.lit("language"), "id")
     chosen = rows.filter(F.shiftrightunsigned(order, 11) / F.lit(float(2 ** 53)) < rate[F.col("lang")])
-    texts: dict[str, dict[str, int]] = {}
-    for r in chosen.select("lang", order.alias("h"), F.substring("text", 1, sample_chars).alias("text")).collect():
-        texts.setdefault(r["lang"], {})[r["text"]] = min(r["h"], texts.get(r["lang"], {}).get(r["text"], r["h"]))
-    joined = {lang: letters("\n".join(sorted(found, key=lambda t: (found[t], t))))[:dictionary_bytes] for lang, found in texts.items()}
+    # A piece's characters: its part of an even share. Letters of more than one byte may make the whole longer; that is evened out below.
+    size = max(8, dictionary_bytes // (sample_docs * pieces))
+    begin = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda k: (F.floor((k + F.pmod(F.xxhash64("h", k), F.lit(1024)) / 1024.0) * (F.col("n") - size) / pieces) + 1).cast("int"))
+    whole = F.transform(begin, lambda b: F.substr("text", b, F.lit(size)))
+    taken = F.when(F.col("n") <= size * pieces, F.array("text")).otherwise(whole)
+    texts: dict[str, dict[tuple, int]] = {}
+    for r in chosen.select("lang", "text", order.alias("h"), F.char_length("text").alias("n")).select("lang", "h", taken.alias("pieces")).collect():
+        of, text = texts.setdefault(r["lang"], {}), tuple(r["pieces"])
+        of[text] = min(r["h"], of.get(text, r["h"]))
+    joined = {lang: _even([b" ".join(letters(p) for p in t) for t in sorted(found, key=lambda t: (found[t], t))], dictionary_bytes) for lang, found in texts.items()}
     return Profiles({lang: raw for lang, raw in joined.items() if len(raw) >= 8})
 
 
+def _even(texts: list[bytes], limit: int) -> bytes:
+    """The texts joined, in ``limit`` bytes: where they are longer, stretches of all of them are left out evenly, a part of each run of 64 bytes."""
+    raw = b" ".join(texts)
+    if len(raw) <= limit:
+        return raw
+    keep = max(1, 64 * limit // len(raw))
+    return b"".join(raw[k:k + keep] for k in range(0, len(raw), 64))[:limit]
+
+
 def language_id(df: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text", min_margin: float = MIN_MARGIN) -> DataFrame:
     """Per row: the id column, lang_pred, score (0 to 1: the margin, 0.1 or more counts as 1), rejected.
 
