@@ -1,6 +1,6 @@
 """Token-ID / binary output (10): sequences written in training order, as shards of fixed-stride records.
 
-Every sequence has an index, dense from 0, that depends on the document ids alone. A keyed Feistel network permutes the
+Every sequence has an index, dense from 0, that depends on the documents' ids and tokens alone. A keyed Feistel network permutes the
 next power of four above the number of sequences, and walks on from every value outside until one lies inside
 (cycle-walking): that is the sequence's global slot. A shard is a range of slots; its file holds one record of
 ``stride`` bytes per slot, so record s of a training run is at ``(s - first slot) * stride`` of its shard, and reading
@@ -26,9 +26,11 @@ from mixprep.llm.sharding import BUCKET_ROWS, _offsets, _range
 from mixprep.llm.word_tokens import WordTokens, split_words
 
 ROUNDS = 6
+#: Words that a worker keeps: tokens are most of the work here, and a task holds little else.
+KEPT_WORDS = 1_000_000
 SHARD_BYTES = 16 << 20
 BATCH_BYTES = 4 << 20
-#: Documents up to which (row, first index) is broadcast: 16 MB of longs; beyond, a shuffled join.
+#: Documents up to which (row, first index) is broadcast: about 70 MB as broadcast; beyond, a shuffled join.
 BROADCAST_ROWS = 1_000_000
 _U = np.uint64
 
@@ -65,7 +67,7 @@ def _tokens(df: DataFrame, path: str, end_id: int, dtype: str) -> DataFrame:
     id_type = df.schema["id"].dataType.simpleString()
 
     def make():
-        words, end = WordTokens.of(path, "ids", dtype), np.asarray([end_id], dtype).tobytes()
+        words, end = WordTokens.of(path, "ids", dtype, KEPT_WORDS), np.asarray([end_id], dtype).tobytes()
 
         def step(batch: pa.RecordBatch) -> dict:
             texts = batch.column("text").to_pylist()
@@ -74,32 +76,40 @@ def _tokens(df: DataFrame, path: str, end_id: int, dtype: str) -> DataFrame:
                 split = [split_words(t or "") for t in texts[a:b]]
                 got, at = words.values([w for ws in split for w in ws]), 0
                 for ws in split:
-                    out.append(b"".join(got[at:at + len(ws)]) + end)
+                    out.append(b"".join(got[at:at + len(ws)] + [end]))
                     at += len(ws)
             size = np.dtype(dtype).itemsize
-            return {"id": batch.column("id"), "n": pa.array([len(x) // size for x in out], pa.int64()), "ids": pa.array(out, pa.binary())}
+            return {"id": batch.column("id"), "n": pa.array([len(x) // size for x in out], pa.int64()), "crc": pa.array([zlib.crc32(x) for x in out], pa.int64()),
+                    "ids": pa.array(out, pa.binary())}
         return step
-    return arrow_map(df, make, f"id {id_type}, n bigint, ids binary")
+    return arrow_map(df, make, f"id {id_type}, n bigint, crc bigint, ids binary")
 
 
 def first_indices(docs: DataFrame, window: int) -> DataFrame:
-    """(row, first): the index of a document's first sequence. Documents are in the order of a hash of their id, dealt into
-    hash ranges; counts per range give each its offset, so no task numbers more than a range."""
+    """(row, first): the index of a document's first sequence. Documents are in the order of a hash of their id, length and checksum, dealt into
+    hash ranges; counts per range give each its offset, so no task numbers more than a range (documents that are equal in all three lie in one).
+    Equal documents may change places, which changes no file."""
     ranges = max(1, -(-docs.count() // BUCKET_ROWS))
-    thin = docs.select("row", "id", "n", F.ceil(F.col("n") / window).alias("windows"), F.shiftrightunsigned(F.xxhash64(F.lit(29), "id"), 2).alias("h"))
+    thin = docs.select("row", "id", "n", "crc", F.ceil(F.col("n") / window).alias("windows"), F.shiftrightunsigned(F.xxhash64(F.lit(29), "id", "n", "crc"), 2).alias("h"))
     thin = thin.withColumn("bucket", _range("h", F.lit(ranges))).withColumn("one", F.lit(0))
     before = _offsets(thin.groupBy("one", "bucket").agg(F.sum("windows").alias("n")), ["one"], "bucket").select("bucket", "before")
-    w = Window.partitionBy("bucket").orderBy("h", F.col("id").asc_nulls_first(), "n", "row").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy("bucket").orderBy("h", F.col("id").asc_nulls_first(), "n", "crc", "row").rowsBetween(Window.unboundedPreceding, -1)
     found = thin.withColumn("here", F.coalesce(F.sum("windows").over(w), F.lit(0))).join(before, "bucket")
     return found.select("row", (F.col("here") + F.col("before")).alias("first"))
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme that Spark gives it, so that every executor means the same folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def _file_system(uri: str):
     """(file system, path in it) of a folder any executor reaches."""
     from pyarrow import fs
     if uri.startswith("file:"):
         return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
-    if "://" not in uri:
+    if "://" not in uri:                                 # ``write_shards`` qualifies its folder, so this is a reader's own path
         return fs.LocalFileSystem(), uri
     return fs.FileSystem.from_uri(uri)
 
@@ -120,12 +130,12 @@ def write_shards(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     """
     spark = df.sparkSession
     id_type = df.schema[id_col].dataType.simpleString()
-    out = out or scratch_path(spark, "shards")
+    out = qualified(spark, out or scratch_path(spark, "shards"))
     staged = scratch_path(spark, "tokens")
     tokens = _tokens(keep_columns(df, {id_col: "id", text_col: "text"}), path, end_id, dtype)
     tokens.withColumn("row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(staged)
     docs = spark.read.parquet(staged)
-    firsts = stage(first_indices(docs.select("row", "id", "n"), window), "firsts")
+    firsts = stage(first_indices(docs.select("row", "id", "n", "crc"), window), "firsts")
     total = docs.agg(F.sum(F.ceil(F.col("n") / window)).alias("n")).first()["n"] or 0
     size = np.dtype(dtype).itemsize
     stride = window * size
@@ -194,7 +204,9 @@ def write_shards(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
 
 def _arrow_type(name: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[name]
+    from pyspark.sql.pandas.types import to_arrow_type
+    from pyspark.sql.types import _parse_datatype_string
+    return to_arrow_type(_parse_datatype_string(name))
 
 
 def put(folder: str, name: str, data: bytes) -> None:

@@ -92,6 +92,7 @@ class WordTable:
 
     def __init__(self):
         self.known: dict = {}
+        self.kept = KEPT_WORDS
 
     def _encode(self, words: list[str]) -> dict:
         raise NotImplementedError
@@ -105,7 +106,7 @@ class WordTable:
         extra: dict = {}
         for k in range(0, len(new), 50_000):
             extra.update(self._encode(new[k:k + 50_000]))
-        if len(self.known) < KEPT_WORDS:
+        if len(self.known) < self.kept:
             self.known.update((w, v) for w, v in extra.items() if len(w) <= KEPT_CHARS)
         for i in at:
             got[i] = extra[words[i]]
@@ -115,20 +116,20 @@ class WordTable:
 class WordTokens(WordTable):
     """``values(words)`` gives per word its ids as little-endian bytes (``kind='ids'``) or their number."""
 
-    def __init__(self, path: str, kind: str = "ids", dtype: str = "<u4"):
+    def __init__(self, path: str, kind: str = "ids", dtype: str = "<u4", kept: int = KEPT_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             self.ranks = _ranks(json.load(f))
-        self.kind, self.dtype = kind, dtype
+        self.kind, self.dtype, self.kept = kind, dtype, kept
         self.known = {"": b"" if kind == "ids" else 0}
 
     @classmethod
-    def of(cls, path: str, kind: str = "ids", dtype: str = "<u4") -> "WordTokens":
+    def of(cls, path: str, kind: str = "ids", dtype: str = "<u4", kept: int = KEPT_WORDS) -> "WordTokens":
         key = (path, kind, dtype)
         if key not in _of_process:
-            _of_process[key] = cls(path, kind, dtype)
+            _of_process[key] = cls(path, kind, dtype, kept)
         return _of_process[key]
 
     def _by_library(self, words: list[str]) -> dict:
