@@ -21,7 +21,7 @@ from mixprep.functions.hashing import hash_hex, uniform01
 _H, _B, _C, _OFF, _N = "_mp_h", "_mp_b", "_mp_c", "_mp_off", "_mp_n"
 _D, _E, _P, _S = "_mp_d", "_mp_ne", "_mp_p", "_mp_s"
 #: Rows of a window task, about: the expected size of a range is between a 32nd and a half of it.
-BUCKET_ROWS = 65_536
+BUCKET_ROWS = 8_192
 #: Hash digits that one level of prefix sums takes: 4096 ranges a window.
 LEVEL = 3
 #: Rows up to which a per-bucket table, written and counted, is broadcast (about 50 MB); beyond, a shuffled join.
@@ -66,7 +66,7 @@ def _ranged(hashed: DataFrame, sizes: DataFrame, keys: list[str], most: int) ->
 
 def range_offsets(ranged: DataFrame, keys: list[str], most: int, weight: str | None = None) -> DataFrame:
     """(group, range) -> weight, weight before the range; ranges of large groups alone. Windows run over 4096 ranges at most, in two levels
-    (16.7 million ranges a group) where a group has more."""
+    (16.7 million ranges a group; with more, the upper level is longer) where a group has more."""
     n = F.sum(weight) if weight else F.count(F.lit(1))
     counts = ranged.filter(F.length(_B) > 0).groupBy(*keys, _B).agg(n.cast("long").alias(_C))
     before = lambda *by: Window.partitionBy(*by).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
