@@ -22,14 +22,18 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Encodes every text, decodes the ids and holds the result against the text."""
+    """Encodes every text by the kind of the model (merging: the library's ids) and by Viterbi over the scores of its pieces; decodes both and holds
+    the results against the text."""
     from mixprep.llm.sentencepiece_codec import decode, encode
     path = tokenizer_path("piece_bpe_32k.model")
     text = F.replace(F.coalesce("text", F.lit("")), F.lit("\u2581"), F.lit(" "))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(text.cast("binary")).alias("crc"))
-    coded = encode(docs, path, keep={"crc": "bigint"}).withColumn("ids_crc32", F.crc32("ids"))
-    back = decode(coded, path, keep={"n_pieces": "bigint", "n_byte_pieces": "bigint", "ids_crc32": "bigint", "crc": "bigint"}, crc=True)
-    return back.select("doc_id", "n_pieces", "n_byte_pieces", "ids_crc32", "text_crc32", (F.col("text_crc32") == F.col("crc")).alias("round_trip"))
+    kept = {"n_pieces": "bigint", "n_byte_pieces": "bigint", "n_viterbi_pieces": "bigint", "ids_crc32": "bigint", "viterbi_crc32": "bigint", "crc": "bigint"}
+    coded = encode(docs, path, keep={"crc": "bigint"}, viterbi=True).withColumns({"ids_crc32": F.crc32("ids"), "viterbi_crc32": F.crc32("viterbi_ids")})
+    back = decode(coded, path, keep=kept | {"viterbi_ids": "binary"}, crc=True).withColumnRenamed("text_crc32", "own_crc32")
+    back = decode(back, path, ids_col="viterbi_ids", keep=kept | {"own_crc32": "bigint"}, crc=True)
+    return back.select("doc_id", "n_pieces", "n_byte_pieces", "ids_crc32", F.col("own_crc32").alias("text_crc32"), (F.col("own_crc32") == F.col("crc")).alias("round_trip"),
+                       "n_viterbi_pieces", "viterbi_crc32", (F.col("text_crc32") == F.col("crc")).alias("viterbi_round_trip"))
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,11 @@ UNKNOWN_PENALTY = 10.0
 BATCH_BYTES = 4 << 20
 #: Characters that merge in one numpy batch, and the length from which a cut merges by a heap, alone.
 MERGE_CHARS, LONG_CUT = 200_000, 64
+#: Units of equal length advance together as long as they have this many substrings.
+VITERBI_CELLS = 1_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Bits of a hash that the table of possible keys leaves out.
+_MAYBE = np.uint64(42)
 _UNIT = re.compile(" +[^ ]*")
 _of_process: dict = {}
 
@@ -62,6 +66,8 @@ class Pieces(WordTable):
         self.scores = np.array([model.get_score(i) for i in normal], np.float64)[order]
         if len(np.unique(self.keys)) != len(keys):
             raise ValueError("two pieces share a hash")
+        self.maybe = np.zeros(1 << 64 - int(_MAYBE), bool)   # most substrings are no piece: their keys need no search
+        self.maybe[self.keys >> _MAYBE] = True
         self.unknown_score = self.scores.min() - UNKNOWN_PENALTY
         raw = {v: bytes([k]) for k, v in self.byte_id.items()}
         control = {i for i in range(n) if model.is_control(i)}
@@ -87,19 +93,27 @@ class Pieces(WordTable):
         prefix = np.zeros((n, length + 1), np.uint64)
         for k in range(length):
             prefix[:, k + 1] = prefix[:, k] * _BASE + chars[:, k] + np.uint64(1)
+        # Score and place of the piece that ends at (row, end), by its length, the longest first.
+        sizes = np.arange(min(length, self.longest), 0, -1)
+        gain, place = np.full((length + 1, n, len(sizes)), -np.inf), np.full((length + 1, n, len(sizes)), -1, np.int32)
+        for j, size in enumerate(sizes.tolist()):
+            h = prefix[:, size:] - prefix[:, :-size] * self.power[size]
+            row, at = np.nonzero(self.maybe[h >> _MAYBE])
+            found = np.minimum(np.searchsorted(self.keys, h[row, at]), len(self.keys) - 1)
+            hit = (self.keys[found] == h[row, at]) & (self.lengths[found] == size)
+            row, at, found = row[hit], at[hit] + size, found[hit]
+            gain[at, row, j], place[at, row, j] = self.scores[found], found
+        alone = gain[:, :, -1] == -np.inf
+        gain[:, :, -1][alone] = self.unknown_score
         best, back, piece = np.zeros((n, length + 1)), np.zeros((n, length + 1), np.int64), np.full((n, length + 1), -1, np.int64)
+        rows = np.arange(n)
         for end in range(1, length + 1):
-            begins = np.arange(max(0, end - self.longest), end)
-            h = prefix[:, end:end + 1] - prefix[:, begins] * self.power[end - begins]
-            at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-            hit = (self.keys[at] == h) & (self.lengths[at] == end - begins)
-            score = np.where(hit, best[:, begins] + self.scores[at], -np.inf)
-            alone = ~hit[:, -1]
-            score[alone, -1] = best[alone, end - 1] + self.unknown_score
+            first = max(0, len(sizes) - end)
+            score = gain[end, :, first:] + best[:, end - sizes[first:]]
             pick = np.argmax(score, axis=1)
-            rows = np.arange(n)
-            best[:, end], back[:, end] = score[rows, pick], begins[pick]
-            piece[:, end] = np.where(hit[rows, pick], self.ids[at[rows, pick]], -1)
+            best[:, end], back[:, end] = score[rows, pick], end - sizes[first:][pick]
+            at = place[end, rows, first + pick]
+            piece[:, end] = np.where(at >= 0, self.ids[at], -1)
         ids, begin = np.full((n, length), -2, np.int64), np.zeros((n, length), np.int64)
         end, column = np.full(n, length), length - 1
         rows = np.arange(n)
@@ -115,7 +129,7 @@ class Pieces(WordTable):
         for u in units:
             by_length.setdefault(len(u) + 1, []).append(u)
         for length, same in by_length.items():
-            step = max(1, 400_000 // (length * min(length, self.longest)))
+            step = max(1, VITERBI_CELLS // (length * min(length, self.longest)))
             for k in range(0, len(same), step):
                 part = same[k:k + step]
                 text = "".join([BLANK + u.replace(" ", BLANK) for u in part])
@@ -123,12 +137,12 @@ class Pieces(WordTable):
                 ids, begin = self.viterbi(chars.astype(np.uint64))
                 odd = (ids == -1).any(axis=1)
                 count = (ids != -2).sum(axis=1)
-                wide = ids.astype("<u4")
-                for i, u in enumerate(part):
-                    if odd[i]:
-                        out[u] = self._with_bytes(u, ids[i, length - count[i]:], begin[i, length - count[i]:])
+                data = ids.astype("<u4").tobytes()
+                for i, (u, c, strange) in enumerate(zip(part, count.tolist(), odd.tolist())):
+                    if strange:
+                        out[u] = self._with_bytes(u, ids[i, length - c:], begin[i, length - c:])
                     else:
-                        out[u] = wide[i, length - count[i]:].tobytes()
+                        out[u] = data[4 * ((i + 1) * length - c):4 * (i + 1) * length]
         return out
 
     def _with_bytes(self, unit: str, ids: np.ndarray, begin: np.ndarray) -> bytes:
@@ -274,6 +288,24 @@ class MergedPieces(Pieces):
             a = b
 
 
+class TwoWays(WordTable):
+    """``values(units)`` gives pairs of a unit's ids: by the kind of the model, and by Viterbi over the scores of its pieces."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        self.own, self.best = pieces_of(path), Pieces.of(path)
+
+    @classmethod
+    def of(cls, path: str) -> "TwoWays":
+        if (cls, path) not in _of_process:
+            _of_process[cls, path] = cls(path)
+        return _of_process[cls, path]
+
+    def _encode(self, units: list[str]) -> dict:
+        own, best = self.own._encode(units), self.best._encode(units)
+        return {u: (own[u], best[u]) for u in units}
+
+
 _UNIGRAM, _BPE, _USER_DEFINED = 1, 2, 4
 
 
@@ -295,10 +327,13 @@ def pieces_of(path: str) -> Pieces:
     return (MergedPieces if kind == _BPE else Pieces).of(path)
 
 
-def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: dict[str, str] | None = None) -> DataFrame:
+def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: dict[str, str] | None = None, viterbi: bool = False) -> DataFrame:
     """Per row: the id column, ids (little-endian unsigned 32-bit, as binary), n_pieces, n_byte_pieces (pieces of single
     bytes), and the columns of ``df`` named in ``keep`` (name -> Spark type).
 
+    With ``viterbi`` also viterbi_ids and n_viterbi_pieces: the segmentation of the highest sum of scores, which is ``ids`` for a unigram
+    model and what a unigram model of the same pieces and scores would give for a BPE model. Both come from one pass and one table of known units.
+
     Null and empty texts have no ids; repeated rows are encoded each; null ids stay; other columns are not read;
     no rows in, no rows out. U+2581 in a text counts as a blank, as in the library. One pass, no shuffle.
     """
@@ -307,28 +342,37 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
     def make():
         pieces = pieces_of(path)
+        table = TwoWays.of(path) if viterbi else pieces
         single = np.zeros(len(pieces.raw), bool)
         single[list(pieces.byte_id.values())] = True
 
         def step(batch: pa.RecordBatch) -> dict:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            out = []
+            out, best = [], []
             for a, b in byte_batches([len(t) for t in texts], BATCH_BYTES):
                 split = [pieces.units(t) for t in texts[a:b]]
-                got, at = pieces.values([u for us in split for u in us]), 0
+                got, at = table.values([u for us in split for u in us]), 0
                 for us in split:
-                    out.append(b"".join(got[at:at + len(us)]))
+                    own = got[at:at + len(us)]
+                    if viterbi:
+                        best.append(b"".join([y for _, y in own]))
+                        own = [x for x, _ in own]
+                    out.append(b"".join(own))
                     at += len(us)
             found = {"id": batch.column("id"), "ids": pa.array(out, pa.binary()), "n_pieces": pa.array([len(x) // 4 for x in out], pa.int64()),
                      "n_byte_pieces": pa.array([int(single[np.frombuffer(x, "<u4")].sum()) for x in out], pa.int64())}
+            if viterbi:
+                found |= {"viterbi_ids": pa.array(best, pa.binary()), "n_viterbi_pieces": pa.array([len(x) // 4 for x in best], pa.int64())}
             return found | {f"kept_{c}": batch.column(f"kept_{c}") for c in keep}
         return step
 
     rows = keep_columns(df, {id_col: "id", text_col: "text"}) if not keep else df.select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), *[F.col(f"`{c}`").alias(f"kept_{c}") for c in keep])
-    schema = ", ".join([f"id {id_type}", "ids binary", "n_pieces bigint", "n_byte_pieces bigint", *(f"kept_{c} {t}" for c, t in keep.items())])
+    more = {"viterbi_ids": "binary", "n_viterbi_pieces": "bigint"} if viterbi else {}
+    schema = ", ".join([f"id {id_type}", "ids binary", "n_pieces bigint", "n_byte_pieces bigint", *(f"{c} {t}" for c, t in more.items()),
+                        *(f"kept_{c} {t}" for c, t in keep.items())])
     out = arrow_map(rows, make, schema)
-    return out.select(F.col("id").alias(id_col), "ids", "n_pieces", "n_byte_pieces", *[F.col(f"kept_{c}").alias(c) for c in keep])
+    return out.select(F.col("id").alias(id_col), "ids", "n_pieces", "n_byte_pieces", *more, *[F.col(f"kept_{c}").alias(c) for c in keep])
 
 
 def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids", keep: dict[str, str] | None = None, crc: bool = False) -> DataFrame:
