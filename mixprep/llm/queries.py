@@ -30,10 +30,9 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(text.cast("binary")).alias("crc"))
     kept = {"n_pieces": "bigint", "n_byte_pieces": "bigint", "n_viterbi_pieces": "bigint", "ids_crc32": "bigint", "viterbi_crc32": "bigint", "crc": "bigint"}
     coded = encode(docs, path, keep={"crc": "bigint"}, viterbi=True).withColumns({"ids_crc32": F.crc32("ids"), "viterbi_crc32": F.crc32("viterbi_ids")})
-    back = decode(coded, path, keep=kept | {"viterbi_ids": "binary"}, crc=True).withColumnRenamed("text_crc32", "own_crc32")
-    back = decode(back, path, ids_col="viterbi_ids", keep=kept | {"own_crc32": "bigint"}, crc=True)
-    return back.select("doc_id", "n_pieces", "n_byte_pieces", "ids_crc32", F.col("own_crc32").alias("text_crc32"), (F.col("own_crc32") == F.col("crc")).alias("round_trip"),
-                       "n_viterbi_pieces", "viterbi_crc32", (F.col("text_crc32") == F.col("crc")).alias("viterbi_round_trip"))
+    back = decode(coded, path, ids_col=["ids", "viterbi_ids"], keep=kept, crc=True)
+    return back.select("doc_id", "n_pieces", "n_byte_pieces", "ids_crc32", F.col("text_crc32_ids").alias("text_crc32"), (F.col("text_crc32_ids") == F.col("crc")).alias("round_trip"),
+                       "n_viterbi_pieces", "viterbi_crc32", (F.col("text_crc32_viterbi_ids") == F.col("crc")).alias("viterbi_round_trip"))
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

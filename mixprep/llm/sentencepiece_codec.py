@@ -28,14 +28,18 @@ from mixprep.llm.word_tokens import WordTable
 BLANK = "▁"
 #: What a character without a piece costs more than the worst piece.
 UNKNOWN_PENALTY = 10.0
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
+#: Units of which a worker keeps both segmentations.
+KEPT_PAIRS = 200_000
 #: Characters that merge in one numpy batch, and the length from which a cut merges by a heap, alone.
 MERGE_CHARS, LONG_CUT = 200_000, 64
 #: Units of equal length advance together as long as they have this many substrings.
-VITERBI_CELLS = 1_000_000
+VITERBI_CELLS = 400_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-#: Bits of a hash that the table of possible keys leaves out.
-_MAYBE = np.uint64(42)
+#: Bits of a hash that the table of possible keys leaves out, and those that the table of first keys leaves out.
+_MAYBE, _NEAR = np.uint64(44), np.uint64(46)
+#: Spreads hashes of short pieces over all upper bits (odd, so no two hashes meet).
+_SPREAD = np.uint64(0xD6E8FEB86659FD93)
 _UNIT = re.compile(" +[^ ]*")
 _of_process: dict = {}
 
@@ -59,7 +63,7 @@ class Pieces(WordTable):
             raise ValueError("a piece holds a blank behind a letter: units would not be independent")
         self.longest = max(len(names[i]) for i in normal)
         self.power = np.array([pow(int(_BASE), k, 1 << 64) for k in range(self.longest + 1)], np.uint64)
-        keys = np.array([self._hash(names[i]) for i in normal], np.uint64)
+        keys = np.array([self._hash(names[i]) for i in normal], np.uint64) * _SPREAD
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.array(normal)[order]
         self.lengths = np.array([len(names[i]) for i in normal])[order]
@@ -68,6 +72,10 @@ class Pieces(WordTable):
             raise ValueError("two pieces share a hash")
         self.maybe = np.zeros(1 << 64 - int(_MAYBE), bool)   # most substrings are no piece: their keys need no search
         self.maybe[self.keys >> _MAYBE] = True
+        # The sorted keys from the first with a hash's upper bits on; the last one stands behind all hashes.
+        self.first = np.searchsorted(self.keys, np.arange(1 << 64 - int(_NEAR), dtype=np.uint64) << _NEAR).astype(np.int32)
+        self.deepest = int(np.bincount((self.keys >> _NEAR).astype(np.int64)).max())
+        self.keys, self.lengths = np.append(self.keys, np.uint64(2 ** 64 - 1)), np.append(self.lengths, 0)
         self.unknown_score = self.scores.min() - UNKNOWN_PENALTY
         raw = {v: bytes([k]) for k, v in self.byte_id.items()}
         control = {i for i in range(n) if model.is_control(i)}
@@ -86,34 +94,47 @@ class Pieces(WordTable):
             h = (h * int(_BASE) + ord(ch) + 1) % (1 << 64)
         return h
 
+    def _probe(self, h: np.ndarray) -> np.ndarray:
+        """Places in the sorted keys at which the hashes ``h`` are, if they are keys."""
+        at = self.first[h >> _NEAR]
+        for _ in range(self.deepest):
+            at = at + (self.keys[at] < h)
+        return at
+
     def viterbi(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For units (n x length, code points): ids (n x length, filled from the right, -1 for an unknown character and
         -2 for no piece) and begins of the pieces."""
         n, length = chars.shape
-        prefix = np.zeros((n, length + 1), np.uint64)
+        prefix = np.zeros((length + 1, n), np.uint64)
         for k in range(length):
-            prefix[:, k + 1] = prefix[:, k] * _BASE + chars[:, k] + np.uint64(1)
-        # Score and place of the piece that ends at (row, end), by its length, the longest first.
-        sizes = np.arange(min(length, self.longest), 0, -1)
-        gain, place = np.full((length + 1, n, len(sizes)), -np.inf), np.full((length + 1, n, len(sizes)), -1, np.int32)
-        for j, size in enumerate(sizes.tolist()):
-            h = prefix[:, size:] - prefix[:, :-size] * self.power[size]
-            row, at = np.nonzero(self.maybe[h >> _MAYBE])
-            found = np.minimum(np.searchsorted(self.keys, h[row, at]), len(self.keys) - 1)
-            hit = (self.keys[found] == h[row, at]) & (self.lengths[found] == size)
-            row, at, found = row[hit], at[hit] + size, found[hit]
-            gain[at, row, j], place[at, row, j] = self.scores[found], found
-        alone = gain[:, :, -1] == -np.inf
-        gain[:, :, -1][alone] = self.unknown_score
-        best, back, piece = np.zeros((n, length + 1)), np.zeros((n, length + 1), np.int64), np.full((n, length + 1), -1, np.int64)
-        rows = np.arange(n)
+            prefix[k + 1] = prefix[k] * _BASE + chars[:, k] + np.uint64(1)
+        # Per size of a piece: the rows in which one ends, and which, cut by its end.
+        hits = []
+        for size in range(1, min(length, self.longest) + 1):
+            h = (prefix[size:] - prefix[:-size] * self.power[size]) * _SPREAD
+            at, row = np.nonzero(self.maybe[h >> _MAYBE])
+            h = h[at, row]
+            found = self._probe(h)
+            hit = np.flatnonzero((self.keys[found] == h) & (self.lengths[found] == size))
+            row, found = row[hit], found[hit]
+            hits.append((size, np.searchsorted(at[hit] + size, np.arange(length + 2)).tolist(), row, self.scores[found], self.ids[found]))
+        best, back, piece = np.zeros((length + 1, n)), np.zeros((length + 1, n), np.int64), np.full((length + 1, n), -1, np.int64)
         for end in range(1, length + 1):
-            first = max(0, len(sizes) - end)
-            score = gain[end, :, first:] + best[:, end - sizes[first:]]
-            pick = np.argmax(score, axis=1)
-            best[:, end], back[:, end] = score[rows, pick], end - sizes[first:][pick]
-            at = place[end, rows, first + pick]
-            piece[:, end] = np.where(at >= 0, self.ids[at], -1)
+            # A character alone, first as an unknown one; then ever longer pieces, which win ties.
+            here, best_back, best_piece = best[end], back[end], piece[end]
+            here[:], best_back[:] = -np.inf, end - 1
+            for size, cut, row, score, ids in hits:
+                own = slice(cut[end], cut[end + 1])
+                r = row[own]
+                if len(r):
+                    total = best[end - size, r] + score[own]
+                    wins = total >= here[r]
+                    r = r[wins]
+                    here[r], best_back[r], best_piece[r] = total[wins], end - size, ids[own][wins]
+                if size == 1:
+                    alone = np.flatnonzero(best_piece < 0)
+                    here[alone] = best[end - 1, alone] + self.unknown_score
+        back, piece = back.T, piece.T
         ids, begin = np.full((n, length), -2, np.int64), np.zeros((n, length), np.int64)
         end, column = np.full(n, length), length - 1
         rows = np.arange(n)
@@ -189,7 +210,8 @@ class MergedPieces(Pieces):
 
     def _find(self, h: np.ndarray, lengths: np.ndarray | int) -> np.ndarray:
         """Places of pieces by hash and length; -1 for no piece."""
-        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+        h = h * _SPREAD
+        at = self._probe(h)
         return np.where((self.keys[at] == h) & (self.lengths[at] == lengths), at, -1).astype(np.int32)
 
     def merge(self, chars: np.ndarray, piece: np.ndarray) -> None:
@@ -294,6 +316,7 @@ class TwoWays(WordTable):
     def __init__(self, path: str):
         super().__init__()
         self.own, self.best = pieces_of(path), Pieces.of(path)
+        self.kept = KEPT_PAIRS
 
     @classmethod
     def of(cls, path: str) -> "TwoWays":
@@ -375,24 +398,29 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("id").alias(id_col), "ids", "n_pieces", "n_byte_pieces", *more, *[F.col(f"kept_{c}").alias(c) for c in keep])
 
 
-def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids", keep: dict[str, str] | None = None, crc: bool = False) -> DataFrame:
+def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str | list[str] = "ids", keep: dict[str, str] | None = None, crc: bool = False) -> DataFrame:
     """Per row: the id column, text (with ``crc``: text_crc32 of its UTF-8 bytes instead), and the columns in ``keep``.
 
+    With a list of columns as ``ids_col`` each is decoded, to ``text_<column>`` (``text_crc32_<column>``).
     The inverse of ``encode`` for every text without U+2581. Null ids_col is the empty text; no rows in, no rows out.
     """
     keep = keep or {}
     id_type = df.schema[id_col].dataType.simpleString()
+    value, kind = ("text_crc32", "bigint") if crc else ("text", "string")
+    names = {value: ids_col} if isinstance(ids_col, str) else {f"{value}_{c}": c for c in ids_col}
 
     def make():
         pieces = pieces_of(path)
 
         def step(batch: pa.RecordBatch) -> dict:
-            texts = [pieces.decode(x or b"") for x in batch.column("ids").to_pylist()]
-            value = {"text_crc32": pa.array([zlib.crc32(t.encode()) for t in texts], pa.int64())} if crc else {"text": pa.array(texts, pa.string())}
-            return {"id": batch.column("id")} | value | {f"kept_{c}": batch.column(f"kept_{c}") for c in keep}
+            found = {"id": batch.column("id")}
+            for name in names:
+                texts = [pieces.decode(x or b"") for x in batch.column(f"of_{name}").to_pylist()]
+                found[name] = pa.array([zlib.crc32(t.encode()) for t in texts], pa.int64()) if crc else pa.array(texts, pa.string())
+            return found | {f"kept_{c}": batch.column(f"kept_{c}") for c in keep}
         return step
 
-    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{ids_col}`").alias("ids"), *[F.col(f"`{c}`").alias(f"kept_{c}") for c in keep])
-    value = "text_crc32 bigint" if crc else "text string"
-    out = arrow_map(rows, make, ", ".join([f"id {id_type}", value, *(f"kept_{c} {t}" for c, t in keep.items())]))
-    return out.select(F.col("id").alias(id_col), value.split(" ")[0], *[F.col(f"kept_{c}").alias(c) for c in keep])
+    rows = df.select(F.col(f"`{id_col}`").alias("id"), *[F.col(f"`{c}`").alias(f"of_{name}") for name, c in names.items()],
+                     *[F.col(f"`{c}`").alias(f"kept_{c}") for c in keep])
+    out = arrow_map(rows, make, ", ".join([f"id {id_type}", *(f"{name} {kind}" for name in names), *(f"kept_{c} {t}" for c, t in keep.items())]))
+    return out.select(F.col("id").alias(id_col), *names, *[F.col(f"kept_{c}").alias(c) for c in keep])
