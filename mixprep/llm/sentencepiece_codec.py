@@ -30,7 +30,7 @@ BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
 BATCH_BYTES = 2 << 20
 #: Units of which a worker keeps both segmentations.
-KEPT_PAIRS = 200_000
+KEPT_PAIRS = 300_000
 #: Characters that merge in one numpy batch, and the length from which a cut merges by a heap, alone.
 MERGE_CHARS, LONG_CUT = 200_000, 64
 #: Units of equal length advance together as long as they have this many substrings.
@@ -58,6 +58,8 @@ class Pieces(WordTable):
         names = [model.id_to_piece(i) for i in range(n)]
         self.byte_id = {int(names[i][1:-1], 16): i for i in range(n) if model.is_byte(i)}
         self.unknown = model.unk_id()
+        # What an ASCII character that no piece holds becomes: one byte's piece.
+        self.ascii = np.array([self.byte_id[k] if len(self.byte_id) == 256 else self.unknown for k in range(128)])
         normal = [i for i in range(n) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         if any(BLANK in names[i].lstrip(BLANK) for i in normal):
             raise ValueError("a piece holds a blank behind a letter: units would not be independent")
@@ -156,6 +158,9 @@ class Pieces(WordTable):
                 text = "".join([BLANK + u.replace(" ", BLANK) for u in part])
                 chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(part), length)
                 ids, begin = self.viterbi(chars.astype(np.uint64))
+                at, k = np.nonzero(ids == -1)
+                ch = chars[at, begin[at, k]]
+                ids[at[ch < 128], k[ch < 128]] = self.ascii[ch[ch < 128]]
                 odd = (ids == -1).any(axis=1)
                 count = (ids != -2).sum(axis=1)
                 data = ids.astype("<u4").tobytes()
@@ -301,6 +306,9 @@ class MergedPieces(Pieces):
             self._merge_long(text[begin[k]:begin[k] + size[k]], piece[begin[k]:begin[k] + size[k]])
         begin = np.flatnonzero(piece != -2)
         ids = np.where(piece[begin] >= 0, self.ids[piece[begin]], -1)
+        lone = np.flatnonzero(ids < 0)
+        lone = lone[chars[begin[lone]] < 128]
+        ids[lone] = self.ascii[chars[begin[lone]].astype(np.int64)]
         last = np.searchsorted(begin, stop)
         odd = np.add.reduceat(ids < 0, np.concatenate(([0], last[:-1]))) > 0
         data = ids.astype("<u4").tobytes()
@@ -325,8 +333,8 @@ class TwoWays(WordTable):
         return _of_process[cls, path]
 
     def _encode(self, units: list[str]) -> dict:
-        own, best = self.own._encode(units), self.best._encode(units)
-        return {u: (own[u], best[u]) for u in units}
+        best = self.best._encode(units)
+        return {u: (ids, best[u]) for u, ids in self.own._encode(units).items()}
 
 
 _UNIGRAM, _BPE, _USER_DEFINED = 1, 2, 4
