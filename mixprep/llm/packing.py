@@ -3,9 +3,9 @@
 A document's ids are cut into full windows, which stand alone, and one remainder. Remainders are
 placed, longest first, into the tightest open window of their block: a segment tree indexed by
 remaining capacity finds it. Blocks are equal hash ranges of about ``block_rows`` documents, so no
-task ever holds more than a block and a document's place does not depend on partitioning. Rows of an id
-(or of the null id) that more than an eighth of a block's rows share are dealt by their place in the staged files as well. A block
-wastes about one window in its several thousand.
+task ever holds more than a block and a document's place does not depend on partitioning. The hash is of id, length and checksum;
+rows that are equal in all three are numbered, so a third of all rows with one id and text are many blocks. Which of them gets which
+number changes no result. A block wastes about one window in its several thousand.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from mixprep.llm.common import arrow_map, byte_batches, keep_columns, stage
 from mixprep.llm.word_tokens import WordTokens, split_words
+from mixprep.operators.sampling import number_copies
 
 #: Bytes of text encoded at once.
 BATCH_BYTES = 4 << 20
@@ -74,7 +75,7 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> tuple[list[int], l
 
 
 def encode_windows(df: DataFrame, path: str, window: int, end_id: int, payload: str) -> DataFrame:
-    """Per document: id, n (ids with the end id) and ``parts``, a value per window: the crc32 of its ids
+    """Per document: id, n (ids with the end id), crc (of all its ids) and ``parts``, a value per window: the crc32 of its ids
     (``payload='crc32'``) or the ids as little-endian unsigned 32-bit bytes (``'ids'``)."""
     id_type = df.schema["id"].dataType.simpleString()
 
@@ -84,7 +85,7 @@ def encode_windows(df: DataFrame, path: str, window: int, end_id: int, payload:
 
         def step(batch: pa.RecordBatch) -> dict:
             texts = batch.column("text").to_pylist()
-            n, parts = [], []
+            n, crc, parts = [], [], []
             for a, b in byte_batches([len(t or "") for t in texts], BATCH_BYTES):
                 split = [split_words(t or "") for t in texts[a:b]]
                 got, at = words.values([w for ws in split for w in ws]), 0
@@ -92,12 +93,13 @@ def encode_windows(df: DataFrame, path: str, window: int, end_id: int, payload:
                     ids = b"".join(got[at:at + len(ws)]) + end
                     at += len(ws)
                     n.append(len(ids) // 4)
+                    crc.append(zlib.crc32(ids))
                     parts.append([value(ids[k:k + size]) for k in range(0, len(ids), size)])
             kind = pa.list_(pa.int64() if payload == "crc32" else pa.binary())
-            return {"id": batch.column("id"), "n": pa.array(n, pa.int64()), "parts": pa.array(parts, kind)}
+            return {"id": batch.column("id"), "n": pa.array(n, pa.int64()), "crc": pa.array(crc, pa.int64()), "parts": pa.array(parts, kind)}
         return step
 
-    return arrow_map(df, make, f"id {id_type}, n bigint, parts array<{'bigint' if payload == 'crc32' else 'binary'}>")
+    return arrow_map(df, make, f"id {id_type}, n bigint, crc bigint, parts array<{'bigint' if payload == 'crc32' else 'binary'}>")
 
 
 def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", window: int = 2048, end_id: int = 1,
@@ -119,7 +121,7 @@ def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text
     name = "ids_crc32" if payload == "crc32" else "ids"
 
     def place(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["id", "n"], kind="stable", na_position="first")
+        rows = rows.sort_values(["id", "n", "crc"], kind="stable", na_position="first")
         n = rows["n"].to_numpy()
         full, rest = n // window, n % window
         some = np.flatnonzero(rest)
@@ -141,12 +143,12 @@ def pack(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text
             "doc_tokens": n[row], "sequence_id": sequence + (int(key[0]) << 32), "offset": begin, "sequence_length": total,
             "padded_length": np.where(total & (total - 1) == 0, total, window)})
 
-    block = F.xxhash64("id")
-    hot = stage(docs.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > block_rows // 8).select(F.col("id").alias("hot_id"), F.lit(True).alias("hot")), "hot")
-    if not hot.isEmpty():
-        docs = docs.withColumn("at", F.struct("_metadata.file_name", "_metadata.row_index")).join(F.broadcast(hot), F.col("id").eqNullSafe(F.col("hot_id")), "left")
-        block = F.when(F.col("hot"), F.xxhash64("id", "n", "at")).otherwise(block)
-    out = (docs.select("id", "n", "parts", F.pmod(block, F.lit(blocks)).alias("block"))
+    key = F.concat_ws("/", F.col("n").cast("string"), F.col("crc").cast("string"), F.concat(F.lit("="), F.col("id").cast("string")))
+    docs, unique = docs.withColumn("key", key), "key"
+    if not docs.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").isEmpty():
+        docs = docs.withColumn("at", F.concat_ws("#", "_metadata.file_name", F.col("_metadata.row_index").cast("string")))
+        docs, unique = number_copies(docs, "key", "at", "numbered"), "numbered"
+    out = (docs.select("id", "n", "crc", "parts", F.pmod(F.xxhash64(unique), F.lit(blocks)).alias("block"))
            .groupBy("block").applyInPandas(place, f"id {id_type}, start bigint, length bigint, {name} {value}, doc_tokens bigint, "
                                            "sequence_id bigint, offset bigint, sequence_length bigint, padded_length bigint"))
     return out.withColumnRenamed("id", id_col)
