@@ -47,6 +47,12 @@ def rename(spark: SparkSession, src: str, dst: str) -> str:
     return dst
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def first_files(spark: SparkSession, directory: str, n: int | None, pattern: str = "*") -> list[str]:
     """The first ``n`` files of a table directory in name order (all when ``n`` is None)."""
     files = list_files(spark, directory, pattern)

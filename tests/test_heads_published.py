@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from mixprep import cli
 from mixprep.session import scratch_path
+from mixprep.sinks import published
 from mixprep.sinks.published import NamedWriter, file_name, publish_jsonl
 from mixprep.sources import heads, jsonl as src
 
@@ -121,6 +122,41 @@ def test_layouts(spark, frame, tmp_path, layout):
     assert spark.read.json(root, recursiveFileLookup=True).count() == 1000
 
 
+def test_a_plain_file_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """One name has nearly all rows, and a third of them share one key: the parts stay small, and the file is whole and in order."""
+    sizes = []
+
+    def seen(system, parts, found=published.places):
+        sizes.extend(size for own in found(system, parts).values() for _, _, size in own)
+        return found(system, parts)
+    monkeypatch.setattr(published, "PART_BYTES", 1 << 16)
+    monkeypatch.setattr(published, "COPY_BYTES", 1000)
+    monkeypatch.setattr(published, "places", seen)
+    key = F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(12_000 - F.col("id"))
+    df = spark.range(0, 12_000, 1, 5).select("id", key.alias("key"), F.when(F.col("id") < 5, "few").otherwise("most").alias("name"), F.lit("日本 " * 10).alias("text"))
+    paths = publish_jsonl(spark, df, str(tmp_path / "o"), "name", ("id", "key", "text"), layout="plain", order=("key",))
+    assert [os.path.basename(p) for p in paths] == ["few.jsonl", "most.jsonl"] and os.listdir(tmp_path) == ["o"]
+    got = {n: content(tmp_path / "o" / f"{n}.jsonl") for n in ("few", "most")}
+    assert sorted(s["id"] for s in got["few"]) == list(range(5)) and sorted(s["id"] for s in got["most"]) == list(range(5, 12_000))
+    for own in got.values():
+        keys = [-1 if s["key"] is None else s["key"] for s in own]
+        assert keys == sorted(keys) and all(s["text"] == "日本 " * 10 for s in own)
+    assert len(sizes) > 10 and max(sizes) <= 3 << 16
+
+
+def test_parts_have_places_in_the_order_of_their_tasks(tmp_path):
+    from pyarrow import fs
+    (tmp_path / "p" / "a.jsonl").mkdir(parents=True)
+    for n, text in ((99_999, "two\n"), (100_000, "three\n"), (7, "one\n")):
+        (tmp_path / "p" / "a.jsonl" / f"part-{n:05d}.jsonl").write_text(text)
+    own = published.places(fs.LocalFileSystem(), str(tmp_path / "p"))["a.jsonl"]
+    assert [(begin, size) for _, begin, size in own] == [(0, 4), (4, 4), (8, 6)]
+    for path, begin, _ in [own[2], own[0], own[1], own[0]]:               # in any order, one of them twice
+        published.put(path, str(tmp_path / "a.jsonl"), begin)
+    published.join([path for path, _, _ in own], str(tmp_path / "b.jsonl"), str(tmp_path))
+    assert (tmp_path / "a.jsonl").read_text() == (tmp_path / "b.jsonl").read_text() == "one\ntwo\nthree\n"
+
+
 def test_arrays_odd_names_and_no_rows(spark, tmp_path):
     df = spark.createDataFrame([(1, "a/b"), (2, None), (3, "_x"), (4, "."), (5, ""), (6, "懂 世界")], "id long, name string")
     paths = publish_jsonl(spark, df, str(tmp_path / "o"), "name", ("id",), layout="flat", array_per_line=True)
