@@ -24,15 +24,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes every text by the kind of the model (merging: the library's ids) and by Viterbi over the scores of its pieces; decodes both and holds
     the results against the text."""
-    from mixprep.llm.sentencepiece_codec import decode, encode
+    from mixprep.llm.sentencepiece_codec import encode
     path = tokenizer_path("piece_bpe_32k.model")
     text = F.replace(F.coalesce("text", F.lit("")), F.lit("\u2581"), F.lit(" "))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(text.cast("binary")).alias("crc"))
-    kept = {"n_pieces": "bigint", "n_byte_pieces": "bigint", "n_viterbi_pieces": "bigint", "ids_crc32": "bigint", "viterbi_crc32": "bigint", "crc": "bigint"}
-    coded = encode(docs, path, keep={"crc": "bigint"}, viterbi=True).withColumns({"ids_crc32": F.crc32("ids"), "viterbi_crc32": F.crc32("viterbi_ids")})
-    back = decode(coded, path, ids_col=["ids", "viterbi_ids"], keep=kept, crc=True)
-    return back.select("doc_id", "n_pieces", "n_byte_pieces", "ids_crc32", F.col("text_crc32_ids").alias("text_crc32"), (F.col("text_crc32_ids") == F.col("crc")).alias("round_trip"),
-                       "n_viterbi_pieces", "viterbi_crc32", (F.col("text_crc32_viterbi_ids") == F.col("crc")).alias("viterbi_round_trip"))
+    coded = encode(docs, path, keep={"crc": "bigint"}, viterbi=True, back="text_crc32")
+    return coded.select("doc_id", "n_pieces", "n_byte_pieces", F.crc32("ids").alias("ids_crc32"), F.col("text_crc32_ids").alias("text_crc32"),
+                        (F.col("text_crc32_ids") == F.col("crc")).alias("round_trip"), "n_viterbi_pieces", F.crc32("viterbi_ids").alias("viterbi_crc32"),
+                        (F.col("text_crc32_viterbi_ids") == F.col("crc")).alias("viterbi_round_trip"))
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -358,12 +358,25 @@ def pieces_of(path: str) -> Pieces:
     return (MergedPieces if kind == _BPE else Pieces).of(path)
 
 
-def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: dict[str, str] | None = None, viterbi: bool = False) -> DataFrame:
+#: What decoding gives, as Spark types: the text, or the crc32 of its UTF-8 bytes.
+DECODED = {"text": "string", "text_crc32": "bigint"}
+
+
+def decoded(pieces: Pieces, ids: list[bytes | None], value: str) -> pa.Array:
+    """The texts of ids, or what ``value`` names of them."""
+    texts = (pieces.decode(x or b"") for x in ids)
+    return pa.array([zlib.crc32(t.encode()) for t in texts], pa.int64()) if value == "text_crc32" else pa.array(list(texts), pa.string())
+
+
+def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: dict[str, str] | None = None, viterbi: bool = False,
+           back: str | None = None) -> DataFrame:
     """Per row: the id column, ids (little-endian unsigned 32-bit, as binary), n_pieces, n_byte_pieces (pieces of single
     bytes), and the columns of ``df`` named in ``keep`` (name -> Spark type).
 
     With ``viterbi`` also viterbi_ids and n_viterbi_pieces: the segmentation of the highest sum of scores, which is ``ids`` for a unigram
     model and what a unigram model of the same pieces and scores would give for a BPE model. Both come from one pass and one table of known units.
+    With ``back`` (a name of ``DECODED``) also ``{back}_ids`` and, with ``viterbi``, ``{back}_viterbi_ids``: what ``decode`` gives for these columns, in the same pass,
+    so that the ids need not go through a second worker process.
 
     Null and empty texts have no ids; repeated rows are encoded each; null ids stay; other columns are not read;
     no rows in, no rows out. U+2581 in a text counts as a blank, as in the library. One pass, no shuffle.
@@ -394,12 +407,16 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
                      "n_byte_pieces": pa.array([int(single[np.frombuffer(x, "<u4")].sum()) for x in out], pa.int64())}
             if viterbi:
                 found |= {"viterbi_ids": pa.array(best, pa.binary()), "n_viterbi_pieces": pa.array([len(x) // 4 for x in best], pa.int64())}
+            if back:
+                found |= {f"{back}_{c}": decoded(pieces, x, back) for c, x in (("ids", out), ("viterbi_ids", best)) if c in found}
             return found | {f"kept_{c}": batch.column(f"kept_{c}") for c in keep}
         return step
 
     rows = keep_columns(df, {id_col: "id", text_col: "text"}) if not keep else df.select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), *[F.col(f"`{c}`").alias(f"kept_{c}") for c in keep])
     more = {"viterbi_ids": "binary", "n_viterbi_pieces": "bigint"} if viterbi else {}
+    if back:
+        more |= {f"{back}_{c}": DECODED[back] for c in ("ids", "viterbi_ids") if c == "ids" or viterbi}
     schema = ", ".join([f"id {id_type}", "ids binary", "n_pieces bigint", "n_byte_pieces bigint", *(f"{c} {t}" for c, t in more.items()),
                         *(f"kept_{c} {t}" for c, t in keep.items())])
     out = arrow_map(rows, make, schema)
@@ -414,7 +431,7 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str | list
     """
     keep = keep or {}
     id_type = df.schema[id_col].dataType.simpleString()
-    value, kind = ("text_crc32", "bigint") if crc else ("text", "string")
+    value = "text_crc32" if crc else "text"
     names = {value: ids_col} if isinstance(ids_col, str) else {f"{value}_{c}": c for c in ids_col}
 
     def make():
@@ -423,12 +440,11 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str | list
         def step(batch: pa.RecordBatch) -> dict:
             found = {"id": batch.column("id")}
             for name in names:
-                texts = [pieces.decode(x or b"") for x in batch.column(f"of_{name}").to_pylist()]
-                found[name] = pa.array([zlib.crc32(t.encode()) for t in texts], pa.int64()) if crc else pa.array(texts, pa.string())
+                found[name] = decoded(pieces, batch.column(f"of_{name}").to_pylist(), value)
             return found | {f"kept_{c}": batch.column(f"kept_{c}") for c in keep}
         return step
 
     rows = df.select(F.col(f"`{id_col}`").alias("id"), *[F.col(f"`{c}`").alias(f"of_{name}") for name, c in names.items()],
                      *[F.col(f"`{c}`").alias(f"kept_{c}") for c in keep])
-    out = arrow_map(rows, make, ", ".join([f"id {id_type}", *(f"{name} {kind}" for name in names), *(f"kept_{c} {t}" for c, t in keep.items())]))
+    out = arrow_map(rows, make, ", ".join([f"id {id_type}", *(f"{name} {DECODED[value]}" for name in names), *(f"kept_{c} {t}" for c, t in keep.items())]))
     return out.select(F.col("id").alias(id_col), *names, *[F.col(f"kept_{c}").alias(c) for c in keep])

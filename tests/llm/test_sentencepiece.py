@@ -92,6 +92,21 @@ def test_both_ways_on_edges(edges, edge_rows):
     assert sorted((r.doc_id, r.ids) for r in got.collect()) == sorted((r.doc_id, r.ids) for r in plain.collect())
 
 
+def test_decoding_in_the_pass_of_encoding(edges, edge_rows):
+    """The same as ``decode`` of the columns, from the ids."""
+    for back, crc in (("text", False), ("text_crc32", True)):
+        got = codec.encode(edges, MODEL, viterbi=True, back=back)
+        apart = codec.decode(codec.encode(edges, MODEL, viterbi=True), MODEL, ids_col=["ids", "viterbi_ids"], crc=crc)
+        columns = ["doc_id", f"{back}_ids", f"{back}_viterbi_ids"]
+        assert sorted(map(tuple, got.select(*columns).collect()), key=str) == sorted(map(tuple, apart.select(*columns).collect()), key=str)
+    assert {(r.doc_id, r.text_ids) for r in codec.encode(edges, MODEL, back="text").collect()} == {(i, t or "") for i, t in edge_rows}
+
+
+def test_the_query_has_one_worker_a_task(spark):
+    """A second map in Arrow would hold a second Python process and batches of all ids a task."""
+    assert op2_sentencepiece(spark, SF)._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_other_kinds_of_models_are_refused(tmp_path):
     from sentencepiece import sentencepiece_model_pb2
     with open(MODEL, "rb") as f:
